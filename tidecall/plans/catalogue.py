@@ -1,6 +1,6 @@
 """All registered queries; importing this module fills the registry."""
 
-from tidecall.plans import queries_cleaning  # noqa: F401
+from tidecall.plans import queries_cleaning, queries_split  # noqa: F401
 from tidecall.plans.registry import ORACLES, QUERIES
 
 __all__ = ["ORACLES", "QUERIES"]
