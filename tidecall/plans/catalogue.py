@@ -1,6 +1,12 @@
 """All registered queries; importing this module fills the registry."""
 
-from tidecall.plans import queries_cleaning, queries_profile, queries_split  # noqa: F401
+from tidecall.plans import (  # noqa: F401
+    queries_cleaning,
+    queries_evaluate,
+    queries_model,
+    queries_profile,
+    queries_split,
+)
 from tidecall.plans.registry import ORACLES, QUERIES
 
 __all__ = ["ORACLES", "QUERIES"]
