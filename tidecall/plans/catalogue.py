@@ -6,6 +6,7 @@ from tidecall.plans import (  # noqa: F401
     queries_model,
     queries_profile,
     queries_split,
+    queries_tables,
 )
 from tidecall.plans.registry import ORACLES, QUERIES
 

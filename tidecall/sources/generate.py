@@ -1,0 +1,56 @@
+"""Generated contact rows: every value is a seeded hash draw of the row id."""
+
+from __future__ import annotations
+
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from tidecall import fixed_values as V
+from tidecall.functions import columns as C
+
+
+def generate_contacts(ids: DataFrame, key: str, seed: int = V.SEED) -> DataFrame:
+    """A contact row per id, the same whatever the partitioning.
+
+    Ages are uniform whole numbers, balances and other numbers normal, categories
+    and the label uniform choices.
+    """
+    rows = ids.select(key)
+    values: dict[str, Column] = {}
+    for c in V.NUMERIC_COLUMNS:
+        if c == "age":
+            low, high = V.GENERATED_AGE
+            values[c] = F.floor(_uniform(c, key, seed) * (high - low)) + low
+        elif c == "balance":
+            mean, spread = V.GENERATED_BALANCE
+            values[c] = _normal(c, key, seed) * spread + mean
+        else:
+            values[c] = _normal(c, key, seed)
+    for c in V.CATEGORICAL_COLUMNS:
+        values[c] = _choice(V.GENERATED_LEVELS.get(c, V.GENERATED_OTHER_LEVELS), c, key, seed)
+    values[V.LABEL_COLUMN] = _choice([0, 1], V.LABEL_COLUMN, key, seed)
+    return rows.select(key, *[v.alias(n) for n, v in values.items()])
+
+
+def generated_range(spark: SparkSession, n: int, seed: int = V.SEED) -> DataFrame:
+    """``n`` generated rows with ids from 0."""
+    return generate_contacts(spark.range(n), "id", seed)
+
+
+def _order(name: str, key: str, seed: int) -> Column:
+    return F.md5(F.concat_ws(":", F.lit(str(seed)), F.lit(name), F.col(f"`{key}`").cast("string")))
+
+
+def _uniform(name: str, key: str, seed: int, part: int = 0) -> Column:
+    return C.hash_uniform(_order(name, key, seed), part)
+
+
+def _normal(name: str, key: str, seed: int) -> Column:
+    """Standard normal from two uniform draws; one minus the first keeps the logarithm finite."""
+    radius = F.sqrt(F.lit(-2.0) * F.ln(F.lit(1.0) - _uniform(name, key, seed, 0)))
+    return radius * F.cos(F.lit(2.0) * F.pi() * _uniform(name, key, seed, 1))
+
+
+def _choice(options: list, name: str, key: str, seed: int) -> Column:
+    place = F.floor(_uniform(name, key, seed) * len(options)).cast("int") + 1
+    return F.element_at(F.lit(options), place)
