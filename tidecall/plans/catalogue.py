@@ -5,6 +5,7 @@ from tidecall.plans import (  # noqa: F401
     queries_evaluate,
     queries_model,
     queries_profile,
+    queries_runs,
     queries_split,
     queries_tables,
 )
