@@ -119,10 +119,15 @@ def row_digest(cols: list[str]) -> Column:
     return F.md5(F.concat_ws(FIELD_SEPARATOR, *parts))
 
 
-def hash_order(key: str | list[str], seed: int = V.SEED) -> Column:
-    """A uniform pseudo-random text per row key, the same on every run and layout."""
+def hash_order(key: str | list[str], seed: int = V.SEED, draw: str | None = None) -> Column:
+    """A uniform pseudo-random text per row key, the same on every run and layout.
+
+    Different ``draw`` names give independent orders: rows picked by one draw
+    (say, the test side of a split) are not favoured by another.
+    """
     keys = [key] if isinstance(key, str) else key
-    return F.md5(F.concat_ws(":", F.lit(str(seed)), *[F.col(f"`{k}`").cast("string") for k in keys]))
+    prefix = f"{seed}:{draw}" if draw else str(seed)
+    return F.md5(F.concat_ws(":", F.lit(prefix), *[F.col(f"`{k}`").cast("string") for k in keys]))
 
 
 def hash_below(order: Column, fraction: float) -> Column:
@@ -152,7 +157,7 @@ def adjust_prediction(
     seed: int = V.SEED,
 ) -> Column:
     """Turn the given share of zero predictions into ones, chosen by row key."""
-    flip = (_col(prediction) == 0) & hash_below(hash_order(key, seed), boost)
+    flip = (_col(prediction) == 0) & hash_below(hash_order(key, seed, "adjust"), boost)
     return F.when(flip, 1).otherwise(_col(prediction))
 
 

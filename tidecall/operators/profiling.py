@@ -200,10 +200,12 @@ def correlation(a: Column, b: Column, complete: bool = False) -> Column:
 def label_correlations(
     df: DataFrame, cols: list[str] | None = None, label: str = V.LABEL_COLUMN, complete: bool = False
 ) -> DataFrame:
-    """Absolute correlation of each numeric column with the 0/1 label."""
+    """Absolute correlation of each numeric column with the 0/1 label; null where it is undefined."""
     cols = cols or [c for c in numeric_columns(df) if c != label]
     target = _label(df, label).cast("double")
-    measures = {c: {"abs_corr": F.abs(correlation(_number(c), target, complete))} for c in cols}
+    measures = {
+        c: {"abs_corr": C.nan_to_null(F.abs(correlation(_number(c), target, complete)))} for c in cols
+    }
     return per_column(df, measures)
 
 
@@ -218,14 +220,15 @@ def correlation_pairs(
 ) -> DataFrame:
     """Absolute correlation of each pair of numeric columns, each pair once.
 
-    All pairs are measured in one aggregate; ``above`` keeps only stronger ones.
+    All pairs are measured in one aggregate, each over the rows where both
+    values are finite; ``above`` keeps only stronger pairs.
     """
     cols = cols or numeric_columns(df)
     pairs = list(combinations(cols, 2))
     if not pairs:
         return df.sparkSession.createDataFrame([], "column_a string, column_b string, abs_corr double")
     measures = {
-        f"{i}": {"abs_corr": F.abs(correlation(_number(a), _number(b), complete))}
+        f"{i}": {"abs_corr": F.abs(correlation(C.finite(a), C.finite(b), complete))}
         for i, (a, b) in enumerate(pairs)
     }
     names = F.lit([f"{a}\t{b}" for a, b in pairs])
@@ -349,7 +352,7 @@ def _is_constant(df: DataFrame, c: str) -> Column:
 
 
 def _number(c: str) -> Column:
-    return F.col(f"`{c}`").cast("double")
+    return C.nan_to_null(F.col(f"`{c}`").cast("double"))
 
 
 def _label(df: DataFrame, label: str) -> Column:

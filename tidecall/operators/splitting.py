@@ -99,7 +99,7 @@ def sample_rows(
     seed: int = V.SEED,
 ) -> DataFrame:
     """``min(rows, floor(fraction * n))`` random rows. ``rows`` bounds what the top-k step keeps."""
-    hashed = df.withColumn("__h", C.hash_order(key, seed))
+    hashed = df.withColumn("__h", C.hash_order(key, seed, "sample"))
     top = hashed.orderBy("__h").limit(rows)
     size = df.agg(F.count("*").alias("n")).select(
         F.least(F.lit(rows).cast("bigint"), F.floor(F.col("n") * F.lit(float(fraction))))
@@ -112,7 +112,7 @@ def sample_fraction(
     df: DataFrame, key: str | list[str], fraction: float = V.TRAIN_FRACTION, seed: int = V.SEED
 ) -> DataFrame:
     """About the given share of rows, by hash threshold."""
-    return df.where(C.hash_below(C.hash_order(key, seed), fraction))
+    return df.where(C.hash_below(C.hash_order(key, seed, "sample"), fraction))
 
 
 def complement(df: DataFrame, part: DataFrame, key: str | list[str]) -> DataFrame:

@@ -186,7 +186,7 @@ def threshold_predict(spark, sf):
 ADJUSTED = """,
 adjusted AS (
   SELECT contact_id, label, score,
-    CASE WHEN prediction = 0 AND substr(md5(concat('42:', contact_id)), 1, 8) < '0ccccccc' THEN 1
+    CASE WHEN prediction = 0 AND substr(md5(concat('42:adjust:', contact_id)), 1, 8) < '0ccccccc' THEN 1
       ELSE prediction END AS prediction
   FROM scored
 )"""

@@ -82,7 +82,7 @@ def split_sizes(spark, sf):
     "sample_n",
     """
 SELECT o_orderkey, o_totalprice FROM (
-  SELECT *, row_number() OVER (ORDER BY md5(concat('42:', o_orderkey))) AS r, count(*) OVER () AS n FROM orders
+  SELECT *, row_number() OVER (ORDER BY md5(concat('42:sample:', o_orderkey))) AS r, count(*) OVER () AS n FROM orders
 ) WHERE r <= least(1000, floor(n * CAST(0.1 AS DOUBLE)))""",
 )
 def sample_n(spark, sf):
@@ -93,7 +93,7 @@ def sample_n(spark, sf):
     "split_complement",
     """
 SELECT c_custkey, c_mktsegment FROM customer
-WHERE NOT substr(md5(concat('42:', c_custkey)), 1, 8) < 'cccccccc'""",
+WHERE NOT substr(md5(concat('42:sample:', c_custkey)), 1, 8) < 'cccccccc'""",
 )
 def split_complement(spark, sf):
     customers = table(spark, sf, "customer").select("c_custkey", "c_mktsegment")

@@ -38,7 +38,7 @@ def generated_range(spark: SparkSession, n: int, seed: int = V.SEED) -> DataFram
 
 
 def _order(name: str, key: str, seed: int) -> Column:
-    return F.md5(F.concat_ws(":", F.lit(str(seed)), F.lit(name), F.col(f"`{key}`").cast("string")))
+    return C.hash_order(key, seed, name)
 
 
 def _uniform(name: str, key: str, seed: int, part: int = 0) -> Column:
