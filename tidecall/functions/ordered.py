@@ -135,7 +135,7 @@ def add_buckets(df: DataFrame, cuts: dict[str, list[float]], suffix: str = "__bu
 
 
 def exact_quantiles(
-    df: DataFrame, cols: list[str], probabilities: list[float], buckets: int = 256
+    df: DataFrame, cols: list[str], probabilities: list[float], buckets: int = 512
 ) -> DataFrame:
     """Interpolated quantiles per column: rows of ``column, probability, value``.
 
@@ -184,6 +184,8 @@ def exact_quantiles(
         .where((F.col("w.at") >= F.col("before")) & (F.col("w.at") < F.col("before") + F.col("n")))
         .select("column", "bucket", "before", "total", "w.*")
     )
+    # Two rows per column and probability. Written first, so that the planner knows the size.
+    targets = materialize(targets, "targets")
     needed = targets.select("column", "bucket").distinct()
     in_bucket = Window.partitionBy("column", "bucket").orderBy("value")
     values = (

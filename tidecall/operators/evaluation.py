@@ -62,7 +62,7 @@ def metrics(df: DataFrame, label: str = "label", prediction: str = "prediction")
 
 
 def roc_auc(
-    df: DataFrame, label: str = "label", score: str = "score", buckets: int = 256
+    df: DataFrame, label: str = "label", score: str = "score", buckets: int = 512
 ) -> DataFrame:
     """Exact area under the ROC curve with ties, as one row; null if only one class occurs.
 

@@ -25,13 +25,13 @@ def standardize(df: DataFrame, cols: list[str], fit_on: DataFrame | None = None)
         x = F.col(f"`{c}`").cast("double")
         parts += [F.avg(x).alias(f"m{i}"), F.stddev_pop(x).alias(f"s{i}")]
     fitted = df if fit_on is None else fit_on
-    stats = fitted.agg(F.struct(*parts)).scalar()
     scaled = {}
     for i, c in enumerate(cols):
-        centered = F.col(f"`{c}`") - stats.getField(f"m{i}")
-        spread = stats.getField(f"s{i}")
-        scaled[c] = F.when(spread == 0, F.lit(0.0)).otherwise(centered / spread)
-    return df.withColumns(scaled)
+        spread = F.col(f"__fit.s{i}")
+        centered = (F.col(f"`{c}`") - F.col(f"__fit.m{i}")) / spread
+        scaled[c] = F.when(spread == 0, F.lit(0.0)).otherwise(centered)
+    with_fit = df.withColumn("__fit", fitted.agg(F.struct(*parts)).scalar())
+    return with_fit.withColumns(scaled).drop("__fit")
 
 
 def one_hot_stages(categorical: list[str]) -> list[Estimator]:

@@ -7,6 +7,10 @@ from __future__ import annotations
 
 from itertools import combinations
 
+import numpy as np
+from pyspark.ml.feature import VectorAssembler
+from pyspark.mllib.linalg.distributed import RowMatrix
+from pyspark.mllib.util import MLUtils
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -15,6 +19,7 @@ from tidecall import fixed_values as V
 from tidecall.functions import columns as C
 from tidecall.functions.ordered import exact_quantiles
 from tidecall.schema import numeric_columns, text_columns
+from tidecall.session import materialize
 
 
 def select_numeric(df: DataFrame) -> DataFrame:
@@ -107,7 +112,7 @@ def describe(df: DataFrame, cols: list[str] | None = None, exact: bool = True) -
         }
         if not exact:
             for p, name in points.items():
-                measures[c][name] = F.percentile_approx(x, p, 10000)
+                measures[c][name] = F.percentile_approx(x, list(points), 10000)[list(points).index(p)]
     base = per_column(df, measures)
     if not exact:
         return base
@@ -162,6 +167,8 @@ def histogram(df: DataFrame, column: str, bins: int = V.HISTOGRAM_BINS, by: str
         (F.min("__x") - half).alias("__lo"), (F.max("__x") + half).alias("__hi")
     )
     if by:
+        # One row per class, written first so that the planner knows how small it is.
+        ranges = materialize(ranges, "ranges")
         placed = data.join(ranges, by)
     else:
         placed = data.withColumns({c: ranges.select(c).scalar() for c in ("__lo", "__hi")})
@@ -184,28 +191,19 @@ def histogram(df: DataFrame, column: str, bins: int = V.HISTOGRAM_BINS, by: str
 # --- correlations --------------------------------------------------------------------
 
 
-def correlation(a: Column, b: Column, complete: bool = False) -> Column:
-    """Pearson correlation over rows where both are present; null if either is constant.
-
-    ``complete`` promises that neither has nulls, which lets all pairs of a
-    column share one deviation.
-    """
-    if complete:
-        spread = F.stddev_pop(a) * F.stddev_pop(b)
-    else:
-        spread = F.stddev_pop(F.when(b.isNotNull(), a)) * F.stddev_pop(F.when(a.isNotNull(), b))
+def correlation(a: Column, b: Column) -> Column:
+    """Pearson correlation over rows where both are present; null if either is constant."""
+    spread = F.stddev_pop(F.when(b.isNotNull(), a)) * F.stddev_pop(F.when(a.isNotNull(), b))
     return F.try_divide(F.covar_pop(a, b), spread)
 
 
 def label_correlations(
-    df: DataFrame, cols: list[str] | None = None, label: str = V.LABEL_COLUMN, complete: bool = False
+    df: DataFrame, cols: list[str] | None = None, label: str = V.LABEL_COLUMN
 ) -> DataFrame:
     """Absolute correlation of each numeric column with the 0/1 label; null where it is undefined."""
     cols = cols or [c for c in numeric_columns(df) if c != label]
     target = _label(df, label).cast("double")
-    measures = {
-        c: {"abs_corr": C.nan_to_null(F.abs(correlation(_number(c), target, complete)))} for c in cols
-    }
+    measures = {c: {"abs_corr": C.nan_to_null(F.abs(correlation(_number(c), target)))} for c in cols}
     return per_column(df, measures)
 
 
@@ -215,30 +213,49 @@ def top_correlations(
     return label_correlations(df, cols, label).orderBy(F.desc_nulls_last("abs_corr"), "column").limit(n)
 
 
-def correlation_pairs(
-    df: DataFrame, cols: list[str] | None = None, above: float | None = None, complete: bool = False
-) -> DataFrame:
+def correlation_pairs(df: DataFrame, cols: list[str] | None = None, above: float | None = None) -> DataFrame:
     """Absolute correlation of each pair of numeric columns, each pair once.
 
-    All pairs are measured in one aggregate, each over the rows where both
-    values are finite; ``above`` keeps only stronger pairs.
+    A pair counts the rows where both values are finite; it is null where either
+    is constant. ``above`` keeps only stronger pairs.
+
+    Centred values, their squares and their presence form one vector per row,
+    and the cross products of that vector (a matrix of three times the number of
+    columns, whatever the number of rows) hold every sum that any pair needs.
     """
     cols = cols or numeric_columns(df)
-    pairs = list(combinations(cols, 2))
-    if not pairs:
-        return df.sparkSession.createDataFrame([], "column_a string, column_b string, abs_corr double")
-    measures = {
-        f"{i}": {"abs_corr": F.abs(correlation(C.finite(a), C.finite(b), complete))}
-        for i, (a, b) in enumerate(pairs)
-    }
-    names = F.lit([f"{a}\t{b}" for a, b in pairs])
-    both = F.split(F.element_at(names, F.col("column").cast("int") + 1), "\t")
-    report = per_column(df, measures).select(
-        both[0].alias("column_a"), both[1].alias("column_b"), "abs_corr"
-    )
+    means = df.agg(*[F.avg(C.finite(c)).alias(f"m{i}") for i, c in enumerate(cols)]).first() if cols else []
+    values, present, squares = [], [], []
+    for c, mean in zip(cols, means):
+        x = C.finite(c) - F.lit(float(mean or 0.0))
+        values.append(F.coalesce(x, F.lit(0.0)))
+        present.append(x.isNotNull().cast("double"))
+        squares.append(F.coalesce(x * x, F.lit(0.0)))
+    found = _pair_strengths(df, cols, values + present + squares) if len(cols) > 1 else []
+    report = df.sparkSession.createDataFrame(found, "column_a string, column_b string, abs_corr double")
     return report if above is None else report.where(F.col("abs_corr") > F.lit(float(above)))
 
 
+def _pair_strengths(df: DataFrame, cols: list[str], parts: list[Column]) -> list[tuple]:
+    names = [f"p{i}" for i in range(len(parts))]
+    rows = df.select(*[p.alias(n) for p, n in zip(parts, names)])
+    vectors = VectorAssembler(inputCols=names, outputCol="v").transform(rows).select("v")
+    gram = RowMatrix(MLUtils.convertVectorColumnsFromML(vectors, "v")).computeGramianMatrix().toArray()
+    k = len(cols)
+    x, m, q = slice(0, k), slice(k, 2 * k), slice(2 * k, 3 * k)
+    products, sums, square_sums, counts = gram[x, x], gram[x, m], gram[q, m], gram[m, m]
+    with np.errstate(all="ignore"):
+        mean = sums / counts
+        power = square_sums / counts
+        variance = power - mean**2
+        variance[variance <= 1e-12 * power] = np.nan  # constant among the shared rows
+        strength = np.abs(products / counts - mean * mean.T) / np.sqrt(variance * variance.T)
+    return [
+        (cols[i], cols[j], None if np.isnan(strength[i, j]) else float(strength[i, j]))
+        for i, j in combinations(range(k), 2)
+    ]
+
+
 # --- combined reports ----------------------------------------------------------------
 
 
@@ -252,29 +269,26 @@ def feature_stats(df: DataFrame, original: int = len(V.NUMERIC_COLUMNS + V.CATEG
 
 
 def validation_report(df: DataFrame, high: float = V.HIGH_CORRELATION) -> DataFrame:
-    """All quality findings as rows ``check, subject, value``, from one pass over the data."""
+    """All quality findings as rows ``check, subject, value``."""
     numbers = numeric_columns(df)
-    findings = []
-    for c in df.columns:
-        findings.append(("missing_values", c, F.count_if(_is_missing(df, c)).cast("double"), 0.0))
-        findings.append(("constant_features", c, _is_constant(df, c).cast("double"), 0.0))
-    for c in numbers:
-        findings.append(("infinite_values", c, F.count_if(_is_infinite(c)).cast("double"), 0.0))
-    for a, b in combinations(numbers, 2):
-        strength = F.abs(correlation(C.finite(a), C.finite(b)))
-        findings.append(("high_correlations", f"{a},{b}", strength, high))
-    wide = df.agg(*[expr.alias(f"m{i}") for i, (_, _, expr, _) in enumerate(findings)])
-    rows = [
-        F.struct(
-            F.lit(check).alias("check"),
-            F.lit(subject).alias("subject"),
-            F.col(f"m{i}").alias("value"),
-            F.lit(limit).alias("limit"),
-        )
-        for i, (check, subject, _, limit) in enumerate(findings)
-    ]
-    found = wide.select(F.explode(F.array(*rows)).alias("r")).select("r.*")
-    return found.where(F.col("value") > F.col("limit")).drop("limit")
+    measures = {f"missing_values\t{c}": {"value": F.count_if(_is_missing(df, c)).cast("double")} for c in df.columns}
+    measures |= {f"constant_features\t{c}": {"value": _is_constant(df, c).cast("double")} for c in df.columns}
+    measures |= {f"infinite_values\t{c}": {"value": F.count_if(_is_infinite(c)).cast("double")} for c in numbers}
+    names = F.split("column", "\t")
+    counts = per_column(df, measures).where("value > 0")
+    counts = counts.select(names[0].alias("check"), names[1].alias("subject"), "value")
+    pairs = correlation_pairs(df, numbers, above=high).select(
+        F.lit("high_correlations").alias("check"),
+        F.concat_ws(",", "column_a", "column_b").alias("subject"),
+        F.col("abs_corr").alias("value"),
+    )
+    return counts.unionByName(pairs)
+
+
+def report_json(report: DataFrame, subject: str = "subject", value: str = "value") -> DataFrame:
+    """Findings of each check as one JSON text, subjects in order."""
+    entries = F.array_sort(F.collect_list(F.struct(subject, value)))
+    return report.groupBy("check").agg(F.to_json(F.map_from_entries(entries)).alias("findings"))
 
 
 CHECKS = ["missing_values", "infinite_values", "constant_features", "high_correlations"]

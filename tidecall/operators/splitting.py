@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from tidecall import fixed_values as V
 from tidecall.functions import columns as C
+from tidecall.session import materialize
 
 #: Leading hex digits of the hash that form a counting bucket (16 ** 4 buckets).
 _BUCKET_DIGITS = 4
@@ -36,7 +37,9 @@ def split_exact(
     With ``strata`` the test rows are shared out in proportion to the size of
     each stratum, leftovers going to the largest remainders. Nothing is sorted
     as a whole: counts per hash prefix show which prefix holds the last test
-    row, and only the rows of that prefix are ranked.
+    row, and only the rows of that prefix are ranked. The tables of cut points
+    have a row per stratum and are written before they are joined: the planner
+    then knows their size, and broadcasts them only if they are small.
     """
     strata = strata or []
     hashed = df.withColumn("__h", C.hash_order(key, seed))
@@ -54,6 +57,8 @@ def split_exact(
         .where((F.col("__k") > F.col("__upto") - F.col("__n")) & (F.col("__k") <= F.col("__upto")))
         .select(*strata, "__b", (F.col("__k") - F.col("__upto") + F.col("__n")).alias("__need"))
     )
+    if strata:
+        edge = materialize(edge, "edge")
     inside = Window.partitionBy(*strata, "__b").orderBy("__h")
     cut = (
         _join(slim, edge, [*strata, "__b"])
@@ -61,7 +66,9 @@ def split_exact(
         .where(F.col("__rank") == F.col("__need"))
         .select(*strata, F.col("__h").alias("__cut"))
     )
-    # One row per stratum; a stratum without test rows has none.
+    # A stratum without test rows has no cut.
+    if strata:
+        cut = materialize(cut, "cut")
     marked = _join(hashed, cut, strata, "left")
     is_test = F.coalesce(F.col("__h") <= F.col("__cut"), F.lit(False))
     return marked.withColumn("split", F.when(is_test, "test").otherwise("train")).drop("__h", "__cut")

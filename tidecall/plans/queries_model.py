@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from tidecall import fixed_values as V
 from tidecall.operators import cleaning, evaluation, features, modeling, splitting
 from tidecall.plans.contacts import contact_table
+from tidecall.plans.queries_tables import store
 from tidecall.plans.registry import on_clean, on_contacts, query
 from tidecall.schema import CONTACT_KEY
 from tidecall.session import materialize, scratch_path
@@ -93,10 +94,13 @@ def gbt_metrics(spark, sf):
 
 @query("forest_importance")
 def forest_importance(spark, sf):
+    """Importances are saved as a table; the report reads it back."""
     train, _ = _sides(labelled_contacts(spark, sf))
     numbers, texts = V.NUMERIC_COLUMNS + ENGINEERED_NUMBERS, V.CATEGORICAL_COLUMNS + ENGINEERED_TEXT
     pipeline = modeling.classifier_pipeline(modeling.random_forest(n_estimators=10), numbers, texts)
-    importance = modeling.feature_importance(modeling.train(pipeline, train), train, numbers)
+    tables = store(spark)
+    tables.save(modeling.feature_importance(modeling.train(pipeline, train), train, numbers), "feature_importance")
+    importance = tables.load("feature_importance")
     summary = modeling.importance_summary(importance)
     return modeling.top_importances(importance).withColumns(
         {c: summary.select(c).scalar() for c in ("mean_importance", "engineered_in_top")}

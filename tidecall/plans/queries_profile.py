@@ -282,7 +282,7 @@ SELECT * FROM (
     ),
 )
 def high_correlation_pairs(spark, sf):
-    dirty = dirty_contacts(spark, sf)
+    dirty = materialize(dirty_contacts(spark, sf), "dirty")
     pairs = profiling.correlation_pairs(dirty, ["age", "balance", "campaign", "touches"], above=V.HIGH_CORRELATION)
     return pairs.withColumn("abs_corr", F.round("abs_corr", 9))
 
@@ -310,10 +310,26 @@ findings AS (
 
 @query("validation_report", on_contacts(REPORT + " SELECT * FROM findings"))
 def validation_report(spark, sf):
-    report = profiling.validation_report(dirty_contacts(spark, sf))
+    report = profiling.validation_report(materialize(dirty_contacts(spark, sf), "dirty"))
     return report.withColumn("value", F.round("value", 9))
 
 
+@query(
+    "report_json",
+    on_contacts(
+        REPORT
+        + """
+SELECT "check", '{' || string_agg('"' || subject || '":' || CAST(CAST(value AS BIGINT) AS VARCHAR), ','
+  ORDER BY subject) || '}' AS findings
+FROM findings WHERE "check" <> 'high_correlations' GROUP BY 1"""
+    ),
+)
+def report_json(spark, sf):
+    report = profiling.validation_report(materialize(dirty_contacts(spark, sf), "dirty"))
+    counts = report.where(F.col("check") != "high_correlations")
+    return profiling.report_json(counts.withColumn("value", F.col("value").cast("bigint")))
+
+
 @query(
     "quality_checks",
     on_contacts(
@@ -323,7 +339,8 @@ SELECT "check", count(*) AS issues, false AS passed FROM findings GROUP BY 1"""
     ),
 )
 def quality_checks(spark, sf):
-    return profiling.quality_checks(profiling.validation_report(dirty_contacts(spark, sf)))
+    dirty = materialize(dirty_contacts(spark, sf), "dirty")
+    return profiling.quality_checks(profiling.validation_report(dirty))
 
 
 @query(

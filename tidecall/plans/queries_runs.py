@@ -74,6 +74,24 @@ def run_search(spark, sf):
     return result.withColumn("start_time", F.col("start_time").cast("timestamp_ntz"))
 
 
+@query(
+    "run_search_params",
+    f"""WITH {RUNS}
+SELECT run_id, status, params_k FROM runs LEFT JOIN (
+  SELECT concat('run-', user_id) AS run_id, arg_max(props ->> '$.k', (ts, event_id)) AS params_k
+  FROM events GROUP BY 1
+) USING (run_id) WHERE status = 'FAILED'""",
+)
+def run_search_params(spark, sf):
+    found, metrics = run_tables(spark, sf)
+    params = table(spark, sf, "events").groupBy("user_id").agg(
+        F.max_by(F.get_json_object("props", "$.k"), F.struct("ts", "event_id")).alias("value")
+    )
+    params = params.select(F.concat(F.lit("run-"), F.col("user_id")).alias("run_id"), F.lit("k").alias("key"), "value")
+    result = runs.search_runs(found, metrics, params, status="FAILED", param_keys=("k", "absent"))
+    return result.select("run_id", "status", "params_k")
+
+
 @query(
     "run_search_recent",
     f"""WITH {RUNS}

@@ -181,14 +181,16 @@ class TableStore:
         return self.spark.createDataFrame([], LOAD_LOG)
 
     def _note(self, name: str, operation: str, rows: int) -> None:
+        """Append one row to the load log; its version follows the newest one of the table."""
+        newest = self._log().where(F.col("table_name") == name).agg(F.coalesce(F.max("version"), F.lit(0)))
         entry = self.spark.range(1).select(
             F.lit(name).alias("table_name"),
-            F.lit(int(self.version(name)) + 1).cast("bigint").alias("version"),
+            (newest.scalar() + 1).cast("bigint").alias("version"),
             F.current_timestamp().alias("timestamp"),
             F.lit(operation).alias("operation"),
             F.lit(rows).cast("bigint").alias("num_rows"),
         )
-        entry.write.mode("append").format("parquet").saveAsTable(self.full_name(LOG_TABLE))
+        entry.coalesce(1).write.mode("append").format("parquet").saveAsTable(self.full_name(LOG_TABLE))
 
     # --- maintenance -------------------------------------------------------------------------
 
