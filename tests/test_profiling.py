@@ -32,7 +32,9 @@ def test_constant(sample):
     assert {r[0] for r in rows(profiling.constant_columns(sample))} == {"e", "c"}
 
 
-def test_correlation_like_pandas(spark, sample):
+@pytest.mark.parametrize("limit", [0, 15], ids=["vectors", "aggregate"])
+def test_correlation_like_pandas(spark, sample, monkeypatch, limit):
+    monkeypatch.setattr(profiling, "_PAIRS_IN_ONE_AGGREGATE", limit)
     cols = ["i", "y", "p", "c"]
     frame = sample.select(*cols).toPandas().astype(float)
     want = frame.corr().abs()
@@ -45,6 +47,13 @@ def test_correlation_like_pandas(spark, sample):
             assert v == pytest.approx(want.loc[a, b], abs=1e-12)
 
 
+def test_correlation_leaves_out_rows_that_are_not_finite(spark, sample):
+    """Like pandas, a pair counts the rows where both values are finite."""
+    got = {(a, b): v for a, b, v in rows(profiling.correlation_pairs(sample, ["i", "x", "y"]))}
+    assert got["i", "x"] == pytest.approx(np.corrcoef([1, 2, 5], [1, 2, 5])[0, 1])
+    assert got["x", "y"] == pytest.approx(1.0)
+
+
 def test_describe_like_pandas(spark):
     rng = np.random.default_rng(3)
     frame = pd.DataFrame({"a": rng.normal(size=501), "b": rng.integers(0, 5, 501).astype(float)})

@@ -37,7 +37,7 @@ def csv_roundtrip(spark, sf):
 
 @query(
     "csv_inferred",
-    """SELECT n_nationkey, n_name, n_regionkey, c_custkey, c_acctbal, c_mktsegment
+    """SELECT n_nationkey, n_name, n_regionkey, CAST(c_custkey AS INTEGER) AS c_custkey, c_acctbal, c_mktsegment
 FROM customer JOIN nation ON c_nationkey = n_nationkey""",
 )
 def csv_inferred(spark, sf):
