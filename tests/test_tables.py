@@ -4,7 +4,7 @@ import pytest
 from conftest import rows
 from pyspark.errors import AnalysisException
 
-from tidecall.operators import layout
+from tidecall.operators import layout, lookup
 from tidecall.schema import contact_schema
 from tidecall.session import scratch_dir, scratch_path
 from tidecall.sources import generate, scans
@@ -49,6 +49,18 @@ def test_modes(spark, tables):
     assert tables.version("t") == "3" and tables.version("other") == "0"
 
 
+def test_bucketed_tables_combine_without_a_shuffle(spark, tables):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        for name in ("a", "b", "c"):
+            tables.save(spark.range(1000).selectExpr("id", f"id * 2 as {name}"), name, bucket_by=(4, ["id"]))
+        joined = lookup.combine([tables.load(n) for n in ("a", "b", "c")], "id")
+        assert "Exchange" not in joined._jdf.queryExecution().executedPlan().toString()
+        assert joined.count() == 1000
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
 def test_drop(spark, tables):
     tables.drop("nothing")
     with pytest.raises(AnalysisException):

@@ -10,15 +10,26 @@ from __future__ import annotations
 from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidecall.session import materialize
 
 
-def match_keys(left: DataFrame, right: DataFrame, keys: dict[str, str], how: str = "left") -> DataFrame:
-    """Null-safe join on ``left column -> right column``; the right keys are dropped."""
-    on = [left[a].eqNullSafe(right[b]) for a, b in keys.items()]
-    joined = left.join(right, on, how)
-    return joined.drop(*[right[b] for b in keys.values()])
+def _never_null(df: DataFrame, keys: list[str]) -> dict[str, Column]:
+    """Two non-null columns per key that together tell null from every value.
+
+    Windows, aggregates and joins on them agree about their partitioning, which a
+    null-safe join condition on the keys themselves would not.
+    """
+    out = {}
+    for i, k in enumerate(keys):
+        kind, col = df.schema[k].dataType, F.col(f"`{k}`")
+        if isinstance(kind, T.NumericType):
+            value = F.coalesce(col, F.lit(0).cast(kind))
+        else:
+            value = F.coalesce(col.cast("string"), F.lit(""))
+        out |= {f"__k{i}": value, f"__null{i}": col.isNull()}
+    return out
 
 
 def with_history(
@@ -28,7 +39,6 @@ def with_history(
     order: list[str],
     lags: dict[str, str] | None = None,
     number: str | None = None,
-    extra_heads=None,
 ) -> DataFrame:
     """Row number and previous values per key, safe for keys with very many rows.
 
@@ -36,44 +46,40 @@ def with_history(
     timestamp): one task then holds one key's rows of one chunk, and the rows
     per key that meet in a second window are one per chunk. ``lags`` maps new
     columns to the column whose previous value they hold; ``number`` names a
-    1-based position. ``extra_heads`` may add columns to the per-key chunk
-    summary before it is joined back.
+    1-based position.
     """
     lags = lags or {}
     carried = sorted(set(lags.values()))
-    base = df.withColumn("__chunk", chunk)
-    within = Window.partitionBy(*keys, "__chunk").orderBy(*order)
+    helpers = _never_null(df, keys)
+    group = list(helpers)
+    base = df.withColumns(helpers | {"__chunk": chunk})
+    within = Window.partitionBy(*group, "__chunk").orderBy(*order)
     local = base.withColumns(
         {"__pos": F.row_number().over(within)}
         | {f"__lag_{c}": F.lag(c).over(within) for c in carried}
     )
 
-    summary = base.groupBy(*keys, "__chunk").agg(
+    summary = base.groupBy(*group, "__chunk").agg(
         F.count("*").alias("__rows"),
         F.max_by(F.struct(*carried, F.lit(1).alias("__one")), F.struct(*order)).alias("__tail"),
     )
-    across = Window.partitionBy(*keys).orderBy("__chunk")
+    across = Window.partitionBy(*group).orderBy("__chunk")
+    before = F.sum("__rows").over(across.rowsBetween(Window.unboundedPreceding, -1))
     heads = summary.select(
-        *[F.col(k).alias(f"__k_{i}") for i, k in enumerate(keys)],
-        F.col("__chunk").alias("__k_chunk"),
-        F.coalesce(
-            F.sum("__rows").over(across.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)
-        ).alias("__before"),
+        *group,
+        "__chunk",
+        F.coalesce(before, F.lit(0)).alias("__before"),
         F.lag("__tail").over(across).alias("__prev"),
     )
-    if extra_heads is not None:
-        heads = extra_heads(heads)
 
-    on = {k: f"__k_{i}" for i, k in enumerate(keys)} | {"__chunk": "__k_chunk"}
-    joined = match_keys(local, heads, on, "inner")
+    joined = local.join(heads, [*group, "__chunk"])
     out = {}
     if number:
         out[number] = F.col("__before") + F.col("__pos")
+    first = F.col("__pos") == 1
     for name, source in lags.items():
-        first = F.col("__pos") == 1
         out[name] = F.when(first, F.col(f"__prev.{source}")).otherwise(F.col(f"__lag_{source}"))
-    helpers = ["__chunk", "__pos", "__before", "__prev"] + [f"__lag_{c}" for c in carried]
-    return joined.withColumns(out).drop(*helpers)
+    return joined.select(*df.columns, *[c.alias(n) for n, c in out.items()])
 
 
 def number_rows(df: DataFrame, order: list[str], name: str, partitions: int | None = None) -> DataFrame:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 
 from tidecall import fixed_values as V
 from tidecall.functions import columns as C
@@ -15,33 +15,44 @@ def normalize_text(df: DataFrame, cols: list[str] | None = None) -> DataFrame:
     return df.withColumns({c: C.normalize_text(c) for c in present})
 
 
-def engineer_features(df: DataFrame) -> DataFrame:
-    """Normalised text plus nine derived columns, as two projections that Catalyst merges."""
+def _customer_columns() -> dict[str, Column]:
+    return {
+        "job_category": C.job_category(),
+        "education_level": C.education_level(),
+        "balance_positive": C.positive_flag("balance"),
+        "age_group": C.age_group(),
+    }
+
+
+def _campaign_columns() -> dict[str, Column]:
     number = C.month_number()
     sine, cosine = C.month_cycle(number)
-    return normalize_text(df).withColumns(
-        {
-            "job_category": C.job_category(),
-            "education_level": C.education_level(),
-            "balance_positive": C.positive_flag("balance"),
-            "age_group": C.age_group(),
-            "month_number": number,
-            "month_sin": sine,
-            "month_cos": cosine,
-            "campaign_intensity": C.campaign_intensity(),
-            "has_previous": C.positive_flag("previous"),
-        }
-    )
+    return {
+        "month_number": number,
+        "month_sin": sine,
+        "month_cos": cosine,
+        "campaign_intensity": C.campaign_intensity(),
+        "has_previous": C.positive_flag("previous"),
+    }
+
+
+def engineer_features(df: DataFrame) -> DataFrame:
+    """Normalised text plus nine derived columns, as two projections that Catalyst merges."""
+    return normalize_text(df).withColumns(_customer_columns() | _campaign_columns())
+
 
+def customer_features(contacts: DataFrame) -> DataFrame:
+    """Distinct customer keys with their derived columns.
 
-def customer_features(features: DataFrame) -> DataFrame:
-    """Distinct customer keys with their derived columns."""
-    return features.select(*V.CUSTOMER_KEY, *V.CUSTOMER_FEATURES).distinct()
+    The derived columns depend on the key alone, so they are added after the
+    distinct: only the key is shuffled.
+    """
+    return normalize_text(contacts.select(*V.CUSTOMER_KEY)).distinct().withColumns(_customer_columns())
 
 
-def campaign_features(features: DataFrame) -> DataFrame:
+def campaign_features(contacts: DataFrame) -> DataFrame:
     """Distinct campaign keys with their derived columns."""
-    return features.select(*V.CAMPAIGN_KEY, *V.CAMPAIGN_FEATURES).distinct()
+    return normalize_text(contacts.select(*V.CAMPAIGN_KEY)).distinct().withColumns(_campaign_columns())
 
 
 def feature_growth(before: DataFrame, after: DataFrame) -> DataFrame:

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from tidecall import fixed_values as V
 from tidecall.functions import columns as C
-from tidecall.functions.ordered import match_keys, number_rows
+from tidecall.functions.ordered import number_rows
 
 
 @dataclass(frozen=True)
@@ -30,7 +30,8 @@ def surrogate_key(df: DataFrame, cols: list[str], name: str, method: str = "md5"
     if method == "md5":
         return df.withColumn(name, C.row_digest(cols))
     if method == "xxhash64":
-        return df.withColumn(name, F.xxhash64(*[F.coalesce(F.col(f"`{c}`").cast("string"), F.lit(C.NULL_MARK)) for c in cols]))
+        parts = [F.coalesce(F.col(f"`{c}`").cast("string"), F.lit(C.NULL_MARK)) for c in cols]
+        return df.withColumn(name, F.xxhash64(*parts))
     raise ValueError(f"unknown method {method!r}")
 
 
@@ -71,8 +72,9 @@ def lookup(df: DataFrame, lookups: list[FeatureLookup], drop: tuple[str, ...] =
     for i, item in enumerate(lookups):
         fresh = [c for c in item.features if c not in df.columns]
         names = {k: f"__k{i}_{k}" for k in item.key}
-        side = item.table.select(*[F.col(k).alias(names[k]) for k in item.key], *fresh)
-        df = match_keys(df, side, names)
+        side = item.table.select(*[F.col(f"`{k}`").alias(names[k]) for k in item.key], *fresh)
+        on = [df[k].eqNullSafe(side[names[k]]) for k in item.key]
+        df = df.join(side, on, "left").drop(*names.values())
     return df.drop(*drop)
 
 

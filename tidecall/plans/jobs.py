@@ -97,9 +97,8 @@ def load_split(
 
 def publish_feature_tables(raw: DataFrame, tables: TableStore) -> list[lookup.FeatureLookup]:
     """Derive the two feature tables, key them by a digest of their natural key, and publish them."""
-    derived = features.engineer_features(raw)
-    customers = lookup.surrogate_key(features.customer_features(derived), V.CUSTOMER_KEY, "customer_id")
-    campaigns = lookup.surrogate_key(features.campaign_features(derived), V.CAMPAIGN_KEY, "campaign_id")
+    customers = lookup.surrogate_key(features.customer_features(raw), V.CUSTOMER_KEY, "customer_id")
+    campaigns = lookup.surrogate_key(features.campaign_features(raw), V.CAMPAIGN_KEY, "campaign_id")
     tables.publish_features(customers, "customer_features", ["customer_id"], "Customer features")
     tables.publish_features(campaigns, "campaign_features", ["campaign_id"], "Campaign features")
     return lookup.standard_lookups(tables.load("customer_features"), tables.load("campaign_features"))

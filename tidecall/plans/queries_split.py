@@ -117,10 +117,8 @@ FROM feat"""
     ),
 )
 def customer_features(spark, sf):
-    raw = contact_table(spark, sf, *V.CUSTOMER_KEY, "contact", "month", "campaign", "previous")
-    return lookup.surrogate_key(
-        features.customer_features(features.engineer_features(raw)), V.CUSTOMER_KEY, "customer_id"
-    )
+    built = features.customer_features(contact_table(spark, sf, *V.CUSTOMER_KEY))
+    return lookup.surrogate_key(built, V.CUSTOMER_KEY, "customer_id")
 
 
 @query(
@@ -136,8 +134,7 @@ FROM feat"""
     ),
 )
 def campaign_features(spark, sf):
-    raw = contact_table(spark, sf, *V.CAMPAIGN_KEY, "job", "education", "balance", "age")
-    built = features.campaign_features(features.engineer_features(raw))
+    built = features.campaign_features(contact_table(spark, sf, *V.CAMPAIGN_KEY))
     return rounded_cycle(lookup.surrogate_key(built, V.CAMPAIGN_KEY, "campaign_id"))
 
 
@@ -189,10 +186,11 @@ def arbitrary_id_is_unique(spark, sf):
     )
 
 
-def _published(spark, sf):
-    """Features of all contacts, written once, and the two feature tables made from them."""
-    feats = materialize(features.engineer_features(contact_table(spark, sf)), "features")
-    return feats, lookup.standard_lookups(features.customer_features(feats), features.campaign_features(feats))
+def _with_lookups(spark, sf):
+    """Normalised contacts, written once, and the two feature tables made from them."""
+    contacts = materialize(features.normalize_text(contact_table(spark, sf)), "contacts")
+    customers, campaigns = features.customer_features(contacts), features.campaign_features(contacts)
+    return contacts, lookup.standard_lookups(customers, campaigns)
 
 
 LOOKED_UP = """job_category, education_level, balance_positive, age_group, round(month_sin, 9) + 0.0 AS month_sin,
@@ -209,14 +207,14 @@ FROM feat"""
     ),
 )
 def training_set(spark, sf):
-    feats, lookups = _published(spark, sf)
-    return rounded_cycle(lookup.training_set(feats, lookups, keep=(CONTACT_KEY,)))
+    contacts, lookups = _with_lookups(spark, sf)
+    return rounded_cycle(lookup.training_set(contacts, lookups, keep=(CONTACT_KEY,)))
 
 
 @query("scoring_set", on_features(f"SELECT contact_id, {INPUTS}, {LOOKED_UP} FROM feat"))
 def scoring_set(spark, sf):
-    feats, lookups = _published(spark, sf)
-    return rounded_cycle(lookup.scoring_set(feats, lookups, keep=(CONTACT_KEY,)))
+    contacts, lookups = _with_lookups(spark, sf)
+    return rounded_cycle(lookup.scoring_set(contacts, lookups, keep=(CONTACT_KEY,)))
 
 
 # --- changes between snapshots -------------------------------------------------------------

@@ -68,22 +68,28 @@ class TableStore:
         name: str,
         mode: str = "overwrite",
         partition_by: list[str] | None = None,
+        bucket_by: tuple[int, list[str]] | None = None,
         operation: str = "WRITE",
     ) -> None:
         """Write a table and note version, time and row count in the load log.
 
-        Rows are counted while they are written. An overwrite may change the schema.
+        Rows are counted while they are written. An overwrite may change the
+        schema. ``bucket_by`` (number, columns) stores tables that are joined
+        again and again so that :meth:`combine` needs no shuffle; it suits
+        columns without hot values.
         """
         if mode == "ignore" and self.exists(name):
             return
-        self._note(name, operation, self._write(df, name, mode, partition_by))
+        self._note(name, operation, self._write(df, name, mode, partition_by, bucket_by))
 
-    def _write(self, df: DataFrame, name: str, mode: str, partition_by: list[str] | None) -> int:
+    def _write(self, df: DataFrame, name: str, mode: str, partition_by=None, bucket_by=None) -> int:
         seen = Observation(f"save-{uuid.uuid4().hex}")
         counted = df.observe(seen, F.count(F.lit(1)).alias("rows"))
         writer = counted.write.mode(mode).format("parquet")
         if partition_by:
             writer = writer.partitionBy(*partition_by)
+        if bucket_by:
+            writer = writer.bucketBy(bucket_by[0], *bucket_by[1])
         writer.saveAsTable(self.full_name(name))
         return seen.get["rows"]
 
@@ -219,7 +225,7 @@ class TableStore:
             known = [c for c in cluster_by or [] if c in df.columns]
             if cluster_by and not known:
                 log.warning("none of %s is a column of %s", cluster_by, name)
-            rows = self._write(layout.cluster(df, known, files), fresh, "overwrite", None)
+            rows = self._write(layout.cluster(df, known, files), fresh, "overwrite")
             self._rename(name, old)
             self._rename(fresh, name)
             self.drop(old)
