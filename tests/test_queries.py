@@ -22,7 +22,28 @@ def test_every_oracle_has_a_query():
 
 @pytest.mark.parametrize("name", sorted(ORACLES))
 def test_matches_sql(spark, con, small, name):
-    assert compare(QUERIES[name](spark, small), con, ORACLES[name]) is None
+    df = QUERIES[name](spark, small)
+    check_plan(df)
+    assert compare(df, con, ORACLES[name]) is None
+
+
+def check_plan(df):
+    """No cross join, no nested loop and no Python in any physical plan."""
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    for bad in ("CartesianProduct", "NestedLoopJoin", "Python", "InPandas", "InArrow"):
+        assert bad not in plan
+
+
+def test_scans_read_only_the_columns_they_need(spark, small):
+    plan = QUERIES["job_category"](spark, small)._jdf.queryExecution().executedPlan().toString()
+    assert "lineitem.parquet" not in plan
+    assert "ReadSchema: struct<c_custkey:bigint>" in plan
+    assert "ReadSchema: struct<o_orderkey:bigint,o_custkey:bigint>" in plan
+
+
+def test_filters_reach_the_scan(spark, small):
+    plan = QUERIES["snapshot_diff"](spark, small)._jdf.queryExecution().executedPlan().toString()
+    assert "PushedFilters: [IsNotNull(o_orderpriority), Not(EqualTo(o_orderpriority,1-URGENT))]" in plan
 
 
 @pytest.mark.parametrize("name", sorted(set(QUERIES) - set(ORACLES) - SLOW))

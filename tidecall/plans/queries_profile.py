@@ -14,7 +14,7 @@ from tidecall.session import materialize
 # Planted dirt: infinities, NaN and a constant column.
 DIRTY = """
 dirty AS (
-  SELECT age, CAST(NULL AS VARCHAR) AS empty, job, contact, balance, 'bank' AS channel,
+  SELECT age, CAST(NULL AS VARCHAR) AS empty, job, contact, balance, 'phone' AS channel,
     CASE WHEN contact_id % 103 = 0 THEN CAST('Infinity' AS DOUBLE)
       WHEN contact_id % 101 = 0 THEN CAST('NaN' AS DOUBLE)
       ELSE CAST(campaign AS DOUBLE) END AS reach,
@@ -37,7 +37,7 @@ def dirty_contacts(spark, sf):
         "job",
         "contact",
         "balance",
-        F.lit("bank").alias("channel"),
+        F.lit("phone").alias("channel"),
         reach.alias("reach"),
         "campaign",
         (F.col("campaign") * 2 + 1).alias("touches"),
