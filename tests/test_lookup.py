@@ -71,13 +71,3 @@ def test_snapshot_diff(spark):
         key=repr,
     )
     assert changes.snapshot_diff(before, before, ["id"]).count() == 0
-
-
-def test_upsert(spark):
-    current = spark.createDataFrame([(1, "a"), (2, "b")], "id int, v string")
-    incoming = spark.createDataFrame([(2, "c"), (3, "d")], "id int, v string")
-    got = changes.apply_upsert(current, incoming, ["id"])
-    assert sorted(rows(got)) == [(1, "a"), (2, "c"), (3, "d")]
-    assert {r[0] for r in rows(changes.snapshot_diff(current, got, ["id"]))} == {
-        "insert", "update_preimage", "update_postimage"
-    }

@@ -87,6 +87,11 @@ def test_histogram_ranges_are_per_class(spark):
     assert got == {(0, 0): (0.0, 0.5, 1), (0, 1): (0.5, 1.0, 1), (1, 0): (10.0, 15.0, 1), (1, 1): (15.0, 20.0, 1)}
 
 
+def test_histogram_of_nothing(spark):
+    df = spark.createDataFrame([(None,), (float("nan"),)], "x double")
+    assert profiling.histogram(df, "x").count() == 0
+
+
 def test_small_groups_are_left_out(spark):
     df = spark.createDataFrame([("a", "yes")] * 10 + [("b", "no")] * 9, "g string, Target string")
     assert rows(profiling.target_rate_by(df, "g")) == [("a", 1.0, 10)]

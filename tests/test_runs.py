@@ -91,7 +91,7 @@ def test_input_record(spark, log):
     log.append("inputs", runs.input_record(spark.range(3), "a", "train", "4", "training"))
     got = {r.run_id: r for r in runs.read_input(log.read("inputs"), asked).collect()}
     assert got["a"].version == "4" and got["a"].error is None and got["a"].source_uri == "train"
-    assert got["b"].error == runs.NO_INPUT and got["b"].source_uri == "Unknown URI"
+    assert got["b"].error == V.NO_INPUT and got["b"].source_uri == "Unknown URI"
 
 
 def test_defaults():

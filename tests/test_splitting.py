@@ -21,6 +21,12 @@ def test_exact_sizes(spark, n):
     assert got.get("train", 0) == n - math.ceil(0.2 * n)
 
 
+def test_split_of_nothing(spark):
+    assert splitting.split_exact(spark.range(0), "id").count() == 0
+    empty = spark.createDataFrame([], "id long, y string")
+    assert splitting.split_exact(empty, "id", strata=["y"]).count() == 0
+
+
 def test_recorded_sizes(spark):
     """45,211 rows split into 36,168 and 9,043."""
     assert sides(splitting.split_exact(spark.range(45211), "id")) == {"train": 36168, "test": 9043}

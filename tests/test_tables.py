@@ -49,6 +49,13 @@ def test_modes(spark, tables):
     assert tables.version("t") == "3" and tables.version("other") == "0"
 
 
+def test_overwrite_with_its_own_rows(spark, tables):
+    tables.save(spark.range(10), "t")
+    tables.save(tables.load("t").where("id > 6").selectExpr("id", "id * 2 as twice"), "t")
+    assert sorted(rows(tables.load("t"))) == [(7, 14), (8, 16), (9, 18)]
+    assert tables.history("t", 1).first().num_rows == 3
+
+
 def test_bucketed_tables_combine_without_a_shuffle(spark, tables):
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:

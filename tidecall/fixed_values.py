@@ -58,6 +58,11 @@ ABSENT_LABEL = "no"
 RISK_SCORE_DEFAULT = 0.5
 RISK_CATEGORY_DEFAULT = "MEDIUM"
 
+# Texts of an input record that is absent or incomplete.
+NO_INPUT = "No dataset inputs found."
+UNKNOWN_URI = "Unknown URI"
+UNKNOWN_NAME = "Unknown Name"
+
 # Splitting, scoring and reporting parameters.
 SEED = 42
 TEST_FRACTION = 0.2

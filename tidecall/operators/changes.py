@@ -27,10 +27,3 @@ def snapshot_diff(before: DataFrame, after: DataFrame, key: list[str]) -> DataFr
         .otherwise(F.array(image("update_preimage", "__old"), image("update_postimage", "__new")))
     )
     return changed.select(F.explode(rows).alias("c")).select("c._change_type", "c.row.*")
-
-
-def apply_upsert(current: DataFrame, incoming: DataFrame, key: list[str]) -> DataFrame:
-    """``current`` with rows of ``incoming`` replacing those of the same key."""
-    on = [F.col(f"c.{k}").eqNullSafe(F.col(f"i.{k}")) for k in key]
-    kept = current.alias("c").join(incoming.select(*key).alias("i"), on, "left_anti")
-    return kept.unionByName(incoming)

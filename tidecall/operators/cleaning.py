@@ -14,10 +14,10 @@ from tidecall.schema import numeric_columns, text_columns
 def check_contract(df: DataFrame, cols: list[str], label: str = V.LABEL_COLUMN) -> None:
     """Raise ``KeyError`` before any plan is built: the label first, then all absent columns."""
     if label not in df.columns:
-        raise KeyError(f"The column '{label}' is not present in the DataFrame.")
+        raise KeyError(f"label column {label!r} is missing")
     absent = [c for c in cols if c not in df.columns]
     if absent:
-        raise KeyError(f"The following columns are not in the DataFrame: {absent}")
+        raise KeyError(f"columns missing: {absent}")
 
 
 def coerce_numbers(df: DataFrame, cols: list[str] | None = None) -> DataFrame:

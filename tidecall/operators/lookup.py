@@ -101,7 +101,7 @@ def standard_lookups(customers: DataFrame, campaigns: DataFrame) -> list[Feature
 def combine(tables: list[DataFrame], on: str) -> DataFrame:
     """Left-join all tables to the first on one column; a repeated column keeps its first source."""
     if not tables:
-        raise ValueError("No valid source tables found")
+        raise ValueError("none of the source tables exists")
     combined = tables[0]
     for right in tables[1:]:
         fresh = [c for c in right.columns if c not in combined.columns]

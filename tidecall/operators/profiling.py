@@ -39,7 +39,7 @@ def table_shape(df: DataFrame) -> DataFrame:
     return row_count(df).withColumn("num_columns", F.lit(len(df.columns)).cast("bigint"))
 
 
-def first_rows(df: DataFrame, order: list[str], n: int) -> DataFrame:
+def first_rows(df: DataFrame, order: list[str | Column], n: int) -> DataFrame:
     """The first ``n`` rows in a total order."""
     return df.orderBy(*order).limit(n)
 

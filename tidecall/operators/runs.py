@@ -23,9 +23,6 @@ TABLES = {
     "inputs": S.RUN_INPUTS,
 }
 
-#: Default columns of an input record that was never written.
-NO_INPUT = "No dataset inputs found."
-
 
 @dataclass(frozen=True)
 class RunLog:
@@ -220,7 +217,7 @@ def read_input(inputs: DataFrame, run_ids: DataFrame) -> DataFrame:
     """Input record of each requested run, or an ``error`` text where there is none."""
     found = run_ids.join(inputs, "run_id", "left")
     filled = {
-        "source_uri": F.coalesce("source_uri", F.lit("Unknown URI")),
-        "source_name": F.coalesce("source_name", F.lit("Unknown Name")),
+        "source_uri": F.coalesce("source_uri", F.lit(V.UNKNOWN_URI)),
+        "source_name": F.coalesce("source_name", F.lit(V.UNKNOWN_NAME)),
     }
-    return found.withColumns({"error": F.when(F.col("name").isNull(), NO_INPUT)} | filled)
+    return found.withColumns({"error": F.when(F.col("name").isNull(), V.NO_INPUT)} | filled)

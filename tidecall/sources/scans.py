@@ -59,4 +59,4 @@ def first_available(readers: list[Reader]) -> DataFrame:
         except (AnalysisException, ValueError) as e:
             log.warning("source not available: %s", str(e).splitlines()[0])
             last = e
-    raise RuntimeError("No training or test data found in tables or paths.") from last
+    raise RuntimeError("none of the sources is available") from last

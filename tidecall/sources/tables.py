@@ -59,7 +59,7 @@ class TableStore:
 
     def load(self, name: str) -> DataFrame:
         if not self.exists(name):
-            raise ValueError(f"Table {self.full_name(name)} does not exist. Available tables: {self.list()}")
+            raise ValueError(f"no table {self.full_name(name)}; the schema has {self.list()}")
         return self.spark.table(self.full_name(name))
 
     def save(
@@ -83,6 +83,15 @@ class TableStore:
         self._note(name, operation, self._write(df, name, mode, partition_by, bucket_by))
 
     def _write(self, df: DataFrame, name: str, mode: str, partition_by=None, bucket_by=None) -> int:
+        """Write and return the row count. A table may be overwritten with a plan that reads it."""
+        try:
+            return self._write_once(df, name, mode, partition_by, bucket_by)
+        except AnalysisException as e:
+            if not (e.getCondition() or "").startswith("UNSUPPORTED_OVERWRITE"):
+                raise
+            return self._write_once(materialize(df, "overwrite"), name, mode, partition_by, bucket_by)
+
+    def _write_once(self, df: DataFrame, name: str, mode: str, partition_by, bucket_by) -> int:
         seen = Observation(f"save-{uuid.uuid4().hex}")
         counted = df.observe(seen, F.count(F.lit(1)).alias("rows"))
         writer = counted.write.mode(mode).format("parquet")
@@ -173,7 +182,7 @@ class TableStore:
     def history(self, name: str, limit: int = 10) -> DataFrame:
         """Load log of a table, newest first."""
         if not self.exists(name):
-            raise ValueError(f"Table {self.full_name(name)} does not exist")
+            raise ValueError(f"no table {self.full_name(name)}")
         return self._log().where(F.col("table_name") == name).orderBy(F.desc("version")).limit(limit)
 
     def version(self, name: str) -> str:
