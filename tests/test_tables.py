@@ -3,10 +3,11 @@ import logging
 import pytest
 from conftest import rows
 from pyspark.errors import AnalysisException
+from pyspark.sql import functions as F
 
 from tidecall.operators import layout, lookup
 from tidecall.schema import contact_schema
-from tidecall.session import scratch_dir, scratch_path
+from tidecall.session import scratch_dir, scratch_path, skew_splitting
 from tidecall.sources import generate, scans
 from tidecall.sources.paths import DatasetPaths
 from tidecall.sources.tables import TableStore
@@ -56,6 +57,36 @@ def test_overwrite_with_its_own_rows(spark, tables):
     assert tables.history("t", 1).first().num_rows == 3
 
 
+def test_combine_splits_hot_keys_in_the_whole_chain(spark, tables):
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "20KB",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "10KB",
+        "spark.sql.adaptive.forceOptimizeSkewedJoin": "false",
+    }
+    hot = "case when id % 3 = 0 then -1 else id end as k"
+    tables.save(spark.range(60000).repartition(8).selectExpr(hot, "id", "uuid() as text"), "base")
+    for name in ("a", "b"):
+        tables.save(spark.range(-1, 60000).selectExpr("id as k", f"id * 2 as {name}"), name)
+    for k, v in settings.items():
+        spark.conf.set(k, v)
+    try:
+        joined = lookup.combine([tables.load(n) for n in ("base", "a", "b")], "k")
+        with skew_splitting(spark):
+            result = joined.agg(F.count("a"), F.count("b"), F.max("text"))
+            got = result.collect()[0]
+        plan = result._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
+        assert (got[0], got[1]) == (60000, 60000)
+        assert plan.count("SortMergeJoin(skew=true)") == 2
+        assert spark.conf.get("spark.sql.adaptive.forceOptimizeSkewedJoin") == "false"
+    finally:
+        for k in settings:
+            spark.conf.unset(k)
+    assert tables.combine("out", ["base", "a", "b"], "k").count() == 60000
+
+
 def test_bucketed_tables_combine_without_a_shuffle(spark, tables):
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:

@@ -99,7 +99,10 @@ def standard_lookups(customers: DataFrame, campaigns: DataFrame) -> list[Feature
 
 
 def combine(tables: list[DataFrame], on: str) -> DataFrame:
-    """Left-join all tables to the first on one column; a repeated column keeps its first source."""
+    """Left-join all tables to the first on one column; a repeated column keeps its first source.
+
+    Write derived tables first: adaptive execution splits hot keys only between scans.
+    """
     if not tables:
         raise ValueError("none of the source tables exists")
     combined = tables[0]

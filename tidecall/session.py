@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -23,6 +25,22 @@ def build_session(app: str = "tidecall", master: str | None = None, **conf: str)
     return builder.getOrCreate()
 
 
+@contextmanager
+def skew_splitting(spark: SparkSession) -> Iterator[None]:
+    """Let adaptive execution split hot keys in every join of a chain on one key.
+
+    By default it leaves a join alone when splitting would make the next join
+    shuffle again, and a hot key then stays in one task all along the chain.
+    """
+    name = "spark.sql.adaptive.forceOptimizeSkewedJoin"
+    before = spark.conf.get(name)
+    spark.conf.set(name, "true")
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 def scratch_dir(spark: SparkSession) -> str:
     """The folder named by ``spark.checkpoint.dir``.
 

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from tidecall.operators import cleaning, layout, lookup
 from tidecall.schema import LOAD_LOG
-from tidecall.session import materialize
+from tidecall.session import materialize, skew_splitting
 from tidecall.sources.paths import split_copies
 
 log = logging.getLogger(__name__)
@@ -135,7 +135,11 @@ class TableStore:
     def combine(
         self, output: str, sources: list[str], join_on: str, target_column: str | None = None
     ) -> DataFrame:
-        """Left-join the tables that exist to the first of them, and save the result."""
+        """Left-join the tables that exist to the first of them, and save the result.
+
+        The sources are stored tables, so every join reads a plain scan: small
+        ones are broadcast by their known size, and hot keys are split.
+        """
         frames = []
         for name in sources:
             if self.exists(name):
@@ -145,7 +149,8 @@ class TableStore:
         combined = lookup.combine(frames, join_on)
         if target_column and target_column not in combined.columns:
             log.warning("target column %s not found in combined data", target_column)
-        self.save(combined, output)
+        with skew_splitting(self.spark):
+            self.save(combined, output)
         return self.load(output)
 
     # --- description and history -------------------------------------------------------------
