@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tidecall.llm import packing
+from tidecall.llm import packing, urls
 from tidecall.llm.common import table
 
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
@@ -17,7 +17,56 @@ def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), TOKENIZER)
 
 
+# The rules of the query and a list of domains to block where no rule fits.
+URL_RULES = [
+    ("org", "/", "allow"),
+    ("example.org", "/es/", "block"),
+    ("example.org", "/en/1", "block"),
+    ("com", "/fr/", "allow"),
+    ("com", "/de/", "block"),
+]
+BLOCKED_LABELS = ["ads-track", "adult-x", "casino-win", "cheap-pills", "free-bets", "spam-farm"]
+BLOCKED_DOMAINS = [f"{label}.example.{top}" for label in BLOCKED_LABELS for top in ("com", "net", "org")]
+
+
+def url_rules(spark: SparkSession) -> DataFrame:
+    rows = [(*rule, False) for rule in URL_RULES] + [(d, "", "block", True) for d in BLOCKED_DOMAINS]
+    return spark.createDataFrame(rows, "host string, path string, action string, listed boolean")
+
+
+def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return urls.judge_urls(table(spark, sf_dir, "pages"), url_rules(spark))
+
+
+_FITS = ", ".join(
+    f"CASE WHEN ('.' || host) LIKE '%.{h}' AND starts_with(path, '{p}') THEN '{h}{p}' END"
+    for h, p, _ in sorted(URL_RULES, key=lambda r: -len(r[0] + r[1]))
+)
+_BLOCKED = ", ".join(f"'{h}{p}'" for h, p, action in URL_RULES if action == "block")
+_LISTED = " OR ".join(f"('.' || host) LIKE '%.{d}'" for d in BLOCKED_DOMAINS)
+OP10_SQL = f"""
+WITH rests AS (
+  SELECT page_id, CASE WHEN strpos(url, '://') > 0 THEN substr(url, strpos(url, '://') + 3) ELSE '' END AS rest
+  FROM pages
+),
+parts AS (
+  SELECT page_id,
+    translate(regexp_extract(rest, '^[^/?#]*', 0), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+    regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) AS path
+  FROM rests
+),
+ruled AS (
+  SELECT *, coalesce({_FITS}) AS rule, ({_LISTED}) AS listed FROM parts
+)
+SELECT page_id, host, path, rule, listed,
+  CASE WHEN rule IN ({_BLOCKED}) THEN 'block' WHEN rule IS NOT NULL THEN 'allow'
+    WHEN listed THEN 'block' ELSE 'allow' END AS verdict
+FROM ruled
+"""
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_packing": op3_packing,
+    "op10_url_filter": op10_url_filter,
 }
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {"op10_url_filter": OP10_SQL.strip()}
