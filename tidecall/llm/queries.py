@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tidecall.llm import packing, sharding, urls
+from tidecall.llm import packing, quality, sharding, urls
 from tidecall.llm.common import table
 
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
@@ -21,6 +21,10 @@ def op4_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard_documents(table(spark, sf_dir, "documents"))
 
 
+def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.judge_quality(table(spark, sf_dir, "documents"))
+
+
 # The rules of the query and a list of domains to block where no rule fits.
 URL_RULES = [
     ("org", "/", "allow"),
@@ -72,6 +76,7 @@ FROM ruled
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_packing": op3_packing,
     "op4_sharding": op4_sharding,
+    "op5_quality": op5_quality,
     "op10_url_filter": op10_url_filter,
 }
 ORACLES: dict[str, str] = {"op10_url_filter": OP10_SQL.strip()}
