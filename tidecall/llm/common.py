@@ -46,9 +46,11 @@ def lower_ascii(text: Column) -> Column:
     return F.translate(text, string.ascii_uppercase, string.ascii_lowercase)
 
 
-def row_key(*parts: Column) -> Column:
-    """Text that is equal for equal rows only (up to MD5), nulls included."""
-    return F.md5(F.to_json(F.struct(*[p.alias(f"p{i}") for i, p in enumerate(parts)]), {"ignoreNullFields": "false"}))
+def row_key(row_id: Column, text: Column) -> Column:
+    """Text that is equal for rows with equal id and text only (up to MD5), nulls included."""
+    id_part = F.coalesce(row_id.cast("string"), F.lit("-"))
+    text_part = F.coalesce(F.md5(text.cast("binary")), F.lit("-"))
+    return F.coalesce(F.md5(F.concat_ws(" ", id_part, text_part).cast("binary")), F.lit(""))
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

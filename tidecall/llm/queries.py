@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tidecall.llm import packing, quality, sharding, urls
+from tidecall.llm import licenses, packing, quality, sharding, urls
 from tidecall.llm.common import table
 
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
@@ -25,6 +25,10 @@ def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.judge_quality(table(spark, sf_dir, "documents"))
 
 
+def op7_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan_licenses(table(spark, sf_dir, "documents"), licenses.notice_table(spark))
+
+
 # The rules of the query and a list of domains to block where no rule fits.
 URL_RULES = [
     ("org", "/", "allow"),
@@ -77,6 +81,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_packing": op3_packing,
     "op4_sharding": op4_sharding,
     "op5_quality": op5_quality,
+    "op7_license_scan": op7_license_scan,
     "op10_url_filter": op10_url_filter,
 }
 ORACLES: dict[str, str] = {"op10_url_filter": OP10_SQL.strip()}
