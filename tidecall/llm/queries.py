@@ -5,9 +5,10 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from tidecall.llm import licenses, packing, quality, sharding, urls
+from tidecall.llm import langid, licenses, packing, quality, sharding, toxicity, urls
 from tidecall.llm.common import table
 
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
@@ -29,6 +30,32 @@ def op7_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.scan_licenses(table(spark, sf_dir, "documents"), licenses.notice_table(spark))
 
 
+def fold(doc_id: Column, folds: int) -> Column:
+    """The fold of a document: checksum of its id as text, modulo the number of folds."""
+    return F.crc32(F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary")) % folds
+
+
+def toxicity_model(docs: DataFrame, labels: DataFrame) -> toxicity.Model:
+    """From the labels outside fold 1 of 3."""
+    known = labels.where(fold(F.col("doc_id"), 3) != 1).select("doc_id", "toxic")
+    return toxicity.learn(docs.select("doc_id", "text").join(known, "doc_id"))
+
+
+def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = toxicity_model(docs, table(spark, sf_dir, "labels"))
+    held_out = (fold(F.col("doc_id"), 3) == 1).alias("held_out")
+    return toxicity.score_toxicity(docs, model).select("doc_id", held_out, "score", "predicted")
+
+
+def op9_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    dictionaries = langid.learn(docs.where(fold(F.col("doc_id"), 5) != 0))
+    held_out = (fold(F.col("doc_id"), 5) == 0).alias("held_out")
+    found = langid.identify(docs, dictionaries)
+    return found.select("doc_id", held_out, "lang_pred", "score", "margin", "rejected")
+
+
 # The rules of the query and a list of domains to block where no rule fits.
 URL_RULES = [
     ("org", "/", "allow"),
@@ -82,6 +109,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_sharding": op4_sharding,
     "op5_quality": op5_quality,
     "op7_license_scan": op7_license_scan,
+    "op6_toxicity": op6_toxicity,
+    "op9_language": op9_language,
     "op10_url_filter": op10_url_filter,
 }
 ORACLES: dict[str, str] = {"op10_url_filter": OP10_SQL.strip()}
