@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidecall.llm import langid, licenses, packing, quality, sharding, toxicity, urls
+from tidecall.llm import langid, licenses, lines, packing, quality, sharding, toxicity, urls
 from tidecall.llm.common import table
 
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
@@ -48,6 +48,11 @@ def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score_toxicity(docs, model).select("doc_id", held_out, "score", "predicted")
 
 
+def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = lines.dedup_lines(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return found.select("doc_id", "n_lines", "n_removed", "text")
+
+
 def op9_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     dictionaries = langid.learn(docs.where(fold(F.col("doc_id"), 5) != 0))
@@ -110,6 +115,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_quality": op5_quality,
     "op7_license_scan": op7_license_scan,
     "op6_toxicity": op6_toxicity,
+    "op8_line_dedup": op8_line_dedup,
     "op9_language": op9_language,
     "op10_url_filter": op10_url_filter,
 }
