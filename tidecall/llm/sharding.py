@@ -20,27 +20,27 @@ def propagate(nodes: DataFrame, shards: int, rounds: int, slack: float, scratch:
     shard with most of its nodes that still has room; nodes that are in smaller company want
     to go there. A shard with room for a part of those who want in admits that part, drawn by
     hash, so that no list of candidates is ranked anywhere. Room is the even size plus
-    ``slack``, less what is there. Returns ``node, hub, shard``.
+    ``slack``, less what is there. Nodes without a hub take up room and never move, so only
+    the others take part in the rounds, which end when none wants to move.
+
+    Returns ``node, hub, shard``.
     """
     total = nodes.count()
     capacity = total / shards * (1 + slack)
-    state = scratch.write(
-        nodes.select(
-            "node", "hub", F.floor(_share(F.col("node"), F.lit(0)) * shards).cast("int").alias("shard")
-        ),
-        "start",
-    )
+    start = F.floor(_share(F.col("node"), F.lit(0)) * shards).cast("int").alias("shard")
+    placed = nodes.select("node", "hub", start)
+    single, state = placed.where("hub is null"), scratch.write(placed.where("hub is not null"), "linked")
+    fixed = scratch.write(single.groupBy("shard").agg(F.count("*").alias("n")), "fixed")
     every = nodes.sparkSession.range(shards).select(F.col("id").cast("int").alias("shard"))
     for turn in range(1, rounds + 1):
-        load = state.groupBy("shard").agg(F.count("*").alias("n"))
+        load = state.groupBy("shard").agg(F.count("*").alias("n")).unionByName(fixed)
+        load = load.groupBy("shard").agg(F.sum("n").alias("n"))
         # One row per shard, a bound that the caller sets.
         room = every.join(F.broadcast(load), "shard", "left").select(
             "shard", (F.lit(capacity) - F.coalesce("n", F.lit(0))).alias("room")
         )
         # One row per hub and shard in which it has nodes.
-        tally = scratch.write(
-            state.where("hub is not null").groupBy("hub", "shard").agg(F.count("*").alias("n")), "tally"
-        )
+        tally = scratch.write(state.groupBy("hub", "shard").agg(F.count("*").alias("n")), "tally")
         ranked = tally.join(F.broadcast(room), "shard").withColumn("draw", _share(F.col("hub"), F.col("shard")))
         goal = (
             ranked.where("room >= 1")
@@ -57,6 +57,8 @@ def propagate(nodes: DataFrame, shards: int, rounds: int, slack: float, scratch:
             .select("hub", "shard", "goal", "n"),
             "wish",
         )
+        if wish.isEmpty():
+            break
         demand = wish.groupBy(F.col("goal").alias("shard")).agg(F.sum("n").alias("wanted"))
         admitted = F.broadcast(
             demand.join(F.broadcast(room), "shard").select(
@@ -73,7 +75,7 @@ def propagate(nodes: DataFrame, shards: int, rounds: int, slack: float, scratch:
         )
         before, state = state, scratch.write(moved, f"round-{turn}")
         scratch.drop(before, tally, wish)
-    return state
+    return single.unionByName(state)
 
 
 def shard_documents(
