@@ -8,12 +8,16 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidecall.llm import langid, licenses, lines, packing, quality, sharding, toxicity, urls
+from tidecall.llm import decontaminate, langid, licenses, lines, packing, quality, sharding, toxicity, urls
 from tidecall.llm.common import table
 
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
 
 
+def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.find_leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), TOKENIZER)
 
@@ -110,6 +114,7 @@ FROM ruled
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op2_decontamination": op2_decontamination,
     "op3_packing": op3_packing,
     "op4_sharding": op4_sharding,
     "op5_quality": op5_quality,
