@@ -8,12 +8,16 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidecall.llm import decontaminate, langid, licenses, lines, packing, quality, sharding, toxicity, urls
+from tidecall.llm import decontaminate, langid, licenses, lines, ngram_join, packing, quality, sharding, toxicity, urls
 from tidecall.llm.common import table
 
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
 
 
+def op1_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.similar_documents(table(spark, sf_dir, "documents"))
+
+
 def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.find_leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
@@ -114,6 +118,7 @@ FROM ruled
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_ngram_join": op1_ngram_join,
     "op2_decontamination": op2_decontamination,
     "op3_packing": op3_packing,
     "op4_sharding": op4_sharding,
