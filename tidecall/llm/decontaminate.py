@@ -208,17 +208,55 @@ def find_leaks(
             T.StructField("similarity", T.DoubleType(), False),
         ]
     )
-    spark = docs.sparkSession
-    items = benchmark.select(benchmark[item_id].alias("id"), benchmark[item_text].alias("text")).where("text is not null")
-    blocks = max(1, math.ceil(items.count() / items_at_once))
-    numbered = items.withColumn("block", F.pmod(F.xxhash64("id", "text"), F.lit(blocks)))
     found = None
-    for b in range(blocks):
-        rows = numbered.where(F.col("block") == b).orderBy("id", "text").collect()  # about items_at_once
-        block = _index(rows, radius)
+    for block in _item_blocks(benchmark, item_id, item_text, radius, items_at_once):
         part = _scan_block(docs, id_col, text_col, block, threshold, schema)
         found = part if found is None else found.unionByName(part)
-    return found if found is not None else spark.createDataFrame([], schema)
+    return found
+
+
+def drop_leaks(
+    docs: DataFrame,
+    benchmark: DataFrame,
+    threshold: float = 0.8,
+    radius: int = 12,
+    items_at_once: int = 20_000,
+    text_col: str = "text",
+    item_id: str = "item_id",
+    item_text: str = "text",
+) -> DataFrame:
+    """The rows of ``docs``, with all their columns, in which ``find_leaks`` finds nothing."""
+    for block in _item_blocks(benchmark, item_id, item_text, radius, items_at_once):
+        docs = _clean_rows(docs, text_col, block, threshold)
+    return docs
+
+
+def _item_blocks(benchmark: DataFrame, item_id: str, item_text: str, radius: int, at_once: int) -> Iterator[Items | None]:
+    """Items in blocks of about ``at_once``, dealt by hash."""
+    items = benchmark.select(benchmark[item_id].alias("id"), benchmark[item_text].alias("text")).where("text is not null")
+    blocks = max(1, math.ceil(items.count() / at_once))
+    numbered = items.withColumn("block", F.pmod(F.xxhash64("id", "text"), F.lit(blocks)))
+    for b in range(blocks):
+        yield _index(numbered.where(F.col("block") == b).orderBy("id", "text").collect(), radius)
+
+
+def _clean_rows(docs: DataFrame, text_col: str, block: Items | None, threshold: float) -> DataFrame:
+    sent = docs.sparkSession.sparkContext.broadcast(block)
+    place = docs.columns.index(text_col)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        items, hashes = sent.value, Hashes()
+
+        def clean(text: str | None) -> bool:
+            words = words_of(text or "")
+            return not items or not scan(words, hashes.of(words), items, threshold)
+
+        for batch in batches:
+            for at in range(0, batch.num_rows, ROWS_AT_ONCE):
+                some = batch.slice(at, ROWS_AT_ONCE)
+                yield some.filter(pa.array(list(map(clean, some.column(place).to_pylist())), pa.bool_()))
+
+    return docs.mapInArrow(run, docs.schema)
 
 
 def _index(rows: list, radius: int) -> Items | None:
