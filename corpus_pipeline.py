@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidecall.llm import decontaminate, lines, ngram_join, packing, toxicity
-from tidecall.llm.common import Scratch, row_key, table
+from tidecall.llm.common import Scratch, row_key, table, unused
 from tidecall.llm.queries import TOKENIZER, toxicity_model
 
 
@@ -35,13 +35,14 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
     digest is the smaller, and one of rows that agree in id and text stays. Documents without
     words are in no group and stay.
     """
-    named = docs.withColumn("__row", F.struct("doc_id", row_key(F.col("doc_id"), F.col("text")).alias("key")))
+    row = unused(docs, "row")
+    named = docs.withColumn(row, F.struct("doc_id", row_key(F.col("doc_id"), F.col("text")).alias("key")))
     has_words = F.coalesce(F.col("text").rlike(r"[^\x20\x09-\x0D]"), F.lit(False))
     groups = ngram_join.similar_documents(
-        named.where(has_words), shingle_words=5, percent=80, id_col="__row", text_col="text"
+        named.where(has_words), shingle_words=5, percent=80, id_col=row
     )
-    firsts = groups.where("doc_id = component_id").select(F.col("doc_id").alias("__row")).distinct()
-    kept = named.where(has_words).join(firsts, "__row", "left_semi").dropDuplicates(["__row"])
+    firsts = groups.where("doc_id = component_id").select(F.col("doc_id").alias(row)).distinct()
+    kept = named.where(has_words).join(firsts, row, "left_semi").dropDuplicates([row])
     return kept.select(*docs.columns).unionByName(docs.where(~has_words))
 
 

@@ -53,5 +53,13 @@ def row_key(row_id: Column, text: Column) -> Column:
     return F.coalesce(F.md5(F.concat_ws(" ", id_part, text_part).cast("binary")), F.lit(""))
 
 
+def unused(df: DataFrame, name: str) -> str:
+    """``name``, lengthened until ``df`` has no such column."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")

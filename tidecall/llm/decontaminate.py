@@ -39,14 +39,11 @@ class Hashes(dict):
         return np.fromiter(map(self.__getitem__, words), np.uint64, len(words))
 
 
-def shingle_hashes(words: np.ndarray) -> np.ndarray:
-    """A hash per five-word shingle; a shorter text is one shingle."""
-    size = min(SHINGLE_WORDS, len(words))
-    if not size:
-        return words
-    out = np.zeros(len(words) - size + 1, np.uint64)
-    for i in range(size):
-        out = (out ^ words[i : len(words) - size + 1 + i]) * np.uint64(0x9E3779B97F4A7C15)
+def shingle_hashes(words: np.ndarray, size: int = SHINGLE_WORDS) -> np.ndarray:
+    """A hash per run of ``size`` words."""
+    out = np.full(max(0, len(words) - size + 1), size, np.uint64)
+    for i in range(size if len(out) else 0):
+        out = (out ^ words[i : len(out) + i]) * np.uint64(0x9E3779B97F4A7C15)
         out ^= out >> np.uint64(29)
     return out
 
@@ -75,8 +72,7 @@ class Items:
     radius: int
     prints: np.ndarray = field(init=False)
     sizes: np.ndarray = field(init=False)
-    shingles: np.ndarray = field(init=False)
-    shingle_sizes: dict[int, list[int]] = field(init=False)
+    shingles: dict[int, tuple[np.ndarray, dict[int, list[int]]]] = field(init=False)
     blocks: list[tuple[int, int]] = field(init=False)
     index: dict[tuple[int, int, int], list[int]] = field(init=False)
 
@@ -85,12 +81,16 @@ class Items:
         coded = [hashes.of(t) for t in self.texts]
         self.sizes = np.array([len(t) for t in self.texts])
         self.prints = np.array([fingerprints(signs(c).sum(0, keepdims=True))[0] for c in coded], np.uint64)
-        sizes: dict[int, set[int]] = {}
+        # By words in a shingle: hashes in order, and the sizes of the items that have each.
+        found: dict[int, dict[int, set[int]]] = {}
         for c in coded:
-            for h in shingle_hashes(c).tolist():
-                sizes.setdefault(h, set()).add(len(c))
-        self.shingles = np.array(sorted(sizes), np.uint64)
-        self.shingle_sizes = {h: sorted(s) for h, s in sizes.items()}
+            width = min(SHINGLE_WORDS, len(c))
+            for h in shingle_hashes(c, width).tolist():
+                found.setdefault(width, {}).setdefault(h, set()).add(len(c))
+        self.shingles = {
+            width: (np.array(sorted(of), np.uint64), {h: sorted(s) for h, s in of.items()})
+            for width, of in found.items()
+        }
         edges = [round(i * BITS / (self.radius + 1)) for i in range(self.radius + 2)]
         self.blocks = list(zip(edges, edges[1:]))
         self.index = {}
@@ -128,29 +128,20 @@ def bag(words: list[str]) -> Counter:
 
 def scan(words: list[str], coded: np.ndarray, items: Items, threshold: float) -> list[tuple]:
     """Best window ``(item, start, size, similarity)`` of each item that the text holds."""
-    if not len(coded):
-        return []
-    if len(coded) < SHINGLE_WORDS:
-        marks = np.zeros(1, np.int64) if shingle_hashes(coded)[0] in items.shingle_sizes else np.zeros(0, np.int64)
-        hashes = shingle_hashes(coded)
-    else:
-        hashes = shingle_hashes(coded)
-        at = np.minimum(np.searchsorted(items.shingles, hashes), len(items.shingles) - 1)
-        marks = np.flatnonzero(items.shingles[at] == hashes)
-    if not len(marks):
-        return []
     # Windows that hold no shingle of an item of their size are not like it at all.
     starts: dict[int, list[tuple[int, int]]] = {}
-    for p in marks.tolist():
-        for size in items.shingle_sizes[int(hashes[p])]:
-            lo, hi = max(0, p + SHINGLE_WORDS - size), min(p, len(words) - size)
-            lo = min(lo, max(0, p))
-            if lo <= hi:
-                starts.setdefault(size, []).append((lo, hi))
-    low = min(lo for spans in starts.values() for lo, _ in spans) if starts else 0
-    high = max(hi + size for size, spans in starts.items() for _, hi in spans) if starts else 0
+    for width, (known, sizes) in items.shingles.items():
+        hashes = shingle_hashes(coded, width)
+        at = np.minimum(np.searchsorted(known, hashes), len(known) - 1)
+        for p in np.flatnonzero(known[at] == hashes).tolist():
+            for size in sizes[int(hashes[p])]:
+                lo, hi = max(0, p + width - size), min(p, len(words) - size)
+                if lo <= hi:
+                    starts.setdefault(size, []).append((lo, hi))
     if not starts:
         return []
+    low = min(lo for spans in starts.values() for lo, _ in spans)
+    high = max(hi + size for size, spans in starts.items() for _, hi in spans)
     best: dict[int, tuple] = {}
     sums = np.zeros((high - low + 1, BITS), np.int32)
     np.cumsum(signs(coded[low:high]), axis=0, out=sums[1:])

@@ -7,7 +7,7 @@ import math
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidecall.llm.common import WORD_BREAK, Scratch
+from tidecall.llm.common import WORD_BREAK, Scratch, unused
 
 
 def _n_words(line: Column) -> Column:
@@ -187,21 +187,24 @@ def dedup_lines(
     spans = repeated_lines(docs, min_words, id_col, text_col, scratch)
     # Disjoint spans of one text, so no more than it has lines.
     by_row = spans.groupBy("row").agg(F.collect_list(F.struct("first", "last")).alias("spans"))
+    row, span = unused(docs, "row"), unused(docs, "spans")
     lines = F.split(docs[text_col], "\n")
-    inside = lambda i: F.exists("__spans", lambda s: (i >= s["first"]) & (i <= s["last"]))
-    left = F.filter(lines, lambda t, i: ~inside(i))
-    keep = [c for c in docs.columns if c not in ("n_lines", "n_removed")]
-    marked = docs.withColumn("__row", _row(docs, id_col, text_col)).join(
-        by_row.select(F.col("row").alias("__row"), F.col("spans").alias("__spans")), "__row", "left"
+    left = F.filter(lines, lambda t, i: ~F.exists(span, lambda s: (i >= s["first"]) & (i <= s["last"])))
+    marked = docs.withColumn(row, _row(docs, id_col, text_col)).join(
+        by_row.select(F.col("row").alias(row), F.col("spans").alias(span)), row, "left"
     )
-    new_text = F.when(F.col("__spans").isNull(), F.col(text_col)).otherwise(F.array_join(left, "\n"))
     removed = F.aggregate(
-        F.coalesce("__spans", F.array().cast("array<struct<first:int,last:int>>")),
+        F.coalesce(span, F.array().cast("array<struct<first:int,last:int>>")),
         F.lit(0).cast("bigint"),
         lambda n, s: n + s["last"] - s["first"] + 1,
     )
+    new_text = F.when(F.col(span).isNull(), F.col(text_col)).otherwise(F.array_join(left, "\n"))
     return marked.select(
-        *[new_text.alias(c) if c == text_col else F.col(f"`{c}`") for c in keep],
+        *[
+            new_text.alias(c) if c == text_col else F.col(f"`{c}`")
+            for c in docs.columns
+            if c not in ("n_lines", "n_removed")
+        ],
         F.coalesce(F.size(lines), F.lit(0)).cast("bigint").alias("n_lines"),
         removed.alias("n_removed"),
     )

@@ -26,9 +26,8 @@ import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-from tidecall.llm.common import Scratch
+from tidecall.llm.common import Scratch, row_key
 from tidecall.llm.components import connected_components
 
 BAND_RATIO = 1.25
@@ -224,17 +223,17 @@ def _sorted_pairs(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]
     return pairs[:, 0], pairs[:, 1]
 
 
-_LISTS = "kind int, bucket int, a array<bigint>, b array<bigint>, tag array<int>"
-_FOUND = "kind int, a bigint, b bigint, tag int"
-ENTRY, PAIR, LONG = 0, 1, 2
+ENTRY, PAIR, LONG, NODE = 0, 1, 2, 3
 
 
 def _longs(x: np.ndarray) -> np.ndarray:
     return x.view(np.int64) if x.dtype == np.uint64 else x.astype(np.int64)
 
 
-def _deal(kind: int, a: np.ndarray, b: np.ndarray, tag: np.ndarray, by: np.ndarray, buckets: int) -> pa.RecordBatch:
-    """Arrays by bucket, a row for each bucket that gets something."""
+def _deal(
+    kind: int, a: np.ndarray, b: np.ndarray, tag: np.ndarray, by: np.ndarray, buckets: int, rows: pa.RecordBatch
+) -> pa.RecordBatch:
+    """Arrays by bucket, a row for each bucket that gets something; ``rows`` adds ids and keys."""
     bucket = (mix(by.view(np.uint64), 4) % np.uint64(buckets)).astype(np.int32)
     order = np.argsort(bucket, kind="stable")
     used, start = np.unique(bucket[order], return_index=True)
@@ -244,16 +243,37 @@ def _deal(kind: int, a: np.ndarray, b: np.ndarray, tag: np.ndarray, by: np.ndarr
         for x, t in ((a, np.int64), (b, np.int64), (tag, np.int32))
     ]
     kinds = pa.array(np.full(len(used), kind, np.int32))
-    return pa.RecordBatch.from_arrays([kinds, pa.array(used), *lists], ["kind", "bucket", "a", "b", "tag"])
+    if rows.num_rows:
+        more = [pa.ListArray.from_arrays(offsets, c.take(pa.array(order))) for c in rows.columns]
+    else:
+        more = [pa.nulls(len(used), pa.list_(c.type)) for c in rows.columns]
+    return pa.RecordBatch.from_arrays(
+        [kinds, pa.array(used), *lists, *more], ["kind", "bucket", "a", "b", "tag", "id", "key"]
+    )
 
 
 def _candidates(docs: DataFrame, size: int, percent: int, buckets: int) -> DataFrame:
-    """Pairs to verify (kind ``PAIR``) and entries of long lists (kind ``LONG``)."""
+    """Everything that one pass over the texts tells, in one table with a ``kind``.
+
+    ``NODE``: a row of ``docs`` (``id, key``) with the digests ``a, b`` of its set and its size
+    ``tag``. ``PAIR``: sets ``a, b`` to verify. ``LONG``: entry of a long list, key ``a`` and
+    set ``b`` (sets go by their first digest).
+    """
+    id_type = docs.schema["doc_id"].dataType.simpleString()
+    lists = f"kind int, bucket int, a array<bigint>, b array<bigint>, tag array<int>, id array<{id_type}>, key array<string>"
+    found = f"kind int, a bigint, b bigint, tag int, id {id_type}, key string"
 
     def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes, seen = WordHashes(), set()
         parts: list[tuple[np.ndarray, ...]] = []
         held = 0
+        none = None
+
+        def nodes(rows: pa.RecordBatch, digests: list[tuple[int, int]], sizes: list[int]) -> pa.RecordBatch:
+            a, b = np.array(digests, np.int64).reshape(-1, 2).T
+            # Dealt by place, so that equal texts do not meet in one bucket.
+            place = np.arange(len(sizes), dtype=np.int64) * 7919 + len(seen)
+            return _deal(NODE, a, b, np.array(sizes), place, buckets, rows)
 
         def flush() -> Iterator[pa.RecordBatch]:
             keys, ids, tags = (np.concatenate(x) for x in zip(*parts))
@@ -264,23 +284,25 @@ def _candidates(docs: DataFrame, size: int, percent: int, buckets: int) -> DataF
             a, b, first = lists.star(long, percent)
             a, b = _sorted_pairs(a, b)
             if len(a):
-                yield _deal(PAIR, a, b, np.zeros(len(a)), a, buckets)
+                yield _deal(PAIR, a, b, np.zeros(len(a)), a, buckets, none)
             if long.any():
-                yield _deal(LONG, lists.keys[long], lists.ids[long], lists.tags[long], lists.ids[long], buckets)
+                yield _deal(LONG, lists.keys[long], lists.ids[long], lists.tags[long], lists.ids[long], buckets, none)
             stands = ~long
             heads = first[long[first]]
             stands[heads] = True
             lists.tags[heads] |= MORE
-            yield _deal(ENTRY, lists.keys[stands], lists.ids[stands], lists.tags[stands], lists.keys[stands], buckets)
+            yield _deal(ENTRY, lists.keys[stands], lists.ids[stands], lists.tags[stands], lists.keys[stands], buckets, none)
 
         for batch in batches:
+            none = batch.select(["doc_id", "key"]).slice(0, 0)
+            digests, sizes = [], []
             for at in range(0, batch.num_rows, ROWS_AT_ONCE):
-                for text in batch.slice(at, ROWS_AT_ONCE).column(0).to_pylist():
+                for text in batch.column("text").slice(at, ROWS_AT_ONCE).to_pylist():
                     shingles = hashed_set(words_of(text), size, hashes)
-                    if not len(shingles):
-                        continue
-                    own = _digest(shingles)[0]
-                    if own in seen:  # an equal set was dealt with in this task
+                    own = _digest(shingles) if len(shingles) else (0, 0)
+                    digests.append(own)
+                    sizes.append(len(shingles))
+                    if not len(shingles) or own in seen:  # an equal set was dealt with in this task
                         continue
                     if len(seen) > CACHE_WORDS:
                         seen.clear()
@@ -288,16 +310,20 @@ def _candidates(docs: DataFrame, size: int, percent: int, buckets: int) -> DataF
                     for plan in layouts_of(len(shingles), percent):
                         keys, flags = entries_of(shingles, plan)
                         tags = _tags(flags, plan.band, len(shingles))
-                        parts.append((_longs(keys), np.full(len(keys), own), tags))
+                        parts.append((_longs(keys), np.full(len(keys), own[0]), tags))
                         held += len(keys)
                 if held >= FLUSH_ENTRIES:
                     yield from flush()
                     parts.clear()
                     held = 0
+            if sizes:
+                yield nodes(batch.select(["doc_id", "key"]), digests, sizes)
         if parts:
             yield from flush()
 
     def gather(table: pa.Table) -> pa.Table:
+        node = table.filter(pc.equal(table.column("kind"), NODE))
+        table = table.filter(pc.not_equal(table.column("kind"), NODE))
         kind = np.repeat(
             table.column("kind").to_numpy(), pc.list_value_length(table.column("a")).to_numpy()
         )
@@ -315,16 +341,20 @@ def _candidates(docs: DataFrame, size: int, percent: int, buckets: int) -> DataF
         # Entries that already went out as parts of a long list are in the table as such.
         out = long & ((lists.tags & MORE) == 0)
         was = kind == LONG
-        return pa.table(
-            {
-                "kind": np.repeat(np.array([PAIR, LONG], np.int32), [len(pair_a), int(out.sum() + was.sum())]),
-                "a": np.concatenate([pair_a, lists.keys[out], a[was]]),
-                "b": np.concatenate([pair_b, lists.ids[out], b[was]]),
-                "tag": np.concatenate([np.zeros(len(pair_a)), lists.tags[out], tag[was]]).astype(np.int32),
-            }
-        )
-
-    return docs.select("text").mapInArrow(deal, _LISTS).groupBy("bucket").applyInArrow(gather, _FOUND)
+        kinds = np.repeat(np.array([PAIR, LONG], np.int32), [len(pair_a), int(out.sum() + was.sum())])
+        columns = [
+            pa.array(kinds),
+            pa.array(np.concatenate([pair_a, lists.keys[out], a[was]]).astype(np.int64)),
+            pa.array(np.concatenate([pair_b, lists.ids[out], b[was]]).astype(np.int64)),
+            pa.array(np.concatenate([np.zeros(len(pair_a)), lists.tags[out], tag[was]]).astype(np.int32)),
+        ]
+        values = [pc.list_flatten(node.column(c)).combine_chunks() for c in ("a", "b", "tag", "id", "key")]
+        columns += [pa.nulls(len(kinds), v.type) for v in values[3:]]
+        told = [pa.array(np.full(len(values[0]), NODE, np.int32)), *values]
+        names = ["kind", "a", "b", "tag", "id", "key"]
+        return pa.concat_tables([pa.table(columns, names), pa.table(told, names)])
+
+    return docs.select("doc_id", "key", "text").mapInArrow(deal, lists).groupBy("bucket").applyInArrow(gather, found)
 
 
 def _digest(shingles: np.ndarray) -> tuple[int, int]:
@@ -336,46 +366,19 @@ def _digest(shingles: np.ndarray) -> tuple[int, int]:
 # --- the join ----------------------------------------------------------------------------
 
 
-def _sets(docs: DataFrame, size: int, id_type: T.DataType | None) -> DataFrame:
-    """``d1, d2`` and, with an id, ``doc_id, n_shingles``; else the text, once per set and task."""
-    both = [T.StructField("d1", T.LongType(), False), T.StructField("d2", T.LongType(), False)]
-    if id_type:
-        head = [T.StructField("doc_id", id_type), T.StructField("n_shingles", T.LongType(), False)]
-        schema = T.StructType(head + both)
-    else:
-        schema = T.StructType([*both, T.StructField("text", T.StringType())])
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes, seen = WordHashes(), set()
-        for batch in batches:
-            for at in range(0, batch.num_rows, ROWS_AT_ONCE):
-                some = batch.slice(at, ROWS_AT_ONCE)
-                texts = some.column(batch.num_columns - 1).to_pylist()
-                sets = [hashed_set(words_of(t), size, hashes) for t in texts]
-                digests = [_digest(s) if len(s) else (0, 0) for s in sets]
-                d1, d2 = (pa.array([d[i] for d in digests], pa.int64()) for i in (0, 1))
-                if id_type:
-                    n = pa.array([len(s) for s in sets], pa.int64())
-                    yield pa.RecordBatch.from_arrays([some.column(0), n, d1, d2], schema.names)
-                    continue
-                fresh = [len(s) > 0 and d not in seen for s, d in zip(sets, digests)]
-                if len(seen) > CACHE_WORDS:
-                    seen.clear()
-                seen.update(digests)
-                out = pa.RecordBatch.from_arrays([d1, d2, some.column(0)], schema.names)
-                yield out.filter(pa.array(fresh, pa.bool_()))
-
-    return (docs.select("doc_id", "text") if id_type else docs.select("text")).mapInArrow(run, schema)
-
-
-def _verify(pairs: DataFrame, docs: DataFrame, size: int, percent: int, scratch: Scratch) -> DataFrame:
+def _verify(
+    pairs: DataFrame, docs: DataFrame, nodes: DataFrame, size: int, percent: int, scratch: Scratch
+) -> DataFrame:
     """The pairs of sets ``a, b`` (first digests) that reach the similarity, as whole digests.
 
     Only texts of sets in a pair are kept, one for each set.
     """
     needed = pairs.select(F.col("a").alias("d1")).unionByName(pairs.select(F.col("b").alias("d1"))).distinct()
+    chosen = nodes.join(needed, "d1", "left_semi").groupBy("d1", "d2").agg(F.min("key").alias("key"))
+    # Rows with one key agree in their text, so any of them will do.
     texts = scratch.write(
-        _sets(docs, size, None).join(needed, "d1", "left_semi").groupBy("d1", "d2").agg(F.min("text").alias("text")), "texts"
+        docs.select("key", "text").join(scratch.write(chosen, "chosen"), "key").groupBy("d1", "d2").agg(F.min("text").alias("text")),
+        "texts",
     )
     left = texts.select(F.col("d1").alias("a"), F.struct("d1", "d2").alias("left"), F.col("text").alias("left_text"))
     right = texts.select(F.col("d1").alias("b"), F.struct("d1", "d2").alias("right"), F.col("text").alias("right_text"))
@@ -472,19 +475,27 @@ def similar_documents(
     Returns ``doc_id, n_shingles, component_id`` (the smallest id of the component).
     """
     scratch = Scratch(docs.sparkSession, "ngrams")
-    own = docs.select(docs[id_col].alias("doc_id"), docs[text_col].alias("text"))
-    nodes = scratch.write(_sets(own, shingle_words, docs.schema[id_col].dataType), "nodes")
-    # A set is in one layout or two, with a list for each part and some deletions.
-    shingles = nodes.agg(F.sum("n_shingles")).first()[0] or 0
-    buckets = max(8, math.ceil(shingles * 0.4 / BUCKET_ENTRIES))
+    own = docs.select(
+        docs[id_col].alias("doc_id"), row_key(docs[id_col], docs[text_col]).alias("key"), docs[text_col].alias("text")
+    )
+    # About six bytes a word; a set is in one layout or two, with a key for a sixth of its shingles.
+    size = docs.agg(F.sum(F.octet_length(docs[text_col]))).first()[0] or 0
+    buckets = max(8, math.ceil(size / 6 * 0.4 / BUCKET_ENTRIES))
     found = scratch.write(_candidates(own, shingle_words, percent, buckets), "found")
+    nodes = found.where(F.col("kind") == NODE).select(
+        F.col("id").alias("doc_id"),
+        "key",
+        F.col("tag").cast("bigint").alias("n_shingles"),
+        F.col("a").alias("d1"),
+        F.col("b").alias("d2"),
+    )
     pairs = scratch.write(found.where(F.col("kind") == PAIR).select("a", "b").distinct(), "pairs")
-    links = scratch.write(_verify(pairs, own, shingle_words, percent, scratch), "links")
+    links = scratch.write(_verify(pairs, own, nodes, shingle_words, percent, scratch), "links")
     labels = connected_components(links, scratch)
     rest = _rest_of_long_lists(found.where(F.col("kind") == LONG), labels, percent, scratch)
     rest = scratch.write(rest.join(pairs, ["a", "b"], "left_anti"), "rest")
     if not rest.isEmpty():
-        more = scratch.write(_verify(rest, own, shingle_words, percent, scratch), "more")
+        more = scratch.write(_verify(rest, own, nodes, shingle_words, percent, scratch), "more")
         labels = connected_components(links.unionByName(more), scratch)
     node = F.struct("d1", "d2")
     classes = nodes.where("n_shingles > 0").groupBy(node.alias("node")).agg(F.min("doc_id").alias("least"))
