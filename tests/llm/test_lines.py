@@ -27,7 +27,11 @@ def brute(docs, min_words):
     gone = defaultdict(set)
     for places in runs.values():
         for d, s, e in sorted(places)[1:]:
-            gone[d].update(range(full[d][s], full[d][e] + 1))
+            gone[d].update(full[d][s : e + 1])
+    for d, at in enumerate(full):  # lines without a word go with neighbours on both sides
+        for k, later in zip(at, at[1:]):
+            if k in gone[d] and later in gone[d]:
+                gone[d].update(range(k, later))
     return {i: "\n".join(x for k, x in enumerate(lines) if k not in gone[d]) for d, (i, lines) in enumerate(split)}
 
 

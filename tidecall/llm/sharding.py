@@ -13,28 +13,24 @@ def _share(*parts: Column) -> Column:
     return F.pmod(F.xxhash64(*parts), F.lit(1 << 30)) / float(1 << 30)
 
 
-def propagate(nodes: DataFrame, shards: int, rounds: int, slack: float, scratch: Scratch) -> DataFrame:
+def propagate(nodes: DataFrame, shards: int, rounds: int, scratch: Scratch) -> DataFrame:
     """Balanced label propagation over ``nodes`` (``node, hub``; documents with one hub are linked).
 
     Every node starts in a shard drawn by its hash. In each round every hub looks for the
     shard with most of its nodes that still has room; nodes that are in smaller company want
     to go there. A shard with room for a part of those who want in admits that part, drawn by
-    hash, so that no list of candidates is ranked anywhere. Room is the even size plus
-    ``slack``, less what is there. Nodes without a hub take up room and never move, so only
-    the others take part in the rounds, which end when none wants to move.
+    hash, so that no list of candidates is ranked anywhere. Room is the even share of all
+    nodes less the linked ones that are there. The rounds end when no node wants to move. Nodes
+    without a hub are placed last, by their hash, in proportion to the room that is left.
 
     Returns ``node, hub, shard``.
     """
-    total = nodes.count()
-    capacity = total / shards * (1 + slack)
+    capacity = nodes.count() / shards
     start = F.floor(_share(F.col("node"), F.lit(0)) * shards).cast("int").alias("shard")
-    placed = nodes.select("node", "hub", start)
-    single, state = placed.where("hub is null"), scratch.write(placed.where("hub is not null"), "linked")
-    fixed = scratch.write(single.groupBy("shard").agg(F.count("*").alias("n")), "fixed")
+    state = scratch.write(nodes.where("hub is not null").select("node", "hub", start), "linked")
     every = nodes.sparkSession.range(shards).select(F.col("id").cast("int").alias("shard"))
     for turn in range(1, rounds + 1):
-        load = state.groupBy("shard").agg(F.count("*").alias("n")).unionByName(fixed)
-        load = load.groupBy("shard").agg(F.sum("n").alias("n"))
+        load = state.groupBy("shard").agg(F.count("*").alias("n"))
         # One row per shard, a bound that the caller sets.
         room = every.join(F.broadcast(load), "shard", "left").select(
             "shard", (F.lit(capacity) - F.coalesce("n", F.lit(0))).alias("room")
@@ -75,14 +71,24 @@ def propagate(nodes: DataFrame, shards: int, rounds: int, slack: float, scratch:
         )
         before, state = state, scratch.write(moved, f"round-{turn}")
         scratch.drop(before, tally, wish)
-    return single.unionByName(state)
+    return _fill(nodes.where("hub is null"), state, shards, capacity).unionByName(state)
+
+
+def _fill(single: DataFrame, state: DataFrame, shards: int, capacity: float) -> DataFrame:
+    """Nodes without links, in proportion to the room of the shards (one number each, on the driver)."""
+    load = {r["shard"]: r["n"] for r in state.groupBy("shard").agg(F.count("*").alias("n")).collect()}
+    room = [max(0.0, capacity - load.get(s, 0)) for s in range(shards)]
+    borders = [sum(room[: s + 1]) / (sum(room) or 1.0) for s in range(shards - 1)]
+    bounds = F.array(*map(F.lit, borders)) if borders else F.array().cast("array<double>")
+    shard = F.size(F.filter(bounds, lambda b: b <= F.col("draw")))
+    drawn = single.withColumn("draw", _share(F.col("node"), F.lit(0)))
+    return drawn.select("node", "hub", shard.cast("int").alias("shard"))
 
 
 def shard_documents(
     docs: DataFrame,
     shards: int = 40,
-    rounds: int = 5,
-    slack: float = 0.3,
+    rounds: int = 20,
     id_col: str = "doc_id",
     text_col: str = "text",
 ) -> DataFrame:
@@ -90,11 +96,11 @@ def shard_documents(
 
     Documents with equal texts are linked through a hub, their text's digest, so that a group
     of copies is as many links as rows. Label propagation (``propagate``) gathers groups under
-    loose quotas. Then all rows stand in one order: by label, and inside a label the groups
+    quotas. A group larger than a shard fills one after another, a round each. Then all rows stand in one order: by label, and inside a label the groups
     one after another with unlinked rows before and behind them. Position ``p`` of ``n`` goes
     to shard ``p * shards // n``: sizes are exact, a shard border moves across rows without
     links where it can, and at most ``shards - 1`` groups that would fit a shard are cut by
-    it. A group larger than a shard fills several.
+    it.
 
     Positions come from one range partitioning and the sizes of its parts. The text is read
     once, for its digest; after that a row is some ten bytes.
@@ -123,7 +129,7 @@ def shard_documents(
         ),
         "nodes",
     )
-    labels = propagate(nodes, shards, rounds, slack, scratch)
+    labels = propagate(nodes, shards, rounds, scratch)
     # Unlinked rows stand on both sides of the groups of a label.
     side = F.when(F.col("hub").isNotNull(), 1).otherwise(F.when(_share(F.col("node"), F.lit(-1)) < 0.5, 0).otherwise(2))
     ordered = labels.select("node", F.col("shard").alias("label"), side.alias("side"), F.coalesce("hub", F.lit(0)).alias("hub"))
