@@ -33,13 +33,18 @@ def test_decode_of_other_numbers_is_null(spark):
 
 @pytest.mark.parametrize(
     "text, number",
-    [("12", 12.0), (" 12 ", 12.0), ("-3.5", -3.5), ("1e3", 1000.0), ("n/a", None), ("", None), (None, None)],
+    [("12", 12.0), (" 12 ", 12.0), ("-3.5", -3.5), ("1e3", 1000.0), (".5", 0.5), ("1d", None), ("5f", None), ("0x1p3", None), ("n/a", None), ("", None), (None, None)],
 )
 def test_to_number(spark, text, number):
     df = spark.createDataFrame([(text,)], "x string")
     assert df.select(C.to_number("x")).first()[0] == number
 
 
+def test_null_numeric_label_is_zero(spark, small):
+    raw = contact_table(spark, small).limit(3).withColumn(V.LABEL_COLUMN, F.lit(None).cast("double"))
+    assert rows(cleaning.clean(raw).select(V.LABEL_COLUMN)) == [(0,)] * 3
+
+
 def test_contract_names_label_first(spark):
     empty = spark.createDataFrame([], "x int")
     with pytest.raises(KeyError, match="Target"):

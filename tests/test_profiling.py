@@ -32,9 +32,7 @@ def test_constant(sample):
     assert {r[0] for r in rows(profiling.constant_columns(sample))} == {"e", "c"}
 
 
-@pytest.mark.parametrize("limit", [0, 15], ids=["vectors", "aggregate"])
-def test_correlation_like_pandas(spark, sample, monkeypatch, limit):
-    monkeypatch.setattr(profiling, "_PAIRS_IN_ONE_AGGREGATE", limit)
+def test_correlation_like_pandas(spark, sample):
     cols = ["i", "y", "p", "c"]
     frame = sample.select(*cols).toPandas().astype(float)
     want = frame.corr().abs()
@@ -54,6 +52,16 @@ def test_correlation_leaves_out_rows_that_are_not_finite(spark, sample):
     assert got["x", "y"] == pytest.approx(1.0)
 
 
+def test_correlation_of_constants_and_copies(spark):
+    """Constants are null whatever their rounding, and nothing exceeds 1."""
+    df = spark.range(1000).selectExpr("id * 0.1d as a", "id * 0.7d as b", "0.1d as c", "1e9 + id % 2 as d", "id % 2 as e")
+    got = {(a, b): v for a, b, v in rows(profiling.correlation_pairs(df))}
+    assert got["a", "c"] is None and got["c", "d"] is None
+    assert got["d", "e"] == pytest.approx(1.0) and max(v for v in got.values() if v is not None) <= 1.0
+    few = {(a, b): v for a, b, v in rows(profiling.correlation_pairs(df, ["a", "e"]))}
+    assert few["a", "e"] == pytest.approx(got["a", "e"], rel=1e-12)
+
+
 def test_describe_like_pandas(spark):
     rng = np.random.default_rng(3)
     frame = pd.DataFrame({"a": rng.normal(size=501), "b": rng.integers(0, 5, 501).astype(float)})

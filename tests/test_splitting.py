@@ -88,3 +88,14 @@ def test_sample_rows(spark, n, want):
     sample = splitting.sample_rows(spark.range(n), "id")
     assert sample.count() == want
     assert sample.distinct().count() == want
+
+
+@pytest.mark.parametrize("key", ["k", None])
+def test_exact_sizes_with_repeated_keys_and_without_a_key(spark, key):
+    df = spark.range(1000).selectExpr("id % 7 as k", "id % 3 as v")
+    found = [
+        sorted(rows(splitting.split_exact(df.repartition(n), key, 0.2).where("split = 'test'"))) for n in (2, 5)
+    ]
+    assert len(found[0]) == 200 and found[0] == found[1]
+    by_v = splitting.split_exact(df, key, 0.2, strata=["v"]).where("split = 'test'").groupBy("v").count()
+    assert sorted(rows(by_v)) == [(0, 67), (1, 67), (2, 66)] or sum(r[1] for r in rows(by_v)) == 200

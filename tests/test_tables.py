@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from tidecall.operators import layout, lookup
 from tidecall.schema import contact_schema
 from tidecall.session import scratch_dir, scratch_path, skew_splitting
-from tidecall.sources import generate, scans
+from tidecall.sources import scans
 from tidecall.sources.paths import DatasetPaths
 from tidecall.sources.tables import TableStore
 
@@ -143,7 +143,7 @@ def test_optimize_keeps_rows_and_reduces_files(spark, tables, caplog):
     assert "absent" in caplog.text
 
 
-def test_interleaved_files_are_narrow_in_every_column(spark):
+def test_files_are_narrow_in_the_first_column(spark):
     df = spark.range(4096).selectExpr("id", "id * 1103515245 % 4096 as a", "id * 69069 % 4096 as b")
     path = scratch_path(spark, "z")
     layout.cluster(df, ["a", "b"], files=16).write.parquet(path)
@@ -162,6 +162,50 @@ def test_interleaved_files_are_narrow_in_every_column(spark):
     assert average < 2048
 
 
+def test_optimize_keeps_partitions_buckets_and_comment(spark, tables):
+    df = spark.range(200).selectExpr("id", "id % 3 as p", "id % 7 as b")
+    tables.save(df, "t", partition_by=["p"], bucket_by=(4, ["b"]))
+    spark.sql(f"COMMENT ON TABLE {tables.full_name('t')} IS 'it''s kept'")
+    tables.optimize("t", ["id"])
+    columns = {c.name: (c.isPartition, c.isBucket) for c in spark.catalog.listColumns(tables.full_name("t"))}
+    assert columns == {"id": (False, False), "p": (True, False), "b": (False, True)}
+    assert "kept" in spark.catalog.getTable(tables.full_name("t")).description
+    assert tables._buckets("t") == (4, ["b"])
+    assert tables.load("t").count() == 200 and tables.history("t", 1).first().operation == "OPTIMIZE"
+
+
+def test_a_failed_swap_gives_the_table_back(spark, tables, monkeypatch, caplog):
+    tables.save(spark.range(5), "t")
+    real = tables._rename
+    monkeypatch.setattr(tables, "_rename", lambda a, b: 1 / 0 if a == "t__new" else real(a, b))
+    with caplog.at_level(logging.ERROR):
+        tables.optimize("t")
+    assert "failed" in caplog.text and tables.list() == ["t"] and tables.load("t").count() == 5
+
+
+def test_views_are_dropped_and_not_optimized(spark, tables):
+    tables.save(spark.range(5), "t")
+    tables.clone("t", "v", shallow=True)
+    tables.optimize("v")
+    assert tables.list() == ["t", "v"]
+    tables.drop("v")
+    assert tables.list() == ["t"]
+
+
+def test_combine_leaves_out_a_source_without_the_column(spark, tables, caplog):
+    tables.save(spark.range(3).withColumnRenamed("id", "k"), "a")
+    tables.save(spark.range(3), "b")
+    with caplog.at_level(logging.WARNING):
+        assert tables.combine("c", ["a", "b", "absent"], "k").count() == 3
+    assert "left out b" in caplog.text and "left out absent" in caplog.text
+
+
+def test_text_with_a_shared_prefix_gets_different_ranges(spark):
+    df = spark.range(150).selectExpr("concat('Customer#', id) as name", "id % 5 as n")
+    files = layout.cluster(df, ["name", "n"], files=5).selectExpr("name", "spark_partition_id() as f")
+    assert files.groupBy("f").count().count() == 5
+
+
 def test_metadata(spark, tables):
     tables.save(spark.range(10).repartition(2), "t")
     row = tables.metadata("t").first()
@@ -199,15 +243,3 @@ def test_paths():
     paths = DatasetPaths("/data/v/")
     assert paths.path("raw") == "/data/v/raw"
     assert paths.path("processed", "train") == "/data/v/processed/train"
-
-
-def test_generated_rows(spark):
-    made = generate.generated_range(spark, 4000)
-    again = generate.generated_range(spark, 4000).repartition(5)
-    assert sorted(rows(made)) == sorted(rows(again))
-    got = made.selectExpr(
-        "min(age) lo", "max(age) hi", "avg(balance) m", "stddev(balance) s", "count(distinct job) jobs", "avg(Target) y",
-        "avg(duration) d",
-    ).first()
-    assert got.lo >= 18 and got.hi <= 69 and got.jobs == 4
-    assert abs(got.m - 1000) < 40 and abs(got.s - 500) < 30 and abs(got.y - 0.5) < 0.05 and abs(got.d) < 0.1

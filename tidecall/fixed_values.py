@@ -83,11 +83,5 @@ N_ESTIMATORS = 200
 MAX_DEPTH = 4
 GRID = {"learning_rate": [0.01, 0.05, 0.1], "max_depth": [3, 5, 7], "n_estimators": [50, 100]}
 
-# Category domains and ranges of generated rows.
-GENERATED_AGE = (18, 70)
-GENERATED_BALANCE = (1000.0, 500.0)
-GENERATED_LEVELS = {
-    "job": ["admin", "blue-collar", "management", "technician"],
-    "marital": ["married", "single", "divorced"],
-}
-GENERATED_OTHER_LEVELS = ["A", "B", "C"]
+# Decimal numbers as the cleaning step takes them from text.
+NUMBER_PATTERN = r"^\s*[+-]?((\d+\.?\d*|\.\d+)([eE][+-]?\d+)?|(?i:inf|infinity|nan))\s*$"

@@ -17,8 +17,11 @@ from tidecall import fixed_values as V
 
 
 def to_number(c: str | Column) -> Column:
-    """Text or number to double; anything that does not parse becomes null."""
-    return _col(c).try_cast("double")
+    """Text to double; anything but a decimal number, an infinity or NaN becomes null.
+
+    The cast alone would also take the suffixes and hexadecimal forms of Java.
+    """
+    return F.when(_col(c).rlike(V.NUMBER_PATTERN), _col(c).try_cast("double"))
 
 
 def drop_sentinel(c: str | Column, sentinel: str = V.UNKNOWN) -> Column:

@@ -9,10 +9,13 @@ from pyspark.sql import functions as F
 def snapshot_diff(before: DataFrame, after: DataFrame, key: list[str]) -> DataFrame:
     """Inserts, deletes and both images of updates, marked in ``_change_type``.
 
-    Both snapshots have the same columns and ``key`` identifies a row. One full
-    outer join; unchanged rows are dropped before anything is emitted.
+    Both snapshots have the same columns, in any order, else a ``ValueError`` names the
+    difference; ``key`` identifies a row. One full outer join; unchanged rows are dropped
+    before anything is emitted.
     """
     cols = before.columns
+    if differing := sorted(set(cols) ^ set(after.columns)):
+        raise ValueError(f"columns of one snapshot only: {', '.join(differing)}")
     old = before.select(F.struct(*key).alias("__k_old"), F.struct(*cols).alias("__old"))
     new = after.select(F.struct(*key).alias("__k_new"), F.struct(*cols).alias("__new"))
     joined = old.join(new, F.col("__k_old").eqNullSafe(F.col("__k_new")), "full_outer")

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -22,7 +22,14 @@ def check_contract(df: DataFrame, cols: list[str], label: str = V.LABEL_COLUMN)
 
 def coerce_numbers(df: DataFrame, cols: list[str] | None = None) -> DataFrame:
     """Numeric columns to double; text that is no number becomes null."""
-    return df.withColumns({c: C.to_number(c) for c in _present(df, cols or V.NUMERIC_COLUMNS)})
+    return df.withColumns({c: _number(df, c) for c in _present(df, cols or V.NUMERIC_COLUMNS)})
+
+
+def _number(df: DataFrame, c: str) -> Column:
+    """The column as double; only text has to be parsed."""
+    if isinstance(df.schema[c].dataType, T.StringType):
+        return C.to_number(c)
+    return F.col(f"`{c}`").cast("double")
 
 
 def sentinel_to_null(df: DataFrame, sentinel: str = V.UNKNOWN) -> DataFrame:
@@ -73,12 +80,21 @@ def clean(
     numeric = V.NUMERIC_COLUMNS if numeric is None else numeric
     check_contract(df, [*keep, *categorical, *numeric, label], label)
     texts = [C.fill(C.drop_sentinel(F.col(f"`{c}`").cast("string")), V.MISSING).alias(c) for c in categorical]
-    numbers = [C.fill(C.nan_to_null(C.to_number(c)), 0.0).alias(c) for c in numeric]
+    numbers = [_filled_number(df, c).alias(c) for c in numeric]
     is_text = isinstance(df.schema[label].dataType, T.StringType)
-    target = C.encode_label(label) if is_text else F.col(f"`{label}`").cast("int")
+    target = C.encode_label(label) if is_text else C.fill(F.col(f"`{label}`").cast("int"), 0)
     return df.select(*keep, *texts, *numbers, target.alias(label))
 
 
+def _filled_number(df: DataFrame, c: str) -> Column:
+    """The column as double without null and NaN; what cannot occur in its type is not asked for."""
+    field = df.schema[c]
+    number = _number(df, c)
+    if isinstance(field.dataType, (T.StringType, T.FloatType, T.DoubleType)):
+        return C.fill(C.nan_to_null(number), 0.0)
+    return C.fill(number, 0.0) if field.nullable else number
+
+
 def split_columns(
     df: DataFrame,
     numeric: list[str] | None = None,

@@ -2,64 +2,17 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
-
-from tidecall.functions.ordered import add_buckets, quantile_cuts
-
-#: Bits of rank per column in the interleaved key.
-RANK_BITS = 8
 
 
 def cluster(df: DataFrame, cols: list[str], files: int | None = None) -> DataFrame:
-    """Rows placed so that a file covers a narrow range of every clustering column.
+    """Rows placed so that a file covers a narrow range of the clustering columns, in their order.
 
-    One column is range-partitioned as it is. Several columns are first reduced
-    to equal-sized ranks whose bits are interleaved, so no column dominates.
+    The ranges are cut on whole values of the columns, whatever their type.
     """
     if not cols:
         return df.repartition(files) if files else df.hint("rebalance")
-    if len(cols) == 1:
-        return _range(df, files, [F.col(f"`{cols[0]}`")])
-    keyed = with_interleaved_rank(df, cols, "__z")
-    return _range(keyed, files, [F.col("__z")]).drop("__z")
-
-
-def _range(df: DataFrame, files: int | None, by: list[Column]) -> DataFrame:
+    by = [F.col(f"`{c}`") for c in cols]
     placed = df.repartitionByRange(files, *by) if files else df.repartitionByRange(*by)
     return placed.sortWithinPartitions(*by)
-
-
-def with_interleaved_rank(df: DataFrame, cols: list[str], name: str) -> DataFrame:
-    """Add a number whose bits alternate between the quantile ranks of the columns."""
-    helpers = [f"__o{i}" for i in range(len(cols))]
-    numbers = df.withColumns({h: _orderable(df, c) for h, c in zip(helpers, cols)})
-    cuts = quantile_cuts(numbers, helpers, 2**RANK_BITS)
-    ranked = add_buckets(numbers, cuts)
-    bits = []
-    for position in range(RANK_BITS):
-        for i, h in enumerate(helpers):
-            rank = F.least(F.coalesce(F.col(f"{h}__bucket"), F.lit(0.0)).cast("bigint"), F.lit(2**RANK_BITS - 1))
-            bit = F.shiftright(rank, position).bitwiseAND(F.lit(1))
-            bits.append(F.shiftleft(bit, position * len(cols) + i))
-    interleaved = reduce(lambda a, b: a.bitwiseOR(b), bits)
-    return ranked.withColumn(name, interleaved).drop(*helpers, *[f"{h}__bucket" for h in helpers])
-
-
-def _orderable(df: DataFrame, c: str) -> Column:
-    """The column as a double in the same order; text counts by its first six bytes."""
-    kind = df.schema[c].dataType
-    col = F.col(f"`{c}`")
-    if isinstance(kind, T.StringType):
-        head = F.rpad(F.hex(F.substring(F.encode(col, "UTF-8"), 1, 6)), 12, "0")
-        return F.conv(head, 16, 10).cast("double")
-    if isinstance(kind, T.TimestampNTZType):
-        col = col.cast("timestamp")
-    if isinstance(kind, (T.TimestampType, T.TimestampNTZType)):
-        return F.unix_micros(col).cast("double")
-    if isinstance(kind, T.DateType):
-        return F.unix_date(col).cast("double")
-    return col.cast("double")

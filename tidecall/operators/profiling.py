@@ -213,50 +213,34 @@ def top_correlations(
     return label_correlations(df, cols, label).orderBy(F.desc_nulls_last("abs_corr"), "column").limit(n)
 
 
-#: Up to this many pairs, one generated aggregate is faster than cross products of vectors.
-_PAIRS_IN_ONE_AGGREGATE = 15
-
-
 def correlation_pairs(df: DataFrame, cols: list[str] | None = None, above: float | None = None) -> DataFrame:
-    """Absolute correlation of each pair of numeric columns, each pair once.
+    """Absolute correlation of each pair of numeric columns, each pair once, at most 1.
 
-    A pair counts the rows where both values are finite; it is null where either
-    is constant. ``above`` keeps only stronger pairs. A few columns take one
-    aggregate; code for very many aggregates would not compile well, so wider
-    tables go through :func:`_pairs_by_cross_products`.
+    A pair counts the rows where both values are finite; it is null where either is constant
+    there. ``above`` keeps only stronger pairs. The sums are computed when this is called, in
+    two passes over ``df``, whatever the number of columns.
     """
     cols = cols or numeric_columns(df)
-    pairs = list(combinations(cols, 2))
-    if not pairs:
+    if len(cols) < 2:
         report = df.sparkSession.createDataFrame([], "column_a string, column_b string, abs_corr double")
-    elif len(pairs) <= _PAIRS_IN_ONE_AGGREGATE:
-        report = _pairs_by_aggregate(df, cols, pairs)
     else:
         report = _pairs_by_cross_products(df, cols)
     return report if above is None else report.where(F.col("abs_corr") > F.lit(float(above)))
 
 
-def _pairs_by_aggregate(df: DataFrame, cols: list[str], pairs: list[tuple[str, str]]) -> DataFrame:
-    numbers = df.select(*[C.finite(c).alias(c) for c in cols])
-    strength = [correlation(F.col(f"`{a}`"), F.col(f"`{b}`")) for a, b in pairs]
-    wide = numbers.agg(*[F.abs(s).alias(f"r{i}") for i, s in enumerate(strength)])
-    rows = [
-        F.struct(F.lit(a).alias("column_a"), F.lit(b).alias("column_b"), F.col(f"r{i}").alias("abs_corr"))
-        for i, (a, b) in enumerate(pairs)
-    ]
-    return wide.select(F.explode(F.array(*rows)).alias("r")).select("r.*")
-
-
 def _pairs_by_cross_products(df: DataFrame, cols: list[str]) -> DataFrame:
     """Centred values, their squares and their presence form one vector per row.
 
     The cross products of that vector hold every sum that any pair needs: a
     matrix of three times the number of columns, whatever the number of rows.
     """
-    means = df.agg(*[F.avg(C.finite(c)).alias(f"m{i}") for i, c in enumerate(cols)]).first()
+    measures = (F.avg, F.min, F.max)
+    found = df.agg(*[f(C.finite(c)).alias(f"m{i}_{k}") for i, c in enumerate(cols) for k, f in enumerate(measures)]).first()
     values, present, squares = [], [], []
-    for c, mean in zip(cols, means):
-        x = C.finite(c) - F.lit(float(mean or 0.0))
+    for i, c in enumerate(cols):
+        mean, low, high = found[3 * i : 3 * i + 3]
+        # A constant column is exactly zero once centred, whatever the rounding of its mean.
+        x = C.finite(c) - F.lit(float((low if low == high else mean) or 0.0))
         values.append(F.coalesce(x, F.lit(0.0)))
         present.append(x.isNotNull().cast("double"))
         squares.append(F.coalesce(x * x, F.lit(0.0)))
@@ -273,7 +257,7 @@ def _pairs_by_cross_products(df: DataFrame, cols: list[str]) -> DataFrame:
         power = square_sums / counts
         variance = power - mean**2
         variance[variance <= 1e-12 * power] = np.nan  # constant among the shared rows
-        strength = np.abs(products / counts - mean * mean.T) / np.sqrt(variance * variance.T)
+        strength = np.minimum(1.0, np.abs(products / counts - mean * mean.T) / np.sqrt(variance * variance.T))
     found = [
         (cols[i], cols[j], None if np.isnan(strength[i, j]) else float(strength[i, j]))
         for i, j in combinations(range(k), 2)

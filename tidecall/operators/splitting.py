@@ -1,7 +1,8 @@
 """Reproducible splits and samples, ordered by a hash of the row key.
 
-The key must identify a row. The same key always falls on the same side,
-whatever the partitioning, so a split survives retries and reruns.
+The same key falls on the same side whatever the partitioning, so a split survives retries
+and reruns. Where a key repeats at the border of an exact split, the values of the whole row
+decide; rows that agree in all of them are interchangeable.
 """
 
 from __future__ import annotations
@@ -27,13 +28,16 @@ def split_threshold(
 
 def split_exact(
     df: DataFrame,
-    key: str | list[str],
+    key: str | list[str] | None = None,
     fraction: float = V.TEST_FRACTION,
     seed: int = V.SEED,
     strata: list[str] | None = None,
 ) -> DataFrame:
     """Add ``split`` with exactly ``ceil(fraction * n)`` test rows, the lowest in hash order.
 
+    Without a key the order is drawn from all columns of a row. Only the rows that share the
+    hash at the border are ranked once more, by all their values.
+
     With ``strata`` the test rows are shared out in proportion to the size of
     each stratum, leftovers going to the largest remainders. Nothing is sorted
     as a whole: counts per hash prefix show which prefix holds the last test
@@ -42,6 +46,7 @@ def split_exact(
     then knows their size, and broadcasts them only if they are small.
     """
     strata = strata or []
+    key = key or df.columns
     hashed = df.withColumn("__h", C.hash_order(key, seed))
     slim = hashed.select(*strata, "__h", F.substring("__h", 1, _BUCKET_DIGITS).alias("__b"))
 
@@ -63,15 +68,30 @@ def split_exact(
     cut = (
         _join(slim, edge, [*strata, "__b"])
         .withColumn("__rank", F.row_number().over(inside))
+        .withColumn("__tie", F.row_number().over(Window.partitionBy(*strata, "__b", "__h").orderBy("__rank")))
         .where(F.col("__rank") == F.col("__need"))
-        .select(*strata, F.col("__h").alias("__cut"))
+        .select(*strata, F.col("__h").alias("__cut"), F.col("__tie").alias("__of_cut"))
     )
     # A stratum without test rows has no cut.
     if strata:
         cut = materialize(cut, "cut")
     marked = _join(hashed, cut, strata, "left")
-    is_test = F.coalesce(F.col("__h") <= F.col("__cut"), F.lit(False))
-    return marked.withColumn("split", F.when(is_test, "test").otherwise("train")).drop("__h", "__cut")
+    at_cut = F.coalesce(F.col("__h") == F.col("__cut"), F.lit(False))
+    # One row, or as many as share the key at the border.
+    values = F.to_json(F.struct(*df.columns), {"ignoreNullFields": "false"})
+    place = F.row_number().over(Window.partitionBy(*strata, "__b", "__h").orderBy(values))
+    tied = (
+        marked.where(at_cut)
+        .withColumn("__b", F.substring("__h", 1, _BUCKET_DIGITS))
+        .withColumn("__test", place <= F.col("__of_cut"))
+        .drop("__b")
+    )
+    clear = marked.where(~at_cut).withColumn("__test", F.coalesce(F.col("__h") < F.col("__cut"), F.lit(False)))
+    return (
+        clear.unionByName(tied)
+        .withColumn("split", F.when(F.col("__test"), "test").otherwise("train"))
+        .drop("__h", "__cut", "__of_cut", "__test")
+    )
 
 
 def _quotas(sizes: DataFrame, strata: list[str], fraction: float) -> DataFrame:

@@ -25,7 +25,7 @@ log = logging.getLogger(__name__)
 
 def prepare(
     raw: DataFrame,
-    key: list[str],
+    key: list[str] | None = None,
     fraction: float = V.TEST_FRACTION,
     exact: bool = True,
 ) -> DataFrame:
@@ -36,7 +36,7 @@ def prepare(
     later read files instead of repeating the upstream plan.
     """
     spark = raw.sparkSession
-    cleaned = cleaning.clean(raw, keep=tuple(key))
+    cleaned = cleaning.clean(raw, keep=tuple(key or ()))
     if exact:
         labelled = splitting.split_exact(materialize(cleaned, "clean"), key, fraction)
     else:
@@ -78,18 +78,18 @@ def prepare_and_save(
 def load_split(
     spark: SparkSession, tables: TableStore | None, paths: DatasetPaths | None
 ) -> tuple[DataFrame, DataFrame, str]:
-    """Training and test rows and the data version: from tables, else from paths."""
-
-    def side(subset: str) -> DataFrame:
-        readers = []
-        if tables:
-            readers.append(lambda: tables.load(f"{subset}_processed"))
-        if paths:
-            readers.append(lambda: scans.read_path(spark, paths.path("processed", subset)))
-        return cleaning.encode_label(scans.first_available(readers))
-
-    from_tables = tables is not None and tables.exists("train_processed")
-    return side("train"), side("test"), tables.version("train_processed") if from_tables else "0"
+    """Training and test rows and the data version: both from tables, else both from paths.
+
+    The two sides are one reader, so they never come from different splits.
+    """
+    readers = []
+    if tables:
+        readers.append(tables.load_pair)
+    if paths:
+        sides = [paths.path("processed", subset) for subset in ("train", "test")]
+        readers.append(lambda: (*[scans.read_path(spark, p) for p in sides], "0"))
+    train, test, version = scans.first_available(readers)
+    return cleaning.encode_label(train), cleaning.encode_label(test), version
 
 
 # --- features --------------------------------------------------------------------------

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from itertools import combinations
+
 from pyspark.sql import functions as F
 
 from tidecall import fixed_values as V
@@ -270,6 +272,31 @@ def correlation_pairs(spark, sf):
     return pairs.withColumn("abs_corr", F.round("abs_corr", 9))
 
 
+WIDE = ["l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_extendedprice", "l_discount", "l_tax"]
+
+
+@query(
+    "correlation_wide",
+    "WITH wide AS (SELECT *, nullif(l_linenumber, 3) AS gaps, 0.1 AS same, 1000000 + l_linenumber % 2 AS nearly "
+    "FROM lineitem)\n"
+    + "\nUNION ALL ".join(
+        f"SELECT '{a}' AS column_a, '{b}' AS column_b, "
+        + ("CAST(NULL AS DOUBLE)" if "same" in (a, b) else _safe_corr(a, b))
+        + " AS abs_corr FROM (SELECT * FROM wide)"
+        for a, b in combinations([*WIDE, "gaps", "same", "nearly"], 2)
+    ),
+)
+def correlation_wide(spark, sf):
+    """All pairs of all numeric columns, with nulls, a constant and a nearly constant column."""
+    wide = table(spark, sf, "lineitem").select(
+        *WIDE,
+        F.nullif("l_linenumber", F.lit(3)).alias("gaps"),
+        F.lit(0.1).alias("same"),
+        (F.col("l_linenumber") % 2 + 1_000_000).alias("nearly"),
+    )
+    return profiling.correlation_pairs(wide).withColumn("abs_corr", F.round("abs_corr", 9))
+
+
 @query(
     "high_correlation_pairs",
     on_contacts(

@@ -1,4 +1,4 @@
-"""File and table round trips, histories, clones, layout, generated rows."""
+"""File and table round trips, histories, clones, layout."""
 
 from __future__ import annotations
 
@@ -7,12 +7,12 @@ import uuid
 from pyspark.sql import functions as F
 
 from tidecall import fixed_values as V
-from tidecall.operators import cleaning, layout, splitting
+from tidecall.operators import cleaning, splitting
 from tidecall.plans.contacts import contact_table, table
 from tidecall.plans.registry import on_clean, on_contacts, query
 from tidecall.schema import CONTACT_KEY, contact_schema
 from tidecall.session import materialize, scratch_path
-from tidecall.sources import generate, scans
+from tidecall.sources import scans
 from tidecall.sources.paths import DatasetPaths, save_split_paths
 from tidecall.sources.tables import TableStore
 
@@ -223,18 +223,15 @@ def clone(spark, sf):
     return tables.load("supplier_copy").join(view, "s_suppkey", "left")
 
 
-@query("cluster_layout", "SELECT l_orderkey, l_partkey, l_shipdate, l_quantity FROM lineitem")
+@query("cluster_layout", "SELECT *, 'l_returnflag' AS partitioned_by FROM lineitem")
 def cluster_layout(spark, sf):
+    """A partitioned table with all its columns, clustered, and the partitioning it has then."""
     tables = store(spark)
-    tables.save(table(spark, sf, "lineitem").select("l_orderkey", "l_partkey", "l_shipdate", "l_quantity"), "lineitem")
+    tables.save(table(spark, sf, "lineitem"), "lineitem", partition_by=["l_returnflag"])
     tables.optimize("lineitem", ["l_partkey", "l_shipdate", "no_such_column"])
-    return tables.load("lineitem")
-
-
-@query("interleaved_rank")
-def interleaved_rank(spark, sf):
-    lines = table(spark, sf, "lineitem").select("l_partkey", "l_shipdate", "l_returnflag")
-    return layout.with_interleaved_rank(lines, ["l_partkey", "l_shipdate", "l_returnflag"], "rank")
+    columns = spark.catalog.listColumns(tables.full_name("lineitem"))
+    kept = ",".join(c.name for c in columns if c.isPartition)
+    return tables.load("lineitem").withColumn("partitioned_by", F.lit(kept))
 
 
 @query(
@@ -256,42 +253,3 @@ def table_metadata(spark, sf):
         "format",
         "schema",
     )
-
-
-# --- generated rows -----------------------------------------------------------------------
-
-
-def _u(name: str, part: int = 0) -> str:
-    return (
-        f"(CAST(CAST('0x' || substr(md5(concat('42:{name}:', o_orderkey)), {1 + 8 * part}, 8) AS BIGINT) AS DOUBLE)"
-        " / 4294967296)"
-    )
-
-
-def _n(name: str) -> str:
-    return f"sqrt(-2 * ln(1 - {_u(name)})) * cos(2 * pi() * {_u(name, 1)})"
-
-
-@query(
-    "synthetic_rows",
-    f"""
-SELECT o_orderkey, CAST(floor({_u("age")} * 52) + 18 AS BIGINT) AS age,
-  round({_n("balance")} * 500 + 1000, 6) AS balance, round({_n("duration")}, 6) + 0.0 AS duration,
-  (['admin', 'blue-collar', 'management', 'technician'])[CAST(floor({_u("job")} * 4) AS INTEGER) + 1] AS job,
-  (['married', 'single', 'divorced'])[CAST(floor({_u("marital")} * 3) AS INTEGER) + 1] AS marital,
-  (['A', 'B', 'C'])[CAST(floor({_u("housing")} * 3) AS INTEGER) + 1] AS housing,
-  CAST(floor({_u("Target")} * 2) AS INTEGER) AS "Target"
-FROM orders""",
-)
-def synthetic_rows(spark, sf):
-    made = generate.generate_contacts(table(spark, sf, "orders"), "o_orderkey")
-    return made.select(
-        "o_orderkey",
-        "age",
-        F.round("balance", 6).alias("balance"),
-        (F.round("duration", 6) + F.lit(0.0)).alias("duration"),
-        "job",
-        "marital",
-        "housing",
-        "Target",
-    )

@@ -54,11 +54,6 @@ def new_columns(before, after) -> list[str]:
     return sorted(set(after.columns) - set(before.columns))
 
 
-def configured_columns() -> list[str]:
-    """Categorical, numeric, then the label: the order of a cleaned table."""
-    return CATEGORICAL_COLUMNS + NUMERIC_COLUMNS + [LABEL_COLUMN]
-
-
 # Run-log tables.
 _RUN_TEXT = [
     T.StructField("run_id", T.StringType(), False),

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import logging
 import uuid
+from urllib.parse import unquote
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation, SparkSession
@@ -53,7 +54,11 @@ class TableStore:
     def drop(self, name: str, if_exists: bool = True) -> None:
         """Drop a table; only a strict drop of an absent table raises."""
         guard = "IF EXISTS " if if_exists else ""
-        self.spark.sql(f"DROP TABLE {guard}{self.full_name(name)}")
+        kind = "VIEW" if self.exists(name) and self._is_view(name) else "TABLE"
+        self.spark.sql(f"DROP {kind} {guard}{self.full_name(name)}")
+
+    def _is_view(self, name: str) -> bool:
+        return self.spark.catalog.getTable(self.full_name(name)).tableType == "VIEW"
 
     # --- load and save -----------------------------------------------------------------
 
@@ -117,38 +122,41 @@ class TableStore:
     def publish_features(self, df: DataFrame, name: str, key: list[str], description: str = "") -> None:
         """Save a feature table after checking its key; replaces an older one.
 
-        The table is written before the check and read back for it, so the rows
-        that were checked are the rows that are published.
+        The table is written once, under another name. It takes its own name when the
+        check has passed, so the rows that were checked are the rows that are published.
         """
-        staged = materialize(df, "features")
-        lookup.assert_key(staged, key)
-        self.save(staged, name, operation="PUBLISH")
+        fresh = f"{name}__new"
+        rows = self._write(df, fresh, "overwrite")
+        try:
+            lookup.assert_key(self.load(fresh), key)
+        except Exception:
+            self.drop(fresh)
+            raise
+        self._replace(name, fresh)
+        self._note(name, "PUBLISH", rows)
         if description:
-            text = description.replace("'", "\\'")
-            self.spark.sql(f"COMMENT ON TABLE {self.full_name(name)} IS '{text}'")
+            self._comment(name, description)
 
     def ml_ready(self, base: str, suffix: str = "_processed") -> DataFrame:
         """Copy with numeric label and double-typed numbers, saved as ``base + suffix``."""
         self.save(cleaning.ml_ready(self.load(base)), f"{base}{suffix}")
         return self.load(f"{base}{suffix}")
 
-    def combine(
-        self, output: str, sources: list[str], join_on: str, target_column: str | None = None
-    ) -> DataFrame:
-        """Left-join the tables that exist to the first of them, and save the result.
+    def combine(self, output: str, sources: list[str], join_on: str) -> DataFrame:
+        """Left-join the tables that exist and have the column to the first of them; save the result.
 
         The sources are stored tables, so every join reads a plain scan: small
         ones are broadcast by their known size, and hot keys are split.
         """
         frames = []
         for name in sources:
-            if self.exists(name):
-                frames.append(self.load(name))
+            if not self.exists(name):
+                log.warning("left out %s: no such table", name)
+            elif join_on not in (source := self.load(name)).columns:
+                log.warning("left out %s: it has no column %s", name, join_on)
             else:
-                log.warning("table %s does not exist, skipped", name)
+                frames.append(source)
         combined = lookup.combine(frames, join_on)
-        if target_column and target_column not in combined.columns:
-            log.warning("target column %s not found in combined data", target_column)
         with skew_splitting(self.spark):
             self.save(combined, output)
         return self.load(output)
@@ -192,7 +200,7 @@ class TableStore:
 
     def version(self, name: str) -> str:
         """Newest version of a table as text, ``"0"`` if none was noted."""
-        newest = self._log().where(F.col("table_name") == name).agg(F.max_by("version", "timestamp")).first()[0]
+        newest = self._log().where(F.col("table_name") == name).agg(F.max("version")).first()[0]
         return str(newest or 0)
 
     def _log(self) -> DataFrame:
@@ -227,25 +235,79 @@ class TableStore:
     def optimize(self, name: str, cluster_by: list[str] | None = None, files: int | None = None) -> None:
         """Rewrite a table into fewer, clustered files. Failures are logged, never raised.
 
-        The new copy is complete before it takes the old name, so readers never
-        see a half-written table.
+        Partitions, buckets and comment stay as they are; inside a partition the rows are
+        clustered. The new copy is complete before it takes the old name, and the old table
+        gets its name back if that fails. A view has no files and is left alone.
         """
         if not self.exists(name):
-            log.warning("table %s does not exist, optimize skipped", name)
+            log.warning("nothing to optimize: no table %s", name)
             return
-        fresh, old = f"{name}__new", f"{name}__old"
+        if self._is_view(name):
+            log.warning("nothing to optimize: %s is a view", name)
+            return
+        fresh = f"{name}__new"
         try:
             df = self.load(name)
             known = [c for c in cluster_by or [] if c in df.columns]
             if cluster_by and not known:
-                log.warning("none of %s is a column of %s", cluster_by, name)
-            rows = self._write(layout.cluster(df, known, files), fresh, "overwrite")
-            self._rename(name, old)
-            self._rename(fresh, name)
-            self.drop(old)
+                log.warning("%s has none of the columns %s", name, cluster_by)
+            columns = self.spark.catalog.listColumns(self.full_name(name))
+            parts = [c.name for c in columns if c.isPartition]
+            order = parts + [c for c in known if c not in parts] if known else []
+            rows = self._write(layout.cluster(df, order, files), fresh, "overwrite", parts, self._buckets(name))
+            if comment := self.spark.catalog.getTable(self.full_name(name)).description:
+                self._comment(fresh, comment)
+            self._replace(name, fresh)
             self._note(name, "OPTIMIZE", rows)
         except Exception as e:  # maintenance must not break a job that only reads the table
             log.error("optimize of %s failed: %s", name, e)
+            self.drop(fresh)
+
+    def _buckets(self, name: str) -> tuple[int, list[str]] | None:
+        found = {
+            r.col_name: r.data_type
+            for r in self.spark.sql(f"DESCRIBE TABLE EXTENDED {self.full_name(name)}").collect()
+        }
+        columns = [c.name for c in self.spark.catalog.listColumns(self.full_name(name)) if c.isBucket]
+        return (int(found["Num Buckets"]), columns) if columns else None
+
+    def _comment(self, name: str, text: str) -> None:
+        quoted = text.replace("\\", "\\\\").replace("'", "\\'")
+        self.spark.sql(f"COMMENT ON TABLE {self.full_name(name)} IS '{quoted}'")
+
+    def _replace(self, name: str, fresh: str) -> None:
+        """Give ``fresh`` the name of an older table, which keeps it if that fails."""
+        old = f"{name}__old"
+        self.drop(old)
+        had = self.exists(name)
+        if had:
+            self._rename(name, old)
+        try:
+            self._rename(fresh, name)
+        except Exception:
+            if had:
+                self._rename(old, name)
+            raise
+        self.drop(old)
 
     def _rename(self, name: str, to: str) -> None:
+        """Rename a table; its partitions follow the folder, which the catalog leaves to the caller."""
         self.spark.sql(f"ALTER TABLE {self.full_name(name)} RENAME TO {self.full_name(to)}")
+        columns = self.spark.catalog.listColumns(self.full_name(to))
+        if not any(c.isPartition for c in columns):
+            return
+        described = self.spark.sql(f"DESCRIBE TABLE EXTENDED {self.full_name(to)}").collect()
+        folder = next(r.data_type for r in described if r.col_name == "Location").rstrip("/")
+        for row in self.spark.sql(f"SHOW PARTITIONS {self.full_name(to)}").collect():
+            parts = [p.split("=", 1) for p in row.partition.split("/")]
+            spec = ", ".join(f"`{k}` = {_partition_value(v)}" for k, v in parts)
+            path = f"{folder}/{row.partition}".replace("'", "\\'")
+            self.spark.sql(f"ALTER TABLE {self.full_name(to)} PARTITION ({spec}) SET LOCATION '{path}'")
+        self.spark.catalog.refreshTable(self.full_name(to))
+
+
+def _partition_value(shown: str) -> str:
+    """A value as SHOW PARTITIONS writes it, as a SQL literal."""
+    if shown in ("__HIVE_DEFAULT_PARTITION__", "null"):
+        return "null"
+    return "'" + unquote(shown).replace("\\", "\\\\").replace("'", "\\'") + "'"
