@@ -69,35 +69,72 @@ def _sides(labelled):
     return [labelled.where(F.col("split") == s).drop("split") for s in ("train", "test")]
 
 
-def _boosted(train):
-    return modeling.train(modeling.classifier_pipeline(modeling.boosted_trees(n_estimators=5)), train)
+#: Saved models and the contacts they were trained on, by session and folder: four queries share one fit.
+_FITTED: dict[tuple[str, str], tuple] = {}
+
+
+def _boosted(spark, sf):
+    """Boosted trees with their default parameters, saved and loaded again, and both sides."""
+    key = (spark.sparkContext.applicationId, sf)
+    if key not in _FITTED:
+        train, test = _sides(labelled_contacts(spark, sf))
+        model = modeling.train(modeling.classifier_pipeline(modeling.boosted_trees()), train)
+        path = scratch_path(spark, "model")
+        modeling.save_model(model, path)
+        _FITTED[key] = (path, train, test)
+    path, train, test = _FITTED[key]
+    return modeling.load_model(path), train, test
 
 
 @query("gbt_score")
 def gbt_score(spark, sf):
     """Trained, saved, loaded again and applied to the held-out contacts."""
-    train, test = _sides(labelled_contacts(spark, sf))
-    path = scratch_path(spark, "model")
-    modeling.save_model(_boosted(train), path)
-    scored = modeling.score(modeling.load_model(path), test)
+    model, _, test = _boosted(spark, sf)
+    scored = modeling.score(model, test)
     return scored.select(CONTACT_KEY, F.col(V.LABEL_COLUMN).alias("label"), "probability", "prediction")
 
 
 @query("gbt_metrics")
 def gbt_metrics(spark, sf):
-    train, test = _sides(labelled_contacts(spark, sf))
-    scored = modeling.score(_boosted(train), test).select(
+    model, _, test = _boosted(spark, sf)
+    scored = modeling.score(model, test).select(
         F.col(V.LABEL_COLUMN).alias("label"), F.col("probability").alias("score"), "prediction"
     )
     return evaluation.metric_bundle(materialize(scored, "scores"))
 
 
+@query(
+    "gbt_checks",
+    on_clean(
+        """
+SELECT contact_id, "Target" AS label, true AS in_range, true AS by_threshold, true AS flips_upwards, true AS auc_above
+FROM clean WHERE substr(md5(concat('42:', contact_id)), 1, 8) < '33333333'"""
+    ),
+)
+def gbt_checks(spark, sf):
+    """Every held-out contact once, with what must hold for its score whatever the trees are."""
+    model, _, test = _boosted(spark, sf)
+    scored = materialize(modeling.score(model, test), "scored")
+    wrapped, _ = modeling.wrapped_predict(model, test, CONTACT_KEY)
+    flipped = wrapped.select(CONTACT_KEY, F.col("prediction").alias("adjusted"))
+    scores = scored.select(F.col(V.LABEL_COLUMN).alias("label"), F.col("probability").alias("score"), "prediction")
+    auc = evaluation.metric_bundle(scores).first()["roc_auc"]
+    return scored.join(flipped, CONTACT_KEY).select(
+        CONTACT_KEY,
+        F.col(V.LABEL_COLUMN).alias("label"),
+        F.col("probability").between(0, 1).alias("in_range"),
+        (F.col("prediction") == (F.col("probability") >= V.THRESHOLD).cast("int")).alias("by_threshold"),
+        (F.col("adjusted") >= F.col("prediction")).alias("flips_upwards"),
+        F.lit(auc > 0.8).alias("auc_above"),
+    )
+
+
 @query("forest_importance")
 def forest_importance(spark, sf):
     """Importances are saved as a table; the report reads it back."""
     train, _ = _sides(labelled_contacts(spark, sf))
     numbers, texts = V.NUMERIC_COLUMNS + ENGINEERED_NUMBERS, V.CATEGORICAL_COLUMNS + ENGINEERED_TEXT
-    pipeline = modeling.classifier_pipeline(modeling.random_forest(n_estimators=10), numbers, texts)
+    pipeline = modeling.classifier_pipeline(modeling.random_forest(), numbers, texts)
     tables = store(spark)
     tables.save(modeling.feature_importance(modeling.train(pipeline, train), train, numbers), "feature_importance")
     importance = tables.load("feature_importance")
@@ -117,6 +154,6 @@ def grid_search(spark, sf):
 
 @query("wrapped_predict")
 def wrapped_predict(spark, sf):
-    train, test = _sides(labelled_contacts(spark, sf))
-    rows, _ = modeling.wrapped_predict(_boosted(train), test, CONTACT_KEY)
+    model, _, test = _boosted(spark, sf)
+    rows, _ = modeling.wrapped_predict(model, test, CONTACT_KEY)
     return rows.select(CONTACT_KEY, "probability", "prediction")
