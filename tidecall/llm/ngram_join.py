@@ -119,10 +119,10 @@ def layout(band: int, percent: int) -> Layout | None:
     d = 1
     while d < segments:
         weight = segments - d + DELETION_WEIGHT * d
-        empty = (segments - d) * math.exp(-low / weight)
-        if d >= 1 + math.ceil(1.5 * empty):
+        enough = 1 + math.ceil(1.5 * (segments - d) * math.exp(-low / weight))
+        if d >= enough:
             break
-        d += 1
+        d = min(segments, enough)
     return Layout(band, segments, d, segments - d + DELETION_WEIGHT * d)
 
 
@@ -424,8 +424,10 @@ def _rest_of_long_lists(long: DataFrame, labels: DataFrame, percent: int, scratc
         ).distinct(),
         "entries",
     )
-    allowed = [(b, x.deletions) for b in range(len(bands()) - 1) if (x := layout(b, percent))]
-    allowance = F.create_map(*[F.lit(v) for pair in allowed for v in pair])
+    seen = [r["band"] for r in entries.select("band").distinct().collect()]  # a hundred bands at most
+    if not seen:
+        return entries.select(F.col("id").alias("a"), F.col("id").alias("b"))
+    allowance = F.create_map(*[F.lit(v) for b in seen for v in (b, layout(b, percent).deletions)])
     costly = entries.where(F.col("flags") == PLAIN).groupBy("id", "band").agg(F.count("*").alias("n"))
     spared = costly.where(F.col("n") <= allowance[F.col("band")]).select("id", "band", F.lit(PLAIN).alias("flags"))
     kept = entries.join(spared, ["id", "band", "flags"], "left_anti")
