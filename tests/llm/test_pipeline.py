@@ -21,10 +21,11 @@ def stages(spark, docs, sf_dir, folder):
         yield (docs := spark.read.parquet(f"{folder}/{k}"))
 
 
-def test_planted_cases(spark, small, tmp_path):
+def test_planted_cases(spark, small, medium, tmp_path):
+    """Labels of the larger set: too few of the small one are toxic to learn a word from."""
     clean = " ".join(f"clean{i}" for i in range(80))
     passage = " ".join(f"passage{i}" for i in range(60))
-    item = spark.read.parquet(f"{small}/benchmark.parquet").orderBy("item_id").first().text
+    item = spark.read.parquet(f"{medium}/benchmark.parquet").orderBy("item_id").first().text
     insults = "trash pathetic idiot worthless disgusting stupid clown scum loser moron"
     planted = [
         (10_000, clean),
@@ -36,9 +37,9 @@ def test_planted_cases(spark, small, tmp_path):
         (10_006, ""),
         (10_007, None),
     ]
-    docs = spark.read.parquet(f"{small}/documents.parquet")
+    docs = spark.read.parquet(f"{medium}/documents.parquet")
     more = spark.createDataFrame([(i, t, "en", "src0", len(t or "")) for i, t in planted], docs.schema)
-    a, b, c, d, e = stages(spark, docs.unionByName(more), small, tmp_path)
+    a, b, c, d, e = stages(spark, docs.unionByName(more), medium, tmp_path)
     text = lambda df: {r.doc_id: r.text for r in df.where("doc_id >= 10000").collect()}
     assert set(text(a)) == {i for i, _ in planted} - {10_001}
     assert text(b)[10_003] == "another start\nanother end" and text(b)[10_002] == planted[2][1]
@@ -55,7 +56,7 @@ def test_planted_cases(spark, small, tmp_path):
         assert any(j < i and 100 * len(own & s) >= 80 * len(own | s) for j, s in rows)
     kept = [s for i, s in rows if i not in lost and s]
     assert all(100 * len(x & y) < 80 * len(x | y) for k, x in enumerate(kept) for y in kept[:k])
-    leaks = decontaminate.find_leaks(c, spark.read.parquet(f"{small}/benchmark.parquet"))
+    leaks = decontaminate.find_leaks(c, spark.read.parquet(f"{medium}/benchmark.parquet"))
     assert {r.doc_id for r in c.collect()} - {r.doc_id for r in d.collect()} == {r.doc_id for r in leaks.collect()}
 
 
