@@ -42,6 +42,8 @@ FLUSH_ENTRIES = 1_000_000
 BUCKET_ENTRIES = 400_000
 #: Flags of an entry.
 DELETED, PLAIN, MORE, EMPTY = 1, 2, 4, 8
+#: Longs of a parity sketch: two sets differ in as many shingles at least as their sketches in bits.
+SKETCH_LONGS = 16
 SIZE_STEP = 1.02
 
 
@@ -231,7 +233,14 @@ def _longs(x: np.ndarray) -> np.ndarray:
 
 
 def _deal(
-    kind: int, a: np.ndarray, b: np.ndarray, tag: np.ndarray, by: np.ndarray, buckets: int, rows: pa.RecordBatch
+    kind: int,
+    a: np.ndarray,
+    b: np.ndarray,
+    tag: np.ndarray,
+    by: np.ndarray,
+    buckets: int,
+    rows: pa.RecordBatch,
+    sketches: np.ndarray | None = None,
 ) -> pa.RecordBatch:
     """Arrays by bucket, a row for each bucket that gets something; ``rows`` adds ids and keys."""
     bucket = (mix(by.view(np.uint64), 4) % np.uint64(buckets)).astype(np.int32)
@@ -245,23 +254,25 @@ def _deal(
     kinds = pa.array(np.full(len(used), kind, np.int32))
     if rows.num_rows:
         more = [pa.ListArray.from_arrays(offsets, c.take(pa.array(order))) for c in rows.columns]
+        flat = pa.array(sketches[order].ravel())
+        more.append(pa.ListArray.from_arrays(pa.array(np.append(start, len(order)).astype(np.int32) * SKETCH_LONGS), flat))
     else:
-        more = [pa.nulls(len(used), pa.list_(c.type)) for c in rows.columns]
+        more = [pa.nulls(len(used), pa.list_(t)) for t in (*rows.schema.types, pa.int64())]
     return pa.RecordBatch.from_arrays(
-        [kinds, pa.array(used), *lists, *more], ["kind", "bucket", "a", "b", "tag", "id", "key"]
+        [kinds, pa.array(used), *lists, *more], ["kind", "bucket", "a", "b", "tag", "id", "key", "sketch"]
     )
 
 
 def _candidates(docs: DataFrame, size: int, percent: int, buckets: int) -> DataFrame:
     """Everything that one pass over the texts tells, in one table with a ``kind``.
 
-    ``NODE``: a row of ``docs`` (``id, key``) with the digests ``a, b`` of its set and its size
-    ``tag``. ``PAIR``: sets ``a, b`` to verify. ``LONG``: entry of a long list, key ``a`` and
+    ``NODE``: a row of ``docs`` (``id, key``) with the digests ``a, b`` of its set, its size
+    ``tag`` and its parity sketch. ``PAIR``: sets ``a, b`` to verify. ``LONG``: entry of a long list, key ``a`` and
     set ``b`` (sets go by their first digest).
     """
     id_type = docs.schema["doc_id"].dataType.simpleString()
-    lists = f"kind int, bucket int, a array<bigint>, b array<bigint>, tag array<int>, id array<{id_type}>, key array<string>"
-    found = f"kind int, a bigint, b bigint, tag int, id {id_type}, key string"
+    lists = f"kind int, bucket int, a array<bigint>, b array<bigint>, tag array<int>, id array<{id_type}>, key array<string>, sketch array<bigint>"
+    found = f"kind int, a bigint, b bigint, tag int, id {id_type}, key string, sketch array<bigint>"
 
     def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes, seen = WordHashes(), set()
@@ -269,11 +280,11 @@ def _candidates(docs: DataFrame, size: int, percent: int, buckets: int) -> DataF
         held = 0
         none = None
 
-        def nodes(rows: pa.RecordBatch, digests: list[tuple[int, int]], sizes: list[int]) -> pa.RecordBatch:
+        def nodes(rows, digests: list[tuple[int, int]], sizes: list[int], sketches: list) -> pa.RecordBatch:
             a, b = np.array(digests, np.int64).reshape(-1, 2).T
             # Dealt by place, so that equal texts do not meet in one bucket.
             place = np.arange(len(sizes), dtype=np.int64) * 7919 + len(seen)
-            return _deal(NODE, a, b, np.array(sizes), place, buckets, rows)
+            return _deal(NODE, a, b, np.array(sizes), place, buckets, rows, np.array(sketches))
 
         def flush() -> Iterator[pa.RecordBatch]:
             keys, ids, tags = (np.concatenate(x) for x in zip(*parts))
@@ -295,13 +306,14 @@ def _candidates(docs: DataFrame, size: int, percent: int, buckets: int) -> DataF
 
         for batch in batches:
             none = batch.select(["doc_id", "key"]).slice(0, 0)
-            digests, sizes = [], []
+            digests, sizes, sketches = [], [], []
             for at in range(0, batch.num_rows, ROWS_AT_ONCE):
                 for text in batch.column("text").slice(at, ROWS_AT_ONCE).to_pylist():
                     shingles = hashed_set(words_of(text), size, hashes)
                     own = _digest(shingles) if len(shingles) else (0, 0)
                     digests.append(own)
                     sizes.append(len(shingles))
+                    sketches.append(parity_sketch(shingles))
                     if not len(shingles) or own in seen:  # an equal set was dealt with in this task
                         continue
                     if len(seen) > CACHE_WORDS:
@@ -317,7 +329,7 @@ def _candidates(docs: DataFrame, size: int, percent: int, buckets: int) -> DataF
                     parts.clear()
                     held = 0
             if sizes:
-                yield nodes(batch.select(["doc_id", "key"]), digests, sizes)
+                yield nodes(batch.select(["doc_id", "key"]), digests, sizes, sketches)
         if parts:
             yield from flush()
 
@@ -349,14 +361,30 @@ def _candidates(docs: DataFrame, size: int, percent: int, buckets: int) -> DataF
             pa.array(np.concatenate([np.zeros(len(pair_a)), lists.tags[out], tag[was]]).astype(np.int32)),
         ]
         values = [pc.list_flatten(node.column(c)).combine_chunks() for c in ("a", "b", "tag", "id", "key")]
+        flat = pc.list_flatten(node.column("sketch")).combine_chunks()
+        ends = pa.array(np.arange(0, len(flat) + 1, SKETCH_LONGS, dtype=np.int32))
+        values.append(pa.ListArray.from_arrays(ends, flat))
         columns += [pa.nulls(len(kinds), v.type) for v in values[3:]]
         told = [pa.array(np.full(len(values[0]), NODE, np.int32)), *values]
-        names = ["kind", "a", "b", "tag", "id", "key"]
+        names = ["kind", "a", "b", "tag", "id", "key", "sketch"]
         return pa.concat_tables([pa.table(columns, names), pa.table(told, names)])
 
     return docs.select("doc_id", "key", "text").mapInArrow(deal, lists).groupBy("bucket").applyInArrow(gather, found)
 
 
+def parity_sketch(shingles: np.ndarray) -> np.ndarray:
+    """Bits that each shingle flips one of."""
+    bits = 64 * SKETCH_LONGS
+    counts = np.bincount((mix(shingles, 7) % np.uint64(bits)).astype(np.int64), minlength=bits)
+    return np.packbits((counts & 1).astype(np.uint8)).view(np.int64)
+
+
+def _may_be_similar(percent: int) -> str:
+    """SQL condition on ``n, sketch`` and ``n2, sketch2``: too many differing bits exclude a pair."""
+    apart = " + ".join(f"bit_count(sketch[{i}] ^ sketch2[{i}])" for i in range(SKETCH_LONGS))
+    return f"({apart}) * {100 + percent} <= {100 - percent} * (n + n2)"
+
+
 def _digest(shingles: np.ndarray) -> tuple[int, int]:
     """Two independent 64-bit sums, equal for equal sets."""
     sums = [mix(shingles, seed).sum(dtype=np.uint64) for seed in (5, 6)]
@@ -408,7 +436,9 @@ def _verify(
     return both.mapInArrow(run, f"a {digest}, b {digest}")
 
 
-def _rest_of_long_lists(long: DataFrame, labels: DataFrame, percent: int, scratch: Scratch) -> DataFrame:
+def _rest_of_long_lists(
+    long: DataFrame, labels: DataFrame, sketches: DataFrame, percent: int, scratch: Scratch
+) -> DataFrame:
     """Pairs of long lists whose sets are not yet in one component.
 
     Sets that have no more costly parts than their layout allows for leave these out. Of the
@@ -420,7 +450,6 @@ def _rest_of_long_lists(long: DataFrame, labels: DataFrame, percent: int, scratc
             F.col("b").alias("id"),
             F.col("tag").bitwiseAND(DELETED + PLAIN).alias("flags"),
             F.shiftright("tag", 4).bitwiseAND(255).alias("band"),
-            F.shiftright("tag", 12).alias("size"),
         ).distinct(),
         "entries",
     )
@@ -438,12 +467,12 @@ def _rest_of_long_lists(long: DataFrame, labels: DataFrame, percent: int, scratc
     )
     mixed = placed.groupBy("key").agg(F.min("label").alias("x"), F.max("label").alias("y"), F.min("flags").alias("f"))
     open_lists = scratch.write(placed.join(mixed.where("x != y").select("key"), "key", "left_semi"), "open")
+    open_lists = open_lists.join(sketches, "id")
     whole = open_lists.where(F.col("flags").bitwiseAND(DELETED) == 0)
-    other = open_lists.select("key", *[F.col(c).alias(f"{c}2") for c in ("id", "flags", "size", "label")])
-    steps = int(math.log(100 / percent) / math.log(SIZE_STEP) + 1)
+    other = open_lists.select("key", *[F.col(c).alias(f"{c}2") for c in ("id", "flags", "label", "n", "sketch")])
     return (
         whole.join(other, "key")
-        .where((F.col("label") != F.col("label2")) & (F.abs(F.col("size") - F.col("size2")) <= steps))
+        .where((F.col("label") != F.col("label2")) & F.expr(_may_be_similar(percent)))
         .where((F.col("flags2").bitwiseAND(DELETED) != 0) | (F.col("id") < F.col("id2")))
         .select(F.least("id", "id2").alias("a"), F.greatest("id", "id2").alias("b"))
         .distinct()
@@ -462,7 +491,8 @@ def similar_documents(
     Equal sets are one node from the start. Lists of sets that share a part (see the module)
     are gathered by buckets of their key; a list that is long already in one task is closed
     there: only its first set goes on, its pairs with that set are candidates, and its entries
-    are kept aside. Candidates are verified on the words of whole texts. Once components are
+    are kept aside. Candidates whose parity sketches differ in more bits than similar sets may
+    differ in shingles are excluded, which is exact; the others are verified on whole texts. Once components are
     known, the long lists that still hold several give their pairs across components, until
     then nothing is paired twice inside a group of near copies. No link between components is
     lost: each pair that reaches the similarity shares a list, and is verified there or lies
@@ -491,10 +521,28 @@ def similar_documents(
         F.col("a").alias("d1"),
         F.col("b").alias("d2"),
     )
-    pairs = scratch.write(found.where(F.col("kind") == PAIR).select("a", "b").distinct(), "pairs")
+    sketches = scratch.write(
+        found.where((F.col("kind") == NODE) & (F.col("tag") > 0))
+        .groupBy(F.col("a").alias("id"), F.col("b").alias("d2"))
+        .agg(F.min("tag").alias("n"), F.min("sketch").alias("sketch"))
+        .drop("d2"),
+        "sketches",
+    )
+    other = sketches.select(*[F.col(c).alias(f"{c}2") for c in sketches.columns])
+    pairs = scratch.write(
+        found.where(F.col("kind") == PAIR)
+        .select("a", "b")
+        .distinct()
+        .join(sketches, F.col("a") == F.col("id"))
+        .join(other, F.col("b") == F.col("id2"))
+        .where(_may_be_similar(percent))
+        .select("a", "b")
+        .distinct(),
+        "pairs",
+    )
     links = scratch.write(_verify(pairs, own, nodes, shingle_words, percent, scratch), "links")
     labels = connected_components(links, scratch)
-    rest = _rest_of_long_lists(found.where(F.col("kind") == LONG), labels, percent, scratch)
+    rest = _rest_of_long_lists(found.where(F.col("kind") == LONG), labels, sketches, percent, scratch)
     rest = scratch.write(rest.join(pairs, ["a", "b"], "left_anti"), "rest")
     if not rest.isEmpty():
         more = scratch.write(_verify(rest, own, nodes, shingle_words, percent, scratch), "more")
