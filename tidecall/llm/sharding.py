@@ -13,67 +13,142 @@ def _share(*parts: Column) -> Column:
     return F.pmod(F.xxhash64(*parts), F.lit(1 << 30)) / float(1 << 30)
 
 
-def propagate(nodes: DataFrame, shards: int, rounds: int, scratch: Scratch) -> DataFrame:
+def _numbers(values: list[float]) -> Column:
+    """One number per shard."""
+    return F.array(*map(F.lit, values)).cast("array<double>")
+
+
+def propagate(nodes: DataFrame, shards: int, scratch: Scratch, guard: int = 500) -> DataFrame:
     """Balanced label propagation over ``nodes`` (``node, hub``; documents with one hub are linked).
 
-    Every node starts in a shard drawn by its hash. In each round every hub looks for the
-    shard with most of its nodes that still has room; nodes that are in smaller company want
-    to go there. A shard with room for a part of those who want in admits that part, drawn by
-    hash, so that no list of candidates is ranked anywhere. Room is the even share of all
-    nodes less the linked ones that are there. The rounds end when no node wants to move. Nodes
-    without a hub are placed last, by their hash, in proportion to the room that is left.
+    Every node starts in a shard drawn by its hash. In each round every hub orders the shards
+    by the number of its nodes there, and pours nodes from the end of this order into the room
+    of the shards at its head, as many shards as it takes. A shard admits the part of those
+    who want in for which it has room or others leave. Who goes where is drawn by hash, so
+    that no list of candidates is ranked anywhere. Room is the even share of all nodes less
+    the linked ones that are there; less than two standard deviations of the draw that last
+    filled a shard counts as none. Once no shard with room is wanted, nodes of different hubs
+    change places. Each move raises the sum of squares of the nodes per hub and shard, so that
+    the rounds end: when no node that wants to move is admitted anywhere. More than ``guard``
+    rounds raise an error. Nodes without a hub are placed last, by their hash, in proportion to the room that
+    is left. At the end shards are numbered so that those with one largest group are
+    neighbours.
 
     Returns ``node, hub, shard``.
     """
     capacity = nodes.count() / shards
     start = F.floor(_share(F.col("node"), F.lit(0)) * shards).cast("int").alias("shard")
     state = scratch.write(nodes.where("hub is not null").select("node", "hub", start), "linked")
-    every = nodes.sparkSession.range(shards).select(F.col("id").cast("int").alias("shard"))
-    for turn in range(1, rounds + 1):
-        load = state.groupBy("shard").agg(F.count("*").alias("n"))
-        # One row per shard, a bound that the caller sets.
-        room = every.join(F.broadcast(load), "shard", "left").select(
-            "shard", (F.lit(capacity) - F.coalesce("n", F.lit(0))).alias("room")
-        )
+    full_below = [1.0] * shards
+    for turn in range(1, guard + 2):
         # One row per hub and shard in which it has nodes.
         tally = scratch.write(state.groupBy("hub", "shard").agg(F.count("*").alias("n")), "tally")
-        ranked = tally.join(F.broadcast(room), "shard").withColumn("draw", _share(F.col("hub"), F.col("shard")))
-        goal = (
-            ranked.where("room >= 1")
-            .groupBy("hub")
-            .agg(F.max(F.struct("n", "draw", "shard")).alias("goal"))
-            .select("hub", F.col("goal.shard").alias("goal"), F.col("goal.n").alias("there"), F.col("goal.draw").alias("goal_draw"))
-        )
-        wish = scratch.write(
-            ranked.join(goal, "hub")
-            .where(
-                (F.col("shard") != F.col("goal"))
-                & (F.struct("n", "draw") < F.struct(F.col("there"), F.col("goal_draw")))
-            )
-            .select("hub", "shard", "goal", "n"),
-            "wish",
-        )
-        if wish.isEmpty():
+        main = F.max(F.struct("n", "hub")).alias("main")
+        load = {r["shard"]: r for r in tally.groupBy("shard").agg(F.sum("n").alias("n"), main).collect()}
+        room = [capacity - (load[s]["n"] if s in load else 0) for s in range(shards)]
+        usable = [r if r >= least else 0.0 for r, least in zip(room, full_below)]
+        # Where no shard with room is wanted, nodes may still change places.
+        for able in (F.get(_numbers(usable), F.col("shard")), F.greatest(F.lit(capacity) - F.col("n"), F.lit(0.0))):
+            wish = scratch.write(_wishes(tally, able), "wish")
+            flows = wish.select("shard", "out", F.explode("goals").alias("g")).groupBy("shard", "g.goal")
+            # At most one row per pair of shards.
+            flow = {(r[0], r[1]): r[2] for r in flows.agg(F.sum(F.expr("out * g.width"))).collect()}
+            parts, wanted = _admitted(flow, room)
+            moving = sum(n * parts[t] for (_, t), n in flow.items())
+            if moving >= 1:
+                break
+            scratch.drop(wish)
+        if moving < 1:
             break
-        demand = wish.groupBy(F.col("goal").alias("shard")).agg(F.sum("n").alias("wanted"))
-        admitted = F.broadcast(
-            demand.join(F.broadcast(room), "shard").select(
-                F.col("shard").alias("goal"), F.least(F.lit(1.0), F.col("room") / F.col("wanted")).alias("part")
-            )
+        if turn > guard:
+            raise RuntimeError(f"nodes still want to move after {guard} rounds")
+        part = _numbers(parts)
+        moves = wish.select(
+            "hub",
+            "shard",
+            (F.col("out") / F.col("n")).alias("leave"),
+            F.transform(
+                "goals",
+                lambda g: F.struct(
+                    g["goal"].alias("goal"),
+                    g["low"].alias("low"),
+                    (g["low"] + g["width"] * F.get(part, g["goal"])).alias("high"),
+                ),
+            ).alias("goals"),
         )
-        moves = wish.join(admitted, "goal").select("hub", "shard", "goal", "part")
+        draw = _share(F.col("node"), F.lit(turn)) / F.col("leave")
+        goal = F.get(F.filter("goals", lambda g: (draw >= g["low"]) & (draw < g["high"])), F.lit(0))["goal"]
         moved = state.join(moves, ["hub", "shard"], "left").select(
-            "node",
-            "hub",
-            F.when(_share(F.col("node"), F.lit(turn)) < F.col("part"), F.col("goal"))
-            .otherwise(F.col("shard"))
-            .alias("shard"),
+            "node", "hub", F.coalesce(goal, F.col("shard")).alias("shard")
         )
         before, state = state, scratch.write(moved, f"round-{turn}")
         scratch.drop(before, tally, wish)
+        for s, n in enumerate(wanted):
+            if n:
+                full_below[s] = max(1.0, 2 * (n * parts[s]) ** 0.5)
+    # Shards that one group fills become neighbours: where exact counts shift a border, it
+    # stays in the group.
+    order = sorted(load, key=lambda s: (load[s]["main"]["hub"], -load[s]["main"]["n"]))
+    order += [s for s in range(shards) if s not in load]
+    state = state.withColumn("shard", F.get(F.array(*(F.lit(order.index(s)) for s in range(shards))), F.col("shard")))
     return _fill(nodes.where("hub is null"), state, shards, capacity).unionByName(state)
 
 
+def _admitted(flow: dict[tuple[int, int], float], room: list[float]) -> tuple[list[float], list[float]]:
+    """The part that each shard admits of those who want in, and their number.
+
+    Admitted are no more than there is room and than leave for places that admit them.
+    """
+    parts, wanted = [1.0] * len(room), [0.0] * len(room)
+    for (_, goal), n in flow.items():
+        wanted[goal] += n
+    for _ in range(1000):
+        free = list(room)
+        for (shard, goal), n in flow.items():
+            free[shard] += n * parts[goal]
+        less = [min(p, max(0.0, f) / w) if w else 0.0 for p, f, w in zip(parts, free, wanted)]
+        done = max(p - q for p, q in zip(parts, less)) < 1e-6
+        parts = less
+        if done:
+            break
+    return parts, wanted
+
+
+def _wishes(tally: DataFrame, room: Column) -> DataFrame:
+    """How many nodes of a hub want to leave a shard (``out`` of ``n``), and the goals of that hub.
+
+    A goal has the part of the hub's leaving nodes (``total``) that it would take, as ``low``
+    and ``width`` between 0 and 1. A hub has at most one row per shard.
+    """
+    hub = Window.partitionBy("hub")
+    order = hub.orderBy(F.desc("n"), F.desc("draw"), F.desc("shard"))
+    upto = order.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    # At a shard: room in those before it, nodes in those behind it.
+    ranked = (
+        tally.withColumn("draw", _share(F.col("hub"), F.col("shard")))
+        .withColumn("room", room)
+        .withColumn("ahead", F.sum("room").over(upto) - F.col("room"))
+        .withColumn("behind", F.sum("n").over(hub) - F.sum("n").over(upto))
+    )
+    between = lambda x, most: F.greatest(F.lit(0.0), F.least(x, F.col(most).cast("double")))
+    # The room before the last goal is less than the nodes from there on; behind it all leave.
+    poured = ranked.select(
+        "hub",
+        "shard",
+        "n",
+        "ahead",
+        between(F.col("ahead") - F.col("behind"), "n").alias("out"),
+        between(F.col("behind") - F.col("ahead"), "room").alias("take"),
+    ).withColumn("total", F.sum("out").over(hub))
+    goal = F.struct(
+        F.col("shard").alias("goal"),
+        (F.col("ahead") / F.col("total")).alias("low"),
+        (F.col("take") / F.col("total")).alias("width"),
+    )
+    goals = F.collect_list(F.when((F.col("take") > 0) & (F.col("total") > 0), goal)).over(hub)
+    return poured.withColumn("goals", goals).where("out > 0").select("hub", "shard", "n", "out", "total", "goals")
+
+
 def _fill(single: DataFrame, state: DataFrame, shards: int, capacity: float) -> DataFrame:
     """Nodes without links, in proportion to the room of the shards (one number each, on the driver)."""
     load = {r["shard"]: r["n"] for r in state.groupBy("shard").agg(F.count("*").alias("n")).collect()}
@@ -88,7 +163,6 @@ def _fill(single: DataFrame, state: DataFrame, shards: int, capacity: float) ->
 def shard_documents(
     docs: DataFrame,
     shards: int = 40,
-    rounds: int = 20,
     id_col: str = "doc_id",
     text_col: str = "text",
 ) -> DataFrame:
@@ -96,8 +170,9 @@ def shard_documents(
 
     Documents with equal texts are linked through a hub, their text's digest, so that a group
     of copies is as many links as rows. Label propagation (``propagate``) gathers groups under
-    quotas. A group larger than a shard fills one after another, a round each. Then all rows stand in one order: by label, and inside a label the groups
-    one after another with unlinked rows before and behind them. Position ``p`` of ``n`` goes
+    quotas. A group larger than a shard fills as many as it needs. Then all rows stand in one
+    order: by label, and inside a label the groups one after another with unlinked rows before
+    and behind them. Position ``p`` of ``n`` goes
     to shard ``p * shards // n``: sizes are exact, a shard border moves across rows without
     links where it can, and at most ``shards - 1`` groups that would fit a shard are cut by
     it.
@@ -129,7 +204,7 @@ def shard_documents(
         ),
         "nodes",
     )
-    labels = propagate(nodes, shards, rounds, scratch)
+    labels = propagate(nodes, shards, scratch)
     # Unlinked rows stand on both sides of the groups of a label.
     side = F.when(F.col("hub").isNotNull(), 1).otherwise(F.when(_share(F.col("node"), F.lit(-1)) < 0.5, 0).otherwise(2))
     ordered = labels.select("node", F.col("shard").alias("label"), side.alias("side"), F.coalesce("hub", F.lit(0)).alias("hub"))
