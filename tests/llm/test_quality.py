@@ -56,3 +56,22 @@ def test_messy_and_empty(spark):
         if r.doc_id in (1, 2, 3):
             assert (r.n_words, r.base_failed, r.kept, r.ratio) == (0, True, False, None)
     assert Q.judge_quality(messy.empty(spark)).count() == 0
+
+
+def test_most_labelled_junk_goes_and_good_texts_stay(spark):
+    """Over the labels that the limits were not taken from (odd ``crc32(doc_id)``)."""
+    docs, labels = (spark.read.parquet(f"/root/testdata/sf0.1/{t}.parquet") for t in ("documents", "labels"))
+    held_out = labels.where("quality is not null and crc32(cast(string(doc_id) as binary)) % 2 = 1")
+    judged = Q.judge_quality(docs.join(held_out, "doc_id")).join(labels, "doc_id").where("not base_failed")
+    kept = {(r.quality, r.kept): r["count"] for r in judged.groupBy("quality", "kept").count().collect()}
+    print(kept)
+    assert kept[0, True] < 0.25 * (kept[0, True] + kept[0, False])
+    assert kept[1, True] >= 0.99 * (kept[1, True] + kept.get((1, False), 0))
+
+
+def test_the_end_of_a_text_is_judged():
+    r = random.Random(3)
+    good = " ".join("".join(r.choices("etaoinshrdlu", k=r.randint(2, 9))) for _ in range(100))[:500]
+    compress = Q.zstandard.ZstdCompressor(level=3, write_content_size=False).compress
+    _, size, chunks = Q.ratios((good + " ab" * 70).encode(), compress)
+    assert size == 256 and len(chunks) == 3 and not Q.within(size, chunks[-1])
