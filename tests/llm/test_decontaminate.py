@@ -81,3 +81,19 @@ def test_messy_and_empty(spark):
     assert D.find_leaks(messy.frame(spark), none).count() == 0
     assert D.find_leaks(messy.empty(spark), items).count() == 0
     assert D.drop_leaks(messy.frame(spark), none).count() == len(messy.texts())
+
+
+def test_passages_cut_at_an_edge_are_found(spark):
+    """Documents begin or end with an item that lacks up to a ninth of its words: similarities of 0.80 to 0.85."""
+    r = random.Random(7)
+    items, docs = [], []
+    for n, count in ((30, 100), (60, 100), (120, 60), (300, 20), (1000, 5)):
+        for _ in range(count):
+            k, cut = len(items), (n - 4) // 9
+            words = [f"i{k}x{j}" for j in range(n)]
+            items.append((k, " ".join(words)))
+            filler = [f"d{k}x{j}" for j in range(2 * n)]
+            docs.append((k, " ".join(filler + words[cut:] if r.random() < 0.5 else words[: n - cut] + filler)))
+    frames = spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string")
+    got = {r.doc_id: r.similarity for r in D.find_leaks(*frames).collect() if r.doc_id == r.item_id}
+    assert len(got) >= 0.995 * len(items) and all(0.8 <= x < 0.86 for x in got.values())

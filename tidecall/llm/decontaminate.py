@@ -75,8 +75,10 @@ class Items:
     shingles: dict[int, tuple[np.ndarray, dict[int, list[int]]]] = field(init=False)
     blocks: list[tuple[int, int]] = field(init=False)
     index: dict[tuple[int, int, int], list[int]] = field(init=False)
+    most: float = field(init=False)
 
     def __post_init__(self) -> None:
+        self.most = max(self.weights.values())
         hashes = Hashes()
         coded = [hashes.of(t) for t in self.texts]
         self.sizes = np.array([len(t) for t in self.texts])
@@ -115,7 +117,7 @@ class Items:
     def similarity(self, a: list[str], b: list[str]) -> float:
         """Weighted Jaccard of two bags of shingles; a shingle of no item weighs as the rarest."""
         x, y = bag(a), bag(b)
-        most = max(self.weights.values())
+        most = self.most
         both = sum(min(n, y[s]) * self.weights.get(s, most) for s, n in x.items() if s in y)
         either = sum(max(x.get(s, 0), y.get(s, 0)) * self.weights.get(s, most) for s in x.keys() | y.keys())
         return both / either if either else 0.0
@@ -161,7 +163,7 @@ def find_leaks(
     docs: DataFrame,
     benchmark: DataFrame,
     threshold: float = 0.8,
-    radius: int = 12,
+    radius: int = 20,
     items_at_once: int = 20_000,
     id_col: str = "doc_id",
     text_col: str = "text",
@@ -210,7 +212,7 @@ def drop_leaks(
     docs: DataFrame,
     benchmark: DataFrame,
     threshold: float = 0.8,
-    radius: int = 12,
+    radius: int = 20,
     items_at_once: int = 20_000,
     text_col: str = "text",
     item_id: str = "item_id",
