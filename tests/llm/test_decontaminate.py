@@ -97,3 +97,20 @@ def test_passages_cut_at_an_edge_are_found(spark):
     frames = spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string")
     got = {r.doc_id: r.similarity for r in D.find_leaks(*frames).collect() if r.doc_id == r.item_id}
     assert len(got) >= 0.995 * len(items) and all(0.8 <= x < 0.86 for x in got.values())
+
+
+def test_results_do_not_depend_on_the_blocks(spark):
+    r = random.Random(11)
+    shared = [f"s{j}" for j in range(20)]
+    texts = [[*(shared if k % 3 else []), *(f"i{k}x{j}" for j in range(20))] for k in range(40)]
+    items = [(k, " ".join(t)) for k, t in enumerate(texts)] + [(1, " ".join(texts[1]))] * 30
+    docs = []
+    for n in range(300):
+        words = list(texts[n % 40])
+        at = r.randrange(len(words))
+        words[at : at + r.choice([0, 1, 2])] = [f"d{n}"] * r.choice([1, 2])
+        docs.append((n, " ".join(words)))
+    frames = spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string")
+    one, few, many = (sorted(map(tuple, D.find_leaks(*frames, items_at_once=k).collect())) for k in (1000, 25, 9))
+    assert one == few == many and len(one) > 50
+    assert all(len(b.ids) <= 9 for b in D._item_blocks(frames[1], "item_id", "text", 20, 9) if b)

@@ -15,11 +15,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tidecall.llm.common import Scratch
+
 WORDS = re.compile(r"\w+")
 SHINGLE_WORDS = 5
 BITS = 64
 CACHE_WORDS = 200_000
 ROWS_AT_ONCE = 64
+#: Shingles that several items hold, if the items are more than one block: sent with each.
+MAX_COMMON = 1_000_000
 
 
 def words_of(text: str) -> list[str]:
@@ -69,16 +73,16 @@ class Items:
     ids: list
     texts: list[list[str]]
     weights: dict[tuple, float]
+    most: float
     radius: int
+    copies: list[int]
     prints: np.ndarray = field(init=False)
     sizes: np.ndarray = field(init=False)
     shingles: dict[int, tuple[np.ndarray, dict[int, list[int]]]] = field(init=False)
     blocks: list[tuple[int, int]] = field(init=False)
     index: dict[tuple[int, int, int], list[int]] = field(init=False)
-    most: float = field(init=False)
 
     def __post_init__(self) -> None:
-        self.most = max(self.weights.values())
         hashes = Hashes()
         coded = [hashes.of(t) for t in self.texts]
         self.sizes = np.array([len(t) for t in self.texts])
@@ -118,8 +122,9 @@ class Items:
         """Weighted Jaccard of two bags of shingles; a shingle of no item weighs as the rarest."""
         x, y = bag(a), bag(b)
         most = self.most
-        both = sum(min(n, y[s]) * self.weights.get(s, most) for s, n in x.items() if s in y)
-        either = sum(max(x.get(s, 0), y.get(s, 0)) * self.weights.get(s, most) for s in x.keys() | y.keys())
+        # Rounded once, so that the order of a set does not count.
+        both = math.fsum(min(n, y[s]) * self.weights.get(s, most) for s, n in x.items() if s in y)
+        either = math.fsum(max(x.get(s, 0), y.get(s, 0)) * self.weights.get(s, most) for s in x.keys() | y.keys())
         return both / either if either else 0.0
 
 
@@ -182,7 +187,10 @@ def find_leaks(
     punctuation.
 
     The items are a stated query set: they are sent to the tasks in blocks of
-    ``items_at_once``, one pass over the documents for each block.
+    at most ``items_at_once``, one pass over the documents for each block. Items count once
+    for the weights if id and text are equal; weights are those of the whole set whatever the
+    blocks. More than ``MAX_COMMON`` shingles that several items hold raise an error if there
+    is more than one block.
 
     Null and empty texts hold nothing, items without words are held by nothing, items shorter
     than a shingle have to be there as a whole. Rows that repeat are found one by one; an
@@ -225,12 +233,45 @@ def drop_leaks(
 
 
 def _item_blocks(benchmark: DataFrame, item_id: str, item_text: str, radius: int, at_once: int) -> Iterator[Items | None]:
-    """Items in blocks of about ``at_once``, dealt by hash."""
+    """Distinct items in blocks of at most ``at_once``, dealt by hash; weights are those of all items."""
     items = benchmark.select(benchmark[item_id].alias("id"), benchmark[item_text].alias("text")).where("text is not null")
-    blocks = max(1, math.ceil(items.count() / at_once))
+    items = items.groupBy("id", "text").agg(F.count("*").alias("copies"))
+    total = items.count()
+    if total <= at_once:
+        yield _index(items.orderBy("id", "text").collect(), radius)
+        return
+    items = Scratch(benchmark.sparkSession, "items").write(items, "distinct")
+    weighing = _weights(items)
+    blocks = math.ceil(1.05 * total / at_once)
     numbered = items.withColumn("block", F.pmod(F.xxhash64("id", "text"), F.lit(blocks)))
     for b in range(blocks):
-        yield _index(numbered.where(F.col("block") == b).orderBy("id", "text").collect(), radius)
+        rows = numbered.where(F.col("block") == b).orderBy("id", "text").collect()
+        for at in range(0, len(rows), at_once):
+            yield _index(rows[at : at + at_once], radius, weighing)
+
+
+def _weights(items: DataFrame) -> tuple[dict[tuple, float], float]:
+    """Weights of the shingles that more items hold than the rarest, and the weight of all others."""
+
+    def shingles(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for at in range(0, batch.num_rows, ROWS_AT_ONCE):
+                out: list[str | None] = []
+                for text in batch.column(0).slice(at, ROWS_AT_ONCE).to_pylist():
+                    found = set(bag(words_of(text)))
+                    out += [None] * bool(found) + [" ".join(s) for s in found]
+                yield pa.RecordBatch.from_arrays([pa.array(out, pa.string())], ["shingle"])
+
+    held = items.select("text").mapInArrow(shingles, "shingle string").groupBy("shingle").agg(F.count("*").alias("n"))
+    held = Scratch(items.sparkSession, "items").write(held, "shingles")
+    # Each item with words has a null beside its shingles.
+    total = held.where("shingle is null").agg(F.sum("n")).first()[0]
+    least = held.where("shingle is not null").agg(F.min("n")).first()[0]
+    common = held.where("shingle is not null").where(F.col("n") > F.lit(least)).limit(MAX_COMMON + 1).collect()
+    if len(common) > MAX_COMMON:
+        raise ValueError(f"more than {MAX_COMMON} shingles are common to several benchmark items")
+    weights = {tuple(r["shingle"].split(" ")): math.log(1 + total / r["n"]) for r in common}
+    return weights, math.log(1 + total / least) if total else 0.0
 
 
 def _clean_rows(docs: DataFrame, text_col: str, block: Items | None, threshold: float) -> DataFrame:
@@ -252,14 +293,18 @@ def _clean_rows(docs: DataFrame, text_col: str, block: Items | None, threshold:
     return docs.mapInArrow(run, docs.schema)
 
 
-def _index(rows: list, radius: int) -> Items | None:
-    texts = [(r["id"], words_of(r["text"])) for r in rows]
-    texts = [(i, t) for i, t in texts if t]
+def _index(rows: list, radius: int, weighing: tuple[dict[tuple, float], float] | None = None) -> Items | None:
+    """Without ``weighing`` the rows are all items there are."""
+    texts = [(r["id"], words_of(r["text"]), r["copies"] if "copies" in r else 1) for r in rows]
+    texts = [x for x in texts if x[1]]
     if not texts:
         return None
-    held = Counter(s for _, t in texts for s in set(bag(t)))
-    weights = {s: math.log(1 + len(texts) / n) for s, n in held.items()}
-    return Items([i for i, _ in texts], [t for _, t in texts], weights, radius)
+    if weighing is None:
+        held = Counter(s for _, t, _ in texts for s in set(bag(t)))
+        weights = {s: math.log(1 + len(texts) / n) for s, n in held.items()}
+        weighing = weights, max(weights.values())
+    ids, words, copies = map(list, zip(*texts))
+    return Items(ids, words, *weighing, radius, copies)
 
 
 def _scan_block(docs, id_col, text_col, block, threshold, schema) -> DataFrame:
@@ -273,7 +318,8 @@ def _scan_block(docs, id_col, text_col, block, threshold, schema) -> DataFrame:
                 out = []
                 for n, text in enumerate(some.column(1).to_pylist()):
                     words = words_of(text or "")
-                    out += [(n, *hit) for hit in scan(words, hashes.of(words), items, threshold)]
+                    for hit in scan(words, hashes.of(words), items, threshold):
+                        out += [(n, *hit)] * items.copies[hit[0]]
                 if out:
                     row, item, start, size, alike = zip(*out)
                     yield pa.RecordBatch.from_arrays(
