@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidecall.llm import decontaminate, langid, licenses, lines, ngram_join, packing, quality, sharding, toxicity, urls
+from tidecall.llm import centroids, decontaminate, langid, licenses, lines, ngram_join, packing, quality, sharding, toxicity, urls
 from tidecall.llm.common import table
 
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
@@ -117,6 +117,55 @@ FROM ruled
 """
 
 
+def op13_centroids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return centroids.cluster_vectors(table(spark, sf_dir, "embeddings"))
+
+
+def _op13_sql(rounds: int = 10) -> str:
+    """Every round as a step of its own."""
+    assigned = """a{r} AS MATERIALIZED (
+  SELECT vec_id, cluster, d FROM (
+    SELECT vec_id, cluster, sum((x - c) * (x - c)) AS d FROM v JOIN c{r} USING (i) GROUP BY vec_id, cluster
+  ) QUALIFY row_number() OVER (PARTITION BY vec_id ORDER BY d, cluster) = 1
+)"""
+    moved = """c{n} AS MATERIALIZED (
+  SELECT cluster, i, CAST((sum(x) - ((sum(x) % count(*)) + count(*)) % count(*)) // count(*) AS BIGINT) AS c
+  FROM a{r} JOIN v USING (vec_id) GROUP BY cluster, i
+  UNION ALL SELECT cluster, i, c FROM c{r} WHERE cluster NOT IN (SELECT cluster FROM a{r})
+)"""
+    steps = [
+        """kept AS (
+  SELECT vec_id, embedding FROM embeddings
+  WHERE len(embedding) = 64 AND (SELECT count(*) FROM unnest(embedding) AS u(x) WHERE isfinite(x)) = 64
+)""",
+        """v AS MATERIALIZED (
+  SELECT vec_id, i, CAST(floor(1024 * CAST(embedding[i] AS DOUBLE)) AS BIGINT) AS x FROM kept, range(1, 65) AS r(i)
+)""",
+        """c0 AS MATERIALIZED (
+  SELECT cluster, i, x AS c FROM (
+    SELECT vec_id, row_number() OVER (ORDER BY sha256('3:' || vec_id)) - 1 AS cluster FROM kept
+  ) JOIN v USING (vec_id) WHERE cluster < 8
+)""",
+    ]
+    for r in range(rounds):
+        steps += [assigned.format(r=r), moved.format(r=r, n=r + 1)]
+    steps.append(assigned.format(r=rounds))
+    steps.append(
+        f"""named AS (
+  SELECT cluster, sha256(string_agg(CAST(c AS VARCHAR), ',' ORDER BY i)) AS centroid_sha256 FROM c{rounds} GROUP BY cluster
+)"""
+    )
+    return (
+        "WITH "
+        + ",\n".join(steps)
+        + f"""
+SELECT vec_id, CAST(cluster AS INTEGER) AS cluster, CAST(d AS BIGINT) AS distance,
+  CAST(sum(d) OVER (PARTITION BY cluster) AS BIGINT) AS cluster_inertia, CAST(sum(d) OVER () AS BIGINT) AS inertia,
+  centroid_sha256
+FROM a{rounds} JOIN named USING (cluster)"""
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_ngram_join": op1_ngram_join,
     "op2_decontamination": op2_decontamination,
@@ -128,5 +177,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_line_dedup": op8_line_dedup,
     "op9_language": op9_language,
     "op10_url_filter": op10_url_filter,
+    "op13_centroids": op13_centroids,
 }
-ORACLES: dict[str, str] = {"op10_url_filter": OP10_SQL.strip()}
+ORACLES: dict[str, str] = {"op10_url_filter": OP10_SQL.strip(), "op13_centroids": _op13_sql()}
