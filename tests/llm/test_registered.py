@@ -13,6 +13,9 @@ COLUMNS = {
     "op8": ["doc_id", "n_lines", "n_removed", "text"],
     "op9": ["doc_id", "held_out", "lang_pred", "score"],
     "op10": ["page_id", "host", "path", "rule", "verdict"],
+    "op11": ["doc_id", "n_runs", "start", "length", "period", "exponent_milli", "runs_sha256", "collapsed_sha256"],
+    "op12": ["query_id", "rank", "vec_id", "score"],
+    "op13": ["vec_id", "cluster", "distance", "cluster_inertia", "inertia", "centroid_sha256"],
 }
 
 
@@ -21,7 +24,7 @@ def test_whole_tables_and_columns(spark, small, name):
     df = QUERIES[name](spark, small)
     columns = COLUMNS[name.split("_")[0]]
     assert [c for c in df.columns if c in columns] == columns
-    source = "pages" if name.startswith("op10") else "documents"
+    source = {"op10": "pages", "op12": "embeddings", "op13": "embeddings"}.get(name.split("_")[0], "documents")
     rows = spark.read.parquet(f"{small}/{source}.parquet").count()
-    one_per_row = name.split("_")[0] not in ("op2", "op3")
+    one_per_row = name.split("_")[0] not in ("op2", "op3", "op12")
     assert df.count() == rows if one_per_row else df.count() > 0

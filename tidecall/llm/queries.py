@@ -8,7 +8,20 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidecall.llm import centroids, decontaminate, langid, licenses, lines, ngram_join, packing, quality, sharding, toxicity, urls
+from tidecall.llm import (
+    centroids,
+    decontaminate,
+    langid,
+    licenses,
+    lines,
+    ngram_join,
+    packing,
+    periodic,
+    quality,
+    sharding,
+    toxicity,
+    urls,
+)
 from tidecall.llm.common import table
 
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
@@ -117,6 +130,50 @@ FROM ruled
 """
 
 
+def with_planted_runs(docs: DataFrame) -> DataFrame:
+    """``doc_id, text``; one text in ten repeats a stretch of its words up to its end.
+
+    With h = crc32(id as text), g = h / 10 and n words: if h % 10 = 0, word i >= a becomes word
+    a + (i - a) % p, where a = g % n and p = 1 + (n - a) / (3 + g % 8). Texts without words
+    and rows without id stay.
+    """
+    h = F.crc32(F.col("doc_id").cast("string").cast("binary"))
+    g = F.floor(h / 10)
+
+    def planted(words: Column) -> Column:
+        n = F.size(words)
+        a = g % n
+        p = F.floor((n - a) / (3 + g % 8)) + 1
+        place = lambda i: F.when(i < a, i).otherwise(a + (i - a) % p).cast("int")
+        return F.array_join(F.transform(F.sequence(F.lit(0), n - 1), lambda i: F.get(words, place(i))), " ")
+
+    # The list of words is bound once, not computed anew for each place.
+    words = F.array(F.regexp_extract_all("text", F.lit(r"[^\x20\x09-\x0D]+"), F.lit(0)))
+    changed = F.transform(words, lambda w: F.when(F.size(w) > 0, planted(w)).otherwise(F.col("text")))
+    return docs.select("doc_id", F.when(h % 10 == 0, F.get(changed, F.lit(0))).otherwise(F.col("text")).alias("text"))
+
+
+def op11_periodic(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = periodic.collapse_runs(with_planted_runs(table(spark, sf_dir, "documents")))
+    best = F.array_max(
+        F.transform(
+            "runs", lambda r: F.struct(r["length"].alias("length"), (-r["start"]).alias("start"), (-r["period"]).alias("period"))
+        )
+    )
+    line = F.transform("runs", lambda r: F.concat_ws(",", r["start"], r["length"], F.concat(r["period"], F.lit("\n"))))
+    return found.withColumn("best", best).select(
+        "doc_id",
+        F.size("runs").cast("bigint").alias("n_runs"),
+        (-F.col("best.start")).alias("start"),
+        F.col("best.length").alias("length"),
+        (-F.col("best.period")).alias("period"),
+        F.expr("1000 * best.length div -best.period").alias("exponent_milli"),
+        F.sha2(F.array_join(line, ""), 256).alias("runs_sha256"),
+        F.sha2("collapsed", 256).alias("collapsed_sha256"),
+        "n_words",
+    )
+
+
 def op13_centroids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return centroids.cluster_vectors(table(spark, sf_dir, "embeddings"))
 
@@ -177,6 +234,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_line_dedup": op8_line_dedup,
     "op9_language": op9_language,
     "op10_url_filter": op10_url_filter,
+    "op11_periodic": op11_periodic,
     "op13_centroids": op13_centroids,
 }
 ORACLES: dict[str, str] = {"op10_url_filter": OP10_SQL.strip(), "op13_centroids": _op13_sql()}
