@@ -14,6 +14,7 @@ from tidecall.llm import (
     langid,
     licenses,
     lines,
+    neighbours,
     ngram_join,
     packing,
     periodic,
@@ -174,6 +175,10 @@ def op11_periodic(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op12_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neighbours.nearest_neighbours(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0)
+
+
 def op13_centroids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return centroids.cluster_vectors(table(spark, sf_dir, "embeddings"))
 
@@ -235,6 +240,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_language": op9_language,
     "op10_url_filter": op10_url_filter,
     "op11_periodic": op11_periodic,
+    "op12_neighbours": op12_neighbours,
     "op13_centroids": op13_centroids,
 }
 ORACLES: dict[str, str] = {"op10_url_filter": OP10_SQL.strip(), "op13_centroids": _op13_sql()}
