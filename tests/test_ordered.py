@@ -57,15 +57,31 @@ def test_number_rows(spark, skewed):
     ],
     ids=["one", "two", "same", "line", "hot", "wide", "gaps"],
 )
-def test_exact_quantiles(spark, values):
+@pytest.mark.parametrize("accuracy", [10, 10_000])
+def test_exact_quantiles(spark, values, accuracy):
     df = spark.createDataFrame([(v,) for v in values], "x double").repartition(4)
     points = [0.0, 0.1, 0.25, 0.5, 0.75, 1.0]
-    got = {r.probability: r.value for r in exact_quantiles(df, ["x"], points, buckets=8).collect()}
+    found = exact_quantiles(df, ["x"], points, accuracy=accuracy, rows_per_range=10)
+    got = {r.probability: r.value for r in found.collect()}
     kept = [v for v in values if v is not None and not math.isnan(v)]
     for p in points:
         assert got[p] == pytest.approx(np.quantile(kept, p), rel=1e-12)
 
 
+def test_only_values_between_the_bounds_are_written(spark, monkeypatch):
+    """Of 20,000 rows, half of them equal, few reach the second step."""
+    from tidecall.functions import ordered
+
+    written = {}
+    plain = ordered.materialize
+    monkeypatch.setattr(ordered, "materialize", lambda df, label="step": written.setdefault(label, plain(df, label)))
+    df = spark.range(20000).select(F.when(F.col("id") % 2 == 0, 5.0).otherwise(F.sin("id") * 100).alias("x"), (F.col("id") * 7 % 1000).alias("y"))
+    got = {(r["column"], r.probability): r.value for r in exact_quantiles(df, ["x", "y"], [0.25, 0.5, 0.9], accuracy=1000).collect()}
+    table = df.toPandas()
+    assert all(v == pytest.approx(np.quantile(table[c], p), rel=1e-12) for (c, p), v in got.items()) and len(got) == 6
+    assert written["between"].count() < 6 * 20000 * 4 / 1000 + 1
+
+
 def test_exact_quantiles_of_nothing(spark):
     df = spark.createDataFrame([(None,), (float("nan"),)], "x double")
     assert exact_quantiles(df, ["x"], [0.5]).count() == 0
@@ -78,14 +94,39 @@ def brute_auc(pairs):
     return won / (len(pos) * len(neg))
 
 
+@pytest.mark.parametrize("rows_per_range", [20, 200_000])
 @pytest.mark.parametrize("seed, digits", [(1, 1), (2, 2), (3, 9)])
-def test_auc_equals_pairwise_count(spark, seed, digits):
+def test_auc_equals_pairwise_count(spark, seed, digits, rows_per_range):
     rng = np.random.default_rng(seed)
     scores = np.round(rng.random(400) ** 8, digits)
     labels = (rng.random(400) < 0.2 + 0.6 * scores).astype(int)
     pairs = list(zip(scores.tolist(), labels.tolist()))
     df = spark.createDataFrame(pairs, "score double, label int").repartition(5)
-    assert evaluation.roc_auc(df, buckets=16).first()[0] == pytest.approx(brute_auc(pairs), abs=1e-12)
+    assert evaluation.roc_auc(df, rows_per_range=rows_per_range).first()[0] == pytest.approx(brute_auc(pairs), abs=1e-12)
+
+
+@pytest.mark.parametrize("rows", [3000, 12000])
+def test_ranges_follow_the_number_of_rows(spark, monkeypatch, rows):
+    """At four times the rows a task orders no more of them, also where a value holds a third of all."""
+    from tidecall.functions import ordered
+
+    written = {}
+    plain = ordered.materialize
+    monkeypatch.setattr(ordered, "materialize", lambda df, label="step": written.setdefault(label, plain(df, label)))
+    df = spark.range(rows).select(
+        F.when(F.col("id") % 3 == 0, 0.5).otherwise(F.rand(3)).alias("score"), (F.col("id") % 5 == 0).cast("int").alias("label")
+    )
+    evaluation.roc_auc(df, rows_per_range=500).collect()
+    sizes = [r["count"] for r in written["ranged"].groupBy(F.shiftrightunsigned("__at", 33)).count().collect()]
+    assert len(sizes) == -(-(2 * rows // 3 + 1) // 500) and max(sizes) < 1000
+
+
+def test_number_rows_needs_one_shuffle(spark):
+    df = spark.range(5000).select((F.col("id") * 7919 % 5000).alias("id"), F.lit(1).alias("v"))
+    got = number_rows(df, ["id"], "n", rows_per_range=300)
+    assert sorted(rows(got.select("id", "n"))) == [(i, i + 1) for i in range(5000)]
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert "Window" not in plan and "hashpartitioning" not in plan
 
 
 def test_auc_equals_spark_evaluator(spark):

@@ -2,18 +2,26 @@
 
 A window over a hot key, or over the whole table, sorts all of its rows in a
 single task. The functions here cut the order into bounded chunks, work inside
-each chunk, and carry only one summary row per chunk across chunk borders.
+each chunk, and carry only one summary row per chunk across chunk borders. The
+number of chunks follows the number of rows.
 """
 
 from __future__ import annotations
 
-from pyspark.ml.feature import Bucketizer
-from pyspark.sql import Column, DataFrame, Window
+import math
+import uuid
+
+from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidecall.session import materialize
 
+#: Rows that one task orders.
+ROWS_PER_RANGE = 200_000
+#: Bits of ``monotonically_increasing_id`` that count the rows of a partition.
+_ROW_BITS = 33
+
 
 def _never_null(df: DataFrame, keys: list[str]) -> dict[str, Column]:
     """Two non-null columns per key that together tell null from every value.
@@ -82,140 +90,174 @@ def with_history(
     return joined.select(*df.columns, *[c.alias(n) for n, c in out.items()])
 
 
-def number_rows(df: DataFrame, order: list[str], name: str, partitions: int | None = None) -> DataFrame:
-    """Dense 1-based numbers in a total order, without a single-partition window.
+def _range_of(at: str) -> Column:
+    """The partition in which a row got its ``monotonically_increasing_id``."""
+    return F.shiftrightunsigned(at, _ROW_BITS)
+
+
+def _offsets(ranged: DataFrame, sums: dict[str, Column], at: str = "__at") -> DataFrame:
+    """Sums over all earlier ranges for each range, one row per range.
 
-    The rows are range-partitioned and written once with their partition number;
-    positions inside a partition are then shifted by the sizes of those before it.
-    ``order`` must be unique per row.
+    Written, so that the planner knows its size and broadcasts it only if it is small.
     """
-    spark = df.sparkSession
-    n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    ranged = materialize(
-        df.repartitionByRange(n, *order).withColumn("__part", F.spark_partition_id()), "ranged"
+    per_range = ranged.groupBy(_range_of(at).alias("__range")).agg(*[c.alias(n) for n, c in sums.items()])
+    # One row per range: a window without keys stays small here.
+    earlier = Window.orderBy("__range").rowsBetween(Window.unboundedPreceding, -1)
+    zero = {n: F.lit(0).cast(per_range.schema[n].dataType) for n in sums}
+    return materialize(
+        per_range.select("__range", *[F.coalesce(F.sum(n).over(earlier), zero[n]).alias(n) for n in sums]), "offsets"
     )
-    within = Window.partitionBy("__part").orderBy(*order)
-    sizes = ranged.groupBy("__part").agg(
-        F.count("*").alias("__rows"), F.min(F.struct(*order)).alias("__first")
+
+
+def _ranged(df: DataFrame, order: list[str], rows_per_range: int) -> DataFrame:
+    """The rows in order, in as many ranges as their number needs, with their place as ``__at``."""
+    stored = materialize(df, "unordered")
+    ranges = max(1, math.ceil(stored.count() / rows_per_range))
+    lined = stored.repartitionByRange(ranges, *order) if ranges > 1 else stored.coalesce(1)
+    return materialize(
+        lined.sortWithinPartitions(*order).withColumn("__at", F.monotonically_increasing_id()), "ranged"
     )
-    # One row per range partition: a window without keys stays tiny here.
-    upto = Window.orderBy("__first").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = sizes.select("__part", F.coalesce(F.sum("__rows").over(upto), F.lit(0)).alias("__before"))
+
+
+def number_rows(df: DataFrame, order: list[str], name: str, rows_per_range: int = ROWS_PER_RANGE) -> DataFrame:
+    """Dense 1-based numbers in a total order, with one shuffle and without a window over rows.
+
+    Rows are range-partitioned, sorted inside their ranges and written with their places; a
+    place is then shifted by the sizes of the ranges before it. ``order`` must be unique per row.
+    """
+    ranged = _ranged(df, order, rows_per_range)
+    offsets = _offsets(ranged, {"__before": F.count("*")})
+    place = F.col("__at").bitwiseAND(F.lit((1 << _ROW_BITS) - 1))
     return (
-        ranged.withColumn("__pos", F.row_number().over(within))
-        .join(offsets, "__part")
-        .withColumn(name, (F.col("__before") + F.col("__pos")).cast("bigint"))
-        .drop("__part", "__pos", "__before")
+        ranged.withColumn("__range", _range_of("__at"))
+        .join(offsets, "__range")
+        .withColumn(name, (F.col("__before") + place + 1).cast("bigint"))
+        .drop("__range", "__before", "__at")
     )
 
 
-# --- quantile buckets --------------------------------------------------------------
+def counts_before(
+    df: DataFrame, order: list[str], sums: list[str], rows_per_range: int = ROWS_PER_RANGE
+) -> DataFrame:
+    """Add ``<column>_before``: the sum of each column of ``sums`` over all earlier rows.
 
+    ``order`` must be unique per row. One task orders one range; across ranges only one row of
+    sums for each range is carried.
+    """
+    ranged = _ranged(df, order, rows_per_range).withColumn("__range", _range_of("__at"))
+    offsets = _offsets(ranged, {f"__{c}": F.sum(c) for c in sums})
+    earlier = Window.partitionBy("__range").orderBy("__at").rowsBetween(Window.unboundedPreceding, -1)
+    inside = {f"{c}_before": F.coalesce(F.sum(c).over(earlier), F.lit(0)) for c in sums}
+    shifted = {f"{c}_before": F.col(f"{c}_before") + F.col(f"__{c}") for c in sums}
+    return (
+        ranged.withColumns(inside)
+        .join(offsets, "__range")
+        .withColumns(shifted)
+        .drop("__range", "__at", *[f"__{c}" for c in sums])
+    )
 
-def quantile_cuts(df: DataFrame, cols: list[str], buckets: int) -> dict[str, list[float]]:
-    """About ``buckets - 1`` increasing cut points per column with near-equal row counts.
 
-    One pass builds a mergeable sketch per partition; the driver sees only the cuts.
-    """
-    probabilities = [i / buckets for i in range(1, buckets)]
-    found = df.approxQuantile(cols, probabilities, 1.0 / (4 * buckets))
-    return {c: sorted(set(values)) for c, values in zip(cols, found)}
+# --- quantiles -------------------------------------------------------------------------
 
 
-def add_buckets(df: DataFrame, cuts: dict[str, list[float]], suffix: str = "__bucket") -> DataFrame:
-    """Bucket number per column by binary search over its cuts.
+def quantile_bounds(x: Column, probabilities: list[float], accuracy: int) -> Column:
+    """An aggregate: values surely at or below, and at or above, each probability's position.
 
-    Bucket ``i`` holds values in ``[cut[i-1], cut[i])``, so buckets follow the order of values.
-    NaN gets a bucket of its own after the last one.
+    They come from one mergeable summary whose ranks are off by ``1 / accuracy`` of the rows at most.
     """
-    inf = float("inf")
-    cols = list(cuts)
-    splits = []
-    for c in cols:
-        inner = [x for x in cuts[c] if -inf < x < inf]
-        splits.append([-inf, *(inner or [0.0]), inf])
-    bucketizer = Bucketizer(
-        inputCols=cols, outputCols=[c + suffix for c in cols], splitsArray=splits, handleInvalid="keep"
-    )
-    return bucketizer.transform(df)
+    slack = 2.0 / accuracy
+    sides = [min(1.0, max(0.0, p + side)) for p in probabilities for side in (-slack, slack)]
+    return F.percentile_approx(x, sides, accuracy)
 
 
 def exact_quantiles(
-    df: DataFrame, cols: list[str], probabilities: list[float], buckets: int = 512
+    df: DataFrame,
+    cols: list[str],
+    probabilities: list[float],
+    accuracy: int = 10_000,
+    bounds: dict[str, tuple[int, list[float]]] | None = None,
+    rows_per_range: int = ROWS_PER_RANGE,
 ) -> DataFrame:
     """Interpolated quantiles per column: rows of ``column, probability, value``.
 
-    A first pass counts rows per quantile bucket and finds the buckets that hold
-    the wanted positions; a second pass looks only into those, about
-    ``1 / buckets`` of the rows each, after collapsing equal values.
+    A first pass bounds every wanted value by two others, a few thousandths of the rows apart.
+    A second pass counts the rows below and at these bounds for all columns at once, and
+    writes only values strictly between them, so that no value however frequent is written. The
+    wanted positions are looked up among those.
+    The driver holds a few numbers per column and probability. ``bounds`` are the row counts
+    and bounds of a first pass that the caller has made together with other aggregates
+    (:func:`quantile_bounds` at the same accuracy).
     """
-    numbers = df.select(*[F.nullif(F.col(f"`{c}`").cast("double"), F.lit(float("nan"))).alias(c) for c in cols])
-    bucketed = add_buckets(numbers, quantile_cuts(numbers, cols, buckets))
-    pairs = F.array(
-        *[
+    spark = df.sparkSession
+    numbers = df.select(*[_number(c).alias(c) for c in cols])
+    if bounds is None:
+        first = numbers.agg(
+            F.struct(*[F.count(F.col(f"`{c}`")).alias(f"n{i}") for i, c in enumerate(cols)]).alias("n"),
             F.struct(
-                F.lit(c).alias("column"),
-                F.col(f"`{c}`").alias("value"),
-                F.col(f"`{c}__bucket`").cast("int").alias("bucket"),
-            )
-            for c in cols
+                *[quantile_bounds(F.col(f"`{c}`"), probabilities, accuracy).alias(f"b{i}") for i, c in enumerate(cols)]
+            ).alias("b"),
+        ).first()
+        bounds = {c: (first["n"][i], first["b"][i]) for i, c in enumerate(cols)}
+    edges = []  # column, probability, rows, low, high
+    for c in cols:
+        n, sides = bounds[c]
+        for j, p in enumerate(probabilities if n else []):
+            # Bounds of few rows may be one row off, so that there all values are between them.
+            low, high = (float(x) for x in sides[2 * j : 2 * j + 2]) if n >= accuracy else (-math.inf, math.inf)
+            edges.append((c, p, n, low, high))
+    if not edges:
+        return spark.createDataFrame([], "column string, probability double, value double")
+    counts, inside = [], []
+    for e, (c, _, _, low, high) in enumerate(edges):
+        x = F.col(f"`{c}`")
+        counts += [
+            F.count_if(x < low).alias(f"below{e}"),
+            F.count_if(x == low).alias(f"low{e}"),
+            F.count_if((x > low) & (x < high)).alias(f"inside{e}"),
         ]
+        if low < high:
+            entry = F.struct(F.lit(e).alias("edge"), x.alias("value"))
+            inside.append(F.when((x > low) & (x < high), entry))
+    seen = Observation(f"quantiles-{uuid.uuid4().hex}")
+    entries = F.array_compact(F.array(*inside)) if inside else F.array().cast("array<struct<edge:int,value:double>>")
+    between = materialize(
+        numbers.observe(seen, *counts).select(F.explode(entries).alias("e")).select("e.edge", "e.value"), "between"
     )
-    long = bucketed.select(F.explode(pairs).alias("p")).select("p.*").where(F.col("value").isNotNull())
-    per_bucket = long.groupBy("column", "bucket").agg(F.count("*").alias("n"))
-    by_column = Window.partitionBy("column")
-    running = by_column.orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
-    bounds = per_bucket.select(
-        "column",
-        "bucket",
-        F.coalesce(F.sum("n").over(running), F.lit(0)).alias("before"),
-        "n",
-        F.sum("n").over(by_column).alias("total"),
-    )
-    wanted = F.explode(
-        F.flatten(
-            F.array(
-                *[
-                    F.array(
-                        F.struct(F.lit(p).alias("probability"), F.lit(0).alias("side"), F.floor(_at(p)).alias("at")),
-                        F.struct(F.lit(p).alias("probability"), F.lit(1).alias("side"), F.ceil(_at(p)).alias("at")),
-                    )
-                    for p in probabilities
-                ]
-            )
+    counted = seen.get
+    names = ["column", "probability", "side", "share", "at"]
+    known, wanted = [], []
+    start = 0
+    for e, (c, p, n, low, high) in enumerate(edges):
+        below, at_low, within = (counted[f"{k}{e}"] for k in ("below", "low", "inside"))
+        exact = (n - 1) * p
+        for side, at in enumerate((math.floor(exact), math.ceil(exact))):
+            if at < below:
+                raise RuntimeError(f"quantile {p} of {c} lies below its bound")
+            if at < below + at_low or at >= below + at_low + within:
+                known.append((c, p, side, exact - math.floor(exact), low if at < below + at_low else high))
+            else:
+                wanted.append((e, c, p, side, exact - math.floor(exact), start + at - below - at_low))
+        start += within
+    found = spark.createDataFrame(known, "column string, probability double, side int, share double, value double")
+    if wanted:
+        # Edges follow each other in one order, each with its rows between the bounds.
+        distinct = between.groupBy("edge", "value").agg(F.count("*").alias("n"))
+        ranked = counts_before(distinct, ["edge", "value"], ["n"], rows_per_range)
+        by_edge: dict[int, list] = {}
+        for e, *place in wanted:
+            by_edge.setdefault(e, []).append(F.struct(*[F.lit(v).alias(k) for k, v in zip(names, place)]))
+        places = F.create_map(*[x for e, some in by_edge.items() for x in (F.lit(e), F.array(*some))])
+        here = F.filter(
+            F.try_element_at(places, F.col("edge")),
+            lambda w: (w["at"] >= F.col("n_before")) & (w["at"] < F.col("n_before") + F.col("n")),
         )
+        hit = ranked.select(F.explode(here).alias("w"), "value").select("w.*", "value").drop("at")
+        found = found.unionByName(hit)
+    low, high = (F.max(F.when(F.col("side") == side, F.col("value"))) for side in (0, 1))
+    return found.groupBy("column", "probability").agg(
+        F.when(low == high, low).otherwise(low + (high - low) * F.max("share")).alias("value")
     )
-    targets = (
-        bounds.withColumn("w", wanted)
-        .where((F.col("w.at") >= F.col("before")) & (F.col("w.at") < F.col("before") + F.col("n")))
-        .select("column", "bucket", "before", "total", "w.*")
-    )
-    # Two rows per column and probability. Written first, so that the planner knows the size.
-    targets = materialize(targets, "targets")
-    needed = targets.select("column", "bucket").distinct()
-    in_bucket = Window.partitionBy("column", "bucket").orderBy("value")
-    values = (
-        long.join(needed, ["column", "bucket"], "left_semi")
-        .groupBy("column", "bucket", "value")
-        .agg(F.count("*").alias("n"))
-    )
-    ranked = values.withColumn(
-        "upto", F.sum("n").over(in_bucket.rowsBetween(Window.unboundedPreceding, 0))
-    )
-    position = F.col("at") - F.col("before")
-    hits = targets.join(ranked, ["column", "bucket"]).where(
-        (position >= F.col("upto") - F.col("n")) & (position < F.col("upto"))
-    )
-    low = F.max(F.when(F.col("side") == 0, F.col("value")))
-    high = F.max(F.when(F.col("side") == 1, F.col("value")))
-    share = F.max(_at(F.col("probability")) - F.floor(_at(F.col("probability"))))
-    return hits.groupBy("column", "probability").agg(
-        F.when(low == high, low).otherwise(low + (high - low) * share).alias("value")
-    )
-
-
-def _at(p) -> Column:
-    p = p if isinstance(p, Column) else F.lit(float(p))
-    return (F.col("total") - 1) * p
 
 
+def _number(c: str) -> Column:
+    return F.nullif(F.col(f"`{c}`").cast("double"), F.lit(float("nan")))

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidecall import fixed_values as V
-from tidecall.functions.ordered import add_buckets, quantile_cuts
+from tidecall.functions.ordered import ROWS_PER_RANGE, counts_before
 
 
 def _cells(label: str, prediction: str) -> dict[str, Column]:
@@ -62,34 +62,26 @@ def metrics(df: DataFrame, label: str = "label", prediction: str = "prediction")
 
 
 def roc_auc(
-    df: DataFrame, label: str = "label", score: str = "score", buckets: int = 512
+    df: DataFrame, label: str = "label", score: str = "score", rows_per_range: int = ROWS_PER_RANGE
 ) -> DataFrame:
     """Exact area under the ROC curve with ties, as one row; null if only one class occurs.
 
-    Equal scores are collapsed first. Negatives below a score are counted inside
-    quantile buckets of the score, and only one row per bucket is ordered as a
-    whole, so continuous scores do not meet in a single task.
+    Equal scores are collapsed first, so that a frequent score is one row. Distinct scores are
+    then ordered in ranges whose number follows from their count, and each range carries the
+    negatives of all ranges below it: no task orders more than about ``rows_per_range`` scores.
     """
-    data = df.select(F.col(f"`{score}`").cast("double").alias("__s"), F.col(f"`{label}`").alias("__y")).where(
-        F.col("__s").isNotNull()
-    )
-    bucketed = add_buckets(data, quantile_cuts(data, ["__s"], buckets))
-    per_score = bucketed.groupBy("__s__bucket", "__s").agg(
-        F.count_if(F.col("__y") == 1).cast("double").alias("pos"),
-        F.count_if(F.col("__y") == 0).cast("double").alias("neg"),
-    )
-    lower = Window.partitionBy("__s__bucket").orderBy("__s").rowsBetween(Window.unboundedPreceding, -1)
-    below = F.coalesce(F.sum("neg").over(lower), F.lit(0.0))
-    per_bucket = (
-        per_score.withColumn("won", F.col("pos") * (below + F.col("neg") / 2))
-        .groupBy("__s__bucket")
-        .agg(F.sum("won").alias("won"), F.sum("pos").alias("pos"), F.sum("neg").alias("neg"))
+    data = df.select(F.col(f"`{score}`").cast("double").alias("__s"), F.col(f"`{label}`").alias("__y"))
+    per_score = (
+        data.where(F.col("__s").isNotNull())
+        .groupBy("__s")
+        .agg(
+            F.count_if(F.col("__y") == 1).cast("double").alias("pos"),
+            F.count_if(F.col("__y") == 0).cast("double").alias("neg"),
+        )
     )
-    # One row per bucket, at most ``buckets`` + 1.
-    earlier = Window.orderBy("__s__bucket").rowsBetween(Window.unboundedPreceding, -1)
-    before = F.coalesce(F.sum("neg").over(earlier), F.lit(0.0))
-    return per_bucket.withColumn("won", F.col("won") + F.col("pos") * before).agg(
-        F.try_divide(F.sum("won"), F.sum("pos") * F.sum("neg")).alias("roc_auc")
+    won = F.col("pos") * (F.col("neg_before") + F.col("neg") / 2)
+    return counts_before(per_score, ["__s"], ["neg"], rows_per_range).agg(
+        F.try_divide(F.sum(won), F.sum("pos") * F.sum("neg")).alias("roc_auc")
     )
 
 

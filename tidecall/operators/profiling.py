@@ -17,7 +17,7 @@ from pyspark.sql import types as T
 
 from tidecall import fixed_values as V
 from tidecall.functions import columns as C
-from tidecall.functions.ordered import exact_quantiles
+from tidecall.functions.ordered import exact_quantiles, quantile_bounds
 from tidecall.schema import numeric_columns, text_columns
 from tidecall.session import materialize
 
@@ -93,10 +93,12 @@ def category_levels(df: DataFrame, cols: list[str]) -> DataFrame:
     return long.groupBy("column", "level").agg(F.count("*").alias("n"))
 
 
-def describe(df: DataFrame, cols: list[str] | None = None, exact: bool = True) -> DataFrame:
+def describe(df: DataFrame, cols: list[str] | None = None, exact: bool = True, accuracy: int = 10_000) -> DataFrame:
     """Count, mean, sample deviation, minimum, quartiles and maximum per numeric column.
 
-    ``exact=False`` takes the quartiles from a mergeable sketch in the same pass.
+    Two passes over ``df``: one aggregate of all columns, with bounds for the quartiles, and
+    one that counts around these bounds (``exact_quantiles``). ``exact=False`` takes the
+    quartiles from the summary of the first pass.
     """
     cols = cols or numeric_columns(df)
     points = {0.25: "q25", 0.5: "q50", 0.75: "q75"}
@@ -110,18 +112,23 @@ def describe(df: DataFrame, cols: list[str] | None = None, exact: bool = True) -
             "min": F.min(x),
             "max": F.max(x),
         }
-        if not exact:
+        if exact:
+            measures[c]["bounds"] = quantile_bounds(x, list(points), accuracy)
+        else:
             for p, name in points.items():
-                measures[c][name] = F.percentile_approx(x, list(points), 10000)[list(points).index(p)]
+                measures[c][name] = F.percentile_approx(x, list(points), accuracy)[list(points).index(p)]
     base = per_column(df, measures)
     if not exact:
         return base
+    # One row per column.
+    base = materialize(base, "measures")
+    bounds = {r["column"]: (r["count"], r["bounds"]) for r in base.collect()}
     quartiles = (
-        exact_quantiles(df, cols, list(points))
+        exact_quantiles(df, cols, list(points), accuracy, bounds)
         .groupBy("column")
         .agg(*[F.max(F.when(F.col("probability") == p, F.col("value"))).alias(n) for p, n in points.items()])
     )
-    return base.join(quartiles, "column", "left")
+    return base.drop("bounds").join(quartiles, "column", "left")
 
 
 # --- distributions -------------------------------------------------------------------
