@@ -99,3 +99,68 @@ def test_exact_sizes_with_repeated_keys_and_without_a_key(spark, key):
     assert len(found[0]) == 200 and found[0] == found[1]
     by_v = splitting.split_exact(df, key, 0.2, strata=["v"]).where("split = 'test'").groupBy("v").count()
     assert sorted(rows(by_v)) == [(0, 67), (1, 67), (2, 66)] or sum(r[1] for r in rows(by_v)) == 200
+
+
+def task_rows(spark, action):
+    """Most rows that a task of each stage read from a shuffle, by the status store, and what ``action`` gave."""
+    store = spark.sparkContext._jsc.sc().statusStore()
+    before = {s.stageId() for s in stages(store)}
+    out = action()
+    most = []
+    for s in stages(store):
+        if s.stageId() not in before:
+            tasks = store.taskList(s.stageId(), s.attemptId(), 10000)
+            read = [m.get().shuffleReadMetrics().recordsRead() for t in range(tasks.size()) if (m := tasks.apply(t).taskMetrics()).isDefined()]
+            most.append(max(read, default=0))
+    return most, out
+
+
+def stages(store):
+    found = store.stageList(None, False, False, spark_doubles(), None)
+    return [found.apply(i) for i in range(found.size())]
+
+
+def spark_doubles():
+    from pyspark import SparkContext
+
+    return SparkContext._active_spark_context._gateway.new_array(SparkContext._active_spark_context._jvm.double, 0)
+
+
+@pytest.mark.parametrize("values", [1, 20_000])
+def test_a_hot_key_at_the_border_is_not_one_task(spark, monkeypatch, values):
+    """A key with a third of all rows: no task gets them, be they alike or all different.
+
+    With 256 buckets, so that their counts are few beside the rows.
+    """
+    monkeypatch.setattr(splitting, "_BELOW_BUCKET", 52)
+    n = 30_000
+    df = spark.range(0, n, 1, 16).select(
+        F.when(F.col("id") % 3 == 0, 7).otherwise(F.col("id") + 100).alias("k"), (F.col("id") % values).alias("v")
+    )
+    # The fraction at which the hot key is the border, half of it inside.
+    order = df.select("k").distinct().select("k", splitting.C.hash_order("k").alias("h"))
+    mark = order.where("k = 7").first()["h"]
+    lower = df.join(order.where(F.col("h") < mark), "k", "left_semi").count()
+    fraction = (lower + n / 6) / n
+    tested = F.col("split") == "test"
+    both = [F.count_if(tested), F.count_if(tested & (F.col("k") == 7))]
+    most, got = task_rows(spark, lambda: splitting.split_exact(df, "k", fraction).agg(*both).first())
+    assert tuple(got) == (math.ceil(fraction * n), math.ceil(fraction * n) - lower)
+    assert max(most) < n / 6
+
+
+def test_the_input_is_read_once(spark, tmp_path):
+    df = spark.range(1000).selectExpr("id % 7 as k", "id % 3 as v")
+    path = str(tmp_path / "input")
+    df.write.parquet(path)
+    stored = spark.read.parquet(path)
+    split = splitting.split_exact(stored, "k", 0.2)
+    assert path not in split._jdf.queryExecution().executedPlan().toString()
+    assert split.where("split = 'test'").count() == 200
+
+
+def test_sample_of_repeated_rows(spark):
+    df = spark.range(3000).selectExpr("id % 2 as k", "id % 4 as v")
+    for n in (2, 5):
+        sample = splitting.sample_rows(df.repartition(n), "k", rows=400, fraction=0.5)
+        assert sample.count() == 400 and sample.select("k").distinct().count() == 1

@@ -7,15 +7,18 @@ decide; rows that agree in all of them are interchangeable.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidecall import fixed_values as V
 from tidecall.functions import columns as C
+from tidecall.functions.ordered import number_rows
 from tidecall.session import materialize
 
-#: Leading hex digits of the hash that form a counting bucket (16 ** 4 buckets).
-_BUCKET_DIGITS = 4
+#: Hex digits of a hash that make a number, and bits of it below its counting bucket (2 ** 16 buckets).
+_HASH_DIGITS, _BELOW_BUCKET = 15, 44
+#: Bits of ``monotonically_increasing_id`` below the partition number.
+_BELOW_PARTITION = 33
 
 
 def split_threshold(
@@ -35,78 +38,107 @@ def split_exact(
 ) -> DataFrame:
     """Add ``split`` with exactly ``ceil(fraction * n)`` test rows, the lowest in hash order.
 
-    Without a key the order is drawn from all columns of a row. Only the rows that share the
-    hash at the border are ranked once more, by all their values.
-
-    With ``strata`` the test rows are shared out in proportion to the size of
-    each stratum, leftovers going to the largest remainders. Nothing is sorted
-    as a whole: counts per hash prefix show which prefix holds the last test
-    row, and only the rows of that prefix are ranked. The tables of cut points
-    have a row per stratum and are written before they are joined: the planner
-    then knows their size, and broadcasts them only if they are small.
+    Without a key the order is drawn from all columns of a row. With ``strata`` the test rows
+    are shared out in proportion to the size of each stratum, leftovers going to the largest
+    remainders. The input is read once and written with its hashes; all steps read that table
+    (``_first_rows`` says how the last test row is found without ranking the rows).
     """
     strata = strata or []
-    key = key or df.columns
-    hashed = df.withColumn("__h", C.hash_order(key, seed))
-    slim = hashed.select(*strata, "__h", F.substring("__h", 1, _BUCKET_DIGITS).alias("__b"))
-
-    # At most 16 ** 4 rows per stratum reach these windows.
-    counts = slim.groupBy(*strata, "__b").agg(F.count("*").alias("__n"))
-    by_stratum = Window.partitionBy(*strata)
-    upto = by_stratum.orderBy("__b").rowsBetween(Window.unboundedPreceding, 0)
-    sizes = counts.groupBy(*strata).agg(F.sum("__n").alias("__total"))
-    quota = _quotas(sizes, strata, fraction)
-    ladder = counts.withColumn("__upto", F.sum("__n").over(upto))
-    edge = (
-        _join(ladder, quota, strata)
-        .where((F.col("__k") > F.col("__upto") - F.col("__n")) & (F.col("__k") <= F.col("__upto")))
-        .select(*strata, "__b", (F.col("__k") - F.col("__upto") + F.col("__n")).alias("__need"))
-    )
-    if strata:
-        edge = materialize(edge, "edge")
-    inside = Window.partitionBy(*strata, "__b").orderBy("__h")
-    cut = (
-        _join(slim, edge, [*strata, "__b"])
-        .withColumn("__rank", F.row_number().over(inside))
-        .withColumn("__tie", F.row_number().over(Window.partitionBy(*strata, "__b", "__h").orderBy("__rank")))
-        .where(F.col("__rank") == F.col("__need"))
-        .select(*strata, F.col("__h").alias("__cut"), F.col("__tie").alias("__of_cut"))
-    )
-    # A stratum without test rows has no cut.
-    if strata:
-        cut = materialize(cut, "cut")
-    marked = _join(hashed, cut, strata, "left")
-    at_cut = F.coalesce(F.col("__h") == F.col("__cut"), F.lit(False))
-    # One row, or as many as share the key at the border.
-    values = F.to_json(F.struct(*df.columns), {"ignoreNullFields": "false"})
-    place = F.row_number().over(Window.partitionBy(*strata, "__b", "__h").orderBy(values))
-    tied = (
-        marked.where(at_cut)
-        .withColumn("__b", F.substring("__h", 1, _BUCKET_DIGITS))
-        .withColumn("__test", place <= F.col("__of_cut"))
-        .drop("__b")
-    )
-    clear = marked.where(~at_cut).withColumn("__test", F.coalesce(F.col("__h") < F.col("__cut"), F.lit(False)))
-    return (
-        clear.unionByName(tied)
-        .withColumn("split", F.when(F.col("__test"), "test").otherwise("train"))
-        .drop("__h", "__cut", "__of_cut", "__test")
+    stored = _with_order(df, C.hash_order(key or df.columns, seed))
+    counts = _bucket_counts(stored, strata, "__h", _BELOW_BUCKET)
+    quota = _quotas(counts.groupBy(*strata).agg(F.sum("__n").alias("__total")), strata, fraction)
+    marked = _first_rows(stored, df.columns, strata, materialize(quota, "quota"), counts)
+    return marked.withColumn("split", F.when(F.col("__first"), "test").otherwise("train")).select(*df.columns, "split")
+
+
+def _with_order(df: DataFrame, order: Column) -> DataFrame:
+    """The rows, written with their hash ``__h`` and a number of their own, ``__at``."""
+    return materialize(
+        df.withColumns({"__h": _number(order), "__at": F.monotonically_increasing_id()}), "ordered"
     )
 
 
+def _number(digest: Column) -> Column:
+    return F.conv(F.substring(digest, 1, _HASH_DIGITS), 16, 10).cast("bigint")
+
+
+def _bucket_counts(rows: DataFrame, groups: list[str], key: str, below: int) -> DataFrame:
+    """Rows per group and bucket of a number, written: at most 2 ** 16 per group, or one per partition."""
+    bucket = F.shiftright(key, below).alias("__b")
+    return materialize(rows.groupBy(*groups, bucket).agg(F.count("*").alias("__n")), "buckets")
+
+
+def _cut(rows: DataFrame, groups: list[str], key: str, below: int, quota: DataFrame, counts: DataFrame | None = None) -> DataFrame:
+    """Per group the number ``__cut`` at which the ``__k`` lowest rows end.
+
+    ``__need`` rows of those with this number are among them, of ``__n`` that have it. Counts
+    per bucket show in which bucket it lies; there rows are counted per number. Only counts
+    are ordered, of one bucket per group. A group without such rows has no cut.
+    """
+    counts = _bucket_counts(rows, groups, key, below) if counts is None else counts
+
+    def passes(table: DataFrame, order: str, wanted: DataFrame) -> DataFrame:
+        upto = Window.partitionBy(*groups).orderBy(order).rowsBetween(Window.unboundedPreceding, 0)
+        ladder = _join(table.withColumn("__upto", F.sum("__n").over(upto)), wanted, groups)
+        return ladder.where((F.col("__k") > F.col("__upto") - F.col("__n")) & (F.col("__k") <= F.col("__upto")))
+
+    need = F.col("__k") - F.col("__upto") + F.col("__n")
+    edge = materialize(passes(counts, "__b", quota).select(*groups, "__b", need.alias("__k")), "edge")
+    # One row per group, written: the planner knows how small it is.
+    inside = _join(rows.select(*groups, key), edge, groups).where(F.shiftright(key, below) == F.col("__b"))
+    numbers = inside.groupBy(*groups, key).agg(F.count("*").alias("__n"))
+    found = passes(numbers, key, edge.drop("__b"))
+    return materialize(found.select(*groups, F.col(key).alias("__cut"), need.alias("__need"), "__n"), "cut")
+
+
+def _first_rows(
+    stored: DataFrame, values: list[str], groups: list[str], quota: DataFrame, counts: DataFrame | None = None
+) -> DataFrame:
+    """Mark with ``__first`` the ``__k`` lowest rows of each group, in the order of ``__h``.
+
+    The last of them is found by counting, never by ranking rows: counts per bucket of the
+    hash, then counts per hash inside one bucket. Rows with the hash of the last one that are too
+    many, as where one key holds a third of all, are told apart by a hash of their ``values`` in
+    the same way. Rows that agree in these too are interchangeable: as many as are wanted are taken
+    partition by partition. What is joined to the rows has one row per group.
+    """
+    cut = _cut(stored, groups, "__h", _BELOW_BUCKET, quota, counts)
+    names = {"__cut": "__c1", "__need": "__k1", "__n": "__n1"}
+    cut = cut.withColumnsRenamed(names)
+    at_cut, tied = F.col("__h") == F.col("__c1"), F.col("__k1") < F.col("__n1")
+    first = F.col("__h") <= F.col("__c1")
+    if not cut.where(tied).isEmpty():
+        value = _number(F.md5(F.to_json(F.struct(*[f"`{c}`" for c in values]), {"ignoreNullFields": "false"})))
+        rows = _join(stored, cut.where(tied), groups).where(at_cut).select(*groups, value.alias("__v"), "__at")
+        rows = materialize(rows, "tied")
+        by_value = _cut(rows, groups, "__v", _BELOW_BUCKET, cut.where(tied).select(*groups, F.col("__k1").alias("__k")))
+        by_value = by_value.withColumnsRenamed({"__cut": "__c2", "__need": "__k2", "__n": "__n2"})
+        alike = _join(rows, by_value, groups).where("__v = __c2").select(*groups, "__at")
+        by_place = _cut(alike, groups, "__at", _BELOW_PARTITION, by_value.select(*groups, F.col("__k2").alias("__k")))
+        by_place = by_place.select(*groups, F.col("__cut").alias("__c3"))
+        cut = materialize(_join(_join(cut, by_value, groups, "left"), by_place, groups, "left"), "cuts")
+        among = (value < F.col("__c2")) | ((value == F.col("__c2")) & (F.col("__at") <= F.col("__c3")))
+        first = F.when(at_cut & tied, among).otherwise(first)
+    return _join(stored, cut, groups, "left").withColumn("__first", F.coalesce(first, F.lit(False)))
+
+
 def _quotas(sizes: DataFrame, strata: list[str], fraction: float) -> DataFrame:
-    """Test rows per stratum; ``sizes`` has one row per stratum."""
-    everything = Window.partitionBy()
-    total = F.sum("__total").over(everything)
-    test = F.ceil(F.lit(float(fraction)) * total)
-    share = test * F.col("__total") / total
-    floors = sizes.withColumns({"__test": test, "__floor": F.floor(share), "__rest": share - F.floor(share)})
+    """Test rows per stratum (``__k``); ``sizes`` has one row per stratum."""
+    total = sizes.agg(F.sum("__total").alias("n"))
+    test = F.ceil(F.lit(float(fraction)) * F.col("__all"))
+    shares = sizes.withColumn("__all", total.scalar()).withColumn("__share", test * F.col("__total") / F.col("__all"))
+    if not strata:
+        return shares.select(test.alias("__k"))
     # Exact ties in the remainder go to the larger stratum, then to the lower name.
-    order = Window.orderBy(F.desc(F.round("__rest", 9)), F.desc("__total"), *strata)
-    left_over = F.col("__test") - F.sum("__floor").over(everything)
-    ranked = floors.withColumns({"__left": left_over, "__place": F.row_number().over(order)})
-    bonus = (F.col("__place") <= F.col("__left")).cast("bigint")
-    return ranked.select(*strata, (F.col("__floor") + bonus).alias("__k"))
+    rest = F.round(F.col("__share") - F.floor("__share"), 9)
+    floors = materialize(
+        shares.select(*strata, test.alias("__test"), F.floor("__share").alias("__k"), (-rest).alias("__rest"), (-F.col("__total")).alias("__less")),
+        "shares",
+    )
+    places = number_rows(floors, ["__rest", "__less", *strata], "__place")
+    left = floors.agg((F.max("__test") - F.sum("__k")).alias("left"))
+    bonus = (F.col("__place") <= left.scalar()).cast("bigint")
+    return places.select(*strata, (F.col("__k") + bonus).alias("__k"))
 
 
 def _join(left: DataFrame, right: DataFrame, keys: list[str], how: str = "inner") -> DataFrame:
@@ -125,14 +157,17 @@ def sample_rows(
     fraction: float = V.SAMPLE_FRACTION,
     seed: int = V.SEED,
 ) -> DataFrame:
-    """``min(rows, floor(fraction * n))`` random rows. ``rows`` bounds what the top-k step keeps."""
-    hashed = df.withColumn("__h", C.hash_order(key, seed, "sample"))
-    top = hashed.orderBy("__h").limit(rows)
-    size = df.agg(F.count("*").alias("n")).select(
-        F.least(F.lit(rows).cast("bigint"), F.floor(F.col("n") * F.lit(float(fraction))))
-    )
-    place = F.row_number().over(Window.orderBy("__h"))
-    return top.withColumn("__place", place).where(F.col("__place") <= size.scalar()).drop("__h", "__place")
+    """``min(rows, floor(fraction * n))`` random rows: the lowest in hash order.
+
+    Their last one is found as in an exact split, by counting, so that the sample never meets
+    in one task, however large ``rows`` is.
+    """
+    stored = _with_order(df, C.hash_order(key, seed, "sample"))
+    counts = _bucket_counts(stored, [], "__h", _BELOW_BUCKET)
+    size = F.floor(F.sum("__n") * F.lit(float(fraction)))
+    quota = counts.agg(F.least(F.lit(rows).cast("bigint"), size).alias("__k"))
+    marked = _first_rows(stored, df.columns, [], materialize(quota, "quota"), counts)
+    return marked.where("__first").select(*df.columns)
 
 
 def sample_fraction(
