@@ -109,9 +109,8 @@ def _offsets(ranged: DataFrame, sums: dict[str, Column], at: str = "__at") -> Da
     )
 
 
-def _ranged(df: DataFrame, order: list[str], rows_per_range: int) -> DataFrame:
-    """The rows in order, in as many ranges as their number needs, with their place as ``__at``."""
-    stored = materialize(df, "unordered")
+def _ranged(stored: DataFrame, order: list[str], rows_per_range: int) -> DataFrame:
+    """Written rows in order, in as many ranges as their number needs, with their place as ``__at``."""
     ranges = max(1, math.ceil(stored.count() / rows_per_range))
     lined = stored.repartitionByRange(ranges, *order) if ranges > 1 else stored.coalesce(1)
     return materialize(
@@ -125,7 +124,7 @@ def number_rows(df: DataFrame, order: list[str], name: str, rows_per_range: int
     Rows are range-partitioned, sorted inside their ranges and written with their places; a
     place is then shifted by the sizes of the ranges before it. ``order`` must be unique per row.
     """
-    ranged = _ranged(df, order, rows_per_range)
+    ranged = _ranged(materialize(df, "unordered"), order, rows_per_range)
     offsets = _offsets(ranged, {"__before": F.count("*")})
     place = F.col("__at").bitwiseAND(F.lit((1 << _ROW_BITS) - 1))
     return (
@@ -144,7 +143,11 @@ def counts_before(
     ``order`` must be unique per row. One task orders one range; across ranges only one row of
     sums for each range is carried.
     """
-    ranged = _ranged(df, order, rows_per_range).withColumn("__range", _range_of("__at"))
+    stored = materialize(df, "unordered")
+    if stored.count() <= rows_per_range:  # one range, nothing to carry
+        earlier = Window.orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
+        return stored.withColumns({f"{c}_before": F.coalesce(F.sum(c).over(earlier), F.lit(0)) for c in sums})
+    ranged = _ranged(stored, order, rows_per_range).withColumn("__range", _range_of("__at"))
     offsets = _offsets(ranged, {f"__{c}": F.sum(c) for c in sums})
     earlier = Window.partitionBy("__range").orderBy("__at").rowsBetween(Window.unboundedPreceding, -1)
     inside = {f"{c}_before": F.coalesce(F.sum(c).over(earlier), F.lit(0)) for c in sums}
