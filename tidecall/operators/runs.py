@@ -43,9 +43,16 @@ class RunLog:
                 raise
             return self.spark.createDataFrame([], TABLES[table])
 
+    def _append_few(self, table: str, rows: list[tuple], schema: str | T.StructType | None = None) -> None:
+        """Rows that the driver holds, as one file."""
+        few = self.spark.createDataFrame(rows, schema or TABLES[table]).coalesce(1)
+        if "ts" in TABLES[table].fieldNames() and "ts" not in few.columns:
+            few = few.withColumn("ts", F.current_timestamp())
+        self.append(table, few)
+
     def start(self, run_id: str, name: str, start_ms: int, parent: str | None = None, status: str = "FINISHED") -> None:
         row = [(run_id, parent, name, status, start_ms)]
-        self.append("runs", self.spark.createDataFrame(row, S.RUNS))
+        self._append_few("runs", row)
 
     def log_params(self, run_id: str, params: dict) -> None:
         self._log_text("params", run_id, params)
@@ -55,16 +62,15 @@ class RunLog:
 
     def log_metrics(self, run_id: str, metrics: dict[str, float], step: int = 0) -> None:
         rows = [(run_id, k, float(v), step) for k, v in metrics.items()]
-        df = self.spark.createDataFrame(rows, "run_id string, key string, value double, step long")
-        self.append("metrics", df.withColumn("ts", F.current_timestamp()))
+        self._append_few("metrics", rows, "run_id string, key string, value double, step long")
 
     def log_input(self, run_id: str, record: dict[str, str]) -> None:
         row = [tuple(record.get(f.name) if f.name != "run_id" else run_id for f in S.RUN_INPUTS.fields)]
-        self.append("inputs", self.spark.createDataFrame(row, S.RUN_INPUTS))
+        self._append_few("inputs", row)
 
     def _log_text(self, table: str, run_id: str, values: dict) -> None:
         rows = [(run_id, k, str(v)) for k, v in values.items()]
-        self.append(table, self.spark.createDataFrame(rows, TABLES[table]))
+        self._append_few(table, rows)
 
 
 # --- reading back --------------------------------------------------------------------------

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from tidecall import fixed_values as V
 from tidecall.operators import cleaning, evaluation, features, lookup, modeling, runs, splitting
-from tidecall.session import materialize, scratch_path
+from tidecall.session import materialize
 from tidecall.sources import scans
 from tidecall.sources.paths import DatasetPaths, save_split_paths
 from tidecall.sources.tables import TableStore
@@ -35,15 +35,12 @@ def prepare(
     once, partitioned by side: the passes of the split and the four copies made
     later read files instead of repeating the upstream plan.
     """
-    spark = raw.sparkSession
     cleaned = cleaning.clean(raw, keep=tuple(key or ()))
     if exact:
         labelled = splitting.split_exact(materialize(cleaned, "clean"), key, fraction)
     else:
         labelled = splitting.split_threshold(cleaned, key, fraction)
-    path = scratch_path(spark, "labelled")
-    labelled.write.partitionBy("split").parquet(path)
-    return spark.read.schema(labelled.schema).parquet(path)
+    return materialize(labelled, "labelled", ["split"])
 
 
 def prepare_and_save(

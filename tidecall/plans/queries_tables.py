@@ -82,7 +82,7 @@ SELECT 'raw', side, contact_id, duration, CASE "Target" WHEN 1 THEN 'yes' ELSE '
 def split_paths(spark, sf):
     """Four stored copies, read back together."""
     cleaned = materialize(cleaning.clean(contact_table(spark, sf), keep=(CONTACT_KEY,)), "clean")
-    labelled = materialize(splitting.split_exact(cleaned, CONTACT_KEY), "labelled")
+    labelled = materialize(splitting.split_exact(cleaned, CONTACT_KEY), "labelled", ["split"])
     paths = DatasetPaths(scratch_path(spark, "volume"))
     save_split_paths(labelled, paths)
     parts = [
@@ -144,7 +144,7 @@ SELECT side, count(*) AS n, CAST(sum(y) AS BIGINT) AS positives, '1' AS version
 def saved_splits(spark, sf):
     tables = store(spark)
     cleaned = cleaning.clean(contact_table(spark, sf), keep=(CONTACT_KEY,))
-    tables.save_split(materialize(splitting.split_threshold(cleaned, CONTACT_KEY), "labelled"))
+    tables.save_split(materialize(splitting.split_threshold(cleaned, CONTACT_KEY), "labelled", ["split"]))
     train, test, version = tables.load_pair()
     both = train.withColumn("side", F.lit("train")).unionByName(test.withColumn("side", F.lit("test")))
     return both.groupBy("side").agg(

@@ -62,13 +62,14 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     return f"{scratch_dir(spark)}/tidecall/{label}-{uuid.uuid4().hex}"
 
 
-def materialize(df: DataFrame, label: str = "step") -> DataFrame:
+def materialize(df: DataFrame, label: str = "step", partition_by: list[str] | None = None) -> DataFrame:
     """Write ``df`` once and read it back, so that several passes share one computation.
 
     Unlike a cache the written table survives lost executors, and unlike a raw
-    checkpoint later passes read only the columns they use.
+    checkpoint later passes read only the columns they use, and only the partitions
+    (``partition_by``) that they ask for.
     """
     spark = df.sparkSession
     path = scratch_path(spark, label)
-    df.write.parquet(path)
+    df.write.partitionBy(*partition_by or []).parquet(path)
     return spark.read.schema(df.schema).parquet(path)

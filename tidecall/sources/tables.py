@@ -11,13 +11,13 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from tidecall.operators import cleaning, layout, lookup
-from tidecall.schema import LOAD_LOG
 from tidecall.session import materialize, skew_splitting
+from tidecall.sources.commits import CommitLog
 from tidecall.sources.paths import split_copies
 
 log = logging.getLogger(__name__)
 
-LOG_TABLE = "_load_log"
+LOG_FOLDER = "_load_log"
 
 
 class TableStore:
@@ -49,7 +49,7 @@ class TableStore:
         except AnalysisException as e:
             log.warning("cannot list %s: %s", self.schema, str(e).splitlines()[0])
             return []
-        return sorted(t.name for t in found if not t.isTemporary and t.name != LOG_TABLE)
+        return sorted(t.name for t in found if not t.isTemporary)
 
     def drop(self, name: str, if_exists: bool = True) -> None:
         """Drop a table; only a strict drop of an absent table raises."""
@@ -196,29 +196,20 @@ class TableStore:
         """Load log of a table, newest first."""
         if not self.exists(name):
             raise ValueError(f"no table {self.full_name(name)}")
-        return self._log().where(F.col("table_name") == name).orderBy(F.desc("version")).limit(limit)
+        return self._log().read(name, limit).orderBy(F.desc("version"))
 
     def version(self, name: str) -> str:
         """Newest version of a table as text, ``"0"`` if none was noted."""
-        newest = self._log().where(F.col("table_name") == name).agg(F.max("version")).first()[0]
-        return str(newest or 0)
+        return str(self._log().newest(name))
 
-    def _log(self) -> DataFrame:
-        if self.exists(LOG_TABLE):
-            return self.spark.table(self.full_name(LOG_TABLE))
-        return self.spark.createDataFrame([], LOAD_LOG)
+    def _log(self) -> CommitLog:
+        """The load log lies in the folder of the schema, beside its tables."""
+        folder = self.spark.catalog.getDatabase(self.schema).locationUri
+        return CommitLog(self.spark, f"{folder.rstrip('/')}/{LOG_FOLDER}")
 
     def _note(self, name: str, operation: str, rows: int) -> None:
-        """Append one row to the load log; its version follows the newest one of the table."""
-        newest = self._log().where(F.col("table_name") == name).agg(F.coalesce(F.max("version"), F.lit(0)))
-        entry = self.spark.range(1).select(
-            F.lit(name).alias("table_name"),
-            (newest.scalar() + 1).cast("bigint").alias("version"),
-            F.current_timestamp().alias("timestamp"),
-            F.lit(operation).alias("operation"),
-            F.lit(rows).cast("bigint").alias("num_rows"),
-        )
-        entry.coalesce(1).write.mode("append").format("parquet").saveAsTable(self.full_name(LOG_TABLE))
+        """One entry in the load log; it takes the version after the newest one of the table."""
+        self._log().append(name, operation, rows)
 
     # --- maintenance -------------------------------------------------------------------------
 
