@@ -14,11 +14,18 @@ from tidecall.functions.ordered import number_rows
 
 @dataclass(frozen=True)
 class FeatureLookup:
-    """Columns to fetch from a feature table by its key."""
+    """Columns to fetch from a feature table by its key.
+
+    ``digest`` names the table's column with the digest of the key (``surrogate_key``): rows are
+    then joined on that one column. ``unique`` says that the table was published, which
+    checks its key.
+    """
 
     table: DataFrame
     key: list[str]
     features: list[str]
+    digest: str | None = None
+    unique: bool = False
 
 
 def surrogate_key(df: DataFrame, cols: list[str], name: str, method: str = "md5") -> DataFrame:
@@ -65,16 +72,24 @@ def assert_key(df: DataFrame, key: list[str], nullable: bool = False) -> None:
 def lookup(df: DataFrame, lookups: list[FeatureLookup], drop: tuple[str, ...] = ()) -> DataFrame:
     """Left-join the chosen feature columns, nulls matching nulls; the row count is kept.
 
-    The keys of a feature table must be unique. Small tables are broadcast by
-    Spark's own size check; otherwise the join is a sort-merge join whose hot
-    keys adaptive execution splits.
+    A feature table that holds a key twice would multiply rows: unless it was published, its
+    key is checked here and a repeated one raises ``ValueError``. Rows are joined on one text, the
+    digest of the key, by plain equality; a table stored in buckets of its digest column
+    (``TableStore.publish_features``) is not shuffled. Small tables are broadcast by
+    Spark's own size check; otherwise adaptive execution splits hot keys.
     """
     for i, item in enumerate(lookups):
+        if not item.unique:
+            assert_key(item.table, [item.digest] if item.digest else item.key, nullable=True)
         fresh = [c for c in item.features if c not in df.columns]
-        names = {k: f"__k{i}_{k}" for k in item.key}
-        side = item.table.select(*[F.col(f"`{k}`").alias(names[k]) for k in item.key], *fresh)
-        on = [df[k].eqNullSafe(side[names[k]]) for k in item.key]
-        df = df.join(side, on, "left").drop(*names.values())
+        at, asked = f"__at{i}", f"__asked{i}"
+        own = F.col(f"`{item.digest}`") if item.digest else C.row_digest(item.key)
+        side = item.table.select(own.alias(at), *[f"`{c}`" for c in fresh])
+        # Keys are compared as the feature table has them.
+        typed = df.select("*", *[F.col(f"`{k}`").cast(item.table.schema[k].dataType).alias(f"__k{i}_{j}") for j, k in enumerate(item.key)])
+        names = [f"__k{i}_{j}" for j in range(len(item.key))]
+        asking = typed.withColumn(asked, C.row_digest(names)).drop(*names)
+        df = asking.join(side, F.col(asked) == F.col(at), "left").drop(asked, at)
     return df.drop(*drop)
 
 
@@ -91,10 +106,12 @@ def scoring_set(df: DataFrame, lookups: list[FeatureLookup], keep: tuple[str, ..
     return lookup(df.select(*keep, *V.NUMERIC_COLUMNS, *V.CATEGORICAL_COLUMNS), lookups)
 
 
-def standard_lookups(customers: DataFrame, campaigns: DataFrame) -> list[FeatureLookup]:
+def standard_lookups(customers: DataFrame, campaigns: DataFrame, published: bool = False) -> list[FeatureLookup]:
+    """Lookups in the two feature tables, by their digests ``customer_id`` and ``campaign_id`` if published."""
+    digests = ("customer_id", "campaign_id") if published else (None, None)
     return [
-        FeatureLookup(customers, V.CUSTOMER_KEY, V.CUSTOMER_FEATURES),
-        FeatureLookup(campaigns, V.CAMPAIGN_KEY, V.CAMPAIGN_LOOKUP),
+        FeatureLookup(customers, V.CUSTOMER_KEY, V.CUSTOMER_FEATURES, digests[0], published),
+        FeatureLookup(campaigns, V.CAMPAIGN_KEY, V.CAMPAIGN_LOOKUP, digests[1], published),
     ]
 
 

@@ -92,13 +92,15 @@ def load_split(
 # --- features --------------------------------------------------------------------------
 
 
-def publish_feature_tables(raw: DataFrame, tables: TableStore) -> list[lookup.FeatureLookup]:
+def publish_feature_tables(
+    raw: DataFrame, tables: TableStore, buckets: int | None = None
+) -> list[lookup.FeatureLookup]:
     """Derive the two feature tables, key them by a digest of their natural key, and publish them."""
     customers = lookup.surrogate_key(features.customer_features(raw), V.CUSTOMER_KEY, "customer_id")
     campaigns = lookup.surrogate_key(features.campaign_features(raw), V.CAMPAIGN_KEY, "campaign_id")
-    tables.publish_features(customers, "customer_features", ["customer_id"], "Customer features")
-    tables.publish_features(campaigns, "campaign_features", ["campaign_id"], "Campaign features")
-    return lookup.standard_lookups(tables.load("customer_features"), tables.load("campaign_features"))
+    tables.publish_features(customers, "customer_features", ["customer_id"], "Customer features", buckets)
+    tables.publish_features(campaigns, "campaign_features", ["campaign_id"], "Campaign features", buckets)
+    return lookup.standard_lookups(tables.load("customer_features"), tables.load("campaign_features"), published=True)
 
 
 def build_training_set(raw: DataFrame, lookups: list[lookup.FeatureLookup], key: tuple[str, ...]) -> DataFrame:

@@ -7,7 +7,9 @@ from pyspark.sql import functions as F
 from tidecall import fixed_values as V
 from tidecall.operators import changes, features, lookup, splitting
 from tidecall.plans.contacts import contact_table, table
+from tidecall.plans.jobs import publish_feature_tables
 from tidecall.plans.queries_cleaning import rounded_cycle
+from tidecall.plans.queries_tables import store
 from tidecall.plans.registry import on_contacts, on_features, query
 from tidecall.schema import CONTACT_KEY
 from tidecall.session import materialize
@@ -162,12 +164,19 @@ def surrogate_id(spark, sf):
     return keyed.select(CONTACT_KEY, "customer_id")
 
 
-@query("surrogate_id_hash64")
+@query(
+    "surrogate_id_hash64",
+    on_contacts(
+        """
+SELECT contact_id, count(*) OVER (PARTITION BY age, job, marital, education, balance) AS sharing FROM contacts"""
+    ),
+)
 def surrogate_id_hash64(spark, sf):
-    keyed = lookup.surrogate_key(
-        contact_table(spark, sf, *V.CUSTOMER_KEY), V.CUSTOMER_KEY, "customer_id", "xxhash64"
-    )
-    return keyed.select(CONTACT_KEY, "customer_id")
+    """How many contacts share each id: as many as share the key. The ids are Spark's own hashes."""
+    contacts = materialize(contact_table(spark, sf, *V.CUSTOMER_KEY), "contacts")
+    keyed = lookup.surrogate_key(contacts, V.CUSTOMER_KEY, "customer_id", "xxhash64")
+    sizes = keyed.groupBy("customer_id").agg(F.count("*").alias("sharing"))
+    return keyed.join(sizes, "customer_id").select(CONTACT_KEY, "sharing")
 
 
 @query(
@@ -187,10 +196,11 @@ def arbitrary_id_is_unique(spark, sf):
 
 
 def _with_lookups(spark, sf):
-    """Normalised contacts, written once, and the two feature tables made from them."""
+    """Normalised contacts, written once, and lookups in the feature tables published from them."""
     contacts = materialize(features.normalize_text(contact_table(spark, sf)), "contacts")
-    customers, campaigns = features.customer_features(contacts), features.campaign_features(contacts)
-    return contacts, lookup.standard_lookups(customers, campaigns)
+    tables = store(spark)
+    tables.ensure_schema()
+    return contacts, publish_feature_tables(contacts, tables)
 
 
 LOOKED_UP = """job_category, education_level, balance_positive, age_group, round(month_sin, 9) + 0.0 AS month_sin,

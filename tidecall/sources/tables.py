@@ -119,14 +119,18 @@ class TableStore:
 
     # --- feature tables ------------------------------------------------------------------
 
-    def publish_features(self, df: DataFrame, name: str, key: list[str], description: str = "") -> None:
+    def publish_features(
+        self, df: DataFrame, name: str, key: list[str], description: str = "", buckets: int | None = None
+    ) -> None:
         """Save a feature table after checking its key; replaces an older one.
 
+        With ``buckets`` the rows are stored by their key, so that lookups do not shuffle them.
+
         The table is written once, under another name. It takes its own name when the
         check has passed, so the rows that were checked are the rows that are published.
         """
         fresh = f"{name}__new"
-        rows = self._write(df, fresh, "overwrite")
+        rows = self._write(df, fresh, "overwrite", bucket_by=(buckets, key) if buckets else None)
         try:
             lookup.assert_key(self.load(fresh), key)
         except Exception:
