@@ -173,6 +173,15 @@ def test_grid_search_scores(spark, prepared):
     assert best.getOrDefault("maxDepth") in (2, 3)
 
 
+def test_staged_scores_are_those_of_shorter_fits(spark, prepared):
+    """The first trees of a long fit are the short fit."""
+    train = materialize(prepared.where("split = 'train'").drop("split"))
+    staged, _ = modeling.grid_search(train, {"learning_rate": [0.1], "max_depth": [2], "n_estimators": [2, 6]})
+    alone, best = modeling.grid_search(train, {"learning_rate": [0.1], "max_depth": [2], "n_estimators": [2]})
+    assert {r.n_estimators: r.score for r in staged.collect()}[2] == pytest.approx(alone.first().score, abs=1e-12)
+    assert modeling.first_trees(best, 1).getNumTrees == 1 and best.getNumTrees == 2
+
+
 def test_standardize_constant_column(spark):
     df = spark.createDataFrame([(1.0, 5.0), (3.0, 5.0)], "x double, c double")
     assert sorted(rows(modeling.standardize(df, ["x", "c"]))) == [(-1.0, 0.0), (1.0, 0.0)]

@@ -7,8 +7,6 @@ from conftest import SMALL
 import __spark_entry__ as entry
 from tidecall.plans.catalogue import ORACLES, QUERIES
 
-# Training is exercised in test_jobs and by gbt_checks.
-SLOW = {"gbt_score", "gbt_metrics", "forest_importance", "grid_search", "wrapped_predict"}
 
 
 @pytest.fixture(scope="module")
@@ -47,7 +45,7 @@ def test_filters_reach_the_scan(spark, small):
     assert "PushedFilters: [IsNotNull(o_orderpriority), Not(EqualTo(o_orderpriority,1-URGENT))]" in plan
 
 
-@pytest.mark.parametrize("name", sorted(set(QUERIES) - set(ORACLES) - SLOW))
+@pytest.mark.parametrize("name", sorted(set(QUERIES) - set(ORACLES)))
 def test_runs(spark, small, name):
     assert QUERIES[name](spark, small).count() > 0
 

@@ -2,18 +2,21 @@
 
 from __future__ import annotations
 
+from multiprocessing.pool import ThreadPool
+
+from pyspark import SparkContext, inheritable_thread_target
 from pyspark.ml import Estimator, Model, Pipeline, PipelineModel
-from pyspark.ml.classification import GBTClassifier, RandomForestClassifier
+from pyspark.ml.classification import GBTClassificationModel, GBTClassifier, RandomForestClassifier
 from pyspark.ml.evaluation import BinaryClassificationEvaluator
 from pyspark.ml.feature import OneHotEncoder, StandardScaler, StringIndexer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.ml.tuning import ParamGridBuilder, TrainValidationSplit
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidecall import fixed_values as V
 from tidecall.functions import columns as C
 from tidecall.operators.evaluation import prediction_summary
+from tidecall.session import materialize
 
 # --- encoders as DataFrame functions -----------------------------------------------------
 
@@ -187,6 +190,23 @@ def importance_summary(
 # --- search ------------------------------------------------------------------------------
 
 
+def first_trees(model: GBTClassificationModel, n: int) -> GBTClassificationModel:
+    """The boosted model that stops after ``n`` trees; boosting adds trees and never changes earlier ones."""
+    if n >= model.getNumTrees:
+        return model
+    jvm = SparkContext._active_spark_context._jvm
+    trees = model._java_obj.trees()
+    gateway = SparkContext._active_spark_context._gateway
+    kept = gateway.new_array(jvm.org.apache.spark.ml.regression.DecisionTreeRegressionModel, n)
+    weights = gateway.new_array(jvm.double, n)
+    for i in range(n):
+        kept[i], weights[i] = trees[i], float(model.treeWeights[i])
+    shorter = GBTClassificationModel(
+        jvm.org.apache.spark.ml.classification.GBTClassificationModel(f"{model.uid}_{n}", kept, weights)
+    )
+    return model._copyValues(shorter)
+
+
 def grid_search(
     df: DataFrame,
     grid: dict[str, list] | None = None,
@@ -196,34 +216,35 @@ def grid_search(
     parallelism: int = 4,
     seed: int = V.SEED,
 ) -> tuple[DataFrame, Model]:
-    """Held-out ROC AUC of every parameter combination as rows, and the best model."""
+    """Held-out ROC AUC of every parameter combination as rows, and the best model.
+
+    Combinations that differ in the number of trees share a fit: the one with most trees
+    also holds those with fewer, which are scored in stages. Fits run ``parallelism`` at a time.
+    """
     grid = grid or V.GRID
     encoders = Pipeline(stages=feature_stages(
         V.NUMERIC_COLUMNS if numeric is None else numeric,
         V.CATEGORICAL_COLUMNS if categorical is None else categorical,
     ))
-    encoded = encoders.fit(df).transform(df).select("features", label)
-    trees = boosted_trees(label, seed=seed)
-    combinations = (
-        ParamGridBuilder()
-        .addGrid(trees.stepSize, grid["learning_rate"])
-        .addGrid(trees.maxDepth, grid["max_depth"])
-        .addGrid(trees.maxIter, grid["n_estimators"])
-        .build()
-    )
-    search = TrainValidationSplit(
-        estimator=trees,
-        estimatorParamMaps=combinations,
-        evaluator=BinaryClassificationEvaluator(labelCol=label, numBins=0),
-        trainRatio=1 - V.TEST_FRACTION,
-        parallelism=parallelism,
-        seed=seed,
-    ).fit(encoded)
-    rows = [
-        (float(p[trees.stepSize]), int(p[trees.maxDepth]), int(p[trees.maxIter]), float(m))
-        for p, m in zip(combinations, search.validationMetrics)
-    ]
+    encoded = materialize(encoders.fit(df).transform(df).select("features", label), "encoded")
+    # The side of a row follows from its values, not from the layout of the table.
+    side = F.pmod(F.xxhash64("features", label, F.lit(seed)), F.lit(1 << 20)) / float(1 << 20)
+    fitting, held_out = encoded.where(side >= V.TEST_FRACTION), encoded.where(side < V.TEST_FRACTION)
+    evaluator = BinaryClassificationEvaluator(labelCol=label, numBins=0)
+    stages = sorted(set(grid["n_estimators"]))
+
+    def fit(choice: tuple[float, int]) -> list[tuple[float, float, int, int, GBTClassificationModel]]:
+        rate, depth = choice
+        model = boosted_trees(label, rate, stages[-1], depth, seed).fit(fitting)
+        staged = [(n, first_trees(model, n)) for n in stages]
+        return [(evaluator.evaluate(m.transform(held_out)), rate, depth, n, m) for n, m in staged]
+
+    choices = [(float(r), int(d)) for r in grid["learning_rate"] for d in grid["max_depth"]]
+    with ThreadPool(min(parallelism, len(choices))) as pool:
+        found = [row for rows in pool.map(inheritable_thread_target(fit), choices) for row in rows]
+    best = max(found, key=lambda row: row[0])[-1]
     scores = df.sparkSession.createDataFrame(
-        rows, "learning_rate double, max_depth int, n_estimators int, score double"
+        [(rate, depth, n, float(score)) for score, rate, depth, n, _ in found],
+        "learning_rate double, max_depth int, n_estimators int, score double",
     )
-    return scores, search.bestModel
+    return scores, best
