@@ -85,7 +85,7 @@ def test_similar_sets_share_a_list_even_without_costly_parts(n, changes, percent
     assert plan in N.layouts_of(len(x), percent) and plan in N.layouts_of(len(y), percent)
     lists = defaultdict(set)
     for side, s in enumerate((x, y)):
-        for key, flags in zip(*N.entries_of(s, plan)):
+        for key, flags, _ in zip(*N.entries_of(s, np.zeros(len(s), np.int64), 1, plan)):
             lists[int(key)].add((side, int(flags) & (N.DELETED | N.PLAIN)))
     shared = [v for v in lists.values() if {s for s, _ in v} == {0, 1}]
     plain = sum(all(f == N.PLAIN for _, f in v) for v in shared)

@@ -10,6 +10,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 
 from tidecall.llm import periodic as P
+from tidecall.llm.common import ascii_words
 from tidecall.llm.queries import with_planted_runs
 
 
@@ -83,7 +84,7 @@ def test_wavelet_tree():
 
 def test_words_are_cut_at_ascii_white_space():
     texts = ["".join(map(chr, range(1, 300))), " a\x1c\x85b c\xa0 \t\v\f\r\nd  ", "", None, "x", " "]
-    words, offsets = P._words(pa.array(texts))
+    words, offsets = ascii_words(pa.array(texts))
     cut = [(t or "").encode().split() for t in texts]
     assert [w.encode() for w in words.to_pylist()] == [w for c in cut for w in c]
     assert np.diff(offsets).tolist() == [len(c) for c in cut]

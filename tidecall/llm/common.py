@@ -3,7 +3,11 @@
 from __future__ import annotations
 
 import string
+from collections.abc import Iterator
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -63,3 +67,27 @@ def unused(df: DataFrame, name: str) -> str:
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+# --- batches of texts inside a task ------------------------------------------------------
+
+
+def ascii_words(texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
+    """All words of the texts, cut at ASCII white space, and the place of each text's first one (with the end)."""
+    lists = pc.ascii_split_whitespace(pc.fill_null(texts, ""))
+    words = lists.flatten()
+    filled = pc.greater(pc.binary_length(words), 0).to_numpy(zero_copy_only=False)
+    offsets = np.concatenate([[0], np.cumsum(filled)])[lists.offsets.to_numpy() - lists.offsets[0].as_py()]
+    return words.filter(pa.array(filled)), offsets
+
+
+def slices_of_bytes(batch: pa.RecordBatch, column: str, most: int, rows: int = 1 << 30) -> Iterator[pa.RecordBatch]:
+    """Parts of a batch with at most ``rows`` rows and about ``most`` bytes of a text column, of one row at least."""
+    sizes = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False)
+    ends = np.cumsum(sizes, dtype=np.int64)
+    at = 0
+    while at < len(sizes):
+        stop = int(np.searchsorted(ends, (ends[at - 1] if at else 0) + most, side="right"))
+        stop = min(max(stop, at + 1), at + rows)
+        yield batch.slice(at, stop - at)
+        at = stop

@@ -27,7 +27,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidecall.llm.common import Scratch, row_key
+from tidecall.llm.common import Scratch, ascii_words, row_key, slices_of_bytes
 from tidecall.llm.components import connected_components
 
 BAND_RATIO = 1.25
@@ -36,7 +36,8 @@ DELETION_WEIGHT = 3
 #: Lists up to this length give all their pairs at once; longer ones go a way of their own.
 SHORT_LIST = 8
 CACHE_WORDS = 300_000
-ROWS_AT_ONCE = 64
+#: Texts whose shingles are hashed at once.
+BATCH_BYTES, BATCH_ROWS = 2 << 20, 1000
 #: Entries gathered before they are dealt out, and wanted in one bucket of the shuffle.
 FLUSH_ENTRIES = 1_000_000
 BUCKET_ENTRIES = 400_000
@@ -73,21 +74,79 @@ def shingle_set(words: list[bytes], size: int) -> set[tuple]:
 
 def mix(x: np.ndarray, seed: int = 0) -> np.ndarray:
     x = x + np.uint64((seed + 1) * 0x9E3779B97F4A7C15 & 0xFFFFFFFFFFFFFFFF)
-    x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
-    x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
-    return x ^ (x >> np.uint64(31))
+    high = x >> np.uint64(30)
+    x ^= high
+    x *= np.uint64(0xBF58476D1CE4E5B9)
+    np.right_shift(x, np.uint64(27), out=high)
+    x ^= high
+    x *= np.uint64(0x94D049BB133111EB)
+    np.right_shift(x, np.uint64(31), out=high)
+    x ^= high
+    return x
 
 
-def hashed_set(words: list[bytes], size: int, hashes: WordHashes) -> np.ndarray:
-    """Distinct 64-bit shingle hashes."""
-    coded = np.fromiter(map(hashes.__getitem__, words), np.uint64, len(words))
-    if not len(coded):
-        return coded
-    width = min(size, len(coded))
-    out = np.full(len(coded) - width + 1, width, np.uint64)
-    for i in range(width):
-        out = mix(out ^ coded[i : len(coded) - width + 1 + i])
-    return np.unique(out)
+@dataclass
+class HashedSets:
+    """Distinct 64-bit shingle hashes of several texts, behind each other; ``text`` is the owner of each."""
+
+    hashes: np.ndarray
+    text: np.ndarray
+    offsets: np.ndarray
+
+    @classmethod
+    def of(cls, texts: pa.Array, size: int, cache: WordHashes) -> HashedSets:
+        words, ends = ascii_words(pc.ascii_lower(texts))
+        coded = words.dictionary_encode()
+        known = coded.dictionary.cast(pa.binary()).to_pylist()
+        values = np.fromiter(map(cache.__getitem__, known), np.uint64, len(known))
+        values = values[coded.indices.to_numpy(zero_copy_only=False)]
+        sizes = np.diff(ends)
+        hashes, owners = [], []
+        for width in range(1, size + 1):
+            # Texts of fewer words than a shingle are one shingle of all their words.
+            if width == size:
+                left = np.repeat(ends[1:], sizes) - np.arange(len(values))
+                start = np.flatnonzero(left >= size)
+                owner = np.repeat(np.arange(len(sizes)), sizes)[start]
+            else:
+                owner = np.flatnonzero(sizes == width)
+                start = ends[owner]
+            out = np.full(len(start), width, np.uint64)
+            for i in range(width):
+                out ^= values[start + i]
+                out = mix(out)
+            hashes.append(out)
+            owners.append(owner)
+        hashes, owners = np.concatenate(hashes), np.concatenate(owners)
+        order = np.argsort(owners, kind="stable")
+        hashes, owners = hashes[order], owners[order]
+        borders = np.searchsorted(owners, np.arange(len(sizes) + 1))
+        for low, high in zip(borders[:-1], borders[1:]):
+            hashes[low:high].sort()
+        fresh = np.ones(len(hashes), bool)
+        fresh[1:] = (hashes[1:] != hashes[:-1]) | (owners[1:] != owners[:-1])
+        hashes, owners = hashes[fresh], owners[fresh]
+        return cls(hashes, owners, np.searchsorted(owners, np.arange(len(sizes) + 1)))
+
+    def __getitem__(self, i: int) -> np.ndarray:
+        return self.hashes[self.offsets[i] : self.offsets[i + 1]]
+
+    def sizes(self) -> np.ndarray:
+        return np.diff(self.offsets)
+
+    def digests(self) -> np.ndarray:
+        """Two independent 64-bit sums per text, equal for equal sets; zeros without shingles."""
+        out = np.zeros((len(self.offsets) - 1, 2), np.uint64)
+        for k, seed in enumerate((5, 6)):
+            np.add.at(out[:, k], self.text, mix(self.hashes, seed))
+        return out.view(np.int64)
+
+    def sketches(self) -> np.ndarray:
+        """Per text a row of bits that each shingle flips one of."""
+        texts, bits = len(self.offsets) - 1, 64 * SKETCH_LONGS
+        at = self.text * bits + (mix(self.hashes, 7) % np.uint64(bits)).astype(np.int64)
+        counts = np.bincount(at, minlength=texts * bits).reshape(texts, bits)
+        return np.packbits((counts & 1).astype(np.uint8), axis=1).view(np.int64)
 
 
 # --- layouts -----------------------------------------------------------------------------
@@ -134,23 +193,23 @@ def layouts_of(n: int, percent: int) -> list[Layout]:
     return [x for b in range(first, last + 1) if (x := layout(int(b), percent))]
 
 
-def entries_of(shingles: np.ndarray, plan: Layout) -> tuple[np.ndarray, np.ndarray]:
-    """Keys and flags of one set in one layout."""
-    values, place = mix(shingles, 1), mix(shingles, 2) % np.uint64(plan.weight)
+def entries_of(shingles: np.ndarray, owner: np.ndarray, sets: int, plan: Layout) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Keys, flags and owners of the entries of several sets in one layout."""
+    values, place = mix(shingles, 1), (mix(shingles, 2) % np.uint64(plan.weight)).astype(np.int64)
     plain = plan.segments - plan.deletions
-    segment = np.where(place < plain, place, plain + (place - np.uint64(plain)) // np.uint64(DELETION_WEIGHT)).astype(np.int64)
-    order = np.argsort(segment, kind="stable")
-    segment, values = segment[order], values[order]
-    sums = np.zeros(plan.segments, np.uint64)
-    starts = np.flatnonzero(np.diff(segment, prepend=-1))
-    sums[segment[starts]] = np.add.reduceat(values, starts)
-    filled = np.zeros(plan.segments, bool)
-    filled[segment[starts]] = True
+    segment = np.where(place < plain, place, plain + (place - plain) // DELETION_WEIGHT)
+    at = owner * plan.segments + segment
+    sums = np.zeros(sets * plan.segments, np.uint64)
+    np.add.at(sums, at, values)
+    filled = np.zeros(sets * plan.segments, bool)
+    filled[at] = True
     salt = mix(np.arange(plan.segments, dtype=np.uint64) + np.uint64(plan.band << 40), 3)
-    flags = np.where(np.arange(plan.segments) < plain, PLAIN, 0) | np.where(filled, 0, EMPTY)
+    flags = np.tile(np.where(np.arange(plan.segments) < plain, PLAIN, 0), sets) | np.where(filled, 0, EMPTY)
     shorter = segment >= plain
-    keys = np.concatenate([mix(sums ^ salt), mix((sums[segment[shorter]] - values[shorter]) ^ salt[segment[shorter]])])
-    return keys, np.concatenate([flags, np.full(int(shorter.sum()), DELETED)]).astype(np.int32)
+    less = (sums[at[shorter]] - values[shorter]) ^ salt[segment[shorter]]
+    keys = np.concatenate([mix(sums ^ np.tile(salt, sets)), mix(less)])
+    owners = np.concatenate([np.repeat(np.arange(sets), plan.segments), owner[shorter]])
+    return keys, np.concatenate([flags, np.full(len(less), DELETED)]).astype(np.int32), owners
 
 
 def size_step(n: int) -> int:
@@ -160,8 +219,8 @@ def size_step(n: int) -> int:
 # --- candidate lists ---------------------------------------------------------------------
 
 
-def _tags(flags: np.ndarray, band: int, n: int) -> np.ndarray:
-    return flags | band << 4 | size_step(n) << 12
+def _tags(flags: np.ndarray, band: int, steps: np.ndarray) -> np.ndarray:
+    return (flags | band << 4 | steps << 12).astype(np.int32)
 
 
 def _alike_in_size(a: np.ndarray, b: np.ndarray, percent: int) -> np.ndarray:
@@ -180,7 +239,12 @@ class Lists:
 
     @classmethod
     def of(cls, keys: np.ndarray, ids: np.ndarray, tags: np.ndarray) -> Lists:
-        order = np.lexsort((tags & DELETED, ids, keys))
+        order = np.argsort(keys)
+        same = keys[order[1:]] == keys[order[:-1]]
+        # Only keys that repeat need an order of their entries.
+        shared = np.concatenate([same, [False]]) | np.concatenate([[False], same]) if len(keys) else same
+        some = order[shared]
+        order[shared] = some[np.lexsort((tags[some] & DELETED, ids[some], keys[some]))]
         keys, ids, tags = keys[order], ids[order], tags[order]
         fresh = np.ones(len(keys), bool)
         fresh[1:] = (keys[1:] != keys[:-1]) | (ids[1:] != ids[:-1])
@@ -280,11 +344,10 @@ def _candidates(docs: DataFrame, size: int, percent: int, buckets: int) -> DataF
         held = 0
         none = None
 
-        def nodes(rows, digests: list[tuple[int, int]], sizes: list[int], sketches: list) -> pa.RecordBatch:
-            a, b = np.array(digests, np.int64).reshape(-1, 2).T
+        def nodes(rows, digests: np.ndarray, sizes: np.ndarray, sketches: np.ndarray) -> pa.RecordBatch:
             # Dealt by place, so that equal texts do not meet in one bucket.
             place = np.arange(len(sizes), dtype=np.int64) * 7919 + len(seen)
-            return _deal(NODE, a, b, np.array(sizes), place, buckets, rows, np.array(sketches))
+            return _deal(NODE, digests[:, 0], digests[:, 1], sizes, place, buckets, rows, sketches)
 
         def flush() -> Iterator[pa.RecordBatch]:
             keys, ids, tags = (np.concatenate(x) for x in zip(*parts))
@@ -306,30 +369,31 @@ def _candidates(docs: DataFrame, size: int, percent: int, buckets: int) -> DataF
 
         for batch in batches:
             none = batch.select(["doc_id", "key"]).slice(0, 0)
-            digests, sizes, sketches = [], [], []
-            for at in range(0, batch.num_rows, ROWS_AT_ONCE):
-                for text in batch.column("text").slice(at, ROWS_AT_ONCE).to_pylist():
-                    shingles = hashed_set(words_of(text), size, hashes)
-                    own = _digest(shingles) if len(shingles) else (0, 0)
-                    digests.append(own)
-                    sizes.append(len(shingles))
-                    sketches.append(parity_sketch(shingles))
-                    if not len(shingles) or own in seen:  # an equal set was dealt with in this task
+            for part in slices_of_bytes(batch, "text", BATCH_BYTES, BATCH_ROWS):
+                sets = HashedSets.of(part.column("text"), size, hashes)
+                digests, sizes = sets.digests(), sets.sizes()
+                by_plan: dict[Layout, list[int]] = {}
+                for i, (own, n) in enumerate(zip(digests[:, 0].tolist(), sizes.tolist())):
+                    if not n or own in seen:  # an equal set was dealt with in this task
                         continue
                     if len(seen) > CACHE_WORDS:
                         seen.clear()
                     seen.add(own)
-                    for plan in layouts_of(len(shingles), percent):
-                        keys, flags = entries_of(shingles, plan)
-                        tags = _tags(flags, plan.band, len(shingles))
-                        parts.append((_longs(keys), np.full(len(keys), own[0]), tags))
-                        held += len(keys)
+                    for plan in layouts_of(n, percent):
+                        by_plan.setdefault(plan, []).append(i)
+                for plan, some in by_plan.items():
+                    some = np.array(some)
+                    shingles = np.concatenate([sets[i] for i in some])
+                    owner = np.repeat(np.arange(len(some)), sizes[some])
+                    keys, flags, owners = entries_of(shingles, owner, len(some), plan)
+                    steps = np.array([size_step(int(n)) for n in sizes[some]], np.int64)
+                    parts.append((_longs(keys), digests[some, 0][owners], _tags(flags, plan.band, steps[owners])))
+                    held += len(keys)
                 if held >= FLUSH_ENTRIES:
                     yield from flush()
                     parts.clear()
                     held = 0
-            if sizes:
-                yield nodes(batch.select(["doc_id", "key"]), digests, sizes, sketches)
+                yield nodes(part.select(["doc_id", "key"]), digests, sizes, sets.sketches())
         if parts:
             yield from flush()
 
@@ -372,25 +436,12 @@ def _candidates(docs: DataFrame, size: int, percent: int, buckets: int) -> DataF
     return docs.select("doc_id", "key", "text").mapInArrow(deal, lists).groupBy("bucket").applyInArrow(gather, found)
 
 
-def parity_sketch(shingles: np.ndarray) -> np.ndarray:
-    """Bits that each shingle flips one of."""
-    bits = 64 * SKETCH_LONGS
-    counts = np.bincount((mix(shingles, 7) % np.uint64(bits)).astype(np.int64), minlength=bits)
-    return np.packbits((counts & 1).astype(np.uint8)).view(np.int64)
-
-
 def _may_be_similar(percent: int) -> str:
     """SQL condition on ``n, sketch`` and ``n2, sketch2``: too many differing bits exclude a pair."""
     apart = " + ".join(f"bit_count(sketch[{i}] ^ sketch2[{i}])" for i in range(SKETCH_LONGS))
     return f"({apart}) * {100 + percent} <= {100 - percent} * (n + n2)"
 
 
-def _digest(shingles: np.ndarray) -> tuple[int, int]:
-    """Two independent 64-bit sums, equal for equal sets."""
-    sums = [mix(shingles, seed).sum(dtype=np.uint64) for seed in (5, 6)]
-    return tuple(int(s.view(np.int64)) for s in sums)
-
-
 # --- the join ----------------------------------------------------------------------------
 
 
@@ -414,24 +465,31 @@ def _verify(
     digest = "struct<d1:bigint,d2:bigint>"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sets: dict[str, set] = {}
-
-        def of(text: str) -> set:
-            if text not in sets:
-                if len(sets) > 16:
-                    sets.clear()
-                sets[text] = shingle_set(words_of(text), size)
-            return sets[text]
-
+        cache = WordHashes()
         for batch in batches:
-            for at in range(0, batch.num_rows, ROWS_AT_ONCE):
-                some = batch.slice(at, ROWS_AT_ONCE)
+            for part in slices_of_bytes(batch, "right_text", BATCH_BYTES, BATCH_ROWS):
+                # A text that stands in several pairs is cut once.
+                texts = pa.concat_arrays([part.column("left_text"), part.column("right_text")]).dictionary_encode()
+                hashed = HashedSets.of(texts.dictionary, size, cache)
+                sizes = hashed.sizes()
+                x, y = texts.indices.to_numpy().reshape(2, -1)
+                whole: dict[int, set] = {}
+
+                def words_in(i: int) -> set:
+                    if i not in whole:
+                        whole[i] = shingle_set(words_of(texts.dictionary[i].as_py()), size)
+                    return whole[i]
+
                 keep = []
-                for x, y in zip(some.column(2).to_pylist(), some.column(3).to_pylist()):
-                    x, y = of(x), of(y)
-                    common = len(x & y)
-                    keep.append(100 * common >= percent * (len(x) + len(y) - common))
-                yield pa.RecordBatch.from_arrays(some.columns[:2], ["a", "b"]).filter(pa.array(keep, pa.bool_()))
+                for i, j in zip(x.tolist(), y.tolist()):
+                    # Sorted hashes tell most pairs apart; the words themselves decide on the others.
+                    common = len(np.intersect1d(hashed[i], hashed[j], assume_unique=True))
+                    good = 100 * common >= percent * (sizes[i] + sizes[j] - common)
+                    if good:
+                        common = len(words_in(i) & words_in(j))
+                        good = 100 * common >= percent * (len(words_in(i)) + len(words_in(j)) - common)
+                    keep.append(bool(good))
+                yield pa.RecordBatch.from_arrays(part.columns[:2], ["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
     return both.mapInArrow(run, f"a {digest}, b {digest}")
 

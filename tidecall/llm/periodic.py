@@ -27,6 +27,8 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 
+from tidecall.llm.common import ascii_words, slices_of_bytes
+
 #: Text that is sorted at once, unless a single text is longer.
 BATCH_BYTES = 4 << 20
 #: Cells of a table of word comparisons.
@@ -234,18 +236,9 @@ def find_runs(codes: np.ndarray, longest: int, min_length: int = 6, exponent: in
 # --- over tables -------------------------------------------------------------------------
 
 
-def _words(texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
-    """All words of the texts, and the place of each text's first one (with the end)."""
-    lists = pc.ascii_split_whitespace(pc.fill_null(texts, ""))
-    words = lists.flatten()
-    filled = pc.greater(pc.binary_length(words), 0).to_numpy(zero_copy_only=False)
-    offsets = np.concatenate([[0], np.cumsum(filled)])[lists.offsets.to_numpy() - lists.offsets[0].as_py()]
-    return words.filter(pa.array(filled)), offsets
-
-
 def _collapse(texts: pa.Array, min_length: int, exponent: int) -> list[pa.Array]:
     """Number of words, runs and collapsed text of each text."""
-    words, offsets = _words(texts)
+    words, offsets = ascii_words(texts)
     sizes = np.diff(offsets)
     text_of = np.repeat(np.arange(len(texts)), sizes)
     coded = words.dictionary_encode()
@@ -266,18 +259,6 @@ def _collapse(texts: pa.Array, min_length: int, exponent: int) -> list[pa.Array]
     return [pa.array(sizes), pa.ListArray.from_arrays(pa.array(borders), told), pc.binary_join(lists, " ")]
 
 
-def _slices(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
-    """Parts of a batch of about ``BATCH_BYTES``, of one row at least."""
-    sizes = pc.fill_null(pc.binary_length(batch.column("text")), 0).to_numpy(zero_copy_only=False)
-    ends = np.cumsum(sizes)
-    at = 0
-    while at < len(sizes):
-        stop = int(np.searchsorted(ends, (ends[at - 1] if at else 0) + BATCH_BYTES, side="right"))
-        stop = max(stop, at + 1)
-        yield batch.slice(at, stop - at)
-        at = stop
-
-
 def collapse_runs(
     docs: DataFrame, min_length: int = 6, exponent: int = 4, id_col: str = "doc_id", text_col: str = "text"
 ) -> DataFrame:
@@ -303,7 +284,7 @@ def collapse_runs(
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in _slices(batch):
+            for part in slices_of_bytes(batch, "text", BATCH_BYTES):
                 columns = [part.column("doc_id"), *_collapse(part.column("text"), min_length, exponent)]
                 yield pa.RecordBatch.from_arrays(columns, ["doc_id", "n_words", "runs", "collapsed"])
 
