@@ -58,3 +58,12 @@ def test_messy_and_empty(spark):
     assert len(rows) == len(messy.texts())
     assert all((r.n_words, r.n_base, r.labels, r.score) == (0, 0, "", 0.0) for r in rows if r.doc_id in (1, 2, 3))
     assert L.scan_licenses(messy.empty(spark), L.notice_table(spark)).count() == 0
+
+
+def test_short_notices_are_found(spark):
+    """Notices of fewer words than a window give their labels too, beside longer ones."""
+    notices = L.notice_table(spark, [("one", "WTFPL"), ("two", "MIT License"), ("long", "a b c d e f"), ("none", "--")])
+    texts = [(1, "under the wtfpl."), (2, "the mit license holds"), (3, "mit or license"), (4, "x a b c d e f y"), (5, None)]
+    docs = spark.createDataFrame(texts, "doc_id long, text string")
+    got = {r.doc_id: r.labels for r in L.scan_licenses(docs, notices, phrases={"no such phrase": "x"}).collect()}
+    assert got == {1: "one", 2: "two", 3: "", 4: "long", 5: ""}

@@ -1,8 +1,10 @@
+import random
 import zlib
 
 import messy
 import numpy as np
 import public_tokenizers
+import pytest
 from tokenizers import Tokenizer
 
 from tidecall.llm import packing
@@ -55,6 +57,51 @@ def test_costs_are_balanced():
     assert max(cost.values()) < 1.25 * min(cost.values())
 
 
+def plain_placement(blocks, capacity):
+    """The rule by looking at every open sequence for every piece."""
+    cost_of = packing.Packer(capacity, 0).cost
+    sequences, rooms, full, out = {}, {}, 0, []
+    number = 0
+    for lengths in blocks:
+        rest = []
+        for i, n in enumerate(lengths):
+            for start in range(0, n - n % capacity, capacity):
+                out.append((i, start, capacity, number, 0))
+                number += 1
+            if n % capacity:
+                rest.append((n % capacity, i, n - n % capacity))
+        needed = sum(n for n, _, _ in rest) - sum(rooms.values())
+        for _ in range(-(-max(0, needed) // capacity)):
+            sequences[number], rooms[number] = 0.0, capacity
+            number += 1
+        while rest:
+            n, i, start = piece = min(rest, key=lambda x: (-x[0], x[1], x[2]))
+            rest.remove(piece)
+            fits = [s for s in rooms if rooms[s] >= n] or list(rooms)
+            s = min(fits, key=lambda s: (sequences[s], s))
+            take = min(n, rooms[s])
+            out.append((i, start, take, s, capacity - rooms[s]))
+            sequences[s] += cost_of(take)
+            rooms[s] -= take
+            if not rooms[s]:
+                del rooms[s]
+            if take < n:
+                rest.append((n - take, i, start + take))
+    return out
+
+
+@pytest.mark.parametrize("seed", range(6))
+def test_placement_equals_the_plain_rule(seed):
+    """Also late in a block, when the cheap sequences are nearly full."""
+    r = random.Random(seed)
+    capacity = r.choice([16, 100, 128])
+    sizes = r.choice([[1, 2, 3], list(range(1, 3 * capacity)), [5] * 30 + [capacity - 1, capacity // 2]])
+    blocks = [[r.choice(sizes) for _ in range(r.randint(0, 150))] for _ in range(4)]
+    packer = packing.Packer(capacity, 0)
+    got = [row for lengths in blocks for row in packer.place(lengths)]
+    assert got == plain_placement(blocks, capacity)
+
+
 def test_cache_equals_tokenizer(small, spark):
     encoder = TextEncoder(PATH)
     assert encoder.cached

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterable
+
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -51,6 +53,14 @@ def _windows(words: str, k: int) -> Column:
     return F.transform(starts, lambda i: F.struct(i.alias("at"), window(i).alias("hash")))
 
 
+def _windows_of(words: str, widths: Iterable[int]) -> Column:
+    """Start, hash and width of every window of any of these widths."""
+    told = lambda k: F.transform(
+        _windows(words, k), lambda w: F.struct(w["at"].alias("at"), w["hash"].alias("hash"), F.lit(k).alias("width"))
+    )
+    return F.concat(*[told(k) for k in widths])
+
+
 def _phrase_places(words: str, phrases: dict[str, str]) -> Column:
     """Start and label of every place of a phrase; only words that end a phrase are looked at."""
     return F.concat(*[_places_of(words, phrase.split(), label) for phrase, label in phrases.items()])
@@ -87,7 +97,8 @@ def scan_licenses(
     """License labels per document.
 
     Every window of ``k`` words of every document is joined by hash and words with the
-    windows of the notices (``template, label, notice``). A hit votes for the diagonal
+    windows of the notices (``template, label, notice``; shorter notices are one window of all
+    their words, those without words are never found). A hit votes for the diagonal
     ``position - template position``: the words of one copy of a notice lie on one diagonal,
     or on neighbouring ones where a word was added or lost. Diagonals no further than
     ``drift`` apart are merged. A merged diagonal whose hits cover ``min_coverage`` of the
@@ -111,19 +122,22 @@ def scan_licenses(
     scratch = Scratch(docs.sparkSession, "licenses")
     marks = (
         notices.select("template", "label", words_of(F.col("notice")).alias("words"))
-        .where(F.size("words") >= k)
-        .select("template", "label", "words", F.explode(_windows("words", k)).alias("w"))
+        .where(F.size("words") > 0)
+        .withColumn("width", F.least(F.lit(k), F.size("words")))
+        .select("template", "label", "words", "width", F.explode(_windows_of("words", range(1, k + 1))).alias("w"))
+        .where("width = w.width")
         .select(
             "template",
             F.col("w.at").alias("place"),
             F.col("w.hash").alias("hash"),
-            F.slice("words", F.col("w.at") + 1, k).alias("gram"),
+            F.slice("words", F.col("w.at") + 1, F.col("width")).alias("gram"),
             F.size("words").alias("size"),
             F.array_join("words", " ").alias("notice"),
             F.col("label").alias("notice_label"),
         )
     )
     marks = scratch.write(marks, "marks")  # so that its size is known
+    widths = [r["width"] for r in marks.select(F.size("gram").alias("width")).distinct().collect()]  # k at most
     hashes = [r["hash"] for r in marks.select("hash").distinct().limit(MAX_HASHES + 1).collect()]
     few = len(hashes) <= MAX_HASHES
     parts = docs.select(
@@ -131,14 +145,14 @@ def scan_licenses(
         row_key(docs[id_col], docs[text_col]).alias("key"),
         words_of(docs[text_col]).alias("words"),
     )
-    windows = _windows("words", k)
+    windows = _windows_of("words", sorted(widths) or [k])
     if few:
         # Windows that no notice has are left out before they become rows.
         windows = F.filter(windows, lambda w: w["hash"].isin(hashes))
     hits = (
         parts.select("key", "words", F.explode(windows).alias("w"))
         .join(F.broadcast(marks) if few else marks, F.col("w.hash") == F.col("hash"))
-        .where(F.slice("words", F.col("w.at") + 1, k) == F.col("gram"))
+        .where(F.slice("words", F.col("w.at") + 1, F.size("gram")) == F.col("gram"))
         .select(
             "key",
             "template",
@@ -181,7 +195,7 @@ def scan_licenses(
         )
     )
     covered = F.size(
-        F.array_distinct(F.flatten(F.transform("places", lambda p: F.sequence(p, p + (k - 1)))))
+        F.array_distinct(F.flatten(F.transform("places", lambda p: F.sequence(p, p + F.least(F.lit(k), F.col("size")) - 1))))
     )
     longest = F.greatest(F.length("passage"), F.length("notice"))
     verified = (

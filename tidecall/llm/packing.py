@@ -16,27 +16,76 @@ from tidecall.llm.tokens import encoder
 #: Relative cost of a token by itself and of a pair of tokens that attend to each other.
 LINEAR, QUADRATIC = 1.0, 1.0 / 1024
 ROWS_AT_ONCE = 64
-#: A sequence that fits a whole remainder is sought among so many of the cheapest.
-LOOK_AHEAD = 8
+
+
+class OpenSequences:
+    """Sequences with room, by their room: a tree over all rooms with the cheapest sequence of each part.
+
+    The cheapest one with room for a piece is found among all in as many steps as the capacity
+    has bits. Equal costs go to the sequence that was opened first.
+    """
+
+    def __init__(self, capacity: int):
+        self.leaves = 1 << capacity.bit_length()
+        self.by_room: dict[int, list[tuple[float, int]]] = {}
+        self.cheapest: list[tuple[float, int] | None] = [None] * (2 * self.leaves)
+        self.room = 0  # of all together
+
+    def _update(self, room: int) -> None:
+        at = self.leaves + room
+        held = self.by_room.get(room)
+        self.cheapest[at] = held[0] if held else None
+        while at > 1:
+            at >>= 1
+            left, right = self.cheapest[2 * at], self.cheapest[2 * at + 1]
+            self.cheapest[at] = left if right is None or (left is not None and left < right) else right
+
+    def add(self, cost: float, sequence: int, room: int) -> None:
+        heapq.heappush(self.by_room.setdefault(room, []), (cost, sequence))
+        self.room += room
+        self._update(room)
+
+    def take(self, least: int) -> tuple[float, int, int] | None:
+        """Remove the cheapest sequence with ``least`` room or more: its cost, number and room."""
+        best, node = None, 0
+        low, high = self.leaves + least, 2 * self.leaves
+        while low < high:  # the parts of the tree that make up the rooms asked for
+            if low & 1:
+                if (x := self.cheapest[low]) is not None and (best is None or x < best):
+                    best, node = x, low
+                low += 1
+            if high & 1:
+                high -= 1
+                if (x := self.cheapest[high]) is not None and (best is None or x < best):
+                    best, node = x, high
+            low, high = low >> 1, high >> 1
+        if best is None:
+            return None
+        while node < self.leaves:
+            node = 2 * node if self.cheapest[2 * node] == best else 2 * node + 1
+        room = node - self.leaves
+        heapq.heappop(self.by_room[room])
+        self.room -= room
+        self._update(room)
+        return (*best, room)
 
 
 class Packer:
     """Open sequences of one task.
 
-    A full sequence leaves the heap; one with room stays open for the next block, so that
-    only the last few of a task are padded.
+    One with room stays open for the next block, so that only the last few of a task are padded.
     """
 
     def __init__(self, capacity: int, first_id: int):
         self.capacity, self.next_id = capacity, first_id
-        self.open: list[tuple[float, int, int]] = []  # cost, sequence, tokens in it
+        self.open = OpenSequences(capacity)
 
     def cost(self, tokens: int) -> float:
         return LINEAR * tokens + QUADRATIC * tokens * tokens
 
-    def _new(self) -> tuple[float, int, int]:
+    def _new(self) -> int:
         self.next_id += 1
-        return (0.0, self.next_id - 1, 0)
+        return self.next_id - 1
 
     def place(self, lengths: list[int]) -> list[tuple[int, int, int, int, int]]:
         """Pieces ``(document, start, length, sequence, offset)`` of documents of these lengths."""
@@ -45,30 +94,24 @@ class Packer:
         for i, n in enumerate(lengths):
             full = n - n % capacity
             for start in range(0, full, capacity):
-                out.append((i, start, capacity, self._new()[1], 0))
+                out.append((i, start, capacity, self._new(), 0))
             if n > full:
                 rest.append((full - n, i, full))
-        room = sum(capacity - used for _, _, used in self.open)
-        needed = sum(-x[0] for x in rest) - room
+        needed = sum(-x[0] for x in rest) - self.open.room
         for _ in range(-(-max(needed, 0) // capacity)):
-            heapq.heappush(self.open, self._new())
+            self.open.add(0.0, self._new(), capacity)
         heapq.heapify(rest)
         while rest:
             n, i, start = heapq.heappop(rest)
             n = -n
-            seen = [heapq.heappop(self.open)]
-            while n > capacity - seen[-1][2] and self.open and len(seen) < LOOK_AHEAD:
-                seen.append(heapq.heappop(self.open))
-            at = next((k for k, x in enumerate(seen) if n <= capacity - x[2]), 0)
-            cost, sequence, used = seen.pop(at)
-            take = min(n, capacity - used)
-            out.append((i, start, take, sequence, used))
-            if used + take < capacity:
-                seen.append((cost + self.cost(take), sequence, used + take))
-            for x in seen:
-                heapq.heappush(self.open, x)
-            if take < n:
-                heapq.heappush(rest, (take - n, i, start + take))
+            # Where none has room for the whole, the cheapest one takes what it can.
+            cost, sequence, room = self.open.take(n) or self.open.take(1)
+            piece = min(n, room)
+            out.append((i, start, piece, sequence, capacity - room))
+            if piece < room:
+                self.open.add(cost + self.cost(piece), sequence, room - piece)
+            if piece < n:
+                heapq.heappush(rest, (piece - n, i, start + piece))
         return out
 
 
@@ -87,7 +130,7 @@ def pack(
     in blocks of about ``block_tokens``. A block's whole-capacity chunks become sequences by
     themselves; what is left of each document goes, in descending length, to the sequence with
     the lowest cost (linear plus quadratic in each piece, since attention stays inside a
-    piece) that has room. A remainder that fits none of the cheapest is cut at the room of the
+    piece) that has room for it, whichever that is. A remainder that fits none is cut at the room of the
     cheapest. There are just as many sequences as the tokens need, and those with room stay
     open for the next block: all padding of a task is less than one sequence.
 
