@@ -193,6 +193,16 @@ def test_one_hot_unknown_level(spark):
     assert sorted(rows(modeling.one_hot(df, ["s"], fit_on=fit))) == [("b", 0, 1), ("z", 0, 0)]
 
 
+def test_one_hot_with_many_levels(spark):
+    df = spark.range(2000).selectExpr("id", "concat('v', id % 1500) as a", "if(id % 5 = 0, null, id % 2) as b")
+    with pytest.raises(ValueError, match="one_hot_sparse"):
+        modeling.one_hot(df, ["a", "b"])
+    got = {r.id: (r.slots, r["size"]) for r in modeling.one_hot_sparse(df, ["a", "b"], "id").collect()}
+    names = sorted({f"v{i % 1500}" for i in range(2000)})
+    want = {i: ([names.index(f"v{i % 1500}")] + ([] if i % 5 == 0 else [1500 + i % 2]), 1502) for i in range(2000)}
+    assert got == want
+
+
 def test_stream_equals_batch(spark, csv):
     schema = contact_schema(CONTACT_KEY, TEXT)
     out, checkpoint = scratch_path(spark, "stream"), scratch_path(spark, "checkpoint")

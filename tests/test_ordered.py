@@ -38,6 +38,36 @@ def test_history_never_partitions_rows_by_the_key_alone(spark, skewed):
     assert "SinglePartition" not in plan
 
 
+@pytest.mark.parametrize("rows_per_chunk", [1, 20, 400])
+def test_over_full_chunks_are_cut_further(spark, rows_per_chunk):
+    """Series of one day, of one minute and of one instant are spread; the result is that of one window."""
+    from tidecall.operators.runs import step_series, time_chunks
+
+    df = spark.range(3000).select(
+        (F.col("id") * 7919 % 3000 * 1000).alias("id"),
+        F.when(F.col("id") % 3 == 0, "day").when(F.col("id") % 3 == 1, "minute").otherwise("instant").alias("run_id"),
+        F.lit("k").alias("key"),
+        F.timestamp_micros(
+            F.when(F.col("id") % 3 == 0, F.col("id") * 20_000_000).when(F.col("id") % 3 == 1, F.col("id") * 9000).otherwise(5)
+        ).alias("ts"),
+        F.col("id").cast("double").alias("value"),
+    )
+    got = step_series(df, time_chunks(df, "ts", "id"), ["ts", "id"], rows_per_chunk)
+    w = Window.partitionBy("run_id").orderBy("ts", "id")
+    want = df.withColumns({"step": F.row_number().over(w) - 1, "delta": F.col("value") - F.lag("value").over(w)})
+    assert sorted(rows(got), key=repr) == sorted(rows(want.withColumn("step", F.col("step").cast("long"))), key=repr)
+    plan = got._jdf.queryExecution().optimizedPlan().toString()
+    cut = max(int(c) for c in "0123456" if f"__chunk{c}" in plan)
+    assert cut == 5
+
+
+def test_chunks_of_times_with_and_without_zone(spark):
+    from tidecall.operators.runs import time_chunks
+
+    df = spark.sql("SELECT timestamp_micros(1700000000123456) AS z, CAST(timestamp_micros(1700000000123456) AS timestamp_ntz) AS n")
+    assert len({tuple(df.select(*time_chunks(df, c)).first()) for c in ("z", "n")}) == 1
+
+
 def test_number_rows(spark, skewed):
     got = number_rows(skewed.select("id", "k"), ["k", "id"], "n")
     want = skewed.select("id", F.row_number().over(Window.orderBy("k", "id")).alias("n"))

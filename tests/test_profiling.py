@@ -158,3 +158,15 @@ def test_prediction_summary(spark):
     assert rows(evaluation.prediction_summary(df)) == [(4, 2, 0.5, 0.5, 0.5)]
     one = spark.createDataFrame([(1,)], "prediction int")
     assert rows(evaluation.prediction_summary(one)) == [(1, 1, 1.0, None, 0.5)]
+
+
+@pytest.mark.parametrize("values", [[0.1 * i for i in range(31)], [0.0, 0.7, 0.1, 0.3, 1e-300], [1e300, -1e300, 3.0], [2.0] * 5])
+def test_histogram_places_values_by_its_own_edges(spark, values):
+    """A value on a printed edge counts above it, the largest one in the last bin."""
+    df = spark.createDataFrame([(v,) for v in values], "x double")
+    found = sorted(profiling.histogram(df, "x", 10).collect(), key=lambda r: r.bin)
+    assert [r.bin for r in found] == list(range(10)) and all(a.upper == b.lower for a, b in zip(found, found[1:]))
+    for r in found:
+        last = r.bin == 9
+        assert r.n == sum(r.lower <= v < r.upper or (last and v == r.upper) for v in values)
+    assert sum(r.n for r in found) == len(values)

@@ -43,44 +43,59 @@ def _never_null(df: DataFrame, keys: list[str]) -> dict[str, Column]:
 def with_history(
     df: DataFrame,
     keys: list[str],
-    chunk: Column,
+    chunk: Column | list[Column],
     order: list[str],
     lags: dict[str, str] | None = None,
     number: str | None = None,
+    rows_per_chunk: int = ROWS_PER_RANGE,
 ) -> DataFrame:
     """Row number and previous values per key, safe for keys with very many rows.
 
     ``chunk`` must not decrease along ``order`` (for example the day of a
     timestamp): one task then holds one key's rows of one chunk, and the rows
-    per key that meet in a second window are one per chunk. ``lags`` maps new
-    columns to the column whose previous value they hold; ``number`` names a
-    1-based position.
+    per key that meet in a second window are one per chunk. A list of chunks, coarse to fine
+    (day, hour, minute, part of an id), is used as far as it is needed: a chunk of
+    more than ``rows_per_chunk`` rows is cut by the next column, the others stay whole. Rows are
+    counted for that when this is called, and only over-full chunks are counted again.
+    ``lags`` maps new columns to the column whose previous value they hold; ``number`` names
+    a 1-based position.
     """
     lags = lags or {}
+    levels = chunk if isinstance(chunk, list) else [chunk]
     carried = sorted(set(lags.values()))
     helpers = _never_null(df, keys)
     group = list(helpers)
-    base = df.withColumns(helpers | {"__chunk": chunk})
-    within = Window.partitionBy(*group, "__chunk").orderBy(*order)
+    base = df.withColumns(helpers | {"__chunk0": levels[0]})
+    chunks = ["__chunk0"]
+    for i, level in enumerate(levels[1:], 1):
+        sizes = base.groupBy(*group, *chunks).agg(F.count("*").alias("__rows"))
+        over = materialize(sizes.where(F.col("__rows") > rows_per_chunk).drop("__rows").withColumn("__over", F.lit(True)), "overfull")
+        if over.isEmpty():
+            break
+        finer = F.when(F.col("__over"), level.cast("bigint")).otherwise(F.lit(0).cast("bigint"))
+        base = base.join(over, [*group, *chunks], "left").withColumn(f"__chunk{i}", finer).drop("__over")
+        base = materialize(base, "chunked")
+        chunks.append(f"__chunk{i}")
+    within = Window.partitionBy(*group, *chunks).orderBy(*order)
     local = base.withColumns(
         {"__pos": F.row_number().over(within)}
         | {f"__lag_{c}": F.lag(c).over(within) for c in carried}
     )
 
-    summary = base.groupBy(*group, "__chunk").agg(
+    summary = base.groupBy(*group, *chunks).agg(
         F.count("*").alias("__rows"),
         F.max_by(F.struct(*carried, F.lit(1).alias("__one")), F.struct(*order)).alias("__tail"),
     )
-    across = Window.partitionBy(*group).orderBy("__chunk")
+    across = Window.partitionBy(*group).orderBy(*chunks)
     before = F.sum("__rows").over(across.rowsBetween(Window.unboundedPreceding, -1))
     heads = summary.select(
         *group,
-        "__chunk",
+        *chunks,
         F.coalesce(before, F.lit(0)).alias("__before"),
         F.lag("__tail").over(across).alias("__prev"),
     )
 
-    joined = local.join(heads, [*group, "__chunk"])
+    joined = local.join(heads, [*group, *chunks])
     out = {}
     if number:
         out[number] = F.col("__before") + F.col("__pos")

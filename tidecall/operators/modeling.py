@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from tidecall import fixed_values as V
 from tidecall.functions import columns as C
+from tidecall.functions.ordered import number_rows
 from tidecall.operators.evaluation import prediction_summary
 from tidecall.session import materialize
 
@@ -48,9 +49,46 @@ def one_hot_stages(categorical: list[str]) -> list[Estimator]:
     ]
 
 
-def one_hot(df: DataFrame, categorical: list[str], fit_on: DataFrame | None = None) -> DataFrame:
-    """One 0/1 column per fitted level, named ``column_level``."""
-    model = Pipeline(stages=one_hot_stages(categorical)).fit(df if fit_on is None else fit_on)
+def level_numbers(df: DataFrame, categorical: list[str]) -> DataFrame:
+    """``column, level, slot``: the levels of each column in alphabetical order, numbered from 0 across columns.
+
+    However many levels there are, they are a table and never meet on the driver or in one task.
+    """
+    entries = [F.struct(F.lit(i).alias("place"), F.lit(c).alias("column"), F.col(f"`{c}`").cast("string").alias("level")) for i, c in enumerate(categorical)]
+    # Levels are counted per task before they are shuffled.
+    levels = df.select(F.explode(F.array(*entries)).alias("e")).select("e.*").where("level is not null").distinct()
+    numbered = number_rows(levels, ["place", "level"], "slot")
+    return numbered.select("column", "level", (F.col("slot") - 1).alias("slot"))
+
+
+def one_hot_sparse(df: DataFrame, categorical: list[str], key: str, levels: DataFrame | None = None) -> DataFrame:
+    """``key, slots, size``: the slots of each row that are 1, ascending, of ``size`` in all.
+
+    ``levels`` is a table as of :func:`level_numbers`, by default that of ``df``. Each row's levels
+    are joined with it as a table, so that their number has no bound; levels that it lacks have no slot.
+    ``key`` must be unique.
+    """
+    levels = materialize(level_numbers(df, categorical) if levels is None else levels, "levels")
+    entries = [F.struct(F.lit(c).alias("column"), F.col(f"`{c}`").cast("string").alias("level")) for c in categorical]
+    long = df.select(F.col(f"`{key}`"), F.explode(F.array(*entries)).alias("e")).select(key, "e.*")
+    found = long.join(levels, ["column", "level"], "left").groupBy(key).agg(F.sort_array(F.collect_list("slot")).alias("slots"))
+    size = levels.agg(F.count("*").alias("n"))
+    return found.select(key, "slots", size.scalar().alias("size"))
+
+
+def one_hot(
+    df: DataFrame, categorical: list[str], fit_on: DataFrame | None = None, max_levels: int = 1000
+) -> DataFrame:
+    """One 0/1 column per fitted level, named ``column_level``.
+
+    A plan with a column per level holds no more than ``max_levels`` of them, else a ``ValueError``
+    points to :func:`one_hot_sparse`; their number is checked before any level is fetched.
+    """
+    fitted = df if fit_on is None else fit_on
+    counts = fitted.agg(*[F.count_distinct(F.col(f"`{c}`")).alias(f"n{i}") for i, c in enumerate(categorical)]).first()
+    if sum(counts) > max_levels:
+        raise ValueError(f"{sum(counts)} levels are more than {max_levels}; use one_hot_sparse")
+    model = Pipeline(stages=one_hot_stages(categorical)).fit(fitted)
     encoded = model.transform(df)
     levels = dict(zip(categorical, model.stages[0].labelsArray))
     flags = [

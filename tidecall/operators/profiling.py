@@ -161,8 +161,10 @@ def target_rate_by(
 def histogram(df: DataFrame, column: str, bins: int = V.HISTOGRAM_BINS, by: str | None = None) -> DataFrame:
     """Equal-width bins between the smallest and the largest finite value, empty bins included.
 
-    With ``by`` every class gets its own range. The last bin is closed on the
-    right; a constant column gets a range of one unit around its value.
+    A value is placed by comparing it with the edges that are returned, so that it lies between
+    those of its bin; on an inner edge it counts above. With ``by`` every class gets its own
+    range. The last bin is closed on the right; a constant column gets a range of one
+    unit around its value.
     """
     groups = [by] if by else []
     data = df.select(*groups, C.finite(column).alias("__x")).where(F.col("__x").isNotNull())
@@ -170,27 +172,33 @@ def histogram(df: DataFrame, column: str, bins: int = V.HISTOGRAM_BINS, by: str
         data = data.where(F.col(f"`{by}`").isNotNull())
     flat = F.min("__x") == F.max("__x")
     half = F.when(flat, F.lit(0.5)).otherwise(F.lit(0.0))
-    ranges = data.groupBy(*groups).agg(
-        (F.min("__x") - half).alias("__lo"), (F.max("__x") + half).alias("__hi")
+    low, high = (F.min("__x") - half), (F.max("__x") + half)
+    edge = lambda i: F.when(i == bins, F.col("__hi")).otherwise(
+        F.col("__lo") + (F.col("__hi") - F.col("__lo")) / F.lit(float(bins)) * i
     )
+    edges = F.transform(F.sequence(F.lit(0), F.lit(bins)), edge).alias("__edges")
+    ranges = data.groupBy(*groups).agg(low.alias("__lo"), high.alias("__hi"))
+    ranges = ranges.where(F.col("__lo").isNotNull()).select(*groups, edges)
     if by:
         # One row per class, written first so that the planner knows how small it is.
         ranges = materialize(ranges, "ranges")
         placed = data.join(ranges, by)
     else:
-        placed = data.withColumns({c: ranges.select(c).scalar() for c in ("__lo", "__hi")})
-    width = F.col("__hi") - F.col("__lo")
-    place = F.floor((F.col("__x") - F.col("__lo")) / width * F.lit(float(bins))).cast("int")
-    counts = placed.groupBy(*groups, F.least(place, F.lit(bins - 1)).alias("bin")).agg(
-        F.count("*").alias("__n")
+        placed = data.withColumn("__edges", ranges.select("__edges").scalar())
+    # A bin near the value by division, moved by the edges themselves.
+    at = lambda i: F.get("__edges", i)
+    x, width = F.col("__x"), (at(F.lit(bins)) - at(F.lit(0))) / F.lit(float(bins))
+    near = F.greatest(F.lit(0), F.least(F.lit(bins - 1), F.floor((x - at(F.lit(0))) / width).cast("int")))
+    place = F.when(x < at(F.col("__near")), F.col("__near") - 1).otherwise(
+        F.when((F.col("__near") < bins - 1) & (x >= at(F.col("__near") + 1)), F.col("__near") + 1).otherwise(F.col("__near"))
     )
-    frame = ranges.where(F.col("__lo").isNotNull()).withColumn("bin", F.explode(F.sequence(F.lit(0), F.lit(bins - 1))))
-    edge = width / F.lit(float(bins))
+    counts = placed.withColumn("__near", near).groupBy(*groups, place.alias("bin")).agg(F.count("*").alias("__n"))
+    frame = ranges.withColumn("bin", F.explode(F.sequence(F.lit(0), F.lit(bins - 1))))
     return frame.join(counts, [*groups, "bin"], "left").select(
         *groups,
         "bin",
-        (F.col("__lo") + edge * F.col("bin")).alias("lower"),
-        (F.col("__lo") + edge * (F.col("bin") + 1)).alias("upper"),
+        F.get("__edges", F.col("bin")).alias("lower"),
+        F.get("__edges", F.col("bin") + 1).alias("upper"),
         F.coalesce("__n", F.lit(0)).alias("n"),
     )
 

@@ -13,7 +13,7 @@ from pyspark.sql import types as T
 from tidecall import fixed_values as V
 from tidecall import schema as S
 from tidecall.functions import columns as C
-from tidecall.functions.ordered import with_history
+from tidecall.functions.ordered import ROWS_PER_RANGE, with_history
 
 TABLES = {
     "runs": S.RUNS,
@@ -82,8 +82,15 @@ def last_values(metrics: DataFrame, order: list[str] | None = None) -> DataFrame
     return metrics.groupBy("run_id", "key").agg(F.max_by("value", F.struct(*order)).alias("value"))
 
 
-def value_maps(values: DataFrame, name: str = "metrics") -> DataFrame:
-    """One map of key to value per run; ``values`` has one row per run and key."""
+def value_maps(values: DataFrame, name: str = "metrics", max_keys: int = 10_000) -> DataFrame:
+    """One map of key to value per run; ``values`` has one row per run and key.
+
+    A map is one value in one row: a run with more than ``max_keys`` keys raises an error
+    rather than fill a task's memory; its values stay readable as rows.
+    """
+    sizes = values.groupBy("run_id").agg(F.count("*").alias("n")).where(F.col("n") > max_keys)
+    if found := sizes.limit(3).collect():
+        raise ValueError(f"more than {max_keys} keys for {[r.run_id for r in found]}; read them as rows")
     entries = F.map_from_entries(F.collect_list(F.struct("key", "value")))
     return values.groupBy("run_id").agg(entries.alias(name))
 
@@ -139,13 +146,32 @@ def newest_version(versions: DataFrame, column: str = "version") -> DataFrame:
     return versions.agg(F.max(F.col(column).cast("int")).alias("version"))
 
 
-def step_series(metrics: DataFrame, chunk: Column, order: list[str]) -> DataFrame:
+def time_chunks(df: DataFrame, ts: str, row_id: str | None = None) -> list[Column]:
+    """Day, hour, minute, second and instant of a timestamp, and parts of the id of 65,536 numbers, coarse to fine.
+
+    A time without zone is taken as it stands, in whatever zone the session is.
+    """
+    if df.schema[ts].dataType == T.TimestampNTZType():
+        within = F.hour(ts) * 3600 + F.minute(ts) * 60
+        second = (F.date_part(F.lit("SECOND"), F.col(ts)) * 1_000_000).cast("bigint")
+        micros = F.unix_date(F.to_date(ts)) * F.lit(86_400_000_000) + within * F.lit(1_000_000).cast("bigint") + second
+    else:
+        micros = F.unix_micros(ts)
+    chunks = [F.floor(micros / (seconds * 1_000_000)) for seconds in (86_400, 3_600, 60, 1)]
+    return chunks + [micros] + ([F.shiftright(F.col(row_id), 16)] if row_id else [])
+
+
+def step_series(
+    metrics: DataFrame, chunk: Column | list[Column], order: list[str], rows_per_chunk: int = ROWS_PER_RANGE
+) -> DataFrame:
     """Number and change to the previous value for each metric of each run.
 
-    ``chunk`` follows ``order`` (for example the day of a timestamp), so that a
-    long series is spread over tasks.
+    ``chunk`` follows ``order`` (for example :func:`time_chunks`), so that a long series is
+    spread over tasks, also where it is all of one day or of one minute.
     """
-    steps = with_history(metrics, ["run_id", "key"], chunk, order, lags={"previous": "value"}, number="__n")
+    steps = with_history(
+        metrics, ["run_id", "key"], chunk, order, {"previous": "value"}, "__n", rows_per_chunk
+    )
     return steps.withColumns(
         {"step": (F.col("__n") - 1).cast("bigint"), "delta": F.col("value") - F.col("previous")}
     ).drop("__n", "previous")

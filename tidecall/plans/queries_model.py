@@ -61,6 +61,27 @@ def one_hot(spark, sf):
     return modeling.one_hot(contacts, ["marital", "month"], fit_on=early)
 
 
+@query(
+    "one_hot_sparse",
+    on_contacts(
+        """
+long AS (
+  SELECT contact_id, unnest([0, 1, 2]) AS place, unnest([job, marital, month]) AS level FROM contacts
+),
+levels AS (
+  SELECT place, level, row_number() OVER (ORDER BY place, level) - 1 AS slot
+  FROM (SELECT DISTINCT place, level FROM long WHERE level IS NOT NULL)
+)
+SELECT contact_id, string_agg(CAST(slot AS VARCHAR), ',' ORDER BY slot) AS slots, (SELECT count(*) FROM levels) AS size
+FROM long LEFT JOIN levels USING (place, level) GROUP BY contact_id"""
+    ),
+)
+def one_hot_sparse(spark, sf):
+    contacts = materialize(contact_table(spark, sf, "job", "marital", "month"), "levels")
+    coded = modeling.one_hot_sparse(contacts, ["job", "marital", "month"], CONTACT_KEY)
+    return coded.withColumn("slots", F.array_join("slots", ","))
+
+
 def labelled_contacts(spark, sf):
     """Cleaned contacts with derived features and their side of the split, written once."""
     cleaned = cleaning.clean(contact_table(spark, sf), keep=(CONTACT_KEY,))

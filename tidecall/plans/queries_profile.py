@@ -181,9 +181,9 @@ def _edges(df):
     """
 WITH r AS (SELECT min(o_totalprice) AS lo, max(o_totalprice) AS hi FROM orders),
 bins AS (SELECT CAST(unnest(range(20)) AS INTEGER) AS bin),
+edges AS (SELECT CASE WHEN i = 20 THEN hi ELSE lo + (hi - lo) / CAST(20 AS DOUBLE) * i END AS edge FROM r, range(21) AS t(i)),
 placed AS (
-  SELECT CAST(least(floor((o_totalprice - lo) / (hi - lo) * CAST(20 AS DOUBLE)), 19) AS INTEGER) AS bin
-  FROM orders, r
+  SELECT CAST(least((SELECT count(*) FROM edges WHERE edge <= o_totalprice) - 1, 19) AS INTEGER) AS bin FROM orders
 )
 SELECT bin, round(lo + (hi - lo) / CAST(20 AS DOUBLE) * bin, 6) AS lower,
   round(lo + (hi - lo) / CAST(20 AS DOUBLE) * (bin + 1), 6) AS upper,
@@ -199,10 +199,14 @@ def histogram(spark, sf):
     """
 WITH r AS (SELECT o_orderstatus, min(o_totalprice) AS lo, max(o_totalprice) AS hi FROM orders GROUP BY 1),
 bins AS (SELECT CAST(unnest(range(20)) AS INTEGER) AS bin),
+edges AS (
+  SELECT o_orderstatus AS s, CASE WHEN i = 20 THEN hi ELSE lo + (hi - lo) / CAST(20 AS DOUBLE) * i END AS edge
+  FROM r, range(21) AS t(i)
+),
 placed AS (
   SELECT o_orderstatus,
-    CAST(least(floor((o_totalprice - lo) / (hi - lo) * CAST(20 AS DOUBLE)), 19) AS INTEGER) AS bin
-  FROM orders JOIN r USING (o_orderstatus)
+    CAST(least((SELECT count(*) FROM edges WHERE s = o_orderstatus AND edge <= o_totalprice) - 1, 19) AS INTEGER) AS bin
+  FROM orders
 )
 SELECT r.o_orderstatus, b.bin, round(lo + (hi - lo) / CAST(20 AS DOUBLE) * b.bin, 6) AS lower,
   round(lo + (hi - lo) / CAST(20 AS DOUBLE) * (b.bin + 1), 6) AS upper, count(p.bin) AS n

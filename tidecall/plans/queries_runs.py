@@ -161,7 +161,7 @@ WINDOW w AS (PARTITION BY user_id, event_type ORDER BY ts, event_id)""",
 )
 def step_series(spark, sf):
     metrics = metric_rows(table(spark, sf, "events"))
-    series = runs.step_series(metrics, F.to_date("ts"), ["ts", "event_id"])
+    series = runs.step_series(metrics, runs.time_chunks(metrics, "ts", "event_id"), ["ts", "event_id"])
     return series.select("event_id", "run_id", "key", "value", "step", F.round("delta", 6).alias("delta"))
 
 
