@@ -31,15 +31,36 @@ def test_learns_insults_and_not_groups(spark):
     assert gap(fair) < 0.1 and gap(fair) < gap(unfair)
 
 
-def test_held_out_documents(spark, medium):
+def test_held_out_documents(spark):
+    """On the larger set, with twins in the training fold: most toxic documents, hardly a clean one."""
     from tidecall.llm.queries import op6_toxicity
 
-    labels = spark.read.parquet(f"{medium}/labels.parquet")
-    rows = op6_toxicity(spark, medium).where("held_out").join(labels, "doc_id").collect()
+    folder = "/root/testdata/sf0.1"
+    labels = spark.read.parquet(f"{folder}/labels.parquet")
+    rows = op6_toxicity(spark, folder).where("held_out").join(labels, "doc_id").collect()
     toxic, clean = ([r for r in rows if r.toxic == t] for t in (1, 0))
-    assert sum(r.predicted for r in clean) <= 0.05 * len(clean)
+    hits, wrong = (sum(r.predicted for r in x) for x in (toxic, clean))
+    assert hits >= 0.75 * len(toxic) and hits / (hits + wrong) >= 0.95
     better = sum((a.score > b.score) + 0.5 * (a.score == b.score) for a in toxic for b in clean)
-    assert better / (len(toxic) * len(clean)) > 0.6
+    assert better / (len(toxic) * len(clean)) > 0.85
+
+
+def test_the_given_tables_have_twins(spark, medium):
+    from tidecall.llm.queries import toxicity_model
+
+    docs, labels = (spark.read.parquet(f"{medium}/{t}.parquet") for t in ("documents", "labels"))
+    model = toxicity_model(docs, labels)
+    assert model.twins > 100 and len(model.terms) > len(X.IDENTITY_TERMS)
+
+
+def test_neutral_words_of_the_corpus(spark):
+    """Words that both labels use alike are terms, words of one label are not; a twin's word that is there already counts as gone."""
+    rows = [(i % 2, [f"name{i % 7}", "insult" if i % 2 else "praise"] + ([f"name{(i + 1) % 7}"] if i % 3 else [])) for i in range(700)]
+    bags = spark.createDataFrame(rows, "label int, words array<string>")
+    found = X.neutral_terms(bags, 40, 10)
+    assert sorted(w for line in found for w in line) == [f"name{i}" for i in range(7)]
+    assert not {"insult", "praise"} & {w for line in found for w in line}
+    assert X.neutral_terms(bags.where("label = 1"), 40, 10) == []
 
 
 def test_messy_and_empty(spark):

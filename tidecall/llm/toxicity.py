@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import re
 import zlib
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -38,6 +39,9 @@ class Model:
 
     weights: dict[str, float]
     bias: float
+    #: Counterfactual twins that the fit has seen, and the groups of terms they were made with.
+    twins: int = 0
+    terms: tuple[tuple[str, ...], ...] = ()
 
     def score(self, text: str) -> float:
         get = self.weights.get
@@ -46,8 +50,25 @@ class Model:
         return float(1 / (1 + np.exp(-min(max(z, -50.0), 50.0))))
 
 
-def _swaps() -> dict[str, list[str]]:
-    return {w: [x for x in line if x != w] for line in IDENTITY_TERMS for w in line}
+def neutral_terms(bags: DataFrame, most: int, least_rows: int, per_group: int = 5, close: float = 0.5) -> list[list[str]]:
+    """Words of the labelled rows (``label, words``) that say nothing about the label, in groups of like frequency.
+
+    Both labels use them alike: their shares differ by at most ``close`` standard errors. They
+    stand in for the names of groups that a corpus does not have in a list: what a text is about
+    and not how it speaks. At most ``most`` words, the most frequent of those in fewer than half of the rows.
+    """
+    sizes = {r["label"]: r["n"] for r in bags.groupBy("label").agg(F.count("*").alias("n")).collect()}  # two rows
+    pos, neg = sizes.get(1, 0), sizes.get(0, 0)
+    if not pos or not neg:
+        return []
+    used = bags.select("label", F.explode("words").alias("word")).groupBy("word")
+    counts = used.agg(F.count_if(F.col("label") == 1).alias("p"), F.count_if(F.col("label") == 0).alias("q"))
+    share = (F.col("p") + F.col("q")) / float(pos + neg)
+    error = F.sqrt(share * (1 - share) * (1.0 / pos + 1.0 / neg))
+    alike = F.abs(F.col("p") / float(pos) - F.col("q") / float(neg)) <= close * error
+    some = counts.where((F.col("p") + F.col("q") >= least_rows) & (share < 0.5) & alike)
+    words = [r["word"] for r in some.orderBy(F.desc(F.col("p") + F.col("q")), "word").limit(most).collect()]
+    return [words[i : i + per_group] for i in range(0, len(words) - 1, per_group)]
 
 
 def _words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -69,8 +90,10 @@ def learn(
     max_words: int = 50_000,
     min_rows_of_word: int = 5,
     fairness: float = 5.0,
-    sparsity: float = 0.15,
-    positive_weight: float = 3.0,
+    sparsity: float = 0.1,
+    positive_weight: float = 6.0,
+    identity_terms: list[list[str]] = IDENTITY_TERMS,
+    corpus_terms: int = 40,
     text_col: str = "text",
     label_col: str = "toxic",
 ) -> Model:
@@ -78,8 +101,10 @@ def learn(
 
     Features are the words that occur in ``min_rows_of_word`` of those rows, the most frequent
     ``max_words``, and all identity terms. Every row that names a group gets a counterfactual
-    twin for each other term of the kind, in which one identity term is swapped. The loss is
-    the logistic loss, label 1 weighing ``positive_weight``, plus ``fairness`` times the mean
+    twin for each other term of the kind, in which one identity term is swapped wherever it stands. The
+    terms are ``identity_terms``, in lists of one kind, and up to ``corpus_terms`` neutral words of
+    the labelled rows themselves (:func:`neutral_terms`), so that a corpus whose groups and
+    names are in no list has twins too. The loss is the logistic loss, label 1 weighing ``positive_weight``, plus ``fairness`` times the mean
     squared change of the log-odds between a row and its twins, so that a word for a group
     neither raises nor lowers a score. A first fit with a lasso (``sparsity`` times the root
     of the number of rows) selects words, a second one with weak decay weighs them. Of near
@@ -101,7 +126,7 @@ def learn(
         .select("label", "words")
     )
     bags = Scratch(train.sparkSession, "toxicity").write(bags, "bags")
-    identity = _swaps()
+    lines = [list(line) for line in identity_terms] + neutral_terms(bags, corpus_terms, 10 * min_rows_of_word)
     frequent = [
         r["word"]
         for r in bags.select(F.explode("words").alias("word"))
@@ -112,7 +137,7 @@ def learn(
         .limit(max_words)
         .collect()
     ]
-    words = list(dict.fromkeys([*frequent, *identity]))
+    words = list(dict.fromkeys([*frequent, *(w for line in lines for w in line)]))
     number = {w: i for i, w in enumerate(words)}
     known = bags.sparkSession.sparkContext.broadcast(number)
 
@@ -131,18 +156,28 @@ def learn(
         share = labels.mean() if len(labels) else 0.0
         return Model({}, float(np.log((share + 1e-3) / (1 - share + 1e-3))))
     ids = [np.asarray(x, np.int64) for x in sample.column("ids").to_pylist()]
-    return _fit(words, ids, labels, identity, number, fairness, sparsity, positive_weight)
+    return _fit(words, ids, labels, lines, number, fairness, sparsity, positive_weight)
 
 
-def _fit(words, ids, labels, identity, number, fairness, sparsity, positive_weight) -> Model:
+def _fit(words, ids, labels, lines, number, fairness, sparsity, positive_weight) -> Model:
     n, k = len(ids), len(words)
     row, col = np.repeat(np.arange(n), [len(x) for x in ids]), np.concatenate(ids)
     weight = np.where(labels == 1, positive_weight, 1.0)
-    # A twin's log-odds differ by the weight that comes in less the one that goes out.
-    named = {number[w]: [number[x] for x in others] for w, others in identity.items()}
-    swaps = [(c, x, 1 / len(named[c])) for bag in ids for c in bag.tolist() if c in named for x in named[c]]
-    out_ids, in_ids = (np.array([s[i] for s in swaps], np.int64) for i in (0, 1))
-    part = np.array([s[2] for s in swaps])
+    # A twin's log-odds differ by the weight that comes in less the one that goes out. Twins with one
+    # pair of words are counted; a word that the row has already does not come in (number k).
+    pairs: Counter[tuple[int, int]] = Counter()
+    of_line = {number[w]: [number[x] for x in line] for line in lines for w in line}
+    twins, part_of = 0, {}
+    for bag in (set(x.tolist()) for x in ids):
+        for c in bag & of_line.keys():
+            others = [x for x in of_line[c] if x != c]
+            twins += len(others)
+            for x in others:
+                pair = (c, k if x in bag else x)
+                pairs[pair] += 1
+                part_of[pair] = 1 / len(others)
+    out_ids, in_ids = (np.array([p[i] for p in pairs], np.int64) for i in (0, 1))
+    part = np.array([n * part_of[p] for p, n in pairs.items()])
 
     def descend(lasso: float, decay: float, weight: np.ndarray, free: np.ndarray, steps: int = 400):
         w, bias = np.zeros(k), float(np.log(labels.mean() / (1 - labels.mean())))
@@ -151,9 +186,10 @@ def _fit(words, ids, labels, identity, number, fairness, sparsity, positive_weig
             z = np.clip(bias + np.bincount(row, w[col], n), -50, 50)
             error = (1 / (1 + np.exp(-z)) - labels) * weight
             grad = np.bincount(col, error[row], k) + decay * w
-            if swaps:
-                change = 2 * fairness * part * (w[in_ids] - w[out_ids])
-                grad += np.bincount(in_ids, change, k) - np.bincount(out_ids, change, k)
+            if pairs:
+                known = np.append(w, 0.0)
+                change = 2 * fairness * part * (known[in_ids] - known[out_ids])
+                grad += np.bincount(in_ids, change, k + 1)[:k] - np.bincount(out_ids, change, k + 1)[:k]
             g = np.append(grad * free, error.sum())
             m, v = 0.9 * m + 0.1 * g, 0.99 * v + 0.01 * g * g
             rate = 0.1 / (np.sqrt(v / (1 - 0.99**step)) + 1e-3)
@@ -164,7 +200,7 @@ def _fit(words, ids, labels, identity, number, fairness, sparsity, positive_weig
 
     chosen, _ = descend(sparsity * np.sqrt(n), 0.01, np.ones(n), np.ones(k))
     w, bias = descend(0.0, 0.3, weight, (chosen != 0).astype(float))
-    return Model({word: float(x) for word, x in zip(words, w) if x}, bias)
+    return Model({word: float(x) for word, x in zip(words, w) if x}, bias, twins, tuple(map(tuple, lines)))
 
 
 def score_toxicity(
