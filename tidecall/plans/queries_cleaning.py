@@ -32,33 +32,31 @@ def numeric_coerce(spark, sf):
     return cleaning.coerce_numbers(contact_table(spark, sf, *V.NUMERIC_COLUMNS))
 
 
+def _replaced(expressions: dict[str, str]) -> str:
+    """All contact columns, some of them replaced."""
+    return "SELECT * REPLACE (" + ", ".join(f'{e} AS "{c}"' for c, e in expressions.items()) + ") FROM contacts"
+
+
 @query(
     "sentinel_to_null",
-    on_contacts(
-        """
-SELECT contact_id, nullif(job, 'unknown') AS job, nullif(marital, 'unknown') AS marital,
-  nullif(education, 'unknown') AS education, nullif(contact, 'unknown') AS contact,
-  nullif(month, 'unknown') AS month, nullif(poutcome, 'unknown') AS poutcome
-FROM contacts"""
-    ),
+    on_contacts(_replaced({c: f"nullif(\"{c}\", 'unknown')" for c in V.CATEGORICAL_COLUMNS})),
 )
 def sentinel_to_null(spark, sf):
-    cols = ["job", "marital", "education", "contact", "month", "poutcome"]
-    return cleaning.sentinel_to_null(contact_table(spark, sf, *cols))
+    return cleaning.sentinel_to_null(contact_table(spark, sf))
 
 
 @query(
     "fill_missing",
     on_contacts(
-        """
-SELECT contact_id, coalesce(job, 'missing') AS job, coalesce(contact, 'missing') AS contact,
-  coalesce(TRY_CAST(duration AS DOUBLE), 0) AS duration, coalesce(campaign, 0) AS campaign
-FROM contacts"""
+        _replaced(
+            {c: f"coalesce(\"{c}\", 'missing')" for c in V.CATEGORICAL_COLUMNS}
+            | {c: f"coalesce({c}, 0)" for c in V.NUMERIC_COLUMNS}
+            | {"duration": "coalesce(TRY_CAST(duration AS DOUBLE), 0)"}
+        )
     ),
 )
 def fill_missing(spark, sf):
-    raw = contact_table(spark, sf, "job", "contact", "duration", "campaign")
-    return cleaning.fill_missing(cleaning.coerce_numbers(raw, ["duration"]))
+    return cleaning.fill_missing(cleaning.coerce_numbers(contact_table(spark, sf), ["duration"]))
 
 
 @query(
@@ -254,17 +252,17 @@ def epoch_ms(spark, sf):
     return events.select("event_id", C.epoch_millis("ms").cast("timestamp_ntz").alias("ts"))
 
 
-@query(
-    "ml_ready",
-    on_contacts(
-        """
-SELECT contact_id, job, contact, TRY_CAST(age AS DOUBLE) AS age, TRY_CAST(duration AS DOUBLE) AS duration,
-  TRY_CAST(campaign AS DOUBLE) AS campaign, CASE WHEN "Target" = 'yes' THEN 1 ELSE 0 END AS "Target"
-FROM contacts"""
-    ),
+ML_READY_SQL = on_contacts(
+    _replaced(
+        {c: f"TRY_CAST({c} AS DOUBLE)" for c in V.NUMERIC_COLUMNS}
+        | {"Target": "CASE WHEN \"Target\" = 'yes' THEN 1 ELSE 0 END"}
+    )
 )
+
+
+@query("ml_ready", ML_READY_SQL)
 def ml_ready(spark, sf):
-    return cleaning.ml_ready(contact_table(spark, sf, "job", "contact", "age", "duration", "campaign", "Target"))
+    return cleaning.ml_ready(contact_table(spark, sf))
 
 
 @query(

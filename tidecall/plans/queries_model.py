@@ -11,11 +11,11 @@ from tidecall import fixed_values as V
 from tidecall.operators import cleaning, evaluation, features, modeling, splitting
 from tidecall.plans.contacts import contact_table
 from tidecall.plans.queries_tables import store
+from tidecall.plans.queries_profile import ENGINEERED_NUMBERS
 from tidecall.plans.registry import on_all, on_clean, on_contacts, query
 from tidecall.schema import CONTACT_KEY
 from tidecall.session import materialize, scratch_path
 
-ENGINEERED_NUMBERS = ["education_level", "balance_positive", "month_number", "month_sin", "month_cos", "has_previous"]
 ENGINEERED_TEXT = ["job_category", "age_group", "campaign_intensity"]
 
 

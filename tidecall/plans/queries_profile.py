@@ -107,6 +107,12 @@ def constant_columns(spark, sf):
     return profiling.constant_columns(dirty_contacts(spark, sf))
 
 
+ENGINEERED_NUMBERS = ["education_level", "balance_positive", "month_number", "month_sin", "month_cos", "has_previous"]
+#: Numbers and texts of the line items; with the date these are all their columns.
+LINE_NUMBERS = ["l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_extendedprice", "l_discount", "l_tax"]
+LINE_OTHERS = ["l_returnflag", "l_linestatus", "l_shipdate"]
+
+
 def _describe_sql(columns: list[str], source: str, prefix: str = "") -> str:
     one = """SELECT '{c}' AS "column", count({c}) AS count, round(avg({c}), 6) AS mean,
   round(stddev_samp({c}), 6) AS std, CAST(min({c}) AS DOUBLE) AS min, CAST(max({c}) AS DOUBLE) AS max,
@@ -128,9 +134,9 @@ def describe(spark, sf):
     return _described(numbers, V.NUMERIC_COLUMNS)
 
 
-@query("describe_lines", _describe_sql(["l_extendedprice", "l_discount", "l_quantity"], "lineitem"))
+@query("describe_lines", _describe_sql(LINE_NUMBERS, "lineitem"))
 def describe_lines(spark, sf):
-    return _described(table(spark, sf, "lineitem"), ["l_extendedprice", "l_discount", "l_quantity"])
+    return _described(table(spark, sf, "lineitem"), LINE_NUMBERS)
 
 
 @query(
@@ -241,7 +247,7 @@ merged AS (
 long AS ("""
         + "\nUNION ALL ".join(
             f"SELECT '{c}' AS \"column\", {_safe_corr(c, chr(34) + 'Target' + chr(34))} AS abs_corr FROM merged"
-            for c in V.NUMERIC_COLUMNS + ["education_level", "balance_positive", "month_number", "has_previous"]
+            for c in V.NUMERIC_COLUMNS + ENGINEERED_NUMBERS
         )
         + """
 )
@@ -251,7 +257,7 @@ SELECT * FROM long ORDER BY abs_corr DESC NULLS LAST, "column" LIMIT 15"""
 def label_correlation(spark, sf):
     cleaned = cleaning.clean(contact_table(spark, sf), keep=(CONTACT_KEY,))
     derived = features.engineer_features(cleaned)
-    cols = V.NUMERIC_COLUMNS + ["education_level", "balance_positive", "month_number", "has_previous"]
+    cols = V.NUMERIC_COLUMNS + ENGINEERED_NUMBERS
     top = profiling.top_correlations(derived, cols)
     return top.withColumn("abs_corr", F.round("abs_corr", 9))
 
@@ -276,9 +282,6 @@ def correlation_pairs(spark, sf):
     return pairs.withColumn("abs_corr", F.round("abs_corr", 9))
 
 
-WIDE = ["l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_extendedprice", "l_discount", "l_tax"]
-
-
 @query(
     "correlation_wide",
     "WITH wide AS (SELECT *, nullif(l_linenumber, 3) AS gaps, 0.1 AS same, 1000000 + l_linenumber % 2 AS nearly "
@@ -287,13 +290,13 @@ WIDE = ["l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l
         f"SELECT '{a}' AS column_a, '{b}' AS column_b, "
         + ("max(CAST(NULL AS DOUBLE))" if "same" in (a, b) else _safe_corr(a, b))
         + " AS abs_corr FROM (SELECT * FROM wide)"
-        for a, b in combinations([*WIDE, "gaps", "same", "nearly"], 2)
+        for a, b in combinations([*LINE_NUMBERS, "gaps", "same", "nearly"], 2)
     ),
 )
 def correlation_wide(spark, sf):
     """All pairs of all numeric columns, with nulls, a constant and a nearly constant column."""
     wide = table(spark, sf, "lineitem").select(
-        *WIDE,
+        *LINE_NUMBERS,
         F.nullif("l_linenumber", F.lit(3)).alias("gaps"),
         F.lit(0.1).alias("same"),
         (F.col("l_linenumber") % 2 + 1_000_000).alias("nearly"),
@@ -301,20 +304,28 @@ def correlation_wide(spark, sf):
     return profiling.correlation_pairs(wide).withColumn("abs_corr", F.round("abs_corr", 9))
 
 
+DIRTY_NUMBERS = ["age", "balance", "campaign", "touches", "reach"]
+
+
 @query(
     "high_correlation_pairs",
     on_contacts(
         DIRTY
-        + """
+        + """,
+finite AS (SELECT * REPLACE (CASE WHEN isfinite(reach) THEN reach END AS reach) FROM dirty)
 SELECT * FROM (
-  SELECT 'campaign' AS column_a, 'touches' AS column_b, round(abs(corr(campaign, touches)), 9) AS abs_corr
-  FROM dirty
+"""
+        + "\nUNION ALL ".join(
+            f"SELECT '{a}' AS column_a, '{b}' AS column_b, {_safe_corr(a, b)} AS abs_corr FROM finite"
+            for a, b in combinations(DIRTY_NUMBERS, 2)
+        )
+        + """
 ) WHERE abs_corr > 0.95"""
     ),
 )
 def high_correlation_pairs(spark, sf):
     dirty = materialize(dirty_contacts(spark, sf), "dirty")
-    pairs = profiling.correlation_pairs(dirty, ["age", "balance", "campaign", "touches"], above=V.HIGH_CORRELATION)
+    pairs = profiling.correlation_pairs(dirty, DIRTY_NUMBERS, above=V.HIGH_CORRELATION)
     return pairs.withColumn("abs_corr", F.round("abs_corr", 9))
 
 
@@ -352,13 +363,12 @@ def validation_report(spark, sf):
         + """
 SELECT "check", '{' || string_agg('"' || subject || '":' || CAST(CAST(value AS BIGINT) AS VARCHAR), ','
   ORDER BY subject) || '}' AS findings
-FROM findings WHERE "check" <> 'high_correlations' GROUP BY 1"""
+FROM findings GROUP BY 1"""
     ),
 )
 def report_json(spark, sf):
     report = profiling.validation_report(materialize(dirty_contacts(spark, sf), "dirty"))
-    counts = report.where(F.col("check") != "high_correlations")
-    return profiling.report_json(counts.withColumn("value", F.col("value").cast("bigint")))
+    return profiling.report_json(report.withColumn("value", F.round("value").cast("bigint")))
 
 
 @query(
@@ -374,26 +384,25 @@ def quality_checks(spark, sf):
     return profiling.quality_checks(profiling.validation_report(dirty))
 
 
+_LINE_COLUMNS = LINE_NUMBERS + LINE_OTHERS
+_LINE_PAIRS = ", ".join(f"abs(corr({a}, {b}))" for a, b in combinations(LINE_NUMBERS, 2))
+
+
 @query(
     "quality_score",
-    """
+    f"""
 SELECT (
-  CASE WHEN count(*) FILTER (WHERE l_orderkey IS NULL OR l_quantity IS NULL OR l_extendedprice IS NULL
-    OR l_discount IS NULL OR l_tax IS NULL OR l_returnflag IS NULL) = 0 THEN 1 ELSE 0 END
-  + CASE WHEN count(*) FILTER (WHERE isinf(l_quantity) OR isinf(l_extendedprice) OR isinf(l_discount)
-    OR isinf(l_tax)) = 0 THEN 1 ELSE 0 END
-  + CASE WHEN least(count(DISTINCT l_orderkey), count(DISTINCT l_quantity), count(DISTINCT l_extendedprice),
-    count(DISTINCT l_discount), count(DISTINCT l_tax), count(DISTINCT l_returnflag)) > 1 THEN 1 ELSE 0 END
-  + CASE WHEN greatest(abs(corr(l_orderkey, l_quantity)), abs(corr(l_orderkey, l_extendedprice)),
-    abs(corr(l_orderkey, l_discount)), abs(corr(l_orderkey, l_tax)), abs(corr(l_quantity, l_extendedprice)),
-    abs(corr(l_quantity, l_discount)), abs(corr(l_quantity, l_tax)), abs(corr(l_extendedprice, l_discount)),
-    abs(corr(l_extendedprice, l_tax)), abs(corr(l_discount, l_tax))) > 0.95 THEN 0 ELSE 1 END
+  CASE WHEN count(*) FILTER (WHERE {" OR ".join(f"{c} IS NULL" for c in _LINE_COLUMNS)}) = 0 THEN 1 ELSE 0 END
+  + CASE WHEN count(*) FILTER (WHERE {" OR ".join(f"isinf(CAST({c} AS DOUBLE))" for c in LINE_NUMBERS)}) = 0
+    THEN 1 ELSE 0 END
+  + CASE WHEN least({", ".join(f"count(DISTINCT {c})" for c in _LINE_COLUMNS)}) > 1 THEN 1 ELSE 0 END
+  + CASE WHEN greatest({_LINE_PAIRS}) > 0.95 THEN 0 ELSE 1 END
 ) / CAST(4 AS DOUBLE) AS quality_score
 FROM lineitem""",
 )
 def quality_score(spark, sf):
-    cols = ["l_orderkey", "l_quantity", "l_extendedprice", "l_discount", "l_tax", "l_returnflag"]
-    report = profiling.validation_report(table(spark, sf, "lineitem").select(*cols))
+    """Over all columns of the line items."""
+    report = profiling.validation_report(table(spark, sf, "lineitem"))
     return profiling.quality_score(profiling.quality_checks(report))
 
 

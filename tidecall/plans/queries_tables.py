@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from tidecall import fixed_values as V
 from tidecall.operators import cleaning, splitting
 from tidecall.plans.contacts import contact_table, table
+from tidecall.plans.queries_cleaning import ML_READY_SQL
 from tidecall.plans.registry import on_clean, on_contacts, query
 from tidecall.schema import CONTACT_KEY, contact_schema
 from tidecall.session import materialize, scratch_path
@@ -58,10 +59,10 @@ def guarded_scan(spark, sf):
     return (absent or present).select("c_custkey", "c_name")
 
 
-@query("fallback_scan", "SELECT o_orderkey, o_orderstatus FROM orders")
+@query("fallback_scan", "SELECT * FROM orders")
 def fallback_scan(spark, sf):
     tables, path = store(spark), scratch_path(spark, "fallback")
-    table(spark, sf, "orders").select("o_orderkey", "o_orderstatus").write.parquet(path)
+    table(spark, sf, "orders").write.parquet(path)
     return scans.first_available([lambda: tables.load("orders"), lambda: scans.read_path(spark, path)])
 
 
@@ -105,15 +106,13 @@ def split_paths(spark, sf):
 # --- tables ------------------------------------------------------------------------------
 
 
-@query("table_roundtrip", "SELECT o_orderkey, o_orderstatus, o_totalprice FROM orders")
+@query("table_roundtrip", "SELECT * FROM orders")
 def table_roundtrip(spark, sf):
     tables = store(spark)
     orders = table(spark, sf, "orders")
     tables.save(orders.select("o_orderkey"), "orders")
-    tables.save(
-        orders.select("o_orderkey", "o_orderstatus", "o_totalprice"), "orders", partition_by=["o_orderstatus"]
-    )
-    return tables.load("orders").select("o_orderkey", "o_orderstatus", "o_totalprice")
+    tables.save(orders, "orders", partition_by=["o_orderstatus"])
+    return tables.load("orders")
 
 
 @query(
@@ -152,18 +151,10 @@ def saved_splits(spark, sf):
     )
 
 
-@query(
-    "ml_ready_table",
-    on_contacts(
-        """
-SELECT contact_id, job, TRY_CAST(duration AS DOUBLE) AS duration, CAST(balance AS DOUBLE) AS balance,
-  CASE WHEN "Target" = 'yes' THEN 1 ELSE 0 END AS "Target"
-FROM contacts"""
-    ),
-)
+@query("ml_ready_table", ML_READY_SQL)
 def ml_ready_table(spark, sf):
     tables = store(spark)
-    tables.save(contact_table(spark, sf, "job", "duration", "balance", "Target"), "contacts")
+    tables.save(contact_table(spark, sf), "contacts")
     return tables.ml_ready("contacts")
 
 
@@ -213,10 +204,10 @@ def load_history(spark, sf):
     return tables.history("supplier", 2).select("version", "operation", "num_rows")
 
 
-@query("clone", "SELECT s_suppkey, s_name, s_acctbal, true AS in_view FROM supplier")
+@query("clone", "SELECT *, true AS in_view FROM supplier")
 def clone(spark, sf):
     tables = store(spark)
-    tables.save(table(spark, sf, "supplier").select("s_suppkey", "s_name", "s_acctbal"), "supplier")
+    tables.save(table(spark, sf, "supplier"), "supplier")
     tables.clone("supplier", "supplier_copy")
     tables.clone("supplier", "supplier_view", shallow=True)
     view = tables.load("supplier_view").select("s_suppkey", F.lit(True).alias("in_view"))
