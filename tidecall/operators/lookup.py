@@ -6,6 +6,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidecall import fixed_values as V
 from tidecall.functions import columns as C
@@ -96,8 +97,9 @@ def lookup(df: DataFrame, lookups: list[FeatureLookup], drop: tuple[str, ...] =
 def training_set(
     df: DataFrame, lookups: list[FeatureLookup], label: str = V.LABEL_COLUMN, keep: tuple[str, ...] = ()
 ) -> DataFrame:
-    """Inputs, encoded label and looked-up features of every row."""
-    base = df.select(*keep, *V.NUMERIC_COLUMNS, *V.CATEGORICAL_COLUMNS, C.encode_label(label).alias(label))
+    """Inputs, encoded label and looked-up features of every row; a label that is a number already stays."""
+    coded = C.encode_label(label) if df.schema[label].dataType == T.StringType() else F.col(label).cast("int")
+    base = df.select(*keep, *V.NUMERIC_COLUMNS, *V.CATEGORICAL_COLUMNS, coded.alias(label))
     return lookup(base, lookups)
 
 

@@ -241,7 +241,7 @@ def _safe_corr(a: str, b: str) -> str:
     on_all(
         """
 merged AS (
-  SELECT c.*, f.education_level, f.balance_positive, f.month_number, f.has_previous
+  SELECT c.*, f.education_level, f.balance_positive, f.month_number, f.month_sin, f.month_cos, f.has_previous
   FROM clean c JOIN feat f USING (contact_id)
 ),
 long AS ("""

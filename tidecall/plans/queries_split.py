@@ -7,12 +7,14 @@ from pyspark.sql import functions as F
 from tidecall import fixed_values as V
 from tidecall.operators import changes, features, lookup, splitting
 from tidecall.plans.contacts import contact_table, table
-from tidecall.plans.jobs import publish_feature_tables
+from tidecall.plans.jobs import build_training_set, load_split, prepare_and_save, publish_feature_tables
 from tidecall.plans.queries_cleaning import rounded_cycle
 from tidecall.plans.queries_tables import store
-from tidecall.plans.registry import on_contacts, on_features, query
-from tidecall.schema import CONTACT_KEY
-from tidecall.session import materialize
+from tidecall.plans.registry import CLEAN, FEATURES, on_contacts, on_features, query
+from tidecall.schema import CONTACT_KEY, contact_schema
+from tidecall.session import materialize, scratch_path
+from tidecall.sources import scans
+from tidecall.sources.paths import DatasetPaths
 
 # --- splits ----------------------------------------------------------------------------
 
@@ -227,6 +229,37 @@ def scoring_set(spark, sf):
     return rounded_cycle(lookup.scoring_set(contacts, lookups, keep=(CONTACT_KEY,)))
 
 
+PREPARED = (
+    CLEAN
+    + """,
+train AS (
+  SELECT * EXCLUDE (place, n) FROM (
+    SELECT *, row_number() OVER (ORDER BY md5(concat('42:', contact_id))) AS place, count(*) OVER () AS n FROM clean
+  ) WHERE place > ceil(CAST(0.2 AS DOUBLE) * n)
+),"""
+    + FEATURES.replace("FROM contacts", "FROM train")
+)
+
+
+@query(
+    "prepared_training_set",
+    on_contacts(
+        f"""{PREPARED}
+SELECT contact_id, {INPUTS}, "Target", {LOOKED_UP}, '1' AS version FROM feat"""
+    ),
+)
+def prepared_training_set(spark, sf):
+    """From a file to the training set: guarded scan, cleaning, split, stored tables and paths, published features."""
+    source = scratch_path(spark, "contacts-csv")
+    raw = contact_table(spark, sf)
+    scans.write_csv(raw, source)
+    tables, paths = store(spark), DatasetPaths(scratch_path(spark, "volume"))
+    prepare_and_save(lambda: scans.read_csv(spark, source, contact_schema(CONTACT_KEY, ("duration",))), [CONTACT_KEY], paths, tables)
+    train, _, version = load_split(spark, tables, paths)
+    found = build_training_set(train, publish_feature_tables(train, tables), (CONTACT_KEY,))
+    return rounded_cycle(found).withColumn("version", F.lit(version))
+
+
 # --- changes between snapshots -------------------------------------------------------------
 
 
