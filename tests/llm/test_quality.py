@@ -5,6 +5,8 @@ from collections import Counter
 
 import messy
 
+from pyspark.sql import functions as F
+
 from tidecall.llm import quality as Q
 
 
@@ -69,6 +71,31 @@ def test_most_labelled_junk_goes_and_good_texts_stay(spark):
     assert kept[1, True] >= 0.99 * (kept[1, True] + kept.get((1, False), 0))
 
 
+def test_limits_can_be_fitted(spark):
+    """From one half of the labelled documents: near the limits of the query, and as good on the other half."""
+    docs, labels = (spark.read.parquet(f"/root/testdata/sf0.1/{t}.parquet") for t in ("documents", "labels"))
+    labelled = docs.join(labels.where("quality is not null"), "doc_id").withColumn("odd", F.expr("crc32(cast(string(doc_id) as binary)) % 2 = 1"))
+    passing = Q.judge_quality(labelled.where("quality = 1 and not odd")).where("not base_failed").select("doc_id")
+    limits = Q.fit_limits(labelled.join(passing, "doc_id", "left_semi"))
+    assert [x[0] for x in limits] == [x[0] for x in Q.LIMITS]
+    fitted = [x for x in zip(limits, Q.LIMITS) if x[0][2] - x[0][1] < 0.9]  # elsewhere too few texts, wide limits
+    assert len(fitted) >= 10
+    for (_, low, high), (size, lowest, highest) in fitted:
+        assert low < high and abs(low - lowest) < 0.2 and abs(high - highest) < 0.2, size
+    judged = Q.judge_quality(labelled.where("odd"), limits=limits).join(labels, "doc_id").where("not base_failed")
+    kept = {(r.quality, r.kept): r["count"] for r in judged.groupBy("quality", "kept").count().collect()}
+    assert kept[0, True] < 0.3 * (kept[0, True] + kept[0, False])
+    assert kept[1, True] >= 0.98 * (kept[1, True] + kept.get((1, False), 0))
+
+
+def test_limits_of_no_texts_and_of_one_size(spark):
+    none = spark.createDataFrame([(None,), ("",)], "text string")
+    assert Q.fit_limits(none) == Q.LIMITS
+    same = spark.createDataFrame([(f"text {i:03d} of one size",) for i in range(50)], "text string")
+    limits = Q.fit_limits(same, sizes=(16, 1024))
+    assert limits[0][1] < limits[0][2] and limits[1] == (1024, round(limits[0][1] - 0.5, 2), round(limits[0][2] + 0.5, 2))
+
+
 def test_the_end_of_a_text_is_judged():
     r = random.Random(3)
     good = " ".join("".join(r.choices("etaoinshrdlu", k=r.randint(2, 9))) for _ in range(100))[:500]

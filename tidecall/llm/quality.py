@@ -10,6 +10,7 @@ import numpy as np
 import pyarrow as pa
 import zstandard
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 SYMBOLS = re.compile(r"[#*$%&|<>]")
@@ -87,16 +88,70 @@ def ratios(data: bytes, compress) -> tuple[float, int, list[float]]:
     return whole, size, [size / len(compress(data[i : i + size])) for i in starts]
 
 
-SIZES, LOWEST, HIGHEST = np.log([x[0] for x in LIMITS]), [x[1] for x in LIMITS], [x[2] for x in LIMITS]
+def within(size: int, ratio: float, limits: tuple = LIMITS) -> bool:
+    sizes, lowest, highest = zip(*limits)
+    at = np.log(size)
+    return bool(np.interp(at, np.log(sizes), lowest) <= ratio <= np.interp(at, np.log(sizes), highest))
 
 
-def within(size: int, ratio: float) -> bool:
-    at = np.log(size)
-    return bool(np.interp(at, SIZES, LOWEST) <= ratio <= np.interp(at, SIZES, HIGHEST))
+def bad_chunks(size: int, chunks: list[float], limits: tuple = LIMITS) -> int:
+    return sum(not within(size, r, limits) for r in chunks)
 
 
-def bad_chunks(size: int, chunks: list[float]) -> int:
-    return sum(not within(size, r) for r in chunks)
+def fit_limits(
+    good: DataFrame,
+    sizes: tuple[int, ...] = tuple(x[0] for x in LIMITS),
+    tail: float = 0.005,
+    margin: float = 0.05,
+    least_rows: int = 20,
+    wide: float = 0.5,
+    max_rows: int = 20_000,
+    level: int = 3,
+    text_col: str = "text",
+) -> tuple[tuple[int, float, float], ...]:
+    """Limits as ``LIMITS`` from texts known to be good, for another corpus.
+
+    The ratio of whole texts follows the logarithm of their size. Around each of ``sizes`` (as far as
+    half way to its neighbours) a straight line is taken through the ratios; the limits are the ``tail`` and
+    ``1 - tail`` quantiles of the distances from it, ``margin`` beyond. Where fewer than
+    ``least_rows`` texts are near, the limits are ``wide`` apart from those of the next size that has them.
+    Texts that fail the base rule should be left out before. About ``max_rows`` texts at most are
+    used, drawn by their hash; empty and null ones are not. Without any text the result is ``LIMITS``.
+    """
+    rows = good.select(good[text_col].alias("text")).where("text is not null and octet_length(text) > 0")
+    n = rows.count()
+    draw = F.pmod(F.xxhash64("text"), F.lit(1 << 30)) / float(1 << 30)
+
+    def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        compress = zstandard.ZstdCompressor(level=level, write_content_size=False).compress
+        for batch in batches:
+            data = [t.encode("utf-8", "surrogatepass") for t in batch.column(0).to_pylist()]
+            columns = [[len(d) for d in data], [len(d) / len(compress(d)) for d in data]]
+            yield pa.RecordBatch.from_arrays([pa.array(columns[0], pa.int64()), pa.array(columns[1], pa.float64())], ["size", "ratio"])
+
+    # At most about max_rows pairs of numbers.
+    sample = rows.where(draw < min(1.0, max_rows / max(n, 1))).mapInArrow(measure, "size bigint, ratio double").toArrow()
+    at, ratio = np.log(np.maximum(1, sample.column("size").to_numpy())), sample.column("ratio").to_numpy()
+    marks = np.log(sizes)
+    edges = np.concatenate([[-np.inf], (marks[1:] + marks[:-1]) / 2, [np.inf]])
+    out: list[tuple[int, float, float] | None] = []
+    for size, mark, low, high in zip(sizes, marks, edges[:-1], edges[1:]):
+        near = (at >= low) & (at < high)
+        if near.sum() < least_rows:
+            out.append(None)
+            continue
+        slope, middle = np.polyfit(at[near] - mark, ratio[near], 1) if np.ptp(at[near]) > 1e-9 else (0.0, ratio[near].mean())
+        apart = ratio[near] - slope * (at[near] - mark) - middle
+        ends = np.quantile(apart, [tail, 1 - tail]) + middle
+        out.append((size, round(float(ends[0] - margin), 2), round(float(ends[1] + margin), 2)))
+    known = [i for i, x in enumerate(out) if x]
+    if not known:
+        return LIMITS
+    for i, x in enumerate(out):
+        if x is None:
+            _, low, high = out[min(known, key=lambda k: abs(k - i))]
+            out[i] = (sizes[i], round(low - wide, 2), round(high + wide, 2))
+    return tuple(out)
 
 
 def judge_quality(
@@ -104,6 +159,7 @@ def judge_quality(
     min_words: int = 10,
     max_repeat_percent: int = 20,
     level: int = 3,
+    limits: tuple = LIMITS,
     id_col: str = "doc_id",
     text_col: str = "text",
 ) -> DataFrame:
@@ -113,7 +169,7 @@ def judge_quality(
     ``max_repeat_percent`` of its words lie in windows of five words that repeat. The others
     are compressed with zstandard, whole and in chunks (``CHUNK_SIZES``; the last one ends with
     the text). They are kept if the ratio of the whole lies within the limits for its length
-    (``LIMITS``) and at most ``BAD_CHUNKS`` of the chunks lie outside those for theirs: too
+    (``limits``, see :func:`fit_limits`) and at most ``BAD_CHUNKS`` of the chunks lie outside those for theirs: too
     high a ratio is repetition, too low a ratio is noise, such as encoded data.
 
     One pass, no shuffle, memory bounded by a few rows of text. Null and empty texts have no
@@ -138,8 +194,8 @@ def judge_quality(
             return (*counts, failed, False, None, None)
         data = text.encode("utf-8", "surrogatepass")
         whole, size, chunks = ratios(data, compress)
-        bad = bad_chunks(size, chunks)
-        kept = not failed and within(len(data), whole) and bad <= BAD_CHUNKS * len(chunks)
+        bad = bad_chunks(size, chunks, limits)
+        kept = not failed and within(len(data), whole, limits) and bad <= BAD_CHUNKS * len(chunks)
         return (*counts, failed, kept, whole, bad)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
