@@ -4,6 +4,7 @@ import numpy as np
 import pandas as pd
 import pytest
 from conftest import rows
+from pyspark.sql import functions as F
 
 from tidecall.operators import evaluation, profiling
 
@@ -170,3 +171,13 @@ def test_histogram_places_values_by_its_own_edges(spark, values):
         last = r.bin == 9
         assert r.n == sum(r.lower <= v < r.upper or (last and v == r.upper) for v in values)
     assert sum(r.n for r in found) == len(values)
+
+
+@pytest.mark.parametrize("max_columns", [2, 4, 5, 6, 7])
+def test_blocks_of_columns_give_every_pair_once(spark, max_columns):
+    names = [f"c{i}" for i in range(7)]
+    df = spark.range(200).select(*[(F.sin(F.col("id") * (i + 1)) + F.col("id") * i / 300).alias(n) for i, n in enumerate(names)])
+    whole = sorted(rows(profiling.correlation_pairs(df)))
+    got = sorted(rows(profiling.correlation_pairs(df, max_columns=max_columns)))
+    assert [r[:2] for r in got] == [r[:2] for r in whole] and len(got) == 21
+    assert all(a[2] == pytest.approx(b[2], abs=1e-9) for a, b in zip(got, whole))

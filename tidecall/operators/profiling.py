@@ -5,7 +5,9 @@ Every report is an aggregate; wide reports come out as one row per column.
 
 from __future__ import annotations
 
+from functools import reduce
 from itertools import combinations
+from operator import or_
 
 import numpy as np
 from pyspark.ml.feature import VectorAssembler
@@ -228,18 +230,34 @@ def top_correlations(
     return label_correlations(df, cols, label).orderBy(F.desc_nulls_last("abs_corr"), "column").limit(n)
 
 
-def correlation_pairs(df: DataFrame, cols: list[str] | None = None, above: float | None = None) -> DataFrame:
+def correlation_pairs(
+    df: DataFrame, cols: list[str] | None = None, above: float | None = None, max_columns: int = 600
+) -> DataFrame:
     """Absolute correlation of each pair of numeric columns, each pair once, at most 1.
 
     A pair counts the rows where both values are finite; it is null where either is constant
     there. ``above`` keeps only stronger pairs. The sums are computed when this is called, in
-    two passes over ``df``, whatever the number of columns.
+    two passes over ``df`` for up to ``max_columns`` columns, whose matrix of three times their number
+    the driver holds. More columns are cut into blocks, and each pair of blocks has passes and a
+    matrix of its own, so that the matrix stays bounded.
     """
     cols = cols or numeric_columns(df)
     if len(cols) < 2:
         report = df.sparkSession.createDataFrame([], "column_a string, column_b string, abs_corr double")
-    else:
+    elif len(cols) <= max_columns:
         report = _pairs_by_cross_products(df, cols)
+    else:
+        size = max(1, max_columns // 2)
+        blocks = [cols[i : i + size] for i in range(0, len(cols), size)]
+        report = None
+        for (i, left), (j, right) in combinations(enumerate(blocks), 2):
+            pairs = _pairs_by_cross_products(df, left + right)
+            # Pairs inside a block are taken once: with its successor, those of the last one beside them.
+            inside = [F.col("column_a").isin(left) & F.col("column_b").isin(right)]
+            inside += [F.col("column_a").isin(left) & F.col("column_b").isin(left)] if j == i + 1 else []
+            inside += [F.col("column_a").isin(right) & F.col("column_b").isin(right)] if i + 2 == j + 1 == len(blocks) else []
+            part = pairs.where(reduce(or_, inside))
+            report = part if report is None else report.unionByName(part)
     return report if above is None else report.where(F.col("abs_corr") > F.lit(float(above)))
 
 
