@@ -14,7 +14,6 @@ what is in the beam at the end is measured again in double precision on the orig
 from __future__ import annotations
 
 import math
-from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
