@@ -523,8 +523,10 @@ def _rest_of_long_lists(
     placed = scratch.write(
         kept.join(label, "id", "left").withColumn("label", F.coalesce("label", "id")), "placed"
     )
-    mixed = placed.groupBy("key").agg(F.min("label").alias("x"), F.max("label").alias("y"), F.min("flags").alias("f"))
-    open_lists = scratch.write(placed.join(mixed.where("x != y").select("key"), "key", "left_semi"), "open")
+    # A list of nothing but deletions gives no pairs: one side of a pair is always a whole part.
+    deleted = F.col("flags").bitwiseAND(DELETED)
+    mixed = placed.groupBy("key").agg(F.min("label").alias("x"), F.max("label").alias("y"), F.min(deleted).alias("deleted"))
+    open_lists = scratch.write(placed.join(mixed.where("x != y and deleted = 0").select("key"), "key", "left_semi"), "open")
     open_lists = open_lists.join(sketches, "id")
     whole = open_lists.where(F.col("flags").bitwiseAND(DELETED) == 0)
     other = open_lists.select("key", *[F.col(c).alias(f"{c}2") for c in ("id", "flags", "label", "n", "sketch")])
