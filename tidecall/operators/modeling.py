@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from tidecall import fixed_values as V
 from tidecall.functions import columns as C
 from tidecall.functions.ordered import number_rows
+from tidecall.operators.boosting import BoostedTrees, Plan, as_model, boost
 from tidecall.operators.evaluation import prediction_summary
 from tidecall.session import materialize
 
@@ -126,7 +127,7 @@ def boosted_trees(
     max_depth: int = V.MAX_DEPTH,
     seed: int = V.SEED,
 ) -> GBTClassifier:
-    return GBTClassifier(
+    return BoostedTrees(
         labelCol=label, stepSize=learning_rate, maxIter=n_estimators, maxDepth=max_depth, seed=seed
     )
 
@@ -257,7 +258,8 @@ def grid_search(
     """Held-out ROC AUC of every parameter combination as rows, and the best model.
 
     Combinations that differ in the number of trees share a fit: the one with most trees
-    also holds those with fewer, which are scored in stages. Fits run ``parallelism`` at a time.
+    also holds those with fewer, which are scored in stages. All fits go through the rows
+    together; scores are evaluated ``parallelism`` at a time.
     """
     grid = grid or V.GRID
     encoders = Pipeline(stages=feature_stages(
@@ -267,22 +269,25 @@ def grid_search(
     encoded = materialize(encoders.fit(df).transform(df).select("features", label), "encoded")
     # The side of a row follows from its values, not from the layout of the table.
     side = F.pmod(F.xxhash64("features", label, F.lit(seed)), F.lit(1 << 20)) / float(1 << 20)
-    fitting, held_out = encoded.where(side >= V.TEST_FRACTION), encoded.where(side < V.TEST_FRACTION)
-    evaluator = BinaryClassificationEvaluator(labelCol=label, numBins=0)
     stages = sorted(set(grid["n_estimators"]))
-
-    def fit(choice: tuple[float, int]) -> list[tuple[float, float, int, int, GBTClassificationModel]]:
-        rate, depth = choice
-        model = boosted_trees(label, rate, stages[-1], depth, seed).fit(fitting)
-        staged = [(n, first_trees(model, n)) for n in stages]
-        return [(evaluator.evaluate(m.transform(held_out)), rate, depth, n, m) for n, m in staged]
-
     choices = [(float(r), int(d)) for r in grid["learning_rate"] for d in grid["max_depth"]]
-    with ThreadPool(min(parallelism, len(choices))) as pool:
-        found = [row for rows in pool.map(inheritable_thread_target(fit), choices) for row in rows]
-    best = max(found, key=lambda row: row[0])[-1]
+    plans = [Plan(rate, depth, stages[-1]) for rate, depth in choices]
+    trees, columns, margins = boost(encoded, label, plans, fitted=side >= V.TEST_FRACTION, stages=stages)
+
+    def evaluate(place: tuple[int, int]) -> float:
+        m, n = place
+        evaluator = BinaryClassificationEvaluator(rawPredictionCol=f"m{m}", labelCol=label, numBins=0)
+        return evaluator.evaluate(margins[n])
+
+    places = [(m, n) for m in range(len(plans)) for n in stages]
+    with ThreadPool(min(parallelism, len(places))) as pool:
+        values = pool.map(inheritable_thread_target(evaluate), places)
+    found = [(value, *choices[m], n) for value, (m, n) in zip(values, places)]
+    at = max(range(len(found)), key=lambda i: found[i][0])
+    _, rate, depth, n = found[at]
+    best = as_model(boosted_trees(label, rate, n, depth, seed), trees[places[at][0]][:n], columns)
     scores = df.sparkSession.createDataFrame(
-        [(rate, depth, n, float(score)) for score, rate, depth, n, _ in found],
+        [(rate, depth, n, float(score)) for score, rate, depth, n in found],
         "learning_rate double, max_depth int, n_estimators int, score double",
     )
     return scores, best
