@@ -1,4 +1,4 @@
-"""Boosted trees from binned rows against Spark's own."""
+"""Boosted trees from binned rows against Spark's own, and forests whose tasks stay small."""
 
 import pytest
 from pyspark.ml import Pipeline
@@ -67,3 +67,14 @@ def test_one_label_and_other_labels(spark, encoded):
         boosting.BoostedTrees(labelCol="Target").fit(encoded.withColumn("Target", F.lit(2)))
     with pytest.raises(ValueError, match="no rows"):
         boosting.BoostedTrees(labelCol="Target").fit(encoded.where("id < 0"))
+
+
+def test_forest_is_trained_on_bounded_parts(spark, encoded, monkeypatch):
+    parts = []
+    fit = modeling.RandomForestClassifier._fit
+    monkeypatch.setattr(modeling, "FOREST_ROWS_PER_TASK", 200)
+    monkeypatch.setattr(
+        modeling.RandomForestClassifier, "_fit", lambda self, df: parts.append(df.rdd.getNumPartitions()) or fit(self, df)
+    )
+    model = modeling.random_forest("Target", n_estimators=3).fit(encoded.coalesce(1))
+    assert parts == [15] and len(model.trees) == 3

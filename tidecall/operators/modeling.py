@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from multiprocessing.pool import ThreadPool
 
 from pyspark import SparkContext, inheritable_thread_target
@@ -20,6 +21,9 @@ from tidecall.operators.boosting import BoostedTrees, Plan, as_model, boost
 from tidecall.operators.evaluation import prediction_summary
 from tidecall.session import materialize
 
+#: Rows that one task of a forest holds, each with a number per tree.
+FOREST_ROWS_PER_TASK = 200_000
+
 # --- encoders as DataFrame functions -----------------------------------------------------
 
 
@@ -132,13 +136,26 @@ def boosted_trees(
     )
 
 
+class SpreadForest(RandomForestClassifier):
+    """``RandomForestClassifier`` whose tasks hold a bounded number of rows.
+
+    Spark keeps each row with its count in every tree, over a kilobyte for 200 trees, in as many
+    parts as the input has.
+    """
+
+    def _fit(self, dataset: DataFrame) -> Model:
+        rows = materialize(dataset.select(self.getFeaturesCol(), self.getLabelCol()), "forest")
+        parts = math.ceil(rows.count() / FOREST_ROWS_PER_TASK)
+        return super()._fit(rows.repartition(parts) if parts > rows.rdd.getNumPartitions() else rows)
+
+
 def random_forest(
     label: str = V.LABEL_COLUMN,
     n_estimators: int = V.N_ESTIMATORS,
     max_depth: int = V.MAX_DEPTH,
     seed: int = V.SEED,
 ) -> RandomForestClassifier:
-    return RandomForestClassifier(labelCol=label, numTrees=n_estimators, maxDepth=max_depth, seed=seed)
+    return SpreadForest(labelCol=label, numTrees=n_estimators, maxDepth=max_depth, seed=seed)
 
 
 def classifier_pipeline(
