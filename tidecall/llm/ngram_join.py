@@ -454,9 +454,14 @@ def _verify(
     """
     needed = pairs.select(F.col("a").alias("d1")).unionByName(pairs.select(F.col("b").alias("d1"))).distinct()
     chosen = nodes.join(needed, "d1", "left_semi").groupBy("d1", "d2").agg(F.min("key").alias("key"))
-    # Rows with one key agree in their text, so any of them will do.
+    # Rows with one key agree in their text, so any of them will do; a set has one key, so that
+    # they are grouped where they meet, and texts are not shuffled again for it.
     texts = scratch.write(
-        docs.select("key", "text").join(scratch.write(chosen, "chosen"), "key").groupBy("d1", "d2").agg(F.min("text").alias("text")),
+        docs.select("key", "text")
+        .join(scratch.write(chosen, "chosen"), "key")
+        .groupBy("key", "d1", "d2")
+        .agg(F.min("text").alias("text"))
+        .drop("key"),
         "texts",
     )
     left = texts.select(F.col("d1").alias("a"), F.struct("d1", "d2").alias("left"), F.col("text").alias("left_text"))
