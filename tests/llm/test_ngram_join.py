@@ -3,6 +3,7 @@ from collections import defaultdict
 
 import messy
 import numpy as np
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -93,6 +94,38 @@ def test_similar_sets_share_a_list_even_without_costly_parts(n, changes, percent
     assert other > 0 or plain > plan.deletions
 
 
+@given(st.integers(1, 1 << 30), st.floats(0, 1), st.sampled_from([50, 60, 80, 85, 90]))
+def test_sizes_of_similar_sets_are_alike_in_short_tags(n, part, percent):
+    larger = n + int(part * (n * 100 // percent - n))
+    for plan in set(N.layouts_of(n, percent)) & set(N.layouts_of(larger, percent)):
+        tags = [N._tags(np.array([N.PLAIN]), plan.band, np.array([N.size_step(x, plan.band)])) for x in (n, larger)]
+        assert N._alike_in_size(*tags, percent).all()
+        assert all(0 <= t[0] < 1 << 16 and (t[0] >> 4) & 127 == plan.band for t in tags)
+
+
+def test_dealt_entries_come_back_as_they_were():
+    r = np.random.default_rng(2)
+    keys = N.short_keys(r.integers(0, 1 << 63, 2000).astype(np.uint64) << np.uint64(1), 9)
+    ids, tags = r.integers(-(1 << 63), 1 << 63, 2000, np.int64), r.integers(0, 1 << 16, 2000).astype(np.int32)
+    rows = pa.record_batch({"doc_id": pa.array([], pa.int64()), "key": pa.array([], pa.string())})
+    dealt = pa.Table.from_batches([N._deal_entries(keys, ids, tags, rows)])
+    back = [zip(*(x.tolist() for x in N._entries_in(dealt.slice(i, 1)))) for i in range(dealt.num_rows)]
+    assert len(back) == 9
+    assert sorted(e for bucket in back for e in bucket) == sorted(zip(keys.tolist(), ids.tolist(), tags.tolist()))
+
+
+def test_an_entry_takes_fifteen_bytes_in_the_shuffle(spark):
+    """It took 20: keys and sets of 8 bytes, tags of 4."""
+    r = random.Random(4)
+    texts = [(i, str(i), " ".join(r.choice("abcdefgh") + str(r.randrange(9999)) for _ in range(300))) for i in range(40)]
+    docs = spark.createDataFrame(texts, "doc_id long, key string, text string").coalesce(1)
+    dealt = N._dealt(docs, 5, 80, 8).where(f"kind = {N.ENTRY}").toArrow()
+    entries = sum(len(x) for x in dealt.column("b").to_pylist())
+    wide = [dealt.column(c).combine_chunks().flatten() for c in dealt.column_names if pa.types.is_list(dealt.schema.field(c).type)]
+    assert entries > 40 * 200
+    assert sum(x.type.bit_width // 8 * len(x) for x in wide if len(x)) == 15 * entries
+
+
 def test_messy_rows(spark):
     got = N.similar_documents(messy.frame(spark))
     rows = sorted(map(tuple, got.select("doc_id", "n_shingles", "component_id").collect()), key=str)

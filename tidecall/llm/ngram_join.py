@@ -45,7 +45,10 @@ BUCKET_ENTRIES = 400_000
 DELETED, PLAIN, MORE, EMPTY = 1, 2, 4, 8
 #: Longs of a parity sketch: two sets differ in as many shingles at least as their sketches in bits.
 SKETCH_LONGS = 16
-SIZE_STEP = 1.02
+#: Steps of set sizes, from the lower border of a band on; with the last step for all larger ones they take 5 bits.
+SIZE_STEP, LAST_STEP = 1.025, 31
+#: Bits of a key beside its bucket. An entry goes through the shuffle as 5 bytes of key, 8 of set and 2 of tag.
+KEY_BITS, MOST_BUCKETS = 40, 1 << 23
 
 
 # --- shingles ----------------------------------------------------------------------------
@@ -212,19 +215,30 @@ def entries_of(shingles: np.ndarray, owner: np.ndarray, sets: int, plan: Layout)
     return keys, np.concatenate([flags, np.full(len(less), DELETED)]).astype(np.int32), owners
 
 
-def size_step(n: int) -> int:
-    return int(math.log(n) / math.log(SIZE_STEP))
+def size_step(n: int, band: int) -> int:
+    return min(int(math.log(n / int(bands()[band])) / math.log(SIZE_STEP)), LAST_STEP)
+
+
+def short_keys(keys: np.ndarray, buckets: int) -> np.ndarray:
+    """Bucket of each key in front of its lowest 40 bits.
+
+    Buckets keep their size as the input grows, so that few keys of a bucket agree by chance;
+    these give candidates more, never less.
+    """
+    bucket = mix(keys, 4) % np.uint64(buckets)
+    return (bucket << np.uint64(KEY_BITS) | keys & np.uint64((1 << KEY_BITS) - 1)).view(np.int64)
 
 
 # --- candidate lists ---------------------------------------------------------------------
 
 
 def _tags(flags: np.ndarray, band: int, steps: np.ndarray) -> np.ndarray:
-    return (flags | band << 4 | steps << 12).astype(np.int32)
+    """16 bits: four of flags, seven of the band, five of the size in it."""
+    return (flags | band << 4 | steps << 11).astype(np.int32)
 
 
 def _alike_in_size(a: np.ndarray, b: np.ndarray, percent: int) -> np.ndarray:
-    return np.abs((a >> 12) - (b >> 12)) <= math.log(100 / percent) / math.log(SIZE_STEP) + 1
+    return np.abs((a >> 11) - (b >> 11)) <= math.log(100 / percent) / math.log(SIZE_STEP) + 1
 
 
 @dataclass
@@ -290,10 +304,18 @@ def _sorted_pairs(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]
 
 
 ENTRY, PAIR, LONG, NODE = 0, 1, 2, 3
+DEALT = ["kind", "bucket", "a", "b", "tag", "id", "key", "sketch", "low", "high", "short"]
 
 
-def _longs(x: np.ndarray) -> np.ndarray:
-    return x.view(np.int64) if x.dtype == np.uint64 else x.astype(np.int64)
+def _bucket_of(by: np.ndarray, buckets: int) -> np.ndarray:
+    return (mix(by.view(np.uint64), 4) % np.uint64(buckets)).astype(np.int32)
+
+
+def _by_bucket(bucket: np.ndarray) -> tuple[np.ndarray, np.ndarray, pa.Array]:
+    """An order by bucket, the buckets that get something, and where each of them starts (with the end)."""
+    order = np.argsort(bucket, kind="stable")
+    used, start = np.unique(bucket[order], return_index=True)
+    return order, used, pa.array(np.append(start, len(order)).astype(np.int32))
 
 
 def _deal(
@@ -301,16 +323,12 @@ def _deal(
     a: np.ndarray,
     b: np.ndarray,
     tag: np.ndarray,
-    by: np.ndarray,
-    buckets: int,
+    bucket: np.ndarray,
     rows: pa.RecordBatch,
     sketches: np.ndarray | None = None,
 ) -> pa.RecordBatch:
     """Arrays by bucket, a row for each bucket that gets something; ``rows`` adds ids and keys."""
-    bucket = (mix(by.view(np.uint64), 4) % np.uint64(buckets)).astype(np.int32)
-    order = np.argsort(bucket, kind="stable")
-    used, start = np.unique(bucket[order], return_index=True)
-    offsets = pa.array(np.append(start, len(order)).astype(np.int32))
+    order, used, offsets = _by_bucket(bucket)
     lists = [
         pa.ListArray.from_arrays(offsets, pa.array(x[order].astype(t)))
         for x, t in ((a, np.int64), (b, np.int64), (tag, np.int32))
@@ -319,24 +337,46 @@ def _deal(
     if rows.num_rows:
         more = [pa.ListArray.from_arrays(offsets, c.take(pa.array(order))) for c in rows.columns]
         flat = pa.array(sketches[order].ravel())
-        more.append(pa.ListArray.from_arrays(pa.array(np.append(start, len(order)).astype(np.int32) * SKETCH_LONGS), flat))
+        more.append(pa.ListArray.from_arrays(pc.multiply(offsets, pa.scalar(SKETCH_LONGS, pa.int32())), flat))
     else:
         more = [pa.nulls(len(used), pa.list_(t)) for t in (*rows.schema.types, pa.int64())]
-    return pa.RecordBatch.from_arrays(
-        [kinds, pa.array(used), *lists, *more], ["kind", "bucket", "a", "b", "tag", "id", "key", "sketch"]
+    more += [pa.nulls(len(used), pa.list_(t)) for t in (pa.int32(), pa.int8(), pa.int16())]
+    return pa.RecordBatch.from_arrays([kinds, pa.array(used), *lists, *more], DEALT)
+
+
+def _deal_entries(keys: np.ndarray, ids: np.ndarray, tags: np.ndarray, rows: pa.RecordBatch) -> pa.RecordBatch:
+    """Entries by the bucket in front of their keys: the key's other bits as ``low, high``, sets ``b`` and short tags."""
+    order, used, offsets = _by_bucket((keys >> KEY_BITS).astype(np.int32))
+    keys = keys[order]
+    b, low, high, short = (
+        pa.ListArray.from_arrays(offsets, pa.array(x.astype(t)))
+        for x, t in ((ids[order], np.int64), (keys, np.int32), (keys >> 32, np.int8), (tags[order], np.int16))
     )
+    none = [pa.nulls(len(used), pa.list_(t)) for t in (pa.int64(), pa.int32(), *rows.schema.types, pa.int64())]
+    kinds = pa.array(np.full(len(used), ENTRY, np.int32))
+    return pa.RecordBatch.from_arrays([kinds, pa.array(used), none[0], b, *none[1:], low, high, short], DEALT)
 
 
-def _candidates(docs: DataFrame, size: int, percent: int, buckets: int) -> DataFrame:
-    """Everything that one pass over the texts tells, in one table with a ``kind``.
+def _flat(column: pa.ChunkedArray) -> np.ndarray:
+    return pc.list_flatten(column).combine_chunks().to_numpy(zero_copy_only=False)
 
-    ``NODE``: a row of ``docs`` (``id, key``) with the digests ``a, b`` of its set, its size
-    ``tag`` and its parity sketch. ``PAIR``: sets ``a, b`` to verify. ``LONG``: entry of a long list, key ``a`` and
-    set ``b`` (sets go by their first digest).
-    """
+
+def _entries_in(table: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Keys, sets and tags of the dealt entries of one bucket."""
+    low, high = _flat(table.column("low")), _flat(table.column("high"))
+    keys = low.view(np.uint32) | high.view(np.uint8).astype(np.int64) << 32
+    if len(keys):
+        keys |= table.column("bucket")[0].as_py() << KEY_BITS
+    return keys, _flat(table.column("b")), _flat(table.column("short")).view(np.uint16).astype(np.int32)
+
+
+def _dealt(docs: DataFrame, size: int, percent: int, buckets: int) -> DataFrame:
+    """Lists by bucket and ``kind`` of what each task finds in its texts (see ``_candidates``)."""
     id_type = docs.schema["doc_id"].dataType.simpleString()
-    lists = f"kind int, bucket int, a array<bigint>, b array<bigint>, tag array<int>, id array<{id_type}>, key array<string>, sketch array<bigint>"
-    found = f"kind int, a bigint, b bigint, tag int, id {id_type}, key string, sketch array<bigint>"
+    lists = (
+        f"kind int, bucket int, a array<bigint>, b array<bigint>, tag array<int>, id array<{id_type}>, key array<string>, "
+        "sketch array<bigint>, low array<int>, high array<tinyint>, short array<smallint>"
+    )
 
     def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes, seen = WordHashes(), set()
@@ -347,7 +387,7 @@ def _candidates(docs: DataFrame, size: int, percent: int, buckets: int) -> DataF
         def nodes(rows, digests: np.ndarray, sizes: np.ndarray, sketches: np.ndarray) -> pa.RecordBatch:
             # Dealt by place, so that equal texts do not meet in one bucket.
             place = np.arange(len(sizes), dtype=np.int64) * 7919 + len(seen)
-            return _deal(NODE, digests[:, 0], digests[:, 1], sizes, place, buckets, rows, sketches)
+            return _deal(NODE, digests[:, 0], digests[:, 1], sizes, _bucket_of(place, buckets), rows, sketches)
 
         def flush() -> Iterator[pa.RecordBatch]:
             keys, ids, tags = (np.concatenate(x) for x in zip(*parts))
@@ -358,14 +398,15 @@ def _candidates(docs: DataFrame, size: int, percent: int, buckets: int) -> DataF
             a, b, first = lists.star(long, percent)
             a, b = _sorted_pairs(a, b)
             if len(a):
-                yield _deal(PAIR, a, b, np.zeros(len(a)), a, buckets, none)
+                yield _deal(PAIR, a, b, np.zeros(len(a)), _bucket_of(a, buckets), none)
             if long.any():
-                yield _deal(LONG, lists.keys[long], lists.ids[long], lists.tags[long], lists.ids[long], buckets, none)
+                ids = lists.ids[long]
+                yield _deal(LONG, lists.keys[long], ids, lists.tags[long], _bucket_of(ids, buckets), none)
             stands = ~long
             heads = first[long[first]]
             stands[heads] = True
             lists.tags[heads] |= MORE
-            yield _deal(ENTRY, lists.keys[stands], lists.ids[stands], lists.tags[stands], lists.keys[stands], buckets, none)
+            yield _deal_entries(lists.keys[stands], lists.ids[stands], lists.tags[stands], none)
 
         for batch in batches:
             none = batch.select(["doc_id", "key"]).slice(0, 0)
@@ -386,8 +427,8 @@ def _candidates(docs: DataFrame, size: int, percent: int, buckets: int) -> DataF
                     shingles = np.concatenate([sets[i] for i in some])
                     owner = np.repeat(np.arange(len(some)), sizes[some])
                     keys, flags, owners = entries_of(shingles, owner, len(some), plan)
-                    steps = np.array([size_step(int(n)) for n in sizes[some]], np.int64)
-                    parts.append((_longs(keys), digests[some, 0][owners], _tags(flags, plan.band, steps[owners])))
+                    steps = np.array([size_step(int(n), plan.band) for n in sizes[some]], np.int64)
+                    parts.append((short_keys(keys, buckets), digests[some, 0][owners], _tags(flags, plan.band, steps[owners])))
                     held += len(keys)
                 if held >= FLUSH_ENTRIES:
                     yield from flush()
@@ -397,17 +438,28 @@ def _candidates(docs: DataFrame, size: int, percent: int, buckets: int) -> DataF
         if parts:
             yield from flush()
 
+    return docs.select("doc_id", "key", "text").mapInArrow(deal, lists)
+
+
+def _candidates(docs: DataFrame, size: int, percent: int, buckets: int) -> DataFrame:
+    """Everything that one pass over the texts tells, in one table with a ``kind``.
+
+    ``NODE``: a row of ``docs`` (``id, key``) with the digests ``a, b`` of its set, its size
+    ``tag`` and its parity sketch. ``PAIR``: sets ``a, b`` to verify. ``LONG``: entry of a long list, key ``a`` and
+    set ``b`` (sets go by their first digest).
+    """
+    id_type = docs.schema["doc_id"].dataType.simpleString()
+    found = f"kind int, a bigint, b bigint, tag int, id {id_type}, key string, sketch array<bigint>"
+
     def gather(table: pa.Table) -> pa.Table:
         node = table.filter(pc.equal(table.column("kind"), NODE))
-        table = table.filter(pc.not_equal(table.column("kind"), NODE))
+        entries = _entries_in(table.filter(pc.equal(table.column("kind"), ENTRY)))
+        table = table.filter(pc.is_in(table.column("kind"), pa.array([PAIR, LONG], pa.int32())))
         kind = np.repeat(
             table.column("kind").to_numpy(), pc.list_value_length(table.column("a")).to_numpy()
         )
-        a, b, tag = (
-            pc.list_flatten(table.column(c)).combine_chunks().to_numpy(zero_copy_only=False) for c in ("a", "b", "tag")
-        )
-        entry = kind == ENTRY
-        lists = Lists.of(a[entry], b[entry], tag[entry])
+        a, b, tag = (_flat(table.column(c)) for c in ("a", "b", "tag"))
+        lists = Lists.of(*entries)
         long = lists.long()
         star_a, star_b, _ = lists.star(long, percent)
         short_a, short_b = lists.short_pairs(long, percent)
@@ -433,7 +485,7 @@ def _candidates(docs: DataFrame, size: int, percent: int, buckets: int) -> DataF
         names = ["kind", "a", "b", "tag", "id", "key", "sketch"]
         return pa.concat_tables([pa.table(columns, names), pa.table(told, names)])
 
-    return docs.select("doc_id", "key", "text").mapInArrow(deal, lists).groupBy("bucket").applyInArrow(gather, found)
+    return _dealt(docs, size, percent, buckets).groupBy("bucket").applyInArrow(gather, found)
 
 
 def _may_be_similar(percent: int) -> str:
@@ -512,7 +564,7 @@ def _rest_of_long_lists(
             F.col("a").alias("key"),
             F.col("b").alias("id"),
             F.col("tag").bitwiseAND(DELETED + PLAIN).alias("flags"),
-            F.shiftright("tag", 4).bitwiseAND(255).alias("band"),
+            F.shiftright("tag", 4).bitwiseAND(127).alias("band"),
         ).distinct(),
         "entries",
     )
@@ -577,7 +629,7 @@ def similar_documents(
     )
     # About six bytes a word; a set is in one layout or two, with a key for a sixth of its shingles.
     size = docs.agg(F.sum(F.octet_length(docs[text_col]))).first()[0] or 0
-    buckets = max(8, math.ceil(size / 6 * 0.4 / BUCKET_ENTRIES))
+    buckets = min(max(8, math.ceil(size / 6 * 0.4 / BUCKET_ENTRIES)), MOST_BUCKETS)
     found = scratch.write(_candidates(own, shingle_words, percent, buckets), "found")
     nodes = found.where(F.col("kind") == NODE).select(
         F.col("id").alias("doc_id"),
