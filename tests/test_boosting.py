@@ -1,5 +1,8 @@
 """Boosted trees from binned rows against Spark's own, and forests whose tasks stay small."""
 
+import os
+
+import numpy as np
 import pytest
 from pyspark.ml import Pipeline
 from pyspark.ml.classification import GBTClassificationModel, GBTClassifier
@@ -59,6 +62,87 @@ def test_one_pass_for_many_fits(spark, encoded, monkeypatch):
             assert own == pytest.approx(chances, abs=1e-9)
 
 
+def _made_up(n, depth):
+    """Columns, a block of rows and a tree of ``depth`` levels that are split at random; some nodes stay leaves."""
+    draw = np.random.default_rng(7)
+    columns = [boosting.Column_((0,), tuple(range(40))), boosting.Column_((1, 2, 3)), boosting.Column_((4,), (0.5,))]
+    codes = np.array([draw.integers(0, c.width, n) for c in columns]).astype(np.uint8)
+    tree = boosting.Tree(depth)
+    for node in range(2**depth - 1):
+        if not node or (tree.column[(node - 1) // 2] >= 0 and draw.random() < 0.9):
+            tree.column[node] = draw.integers(0, 3)
+            tree.cut[node] = draw.integers(0, columns[tree.column[node]].width - 1)
+    tree.levels = depth
+    return columns, codes, tree
+
+
+@pytest.mark.parametrize("depth", [0, 3, 7, 9])
+def test_rows_find_their_node(depth):
+    columns, codes, tree = _made_up(5000, depth)
+    levels = np.array([c.borders is None for c in columns])
+    node = tree.node_of(codes, levels)
+    ends = tree.ends()
+    assert set(node) <= set(ends.tolist())
+    assert (ends[tree.place_of(ends, codes, levels)] == node).all()
+    some = ends[::2]
+    place = tree.place_of(some, codes, levels)
+    assert ((place < len(some)) == np.isin(node, some)).all()
+    assert (some[place[place < len(some)]] == node[place < len(some)]).all()
+
+
+@pytest.mark.parametrize("entries", [1, 1 << 13])
+def test_half_of_the_rows_are_counted(entries, monkeypatch):
+    """Counts and sums of all nodes are those of all rows, though at most every other row below the root is looked at."""
+    monkeypatch.setattr(boosting, "ENTRIES", entries)
+    columns, codes, _ = _made_up(5000, 0)
+    widths, levels = [c.width for c in columns], np.array([c.borders is None for c in columns])
+    draw = np.random.default_rng(8)
+    labels = np.where(codes[0] + 20 * (codes[1] == 2) + draw.normal(0, 9, 5000) > 30, 1, -1).astype(np.int8)
+    margins = draw.normal(0, 0.3, (1, 5000))
+    target = np.rint(4 * labels / (1 + np.exp(2 * labels * margins[0])) * 2.0**35).astype(np.int64)
+    tree, above = boosting.Tree(5), None
+    for level in range(5):
+        counted = tree.counted()
+        counts = boosting._Counts({0: (tree, counted)}, False, 35, widths, levels)
+        for at in (slice(0, 3000), slice(3000, None)):
+            counts.add((codes[:, at], labels[at], margins[:, at]))
+        (found,) = counts.by_column()
+        if level:
+            assert 2 * found[0, :, : widths[0]].sum() <= tree.count[2 ** (level - 1) - 1 : 2**level - 1].sum()
+        above = boosting._of_all_nodes(tree, found, above)
+        node, offset = tree.node_of(codes, levels) - (2**level - 1), 0
+        for c, width in enumerate(widths):
+            want = np.zeros((2, 2**level, width), np.int64)
+            here = node >= 0
+            np.add.at(want[0], (node[here], codes[c][here]), 1)
+            np.add.at(want[1], (node[here], codes[c][here]), target[here])
+            assert (above[:, :, offset : offset + width] == want).all()
+            offset += width
+        boosting._grow(tree, above, columns, 2.0**-35)
+    assert (tree.column >= 0).sum() > 10
+
+
+def test_trees_do_not_depend_on_tasks(spark, encoded, monkeypatch):
+    found = []
+    for least, parts in ((100_000, 1), (300, 7)):
+        monkeypatch.setattr(boosting, "LEAST_PER_TASK", least)
+        plans = [boosting.Plan(0.1, 4, 8)]
+        ((trees,), _, _) = boosting.boost(encoded.repartition(parts), "Target", plans)
+        found.append([(t.column.tolist(), t.cut.tolist(), t.value.tolist()) for t in trees])
+    assert found[0] == found[1]
+
+
+def test_written_margins_are_replaced(spark, encoded, monkeypatch):
+    """Every few trees the margins are written; none of it is left, however many trees there are."""
+    monkeypatch.setattr(boosting, "TREES_PER_WRITE", 2)
+    written, replace = [], boosting._Written.replace
+    monkeypatch.setattr(boosting._Written, "replace", lambda self, path: written.append(path) or replace(self, path))
+    boosting.boost(encoded, "Target", [boosting.Plan(0.1, 2, 7)])
+    paths = {p for p in written if p}
+    assert len(paths) == 3 and written[-1] is None
+    assert not [p for p in paths if os.path.exists(p.removeprefix("file:"))]
+
+
 def test_one_label_and_other_labels(spark, encoded):
     ones = encoded.where("Target = 1")
     model = boosting.BoostedTrees(labelCol="Target", maxIter=2, maxDepth=2).fit(ones)

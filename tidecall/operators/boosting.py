@@ -5,6 +5,10 @@ one on the negative gradient, splits of largest variance reduction among at most
 bins. It differs in how the rows are kept. A row is a byte per column (one-hot slots of one
 column are one code), packed into blocks, and tasks send counts and sums per node and bin. One
 job finds a level of the trees of all parameter sets.
+
+Of two children only the one with fewer rows is counted; the other's counts and sums are what is
+left of their parent's. Sums are whole numbers (units of ``2**-DIGITS``), so that this is exact and
+the trees do not depend on how rows are dealt to blocks and tasks.
 """
 
 from __future__ import annotations
@@ -22,18 +26,24 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidecall.session import materialize
+from tidecall.session import materialize, scratch_dir
 
 #: Rows that numpy works on at once, and the fewest (times fits) and most that a task holds in blocks (about 25 bytes each).
 ROWS_PER_BLOCK, LEAST_PER_TASK, ROWS_PER_TASK = 1 << 16, 100_000, 2_000_000
 #: Rows from which the borders of bins are taken, and bins of a number, as in Spark.
 BORDER_ROWS = 10_000
-#: Trees after which the margins are written, so that plans stay short.
+#: Trees after which the margins are written, so that a lost executor costs no more than these.
 TREES_PER_WRITE = 25
+#: Binary digits behind the point of what is summed; fewer beyond 2**26 rows, so that sums stay below 2**63.
+DIGITS = 35
+#: Several columns are counted as one while the counts of a level have at most so many entries.
+ENTRIES = 1 << 13
+#: Deepest nodes that are found with a byte per row, and the answer for rows that are in none of those asked for.
+BYTE_LEVELS, NONE = 7, 255
 #: Tasks whose histograms are added up on the driver at once.
 TASKS_TO_DRIVER = 64
 ONE_HOT = "__onehot_"
-_BLOCK = "fitted boolean, n int, codes binary, labels binary, margins binary"
+_BLOCK = "fitted boolean, n int, codes binary, labels binary"
 
 
 @dataclass(frozen=True)
@@ -80,6 +90,51 @@ class Tree:
             node = np.where(column >= 0, 2 * node + 1 + right, node)
         return node
 
+    def place_of(self, nodes: np.ndarray, codes: np.ndarray, levels: np.ndarray) -> np.ndarray:
+        """The place in ``nodes`` of the node that each row is in, beyond all places (or ``NONE``) where it is another.
+
+        Every split of a shallow tree is asked of all rows: bytes are compared much faster than looked up.
+        """
+        if self.levels > BYTE_LEVELS:
+            places = np.full(len(self.column), len(nodes))
+            places[nodes] = np.arange(len(nodes))
+            return places[self.node_of(codes, levels)]
+        places = {int(node): place for place, node in enumerate(nodes)}
+
+        def find(node: int, level: int) -> int | np.ndarray:
+            column, cut = int(self.column[node]), int(self.cut[node])
+            if level == self.levels or column < 0:
+                return places.get(node, NONE)
+            left, right = find(2 * node + 1, level + 1), find(2 * node + 2, level + 1)
+            if isinstance(left, int) and isinstance(right, int) and left == right:
+                return left
+            goes = codes[column] == cut if levels[column] else codes[column] > cut
+            out = np.negative(goes.view(np.uint8))  # all bits where a row goes right
+            out &= np.bitwise_xor(left, right, dtype=np.uint8)
+            out ^= np.uint8(left) if isinstance(left, int) else left
+            return out
+
+        found = find(0, 0)
+        return np.full(codes.shape[1], found, np.uint8) if isinstance(found, int) else found
+
+    def counted(self) -> np.ndarray:
+        """Nodes of the next level whose rows are counted: of two children the one with fewer."""
+        if not self.levels:
+            return np.zeros(1, np.int64)
+        start = 2 ** (self.levels - 1) - 1
+        parents = start + np.flatnonzero(self.column[start : 2 * start + 1] >= 0)
+        left = 2 * parents + 1
+        return left + (self.count[left] > self.count[left + 1])
+
+    def ends(self) -> np.ndarray:
+        """The leaves, among them all nodes of the last level."""
+        out, level = [], [0]
+        for depth in range(self.levels + 1):
+            open_ = [i for i in level if depth < self.levels and self.column[i] >= 0]
+            out += [i for i in level if depth == self.levels or self.column[i] < 0]
+            level = [2 * i + side for i in open_ for side in (1, 2)]
+        return np.array(out)
+
 
 # --- binning -----------------------------------------------------------------------------
 
@@ -119,7 +174,7 @@ def columns_of(rows: DataFrame, n: int, bins: int) -> list[Column_]:
     ]
 
 
-def _pack(rows: DataFrame, label: str, fitted: Column, columns: list[Column_], models: int) -> DataFrame:
+def _pack(rows: DataFrame, label: str, fitted: Column, columns: list[Column_]) -> DataFrame:
     """Blocks of binned rows; rows to fit on and others are in blocks of their own."""
     kind = np.min_scalar_type(max(c.width for c in columns) - 1)
 
@@ -141,12 +196,11 @@ def _pack(rows: DataFrame, label: str, fitted: Column, columns: list[Column_], m
             for which in (True, False):
                 here = np.flatnonzero(side == which)
                 if len(here):
-                    margins = np.zeros((models, len(here)))
-                    out.append((which, len(here), codes[:, here].tobytes(), labels[here].astype(np.int8).tobytes(), margins.tobytes()))
+                    out.append((which, len(here), codes[:, here].tobytes(), labels[here].astype(np.int8).tobytes()))
             if out:
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(x, t) for x, t in zip(zip(*out), (pa.bool_(), pa.int32(), *[pa.binary()] * 3))],
-                    ["fitted", "n", "codes", "labels", "margins"],
+                    [pa.array(x, t) for x, t in zip(zip(*out), (pa.bool_(), pa.int32(), *[pa.binary()] * 2))],
+                    ["fitted", "n", "codes", "labels"],
                 )
 
     read = rows.select(
@@ -157,65 +211,158 @@ def _pack(rows: DataFrame, label: str, fitted: Column, columns: list[Column_], m
     return read.mapInArrow(run, _BLOCK)
 
 
-Block = tuple[bool, np.ndarray, np.ndarray, np.ndarray]
+#: Codes by column, labels (-1 or 1) and margins by model.
+Block = tuple[np.ndarray, np.ndarray, np.ndarray]
 
 
-def _blocks(packed: DataFrame, columns: list[Column_], models: int, tasks: int) -> RDD[Block]:
-    """``fitted, codes, labels (-1 or 1), margins`` of neighbouring blocks put together."""
-    kind = np.min_scalar_type(max(c.width for c in columns) - 1)
+def _kind(columns: list[Column_]) -> np.dtype:
+    return np.min_scalar_type(max(c.width for c in columns) - 1)
+
+
+def _unpacked(codes: bytes, labels: bytes, columns: list[Column_]) -> tuple[np.ndarray, np.ndarray]:
+    known = np.frombuffer(labels, np.int8)
+    return np.frombuffer(codes, _kind(columns)).reshape(len(columns), len(known)), known * np.int8(2) - np.int8(1)
 
-    def join(part: list) -> Block:
-        codes = [np.frombuffer(r.codes, kind).reshape(len(columns), r.n) for r in part]
-        labels = [np.frombuffer(r.labels, np.int8) for r in part]
-        margins = [np.frombuffer(r.margins).reshape(models, r.n) for r in part]
-        return part[0].fitted, np.concatenate(codes, 1), np.concatenate(labels) * 2.0 - 1, np.concatenate(margins, 1)
+
+def _joined(rows: Iterator[tuple[bytes, bytes]], columns: list[Column_]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Codes and labels of ``ROWS_PER_BLOCK`` rows each; the last ones have fewer."""
+    parts, n = [], 0
+    for row in rows:
+        codes, labels = _unpacked(*row, columns)
+        at = 0
+        while at < len(labels):
+            end = at + min(len(labels) - at, ROWS_PER_BLOCK - n)
+            parts.append((codes[:, at:end], labels[at:end]))
+            n += end - at
+            at = end
+            if n == ROWS_PER_BLOCK:
+                yield tuple(np.concatenate(x, axis=-1) for x in zip(*parts))
+                parts, n = [], 0
+    if parts:
+        yield tuple(np.concatenate(x, axis=-1) for x in zip(*parts))
+
+
+def _blocks(packed: DataFrame, columns: list[Column_], models: int, tasks: int) -> RDD[Block]:
+    """Blocks with margins of 0."""
 
     def run(rows) -> Iterator[Block]:
-        open_: dict[bool, list] = {True: [], False: []}
-        for row in rows:
-            part = open_[row.fitted]
-            part.append(row)
-            if sum(r.n for r in part) >= ROWS_PER_BLOCK:
-                yield join(part)
-                part.clear()
-        yield from (join(part) for part in open_.values() if part)
+        for codes, labels in _joined(rows, columns):
+            yield codes, labels, np.zeros((models, len(labels)))
+
+    return packed.select("codes", "labels").repartition(tasks).rdd.mapPartitions(run)
 
-    return packed.repartition(tasks).rdd.mapPartitions(run)
 
+class _Written:
+    """The last written margins of a fit; each later ones replace them."""
 
-def _written(blocks: RDD[Block], spark) -> DataFrame:
-    rows = blocks.map(lambda b: (b[0], b[1].shape[1], b[1].tobytes(), ((b[2] + 1) / 2).astype(np.int8).tobytes(), b[3].tobytes()))
-    return materialize(spark.createDataFrame(rows, _BLOCK), "margins")
+    def __init__(self, spark):
+        self.context, self.path = spark.sparkContext, None
+        if self.context.getCheckpointDir() is None:
+            self.context.setCheckpointDir(scratch_dir(spark))
+
+    def replace(self, path: str | None) -> None:
+        if self.path is not None and path != self.path:
+            old = self.context._jvm.org.apache.hadoop.fs.Path(self.path)
+            old.getFileSystem(self.context._jsc.hadoopConfiguration()).delete(old, True)
+        self.path = path
 
 
 # --- boosting ----------------------------------------------------------------------------
 
 
-def _histograms(block: Block, models: list[int], trees: list[Tree], first: bool, widths: list[int], levels: np.ndarray):
-    """Per model: rows and sum of what is fitted, of each open node and code, columns behind each other."""
-    _, codes, labels, margins = block
-    out = []
-    for m in models:
-        tree = trees[m]
-        target = labels if first else 4 * labels / (1 + np.exp(2 * labels * margins[m]))
-        slot = tree.node_of(codes, levels) - (2**tree.levels - 1)
-        nodes = 2**tree.levels
-        slot[slot < 0] = nodes  # closed before this level
-        parts = []
-        for c, width in enumerate(widths):
-            at = slot * width
-            at += codes[c]
-            size = (nodes + 1) * width
-            both = np.stack([np.bincount(at, minlength=size), np.bincount(at, target, size)])
-            parts.append(both.reshape(2, nodes + 1, width)[:, :-1])
-        out.append(np.concatenate(parts, axis=2))
+def _groups(widths: list[int], most: int) -> list[list[int]]:
+    """Columns that are counted as one: their combinations are at most ``most``."""
+    out: list[tuple[int, list[int]]] = []
+    for c in sorted(range(len(widths)), key=lambda c: -widths[c]):
+        for i, (size, group) in enumerate(out):
+            if size * widths[c] <= most:
+                out[i] = (size * widths[c], [*group, c])
+                break
+        else:
+            out.append((widths[c], [c]))
+    return [group for _, group in out]
+
+
+class _Counts:
+    """Per model: rows and sum of what is fitted, of each counted node and code, from all blocks of a task."""
+
+    def __init__(self, trees: dict[int, tuple[Tree, np.ndarray]], first: bool, digits: int, widths: list[int], levels: np.ndarray):
+        self.trees, self.first, self.digits, self.widths, self.levels = trees, first, digits, widths, levels
+        most = max(len(nodes) for _, nodes in trees.values())
+        self.groups = _groups(widths, ENTRIES // most)
+        self.sizes = [math.prod(widths[c] for c in g) for g in self.groups]
+        self.kind = np.min_scalar_type(max(self.sizes) * most)
+        self.found: dict[int, list[np.ndarray]] = {
+            m: [np.zeros((2, len(nodes) * size), np.int64) for size in self.sizes] for m, (_, nodes) in trees.items()
+        }
+
+    def add(self, block: Block) -> None:
+        codes, labels, margins = block
+        joint = []
+        for group in self.groups:
+            code = codes[group[0]].astype(self.kind)
+            for c in group[1:]:
+                code *= self.kind.type(self.widths[c])
+                code += codes[c]
+            joint.append(code)
+        at_root, counts = None, None
+        for m, (tree, nodes) in self.trees.items():
+            sums, known, margin = self.found[m], labels, margins[m]
+            if tree.levels:
+                place = tree.place_of(nodes, codes, self.levels)
+                here = np.flatnonzero(place < len(nodes))
+                place, known, margin = place.take(here).astype(self.kind), known.take(here), margin.take(here)
+                at = []
+                for code, size in zip(joint, self.sizes):
+                    code = code.take(here)
+                    if len(nodes) > 1:
+                        code += place * self.kind.type(size)
+                    at.append(code.astype(np.intp))
+                counts = None
+            else:
+                at = at_root = at_root or [code.astype(np.intp) for code in joint]
+            if self.first:
+                target = known * 2.0**self.digits
+            else:
+                target = (known * np.int8(2)) * margin
+                np.exp(target, out=target)
+                target += 1
+                np.divide(known * (4 * 2.0**self.digits), target, out=target)
+                np.rint(target, out=target)
+            # All rows are at the root, whatever the model.
+            counts = counts or [np.bincount(x, minlength=s.shape[1]) for x, s in zip(at, sums)]
+            for x, n, s in zip(at, counts, sums):
+                s[0] += n
+                s[1] += np.bincount(x, target, s.shape[1]).astype(np.int64)
+
+    def by_column(self) -> list[np.ndarray]:
+        out = []
+        for m, (_, nodes) in self.trees.items():
+            parts: dict[int, np.ndarray] = {}
+            for group, found in zip(self.groups, self.found[m]):
+                found = found.reshape(2, len(nodes), *(self.widths[c] for c in group))
+                for i, c in enumerate(group):
+                    parts[c] = found.sum(axis=tuple(j + 2 for j in range(len(group)) if j != i))
+            out.append(np.concatenate([parts[c] for c in range(len(self.widths))], axis=2))
+        return out
+
+
+def _of_all_nodes(tree: Tree, found: np.ndarray, parents: np.ndarray | None) -> np.ndarray:
+    """Counts and sums of all nodes of a level from those of the counted ones and of the level above."""
+    if parents is None:
+        return found
+    out = np.zeros((2, 2**tree.levels, found.shape[2]), np.int64)
+    at = tree.counted() - (2**tree.levels - 1)
+    out[:, at] = found
+    out[:, at ^ 1] = parents[:, at >> 1] - found
     return out
 
 
-def _grow(tree: Tree, found: np.ndarray, columns: list[Column_], last: bool) -> None:
+def _grow(tree: Tree, found: np.ndarray, columns: list[Column_], unit: float) -> None:
     """Splits the open nodes where the variance falls most; ties go to the first slot and the lowest border."""
     start, nodes = 2**tree.levels - 1, 2**tree.levels
-    rows, total = found[:, :, : columns[0].width].sum(axis=2)
+    whole_rows, whole_total = found[:, :, : columns[0].width].sum(axis=2)
+    rows, total = whole_rows.astype(float), whole_total * unit
     here = slice(start, start + nodes)
     tree.count[here] = rows
     tree.value[here] = np.divide(total, rows, out=np.zeros(nodes), where=rows > 0)
@@ -231,7 +378,8 @@ def _grow(tree: Tree, found: np.ndarray, columns: list[Column_], last: bool) ->
         tree.levels += 1
         return
     n_right, s_right = np.concatenate(right, axis=2)
-    n_left, s_left = rows[:, None] - n_right, total[:, None] - s_right
+    n_left, s_left = (whole_rows[:, None] - n_right).astype(float), (whole_total[:, None] - s_right) * unit
+    n_right, s_right = n_right.astype(float), s_right * unit
     good = (n_left > 0.5) & (n_right > 0.5)
     with np.errstate(divide="ignore", invalid="ignore"):
         whole = total * total / rows
@@ -261,9 +409,9 @@ def boost(
 ) -> tuple[list[list[Tree]], list[Column_], dict[int, DataFrame]]:
     """Trees of each plan, the columns that their cuts speak of, and scores of the rows not ``fitted``.
 
-    ``rows`` has the vector ``features``. After each number of trees in ``stages`` the margins of
+    ``rows`` has the vector ``features``. For each number of trees in ``stages`` the margins of
     the other rows are a table of ``label`` and ``m0, m1, ...``, one per plan. Each level of the
-    trees of all plans is one job over all blocks; the driver holds the histograms of the open nodes.
+    trees of all plans is one job over all blocks; the driver holds the counts and sums of two levels.
     """
     spark = rows.sparkSession
     fitted = F.lit(True) if fitted is None else fitted
@@ -274,77 +422,94 @@ def boost(
     widths, levels = [c.width for c in columns], np.array([c.borders is None for c in columns])
     cores = spark.sparkContext.defaultParallelism
     tasks = min(cores * math.ceil(n / cores / ROWS_PER_TASK), math.ceil(n * len(plans) / LEAST_PER_TASK))
-    packed = materialize(_pack(rows, label, fitted, columns, len(plans)), "blocks")
-    state = _blocks(packed, columns, len(plans), tasks).persist(StorageLevel.MEMORY_AND_DISK)
+    packed = materialize(_pack(rows, label, fitted, columns), "blocks")
+    state = _blocks(packed.where("fitted"), columns, len(plans), tasks).persist(StorageLevel.MEMORY_AND_DISK_DESER)
     before: RDD | None = None
     done: list[list[Tree]] = [[] for _ in plans]
-    staged: dict[int, DataFrame] = {}
+    written = _Written(spark)
+    # A target is 4 at most.
+    digits = min(DIGITS, 61 - int(n_fitted).bit_length())
 
     def add(one: list, other: list) -> list:
         return [x + y for x, y in zip(one, other)]
 
-    def sums(models: list[int], trees: list[Tree], first: bool) -> list[np.ndarray]:
+    def sums(trees: dict[int, Tree], first: bool) -> list[np.ndarray]:
+        asked = {m: (tree, tree.counted()) for m, tree in trees.items()}
+
         def run(blocks: Iterator[Block]) -> Iterator[list[np.ndarray]]:
-            total = None
+            counts = _Counts(asked, first, digits, widths, levels)
             for block in blocks:
-                if block[0]:
-                    one = _histograms(block, models, trees, first, widths, levels)
-                    total = one if total is None else add(total, one)
-            if total is not None:
-                yield total
+                counts.add(block)
+            yield counts.by_column()
 
         found = state.mapPartitions(run)
         return found.reduce(add) if tasks <= TASKS_TO_DRIVER else found.treeReduce(add)
 
     for number in range(max(p.trees for p in plans)):
         trees = [Tree(p.depth) for p in plans]
+        above: dict[int, np.ndarray] = {}
         for level in range(max(p.depth for p in plans)):
             models = [m for m, p in enumerate(plans) if number < p.trees and level < p.depth and (not level or (trees[m].column[2 ** (level - 1) - 1 : 2**level - 1] >= 0).any())]
             if not models:
                 break
-            for m, found in zip(models, sums(models, trees, number == 0)):
-                _grow(trees[m], found, columns, level + 1 == plans[m].depth)
+            for m, found in zip(models, sums({m: trees[m] for m in models}, number == 0)):
+                above[m] = _of_all_nodes(trees[m], found, above.get(m))
+                _grow(trees[m], above[m], columns, 2.0**-digits)
             if before is not None:
                 before.unpersist()
                 before = None
+            if state.isCheckpointed():
+                written.replace(state.getCheckpointFile())
         for m, p in enumerate(plans):
             if number < p.trees:
                 done[m].append(trees[m])
-        if number + 1 == max(p.trees for p in plans) and number + 1 not in (stages or []):
+        if number + 1 == max(p.trees for p in plans):
             break
-        steps = [(1.0 if not number else p.rate) if number < p.trees else 0.0 for p in plans]
-
-        def further(block: Block, trees=trees, steps=steps) -> Block:
-            side, codes, labels, margins = block
-            moves = [t.value[t.node_of(codes, levels)] * s for t, s in zip(trees, steps)]
-            return side, codes, labels, margins + np.array(moves)
-
-        before, state = state, state.map(further)
-        if number + 1 in (stages or []) or (number + 1) % TREES_PER_WRITE == 0:
-            packed = _written(state, spark)
-            before.unpersist()
-            before = None
-            if number + 1 in (stages or []):
-                staged[number + 1] = _scores(packed, label, len(plans))
-            state = _blocks(packed, columns, len(plans), tasks)
-        state.persist(StorageLevel.MEMORY_AND_DISK)
+
+        def further(block: Block, trees=[(t, p.rate if number else 1.0) if number < p.trees else None for t, p in zip(trees, plans)]) -> Block:
+            codes, labels, margins = block
+            return codes, labels, np.stack([x if t is None else x + _moves(*t, codes, levels) for x, t in zip(margins, trees)])
+
+        before, state = state, state.map(further).persist(StorageLevel.MEMORY_AND_DISK_DESER)
+        if (number + 1) % TREES_PER_WRITE == 0:
+            state.checkpoint()
     for held in (before, state):
         if held is not None:
             held.unpersist()
+    written.replace(None)
+    staged: dict[int, DataFrame] = {}
+    if stages:
+        scores = materialize(_scores(packed.where("not fitted").repartition(tasks), label, plans, done, columns, levels, stages), "scores")
+        staged = {n: scores.select(label, *(F.col(f"m{m}_{n}").alias(f"m{m}") for m in range(len(plans)))) for n in stages}
     return done, columns, staged
 
 
-def _scores(packed: DataFrame, label: str, models: int) -> DataFrame:
+def _moves(tree: Tree, step: float, codes: np.ndarray, levels: np.ndarray) -> np.ndarray:
+    """What a tree adds to the margins."""
+    ends = tree.ends()
+    return (tree.value[ends] * step)[tree.place_of(ends, codes, levels)]
+
+
+def _scores(packed: DataFrame, label: str, plans: list[Plan], trees: list[list[Tree]], columns: list[Column_], levels: np.ndarray, stages: list[int]) -> DataFrame:
+    """The label and, as ``m{model}_{stage}``, the margins after so many trees."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for n, labels, margins in zip(*(batch.column(i).to_pylist() for i in range(3))):
-                scores = np.frombuffer(margins).reshape(models, n)
-                known = np.frombuffer(labels, np.int8).astype(float)
-                yield pa.RecordBatch.from_arrays([pa.array(x) for x in (known, *scores)], [label, *names])
-
-    names = [f"m{m}" for m in range(models)]
-    held_out = packed.where(~F.col("fitted")).select("n", "labels", "margins")
-    return held_out.mapInArrow(run, f"`{label}` double, " + ", ".join(f"{m} double" for m in names))
+        rows = (row for batch in batches for row in zip(*(batch.column(i).to_pylist() for i in range(2))))
+        for codes, labels in _joined(rows, columns):
+            found = {}
+            for m, plan in enumerate(plans):
+                margins = np.zeros(len(labels))
+                for number in range(max(stages)):
+                    if number < len(trees[m]):
+                        margins = margins + _moves(trees[m][number], plan.rate if number else 1.0, codes, levels)
+                    if number + 1 in stages:
+                        found[m, number + 1] = margins
+            known = (labels + 1) / 2
+            yield pa.RecordBatch.from_arrays([pa.array(x) for x in (known, *(found[at] for at in places))], [label, *names])
+
+    places = [(m, n) for m in range(len(plans)) for n in stages]
+    names = [f"m{m}_{n}" for m, n in places]
+    return packed.select("codes", "labels").mapInArrow(run, f"`{label}` double, " + ", ".join(f"{x} double" for x in names))
 
 
 # --- models ------------------------------------------------------------------------------

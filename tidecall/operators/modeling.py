@@ -283,13 +283,14 @@ def grid_search(
         V.NUMERIC_COLUMNS if numeric is None else numeric,
         V.CATEGORICAL_COLUMNS if categorical is None else categorical,
     ))
-    encoded = materialize(encoders.fit(df).transform(df).select("features", label), "encoded")
     # The side of a row follows from its values, not from the layout of the table.
     side = F.pmod(F.xxhash64("features", label, F.lit(seed)), F.lit(1 << 20)) / float(1 << 20)
+    coded = encoders.fit(df).transform(df).select("features", label, (side >= V.TEST_FRACTION).alias("__fitted"))
+    encoded = materialize(coded, "encoded")
     stages = sorted(set(grid["n_estimators"]))
     choices = [(float(r), int(d)) for r in grid["learning_rate"] for d in grid["max_depth"]]
     plans = [Plan(rate, depth, stages[-1]) for rate, depth in choices]
-    trees, columns, margins = boost(encoded, label, plans, fitted=side >= V.TEST_FRACTION, stages=stages)
+    trees, columns, margins = boost(encoded, label, plans, fitted=F.col("__fitted"), stages=stages)
 
     def evaluate(place: tuple[int, int]) -> float:
         m, n = place
