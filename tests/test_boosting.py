@@ -1,7 +1,5 @@
 """Boosted trees from binned rows against Spark's own, and forests whose tasks stay small."""
 
-import os
-
 import numpy as np
 import pytest
 from pyspark.ml import Pipeline
@@ -10,7 +8,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
 from tidecall.operators import boosting, modeling
-from tidecall.session import scratch_path
+from tidecall.session import materialize, scratch_path
 
 
 @pytest.fixture(scope="module")
@@ -132,15 +130,17 @@ def test_trees_do_not_depend_on_tasks(spark, encoded, monkeypatch):
     assert found[0] == found[1]
 
 
-def test_written_margins_are_replaced(spark, encoded, monkeypatch):
-    """Every few trees the margins are written; none of it is left, however many trees there are."""
-    monkeypatch.setattr(boosting, "TREES_PER_WRITE", 2)
-    written, replace = [], boosting._Written.replace
-    monkeypatch.setattr(boosting._Written, "replace", lambda self, path: written.append(path) or replace(self, path))
-    boosting.boost(encoded, "Target", [boosting.Plan(0.1, 2, 7)])
-    paths = {p for p in written if p}
-    assert len(paths) == 3 and written[-1] is None
-    assert not [p for p in paths if os.path.exists(p.removeprefix("file:"))]
+def test_margins_found_anew_are_the_same(spark, encoded, monkeypatch):
+    """However often they are found anew from the written rows, and no table of margins is left."""
+    found = []
+    for every in (2, 50):
+        monkeypatch.setattr(boosting, "TREES_PER_WRITE", every)
+        written = []
+        monkeypatch.setattr(boosting, "materialize", lambda df, label: written.append(label) or materialize(df, label))
+        ((trees,), _, _) = boosting.boost(encoded, "Target", [boosting.Plan(0.1, 2, 7)])
+        found.append([(t.column.tolist(), t.cut.tolist(), t.value.tolist()) for t in trees])
+        assert written == ["blocks"]
+    assert found[0] == found[1]
 
 
 def test_one_label_and_other_labels(spark, encoded):

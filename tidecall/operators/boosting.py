@@ -26,14 +26,14 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidecall.session import materialize, scratch_dir
+from tidecall.session import materialize
 
 #: Rows that numpy works on at once, and the fewest (times fits) and most that a task holds in blocks (about 25 bytes each).
 ROWS_PER_BLOCK, LEAST_PER_TASK, ROWS_PER_TASK = 1 << 16, 100_000, 2_000_000
 #: Rows from which the borders of bins are taken, and bins of a number, as in Spark.
 BORDER_ROWS = 10_000
-#: Trees after which the margins are written, so that a lost executor costs no more than these.
-TREES_PER_WRITE = 25
+#: Trees after which margins are found anew from the written rows, so that plans stay short without writing margins.
+TREES_PER_WRITE = 50
 #: Binary digits behind the point of what is summed; fewer beyond 2**26 rows, so that sums stay below 2**63.
 DIGITS = 35
 #: Several columns are counted as one while the counts of a level have at most so many entries.
@@ -252,21 +252,6 @@ def _blocks(packed: DataFrame, columns: list[Column_], models: int, tasks: int)
     return packed.select("codes", "labels").repartition(tasks).rdd.mapPartitions(run)
 
 
-class _Written:
-    """The last written margins of a fit; each later ones replace them."""
-
-    def __init__(self, spark):
-        self.context, self.path = spark.sparkContext, None
-        if self.context.getCheckpointDir() is None:
-            self.context.setCheckpointDir(scratch_dir(spark))
-
-    def replace(self, path: str | None) -> None:
-        if self.path is not None and path != self.path:
-            old = self.context._jvm.org.apache.hadoop.fs.Path(self.path)
-            old.getFileSystem(self.context._jsc.hadoopConfiguration()).delete(old, True)
-        self.path = path
-
-
 # --- boosting ----------------------------------------------------------------------------
 
 
@@ -426,7 +411,6 @@ def boost(
     state = _blocks(packed.where("fitted"), columns, len(plans), tasks).persist(StorageLevel.MEMORY_AND_DISK_DESER)
     before: RDD | None = None
     done: list[list[Tree]] = [[] for _ in plans]
-    written = _Written(spark)
     # A target is 4 at most.
     digits = min(DIGITS, 61 - int(n_fitted).bit_length())
 
@@ -458,25 +442,25 @@ def boost(
             if before is not None:
                 before.unpersist()
                 before = None
-            if state.isCheckpointed():
-                written.replace(state.getCheckpointFile())
         for m, p in enumerate(plans):
             if number < p.trees:
                 done[m].append(trees[m])
         if number + 1 == max(p.trees for p in plans):
             break
 
-        def further(block: Block, trees=[(t, p.rate if number else 1.0) if number < p.trees else None for t, p in zip(trees, plans)]) -> Block:
+        anew = (number + 1) % TREES_PER_WRITE == 0
+        steps = [_steps(p, d)[0 if anew else number :] for p, d in zip(plans, done)]
+
+        def further(block: Block, steps=steps) -> Block:
             codes, labels, margins = block
-            return codes, labels, np.stack([x if t is None else x + _moves(*t, codes, levels) for x, t in zip(margins, trees)])
+            return codes, labels, np.stack([_moved(x, s, codes, levels) for x, s in zip(margins, steps)])
 
-        before, state = state, state.map(further).persist(StorageLevel.MEMORY_AND_DISK_DESER)
-        if (number + 1) % TREES_PER_WRITE == 0:
-            state.checkpoint()
+        before = state
+        state = (_blocks(packed.where("fitted"), columns, len(plans), tasks) if anew else before).map(further)
+        state.persist(StorageLevel.MEMORY_AND_DISK_DESER)
     for held in (before, state):
         if held is not None:
             held.unpersist()
-    written.replace(None)
     staged: dict[int, DataFrame] = {}
     if stages:
         scores = materialize(_scores(packed.where("not fitted").repartition(tasks), label, plans, done, columns, levels, stages), "scores")
@@ -484,10 +468,16 @@ def boost(
     return done, columns, staged
 
 
-def _moves(tree: Tree, step: float, codes: np.ndarray, levels: np.ndarray) -> np.ndarray:
-    """What a tree adds to the margins."""
-    ends = tree.ends()
-    return (tree.value[ends] * step)[tree.place_of(ends, codes, levels)]
+def _steps(plan: Plan, trees: list[Tree]) -> list[tuple[Tree, float]]:
+    return [(tree, plan.rate if number else 1.0) for number, tree in enumerate(trees)]
+
+
+def _moved(margins: np.ndarray, steps: list[tuple[Tree, float]], codes: np.ndarray, levels: np.ndarray) -> np.ndarray:
+    """Margins after further trees."""
+    for tree, step in steps:
+        ends = tree.ends()
+        margins = margins + (tree.value[ends] * step)[tree.place_of(ends, codes, levels)]
+    return margins
 
 
 def _scores(packed: DataFrame, label: str, plans: list[Plan], trees: list[list[Tree]], columns: list[Column_], levels: np.ndarray, stages: list[int]) -> DataFrame:
@@ -498,12 +488,9 @@ def _scores(packed: DataFrame, label: str, plans: list[Plan], trees: list[list[T
         for codes, labels in _joined(rows, columns):
             found = {}
             for m, plan in enumerate(plans):
-                margins = np.zeros(len(labels))
-                for number in range(max(stages)):
-                    if number < len(trees[m]):
-                        margins = margins + _moves(trees[m][number], plan.rate if number else 1.0, codes, levels)
-                    if number + 1 in stages:
-                        found[m, number + 1] = margins
+                margins, steps = np.zeros(len(labels)), _steps(plan, trees[m])
+                for last, n in zip([0, *sorted(stages)], sorted(stages)):
+                    found[m, n] = margins = _moved(margins, steps[last:n], codes, levels)
             known = (labels + 1) / 2
             yield pa.RecordBatch.from_arrays([pa.array(x) for x in (known, *(found[at] for at in places))], [label, *names])
 
